@@ -7,6 +7,7 @@ import public_tokenizers
 from .common import table
 from .decontamination import decontaminate
 from .quality import host_rules
+from .simhash import near_duplicates
 from .token_counts import token_counts
 from .url_filters import url_verdicts
 
@@ -19,6 +20,10 @@ def op3_quality_rules(spark, sf_dir):
     return host_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
 
@@ -30,6 +35,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op10_decontamination": op10_decontamination,
 }
