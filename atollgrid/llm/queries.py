@@ -9,9 +9,14 @@ from .decontamination import decontaminate
 from .quality import host_rules
 from .simhash import near_duplicates
 from .token_counts import token_counts
+from .toxicity import toxicity
 from .url_filters import url_verdicts
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_url_filters(spark, sf_dir):
     return url_verdicts(table(spark, sf_dir, "pages"))
 
@@ -33,6 +38,7 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
     "op5_simhash": op5_simhash,
