@@ -8,6 +8,7 @@ from .common import table
 from .decontamination import decontaminate
 from .quality import host_rules
 from .simhash import near_duplicates
+from .suffix_dedup import without_repeats
 from .token_counts import token_counts
 from .toxicity import toxicity
 from .url_filters import url_verdicts
@@ -25,6 +26,10 @@ def op3_quality_rules(spark, sf_dir):
     return host_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return without_repeats(table(spark, sf_dir, "documents")).drop("_rid")
+
+
 def op5_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -41,6 +46,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op10_decontamination": op10_decontamination,
