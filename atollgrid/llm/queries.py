@@ -6,6 +6,7 @@ import public_tokenizers
 
 from .common import table
 from .decontamination import decontaminate
+from .html_text import extract
 from .quality import host_rules
 from .simhash import near_duplicates
 from .suffix_dedup import without_repeats
@@ -38,6 +39,10 @@ def op6_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_html_text(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +54,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
+    "op7_html_text": op7_html_text,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE = {}
