@@ -7,6 +7,7 @@ import public_tokenizers
 from .common import table
 from .decontamination import decontaminate
 from .html_text import extract
+from .language import documents_language
 from .quality import host_rules
 from .simhash import near_duplicates
 from .suffix_dedup import without_repeats
@@ -43,6 +44,10 @@ def op7_html_text(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op8_language(spark, sf_dir):
+    return documents_language(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_html_text": op7_html_text,
+    "op8_language": op8_language,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE = {}
