@@ -61,7 +61,7 @@ def matches(docs: DataFrame, phrases: DataFrame, slop: int = SLOP) -> DataFrame:
     return single.unionByName(both)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW_WORDS, slop: int = SLOP) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW_WORDS, slop: int = SLOP, keep_rid: bool = False) -> DataFrame:
     """One row per row of docs: id, n_words, n_hit, n_items, items_sha256, contaminated, n_near.
 
     A document word inside any exact occurrence of a test window is hit; n_items counts items with such windows.
@@ -95,5 +95,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     zero = lambda c: F.when(F.col(c) > 0, F.col(c)).otherwise(F.lit(0)).cast("long")  # noqa: E731  size of null is -1 or null
     return out.select(
         F.col("_id").alias(id_col), "n_words", zero("n_hit").alias("n_hit"), zero("n_items").alias("n_items"),
-        F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), (zero("n_hit") > 0).alias("contaminated"), zero("_near").alias("n_near"),
+        F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), (zero("n_hit") > 0).alias("contaminated"), zero("_near").alias("n_near"), *["_rid"] * keep_rid,
     )

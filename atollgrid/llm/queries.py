@@ -8,6 +8,7 @@ from .common import table
 from .decontamination import decontaminate
 from .html_text import extract
 from .language import documents_language
+from .pieces import encode_and_sample
 from .quality import host_rules
 from .simhash import near_duplicates
 from .suffix_dedup import without_repeats
@@ -48,6 +49,10 @@ def op8_language(spark, sf_dir):
     return documents_language(table(spark, sf_dir, "documents"))
 
 
+def op9_pieces(spark, sf_dir):
+    return encode_and_sample(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_html_text": op7_html_text,
     "op8_language": op8_language,
+    "op9_pieces": op9_pieces,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE = {}
