@@ -49,7 +49,7 @@ def local_share(df: DataFrame, hit: str, valid: str, out: str, key: list[str], r
 def heterogeneity(df: DataFrame, value: str, out: str, key: list[str], radius: int = 2) -> DataFrame:
     """How many classes over 0 stand around each pixel, NaN for none. Classes are bits, or-ed over rows, then columns;
     repeating edges adds no class. Classes: 1 to 62."""
-    bit = F.when(F.col(value) > 0, F.shiftleft(F.lit(1).cast("long"), F.col(value).cast("int"))).otherwise(F.lit(0).cast("long"))
+    bit = F.when(F.col(value) > 0, F.expr(f"shiftleft(1L, int(`{value}`))")).otherwise(F.lit(0).cast("long"))
     d = df.withColumn("_b", bit).withColumn("_b", F.bit_or("_b").over(row(key, radius))).withColumn("_b", F.bit_or("_b").over(column(key, radius)))
     return d.withColumn(out, F.when(F.col("_b") != 0, F.bit_count("_b").cast("double")).otherwise(F.lit(float("nan")))).drop("_b")
 
