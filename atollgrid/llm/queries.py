@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from .common import table
 from .decontamination import decontaminate
 from .html_text import extract
 from .language import documents_language
+from .oracles import ORACLE
 from .pieces import encode_and_sample
 from .quality import host_rules
 from .simhash import near_duplicates
@@ -26,7 +28,7 @@ def op2_url_filters(spark, sf_dir):
 
 
 def op3_quality_rules(spark, sf_dir):
-    return host_rules(table(spark, sf_dir, "documents"))
+    return host_rules(table(spark, sf_dir, "documents")).withColumn("host_rate", F.round("host_rate", 9))
 
 
 def op4_suffix_dedup(spark, sf_dir):
@@ -54,7 +56,7 @@ def op9_pieces(spark, sf_dir):
 
 
 def op10_decontamination(spark, sf_dir):
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near")
 
 
 QUERIES = {
@@ -69,4 +71,5 @@ QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE = {}
+
+__all__ = ["ORACLE", "QUERIES"]
