@@ -120,7 +120,7 @@ def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["k", "ll"])
 
     none = F.lit(None).cast("string")
-    k = F.struct(F.col(f"`{id_col}`").alias("_id"), F.lower(F.coalesce(declared, none)).alias("declared"), (address_language(url, languages) if url is not None else none).alias("address"), F.coalesce(host, none).alias("host"), *[F.col(f"`{c}`") for c in carry])
+    k = F.struct(F.col(f"`{id_col}`").alias("_id"), F.lower(none if declared is None else declared).alias("declared"), (address_language(url, languages) if url is not None else none).alias("address"), (none if host is None else host).alias("host"), *[F.col(f"`{c}`") for c in carry])
     d = docs.select(k.alias("k"), F.col(f"`{text_col}`").cast("binary").alias("t"))
     d = written(d.mapInArrow(likelihoods, f"k {d.schema['k'].dataType.simpleString()}, ll array<double>").select("k.*", "ll"), "likelihoods")
     if not n:

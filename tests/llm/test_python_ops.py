@@ -1,0 +1,283 @@
+"""The operators with Python code against brute force, exact round trips or held-out accuracy."""
+
+import collections
+import hashlib
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+from atollgrid.llm import induced_sort, simhash, suffix_dedup, toxicity
+from atollgrid.llm.graph import components
+from atollgrid.llm.html_text import extract, main_text, parse, subtrees
+from atollgrid.llm.language import address_language, declared_language, documents_language, identify, text_model, training_sample
+from atollgrid.llm.pieces import Known, Model, mixed, sample_rows, sampled_ids
+from atollgrid.llm.token_counts import WordEncoder, spliced_count
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.01"
+
+
+def stored(spark, tmp_path, rows, schema, name="t", parts=3):
+    path = str(tmp_path / name)
+    spark.createDataFrame(rows, schema).repartition(parts).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+# --- toxicity
+
+
+def test_automaton_is_edit_distance():
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(1)
+    entries = ["abcab", "bca", "abcabcabc", "cab*", "aabb="]
+    lexicon = toxicity.Lexicon(entries)
+    for _ in range(4000):
+        w = "".join(rng.choice("abc") for _ in range(rng.randint(1, 11)))
+        want = [edits(w, e) for e in entries[:3] if edits(w, e) <= toxicity.errors_allowed(len(e))]
+        want += [0] * (w.startswith("cab") or w == "aabb")
+        assert lexicon.distance(w) == min(want, default=9), w
+
+
+def test_quotation_weighs_less():
+    lexicon = toxicity.Lexicon(["moron"])
+    plain, quoted = (toxicity.features(t, lexicon) for t in ("you are a moron and more", 'he said "moron" to them all'))
+    assert plain[1] == quoted[1] == 1 and quoted[2] == 1 and plain[0][1] > quoted[0][1]
+    assert toxicity.features("you maron", lexicon)[3] == 1
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.toxicity(docs, labels).join(labels, "doc_id").filter("held_out").groupBy("toxic", "predicted").count().collect()
+    n = {(r["toxic"], r["predicted"]): r["count"] for r in got}
+    assert n[1, 1] / (n[1, 1] + n.get((1, 0), 0)) > 0.8 and n.get((0, 1), 0) <= 0.01 * n[0, 0]
+
+
+# --- suffix order
+
+
+def test_induced_sort():
+    rng = random.Random(2)
+    for _ in range(300):
+        n, k, cap = rng.randint(1, 60), rng.choice([1, 2, 3, 20]), rng.choice([3, 8, 50])
+        t = np.array([rng.randint(1, k) for _ in range(n)] + [0], np.uint16)
+        groups = {}
+        scratch = induced_sort.Scratch(rng.choice([10**9, 64, 0]))
+        for common, at in induced_sort.sorted_suffixes(t, cap, scratch.left, scratch, rng.choice([1, 3, 1000])):
+            groups.setdefault(int(t[at[0]]), []).append((common, at))
+        order = [p for s in sorted(groups) for _, at in groups[s] for p in at.tolist()]
+        common = [p for s in sorted(groups) for c, _ in groups[s] for p in c.tolist()]
+        x = t.tolist()
+        assert sorted(order) == list(range(n + 1)) and [x[i : i + cap] for i in order] == sorted(x[i : i + cap] for i in range(n + 1))
+        for a, b, c in zip(order, order[1:], common[1:], strict=False):
+            same = next((q for q in range(cap) if x[a + q : a + q + 1] != x[b + q : b + q + 1]), cap)
+            assert c == min(same, cap)
+
+
+def test_queues_spill():
+    scratch = induced_sort.Scratch(1 << 12)
+    t = np.append(np.random.default_rng(1).integers(1, 5, 20_000), 0).astype(np.uint16)
+    assert sum(len(a) for _, a in induced_sort.sorted_suffixes(t, 20, 1 << 12, scratch, 500)) == len(t)
+    assert scratch.spilled > 1 << 16
+
+
+@pytest.mark.parametrize("params", [{}, {"shard": 1, "memory": 1 << 10}])
+def test_suffix_dedup(spark, tmp_path, params):
+    rng = random.Random(4)
+    shared = ["".join(rng.choice("aé bc") for _ in range(n)) for n in (30, 63, 64, 65, 200)]
+    rows = [(i, "".join(rng.choice(["xy", "é", " ", *shared]) for _ in range(rng.randint(0, 12)))) for i in range(40)]
+    rows += [(50, "ab" * 120), (51, "q" * 500), (52, None), (53, rows[3][1]), (53, rows[3][1])]
+    length = 64
+    docs = stored(spark, tmp_path, rows, "doc_id int, text string")
+    got = sorted(tuple(r)[:5] for r in suffix_dedup.without_repeats(docs, length=length, gram=16, **params).collect())
+    texts = [(t or "").encode() for _, t in rows]
+    count = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    want = []
+    for (i, _), t in zip(rows, texts, strict=True):
+        cut = bytearray(len(t))
+        for p in range(len(t) - length + 1):
+            if count[t[p : p + length]] > 1:
+                cut[p : p + length] = b"\1" * length
+        kept = bytes(c for c, x in zip(t, cut, strict=True) if not x)
+        want.append((i, len(t), sum(cut), len(re.findall(b"\1+", bytes(cut))), hashlib.sha256(kept).hexdigest()))
+    assert got == sorted(want)
+
+
+# --- SimHash
+
+
+def test_links_and_components(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    v = np.repeat(rng.integers(0, 2**63, 60, dtype=np.uint64), 30)
+    for _ in range(2):
+        v = v ^ (np.uint64(1) << rng.integers(0, 64, len(v)).astype(np.uint64))
+    v = np.unique(v)
+    near = np.bitwise_count(v[:, None] ^ v[None, :]) <= 2
+
+    def roots(pairs):
+        p = list(range(len(v)))
+
+        def f(i):
+            while p[i] != i:
+                i = p[i]
+            return i
+
+        for a, b in pairs:
+            p[max(f(a), f(b))] = min(f(a), f(b))
+        return [f(i) for i in range(len(v))]
+
+    want = roots(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
+    found = simhash.links(v)
+    assert all(near[a, b] for a, b in found) and roots(found) == want
+    values = spark.createDataFrame([(int(x),) for x in v.view(np.int64)], "fp bigint").repartition(3)
+    for bucket in (4096, 5):  # the second splits hot keys
+        at = {int(x): i for i, x in enumerate(v.view(np.int64))}
+        edges = [(at[r["a"]], at[r["b"]]) for r in simhash.near_links(values, bucket=bucket).collect()]
+        assert all(near[a, b] for a, b in edges) and roots(edges) == want
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a int, b int")
+    assert {r["node"]: r["root"] for r in components(chain).collect()} == {i: 0 for i in range(1, 41)} | {101: 100}
+
+
+def test_fingerprints_and_groups(spark, tmp_path):
+    import xxhash
+
+    rng = random.Random(3)
+    base = [" ".join(rng.choice(["Ab", "cd", "éf", "g"]) + str(rng.randint(0, 40)) for _ in range(rng.choice([0, 1, 2, 3, 40, 200]))) for _ in range(40)]
+    rows = [(i, b if rng.random() < 0.5 else b.replace(" ", "\t\n", 3) + rng.choice(["", " tail"])) for i, b in enumerate(base * 3)]
+    got = {r["doc_id"]: r for r in simhash.near_duplicates(stored(spark, tmp_path, rows, "doc_id int, text string")).collect()}
+    fp = {}
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        s = [" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in s]
+        fp[i] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+        assert got[i]["fingerprint"] == f"{fp[i]:016x}"
+    group = {i: i for i in fp}
+    for _ in range(len(fp)):
+        new = {i: min(group[j] for j in fp if (fp[i] ^ fp[j]).bit_count() <= 2) for i in fp}
+        if new == group:
+            break
+        group = new
+    assert {i: r["component_id"] for i, r in got.items()} == group
+
+
+# --- token counts
+
+
+def test_token_counts_equal_the_library():
+    enc = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(1)
+    parts = [*"ab'sS  \n\té É<|>endoftext'12．ﬀéΣ☃_ßÿÀ×", "<|endoftext|>", " "]
+    for _ in range(1500):
+        x = "".join(rng.choice(parts) for _ in range(rng.randint(1, 200)))
+        assert spliced_count(enc, x, rng.randint(5, 40), rng.randint(1, 6)) == len(enc.lib.encode(x, add_special_tokens=False))
+
+
+# --- pages
+
+
+def test_html():
+    assert main_text(parse("<nav>m</nav><article><h1>T</h1><p><b>a<br>b &amp; c<p>d&nbsp; e<script>x</p></script></article><footer>f")) == "T a b & c d e"
+    assert main_text(parse("<div id=comments>x</div><div class='post'>a<b>b</b> &lt;p&gt; </div><p title='a>b'>f")) == "ab <p> f"
+    assert main_text(parse("<!-- <p>no --><article><div class='cookie-notice'>c</div>t</article>")) == "t"
+    assert main_text(parse("<p>a</div></section>b<div>c")) == "a b c"
+    assert subtrees(parse("<html><body><article>x</article></body></html>")) == []
+
+
+def test_site_templates(spark, tmp_path):
+    box = "<div><p>Read our news</p></div>"
+    rows = [(i, "http://a.com/x", f"<body>{box}<div><p>story {i}</p></div></body>") for i in range(30)]
+    rows += [(100 + i, "http://b.com/x", f"<body>{box}<p>same page</p></body>") for i in range(30)]  # copies make no template
+    got = {r["page_id"]: r["text"] for r in extract(stored(spark, tmp_path, rows, "page_id int, url string, html string")).collect()}
+    assert got[3] == "story 3" and got[105] == "Read our news same page"
+
+
+# --- language
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = text_model(training_sample(docs, "doc_id", "text", "lang", 300))
+    rest = identify(docs.filter("doc_id % 7 = 0"), "doc_id", "text", model, host=F.col("source"))  # by text and host alone
+    right = rest.join(docs, "doc_id").agg(F.avg((F.col("language") == F.col("lang")).cast("double"))).first()[0]
+    assert right > 0.98
+    assert documents_language(docs.filter("doc_id % 7 = 0")).filter("not kept").count() == 0
+
+
+def test_language_evidence_of_pages(spark, tmp_path):
+    rows = [(1, "http://fr.x.com/a", "<html lang='de-AT'>", "1234", "x"), (2, "http://x.de/a", "", "1234", "y"), (3, "http://x.com/es/1", "<html>", "1234", "y"), (4, "http://x.com", None, "1234", "y")]
+    docs = stored(spark, tmp_path, rows, "id int, url string, html string, text string, host string")
+    model = ["de", "es", "fr"], np.zeros((1 << 16, 3), np.float32)
+    seen = {r["id"]: (r["d"], r["a"]) for r in docs.select("id", declared_language(F.col("html")).alias("d"), address_language(F.col("url"), model[0]).alias("a")).collect()}
+    assert seen == {1: ("de", "fr"), 2: (None, "de"), 3: (None, "es"), 4: (None, None)}
+    got = {r["id"]: r["language"] for r in identify(docs, "id", "text", model, declared_language(F.col("html")), F.col("url"), F.col("host")).collect()}
+    assert got[1] == "de" and got[2] == "de" and got[3] == "es"
+
+
+# --- pieces
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return Model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_encoding_round_trip(pieces):
+    rng = random.Random(2)
+    for w in ["Hello  world\n\nxyz é ☃ ", "  lead", "", " ", "   ", "ﬁ Ａ", "a b  c\tq", "日本"] + ["".join(rng.choice("ab é☃\n ") for _ in range(rng.randint(0, 40))) for _ in range(500)]:
+        ids = pieces.encode(w)
+        assert ids == pieces.lib.encode(w) and pieces.decode(ids) == w
+
+
+def test_sampling_without_replacement(pieces):
+    units = pieces.units("the cat")
+    lattice = pieces.lattice(units, 1.0, 1.0)
+    n, k = 6000, 3
+    keys = mixed(np.arange(n))
+    rows = sample_rows(lattice, np.tile(np.arange(len(units)), n), np.repeat(np.arange(n), len(units)), keys, k)
+
+    def paths(u, at):
+        if at == lattice.end[u]:
+            yield []
+            return
+        for e in range(lattice.lead[at], lattice.lead[at + 1]):
+            for rest in paths(u, int(lattice.to[e])):
+                yield [e, *rest]
+
+    chance = {}
+    for combo in itertools.product(*[list(paths(u, int(lattice.first[u]))) for u in range(len(units))]):
+        chance[tuple(i for p in combo for i in lattice.ids(pieces, p))] = math.exp(sum(float(lattice.logp[p].sum()) for p in combo))
+    assert abs(sum(chance.values()) - 1) < 1e-5
+    first, second, weight = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in range(n):
+        found = [tuple(sampled_ids(pieces, lattice, np.arange(len(units)), keys[r], s)) for s in rows[r]]
+        assert len(set(found)) == len({s["signature"] for s in rows[r]}) == k
+        assert all(pieces.decode(x) == "the cat" for x in found)
+        assert [s["perturbed"] for s in rows[r]] == sorted((s["perturbed"] for s in rows[r]), reverse=True)
+        first[found[0]] += 1
+        second[found[1]] += 1
+        for x, s in zip(found, rows[r], strict=True):
+            assert abs(chance[x] - math.exp(s["log_prob"])) < 1e-6 and len(x) == s["pieces"]
+            weight[x] += 1 / s["inclusion"]
+    for x in sorted(chance, key=chance.get)[-4:]:
+        p = chance[x]
+        q = sum(o * p / (1 - o) for y, o in chance.items() if y != x)
+        assert abs(first[x] / n - p) < 4 * math.sqrt(p / n) + 1e-3 and abs(second[x] / n - q) < 4 * math.sqrt(q / n) + 1e-3
+        assert abs(weight[x] / n - 1) < 0.15
+
+
+def test_rows_with_few_segmentations(pieces):
+    known = Known(pieces, 1.0, 1.0)
+    unit = known.numbers(pieces.units("q"))
+    rows = sample_rows(known.lattice, unit, np.zeros(1, np.int64), mixed(np.arange(1)), 5)
+    assert len(rows[0]) == len({s["signature"] for s in rows[0]}) <= 2 and abs(sum(math.exp(s["log_prob"]) for s in rows[0]) - 1) < 1e-5
