@@ -129,7 +129,7 @@ def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str]
     # the host's prior from texts alone
     top = F.array_max(F.slice("ll", 1, n))
     guess = F.when((top > F.element_at("ll", n + 1)), F.array_position(F.slice("ll", 1, n), top).cast("int"))
-    votes = [F.sum((guess == i + 1).cast("double")).alias(f"v{i}") for i in range(n)]
+    votes = [F.coalesce(F.sum((guess == i + 1).cast("double")), F.lit(0.0)).alias(f"v{i}") for i in range(n)]
     domain = F.coalesce(F.nullif(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("host"))
     hosts = written(d.filter("host is not null").groupBy("host").agg(*votes), "hosts").withColumn("domain", domain)
     domains = hosts.groupBy("domain").agg(*[F.sum(f"v{i}").alias(f"d{i}") for i in range(n)])
