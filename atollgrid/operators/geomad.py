@@ -87,4 +87,5 @@ def geomad(df: DataFrame, bands: list[str], key: list[str], block: int = BLOCK,
         res |= {band: np.where(n > 0, np.floor(m[:, i] + 0.5), 0).astype("int32") for i, band in enumerate(bands)}
         return pd.DataFrame(res | {"smad": s.astype("float32"), "emad": e.astype("float32"), "bcmad": b.astype("float32"), "count": n.astype("int32")})
 
-    return need.groupBy(*key, "_by", "_bx").applyInPandas(composite, ", ".join(out))
+    done = need.groupBy(*key, "_by", "_bx").applyInPandas(composite, ", ".join(out))
+    return done.withColumns({c: F.coalesce(c, F.lit(float("nan")).cast("float")) for c in ("smad", "emad", "bcmad")})  # pandas gives null

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: A catalogue item document; unknown properties are left out.
-ITEM = T.StructType.fromDDL(
+ITEM = (
     "id string, type string, collection string, bbox array<double>, geometry struct<type: string, coordinates: string>, "
     "links array<struct<rel: string, href: string>>, "
     "properties struct<datetime: string, start_datetime: string, end_datetime: string, created: string, `landsat:collection_category`: string, platform: string>, "
