@@ -74,6 +74,53 @@ def in_polygon(rings: list, buffer: float = 0.0):
     return inside
 
 
+def touches_polygon(rings: list):
+    """A pandas UDF (x0, y0, x1, y1) -> whether a box touches the polygon: a corner inside, an edge's end in the
+    box, or edges that cross."""
+    polygon = [np.asarray(r, float) for r in rings]
+
+    @F.pandas_udf("boolean")
+    def touches(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
+        a, b, c, d = (v.to_numpy(float) for v in (x0, y0, x1, y1))
+        hit = np.zeros(len(a), bool)
+        for x, y in ((a, b), (c, b), (c, d), (a, d)):
+            hit |= _inside(x, y, polygon)
+        for ring in polygon:
+            for (px, py), (qx, qy) in zip(ring, np.roll(ring, -1, axis=0), strict=True):
+                hit |= (a <= px) & (px <= c) & (b <= py) & (py <= d)
+                for sx, sy, ex, ey in ((a, b, c, b), (c, b, c, d), (c, d, a, d), (a, d, a, b)):
+                    side = lambda ox, oy, vx, vy, wx, wy: np.sign((vx - ox) * (wy - oy) - (vy - oy) * (wx - ox))
+                    hit |= (side(sx, sy, ex, ey, px, py) * side(sx, sy, ex, ey, qx, qy) < 0) & (side(px, py, qx, qy, sx, sy) * side(px, py, qx, qy, ex, ey) < 0)
+        return pd.Series(hit)
+
+    return touches
+
+
+def tiles_of_polygon(spark, rings: list, region: str = "non-pacific") -> DataFrame:
+    """(ix, iy, label) of tiles that touch the polygon of all rings: those of its box, then the predicate."""
+    ox, oy, w = GRIDS[region]
+    p = np.concatenate([np.asarray(r, float) for r in rings])
+    box = spark.createDataFrame([(float(p[:, 0].min()), float(p[:, 1].min()), float(p[:, 0].max()), float(p[:, 1].max()))], "x0 double, y0 double, x1 double, y1 double")
+    t = tiles_of_boxes(box, region)
+    sides = [F.col("ix") * w + ox, F.col("iy") * w + oy, (F.col("ix") + 1) * w + ox, (F.col("iy") + 1) * w + oy]
+    return t.filter(touches_polygon(rings)(*sides)).select("ix", "iy", "label")
+
+
+def merged_rings(df: DataFrame, country: str, rings: str) -> DataFrame:
+    """A country's rings, of all its rows, as one list."""
+    return df.groupBy(country).agg(F.flatten(F.collect_list(rings)).alias(rings))
+
+
+def join_regions(points: DataFrame, boxes: DataFrame, x: str = "x", y: str = "y", cell: float = 100_000.0) -> DataFrame:
+    """Points with the columns of the boxes (west, south, east, north) that hold them, left. A range join made an
+    equi-join on the cells that boxes touch; the sides are then compared."""
+    n = lambda c: F.floor(F.col(c) / cell)
+    b = boxes.withColumn("_cx", F.explode(F.sequence(n("west"), n("east")))).withColumn("_cy", F.explode(F.sequence(n("south"), n("north"))))
+    p = points.withColumns({"_px": n(x), "_py": n(y)})
+    inside = F.col(x).between(F.col("west"), F.col("east")) & F.col(y).between(F.col("south"), F.col("north"))
+    return p.join(b, (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & inside, "left").drop("_px", "_py", "_cx", "_cy")
+
+
 def convex_hull(points: list) -> list[tuple[float, float]]:
     """Monotone chain, counterclockwise from the leftmost, without collinear points."""
     p = sorted({(float(x), float(y)) for x, y in points})

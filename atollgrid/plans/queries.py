@@ -615,5 +615,23 @@ def bilinear_resample(spark, sf_dir):
     return grid.bilinear(d, p, "elevation", "elevation").select("pixel", F.round("elevation", 5).alias("elevation"))
 
 
+@query(f"WITH {cte('items')}, {cte('countries')}, p AS (SELECT id, west * 10000 AS x, south * 10000 AS y FROM items) SELECT p.id, c.name FROM p LEFT JOIN countries c ON p.x BETWEEN c.x0 AND c.x1 AND p.y BETWEEN c.y0 AND c.y1")
+def region_join(spark, sf_dir):
+    p = adapter(spark, sf_dir, "items").select("id", (F.col("west") * 10000).alias("x"), (F.col("south") * 10000).alias("y"))
+    b = adapter(spark, sf_dir, "countries").select("name", F.col("x0").alias("west"), F.col("y0").alias("south"), F.col("x1").alias("east"), F.col("y1").alias("north"))
+    return grid.join_regions(p, b).select("id", "name")
+
+
+@query(f"WITH {cte('px_grid')}, c AS (SELECT least(CAST(floor((1 - (y + 5e-1) / 50) * 16) AS INT), 15) AS yy, CAST(floor((x + 5e-1) / 50 * 16) AS INT) AS col, pixel, red FROM px_grid WHERE y < 50), r AS (SELECT yy AS \"row\", col, arg_min(red, pixel) AS red FROM c GROUP BY ALL) SELECT \"row\", col, red, CAST(floor((greatest(7000e0, least(40000e0, red)) - 7000) / 33000 * 255) AS INT) AS byte FROM r")
+def tile_render(spark, sf_dir):
+    d = adapter(spark, sf_dir, "px_grid").filter("y < 50").select(((F.col("x") + 0.5) / 50).alias("lon"), ((F.col("y") + 0.5) / 50).alias("lat"), "pixel", "red")
+    return mosaic.render_tile(d, 0.0, 0.0, 1.0, 1.0, "red", 7000.0, 40000.0, 16, "pixel")
+
+
+@query()
+def tiles_of_polygon(spark, sf_dir):
+    return grid.tiles_of_polygon(spark, [[(0.0, 0.0), (500_000.0, 100_000.0), (200_000.0, 600_000.0)]])
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return median_composite(spark, sf_dir)
