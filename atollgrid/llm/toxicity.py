@@ -152,14 +152,24 @@ def features(text: str, lexicon: Lexicon) -> tuple[list[float], int, int, int]:
     return [1.0, math.log1p(total), min(strongest, 2.0), math.log1p(exact), math.log1p(fuzzy), math.log1p(100 * total / len(words))], len(hits), quoted, fuzzy
 
 
-def fit(x: np.ndarray, y: np.ndarray, pull: float = 0.5, steps: int = 25) -> np.ndarray:
-    """Logistic weights by Newton's method, drawn towards PRIOR; PRIOR itself without rows."""
+def fit(x: np.ndarray, y: np.ndarray, pull: float = 0.5, steps: int = 100) -> np.ndarray:
+    """Logistic weights by damped Newton steps, drawn towards PRIOR; PRIOR itself without rows."""
     w = PRIOR.copy()
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float(np.logaddexp(0, z).sum() - z @ y + pull / 2 * ((v - PRIOR) ** 2).sum())
+
+    now = loss(w)
     for _ in range(steps if len(y) else 0):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w)), x.T @ (p - y) + pull * (w - PRIOR))
-        w = w - step
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > now:  # a whole step can overshoot where classes hardly overlap
+            size /= 2
+        w = w - size * step
+        now = loss(w)
+        if np.abs(size * step).max() < 1e-8:
             break
     return w
 
@@ -184,7 +194,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 def learn_lexicon(train: DataFrame) -> list[str]:
     """Words, and stems `stem*`, that toxic rows have and others hardly do, with SEED_WORDS."""
     words = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda w: F.length(w) >= 4)
-    stems = [F.transform(F.filter("w", lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in STEM_LETTERS]
+
+    def stems_of(n: int) -> Column:  # a function each: a second parameter of a lambda would be the index
+        return F.transform(F.filter("w", lambda w: F.length(w) > n), lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+
+    stems = [stems_of(n) for n in STEM_LETTERS]
     each = train.select("toxic", words.alias("w")).select("toxic", F.explode(F.array_distinct(F.concat("w", *stems))).alias("term"))
     of = train.agg(F.sum((F.col("toxic") == 1).cast("long")).alias("a"), F.count(F.lit(1)).alias("n")).first()
     if not of["a"] or of["a"] == of["n"]:

@@ -281,3 +281,27 @@ def test_rows_with_few_segmentations(pieces):
     unit = known.numbers(pieces.units("q"))
     rows = sample_rows(known.lattice, unit, np.zeros(1, np.int64), mixed(np.arange(1)), 5)
     assert len(rows[0]) == len({s["signature"] for s in rows[0]}) <= 2 and abs(sum(math.exp(s["log_prob"]) for s in rows[0]) - 1) < 1e-5
+
+
+# --- learning
+
+
+def test_lexicon_learns_words_and_stems(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(["ba", "ke", "lo", "mi", "ru"]) for _ in range(4))
+    rows = []
+    for i in range(600):
+        toxic = i % 10 == 0
+        bad = ["zorr" + rng.choice(["a", "es", "ito", "um", "ent"]) + rng.choice(["", "x", "y"]), "grumpf"] if toxic else []
+        rows.append((" ".join([*(word() for _ in range(30)), *bad]), int(toxic)))
+    train = spark.createDataFrame(rows, "text string, toxic int")
+    found = toxicity.learn_lexicon(train)
+    assert set(found) - set(toxicity.SEED_WORDS) == {"zor*", "grumpf"}
+
+
+def test_weights_settle_where_classes_hardly_overlap():
+    x = np.array([[1, 0, 0, 0, 0, 0]] * 3000 + [[1, 2.5, 1, 1.5, 0, 1.2]] * 500, float)
+    y = np.array([0] * 3000 + [1] * 500, float)
+    p = 1 / (1 + np.exp(-x @ toxicity.fit(x, y)))
+    assert p[:3000].max() < 0.05 and p[3000:].min() > 0.95
+    assert (toxicity.fit(x[:0], y[:0]) == toxicity.PRIOR).all()
