@@ -24,8 +24,9 @@ EVIDENCE = 60.0
 DECLARED_TRUST, ADDRESS_TRUST = 0.9, 0.75
 #: Pages that a domain's, and the whole corpus's, shares count for in a host's prior.
 HOST_SMOOTH = 20.0
-#: Chance per trigram under no language at all, and that a row is in none.
-NOISE, NOISE_PRIOR = math.log(1.0 / BUCKETS), 0.02
+#: Chance per trigram under no language at all (well under that of buckets drawn evenly, so that a key or an address in a
+#: short text does not make it one of none), and that a row is in none.
+NOISE, NOISE_PRIOR = math.log(1.0 / BUCKETS) - 1.5, 0.02
 MIN_POSTERIOR = 0.5
 #: Country suffixes that say a language, where the language's own code is another.
 SUFFIXES = {"at": "de", "mx": "es", "ar": "es", "co": "es", "cl": "es", "pe": "es", "uk": "en", "us": "en", "au": "en", "nz": "en", "ie": "en", "br": "pt", "jp": "ja", "cn": "zh", "kr": "ko", "cz": "cs", "dk": "da", "se": "sv", "gr": "el", "ua": "uk"}
