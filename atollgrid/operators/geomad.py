@@ -28,8 +28,11 @@ def require_timesteps(df: DataFrame, key: list[str], least: int = 10, time: str
 def median_composite(df: DataFrame, bands: list[str], key: list[str]) -> DataFrame:
     """Band-wise median of valid observations, 0 where there are none, and the clear count. One shuffle."""
     ok = sum(((F.col(b) == 0).cast("int") for b in bands), F.lit(0)) == 0
-    aggs = [F.coalesce(F.floor(F.median(F.when(ok, F.col(b))) + 0.5).cast("int"), F.lit(0)).alias(b) for b in bands]
-    return df.groupBy(*key, "y", "x").agg(*aggs, F.count_if(ok).cast("int").alias("count"))
+    # a pixel's valid observations, at most its time steps, are gathered once and sorted band by band in the row
+    d = df.groupBy(*key, "y", "x").agg(F.collect_list(F.when(ok, F.struct(*bands))).alias("_o"))
+    d = d.withColumns({"count": F.size("_o"), **{f"_{b}": F.sort_array(F.col("_o").getField(b)) for b in bands}})
+    middle = lambda b: f"(_{b}[int((count - 1) div 2)] + _{b}[int(count div 2)]) / 2D"
+    return d.select(*key, "y", "x", *[F.expr(f"if(count = 0, 0, int(floor({middle(b)} + 0.5D)))").alias(b) for b in bands], "count")
 
 
 def geometric_medians(x: np.ndarray, valid: np.ndarray, iterations: int = 100, tolerance: float = 1e-4) -> np.ndarray:
