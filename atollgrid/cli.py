@@ -53,6 +53,12 @@ def main(argv: list[str] | None = None) -> int:
     a = sub.add_parser("print-tasks")
     a.add_argument("--years", required=True)
     a.add_argument("--tiles", required=True, help="Parquet of tiles: label, region")
+    a = sub.add_parser("list-countries")
+    a.add_argument("--grids", default="all")
+    a = sub.add_parser("get-grid-tiles")
+    a.add_argument("--boxes", required=True, help="Parquet of countries' projected boxes: name, region, x0, y0, x1, y1")
+    a.add_argument("--grids", default="all", choices=["all", "pacific", "non-pacific"])
+    a.add_argument("--out", required=True)
     a = sub.add_parser("filter-tasks")
     a.add_argument("--tasks", required=True, help="JSON array of tasks")
     a.add_argument("--existing", required=True, help="folder of finished item documents")
@@ -80,6 +86,11 @@ def main(argv: list[str] | None = None) -> int:
     if o.command == "version":
         print("0.1.0")
         return 0
+    if o.command == "list-countries":
+        from .sources.countries import list_countries
+
+        print(json.dumps(list_countries(o.grids), ensure_ascii=False))
+        return 0
     from pyspark.sql import functions as F
 
     from .functions.columns import item_key, owner_prefix
@@ -91,6 +102,11 @@ def main(argv: list[str] | None = None) -> int:
     if o.command == "print-tasks":
         years = spark.createDataFrame([(y,) for y in years_of(o.years)], "year string")
         print(json.dumps([r.asDict() for r in grid.plan_tasks(spark.read.parquet(o.tiles), years).collect()]))
+    elif o.command == "get-grid-tiles":
+        boxes = spark.read.parquet(o.boxes)
+        wanted = ["pacific", "non-pacific"] if o.grids == "all" else [o.grids]
+        tiles = [grid.grid_tiles(boxes.filter(F.col("region") == r), "name", r).select("label", "ix", "iy", "name", "region") for r in wanted]
+        (tiles[0].unionByName(tiles[1]) if len(tiles) > 1 else tiles[0]).write.mode("overwrite").parquet(o.out)
     elif o.command == "filter-tasks":
         tasks = spark.createDataFrame([(t["id"], t["year"], t["region"]) for t in json.loads(o.tasks)], "id string, year string, region string")
         part = F.split("id", "_")

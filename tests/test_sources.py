@@ -137,3 +137,20 @@ def test_tasks_cli(spark, tmp_path, capsys):
     assert cli.main(["filter-tasks", "--tasks", json.dumps(tasks), "--existing", str(tmp_path / "out")]) == 0
     left = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert len(left) == 3 and {"id": "1_2", "year": "2020", "region": "pacific"} not in left
+
+
+def test_countries_and_tiles(spark, tmp_path, capsys):
+    from atollgrid.sources.countries import country_table, list_countries
+
+    found = list_countries()
+    assert len(found) == 60 and list(found) == sorted(found) and found["São Tomé and Príncipe"] == "STP"
+    assert len(list_countries("pacific")) == 22 and country_table(spark).filter("region = 'pacific'").count() == 22
+    with pytest.raises(ValueError, match="no such grid"):
+        list_countries("x")
+    assert cli.main(["list-countries", "--grids", "pacific"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["Fiji"] == "FJI"
+    boxes = [("Fiji", "pacific", 0.0, 0.0, 100_000.0, 10.0), ("Cuba", "non-pacific", 0.0, 0.0, 10.0, 10.0), ("Aruba", "non-pacific", 5.0, 5.0, 10.0, 10.0)]
+    spark.createDataFrame(boxes, "name string, region string, x0 double, y0 double, x1 double, y1 double").write.parquet(str(tmp_path / "boxes"))
+    assert cli.main(["get-grid-tiles", "--boxes", str(tmp_path / "boxes"), "--out", str(tmp_path / "tiles")]) == 0
+    got = spark.read.parquet(str(tmp_path / "tiles")).collect()
+    assert [r["name"] for r in got if r["region"] == "non-pacific"] == ["Aruba"] and sum(r["region"] == "pacific" for r in got) == 2
