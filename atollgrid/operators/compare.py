@@ -105,3 +105,13 @@ def band_stats(df: DataFrame, bands: list[str], nodata: int = 0) -> DataFrame:
     aggs = [a for b in bands for a in (F.min(v[b]).alias(f"{b}_0"), F.median(v[b]).alias(f"{b}_1"), F.max(v[b]).alias(f"{b}_2"), (F.count_if(F.col(b) == nodata) / F.count(F.lit(1)) * 100).alias(f"{b}_3"))]
     row = [F.struct(F.lit(b).alias("band"), *[F.col(f"{b}_{i}").cast("double").alias(n) for i, n in enumerate(("min", "median", "max", "missing"))]) for b in bands]
     return df.agg(*aggs).select(F.inline(F.array(*row)))
+
+
+def percentile_stretch(df: DataFrame, band: str, low: float, high: float, out: str) -> DataFrame:
+    """Band stretched between two of its percentiles (in percent), NaN left out of them; NaN where it is NaN. The two
+    numbers come from one aggregation and are constants of the second pass."""
+    from ..functions.columns import stretch
+
+    v = F.col(band).cast("double")
+    a, b = df.filter(~F.isnan(v)).agg(F.percentile(v, F.array(F.lit(low / 100), F.lit(high / 100)))).first()[0] or (0.0, 1.0)
+    return df.withColumn(out, stretch(band, a, b if b > a else a + 1.0))

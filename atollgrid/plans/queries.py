@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import compare, focal, geomad, grid, masks, ml, mosaic, reclass, sampling
 from ..sources import catalog, rasters
+from ..sources.countries import PACIFIC, country_table, list_countries
 from . import pipelines
 from .adapters import BANDS, FEATURES, SAMPLES_CTE, adapter, cte, samples
 
@@ -633,5 +634,16 @@ def tiles_of_polygon(spark, sf_dir):
     return grid.tiles_of_polygon(spark, [[(0.0, 0.0), (500_000.0, 100_000.0), (200_000.0, 600_000.0)]])
 
 
+@query(f"WITH {cte('px_grid')}, q AS (SELECT quantile_cont(elevation, 0.01) AS a, quantile_cont(elevation, 0.95) AS b FROM px_grid) SELECT pixel, round((greatest(a, least(b, elevation)) - a) / (b - a), 6) AS v FROM px_grid, q")
+def percentile_stretch(spark, sf_dir):
+    d = compare.percentile_stretch(adapter(spark, sf_dir, "px_grid"), "elevation", 1, 95, "v")
+    return d.select("pixel", F.round("v", 6).alias("v"))
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{c}', '{'pacific' if n in PACIFIC else 'non-pacific'}')" for n, c in list_countries().items()) + ") t(name, code, region)")
+def country_regions(spark, sf_dir):
+    return country_table(spark)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return median_composite(spark, sf_dir)
