@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, keyed, written
+from .common import free, keyed, maybe_broadcast, written
 from .induced_sort import END, FIRST_BYTE, SEPARATOR, Scratch, sorted_suffixes
 
 LENGTH, GRAM = 400, 128
@@ -25,6 +25,8 @@ LENGTH, GRAM = 400, 128
 PART = 1 << 19
 #: Bytes of pieces that are sorted at a time; one anchor's pieces are never parted.
 SHARD = 4 << 20
+#: Different pieces that one anchor may gather; those of others are parted again, by anchors of longer strings.
+HOT = 2048
 #: Bytes of memory for a sort's arrays and queues; beyond, they go to scratch files.
 MEMORY = 192 << 20
 
@@ -165,7 +167,37 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["anchor", "piece", "copies", "bytes"])
 
 
-def repeated_spans(docs: DataFrame, text_col: str, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD, memory: int = MEMORY) -> DataFrame:
+def _part(length: int, gram: int):
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces of hot anchors as smaller ones, each with the piece that it is in and where."""
+        for batch in batches:
+            anchor, piece, copies = (batch.column(i).to_numpy() for i in range(3))
+            data = batch.column(3).to_pylist()
+            for number, start, count, fine, own in pieces(data, length, gram):
+                cut = [data[i][a : a + n + length - 1] for i, a, n in zip(number.tolist(), start.tolist(), count.tolist(), strict=True)]
+                shard = (anchor[number].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ fine.view(np.uint64)).view(np.int64)
+                cols = [pa.array(x) for x in (shard, own, copies[number], anchor[number], piece[number], start.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(cut, pa.binary())], ["shard", "own", "copies", "anchor", "piece", "at", "bytes"])
+
+    return part
+
+
+def _hot_verdicts(hot: DataFrame, length: int, sort) -> DataFrame:
+    """Verdicts on pieces of hot anchors (anchor, piece, copies, bytes). Equal windows have equal finer anchors too, so
+    smaller pieces meet by both; equal ones are counted before they are sorted, and a verdict returns to all of them."""
+    gram = 1 << (length - 1).bit_length() - 1  # the largest power of two under length
+    parts = written(hot.mapInArrow(_part(length, gram), "shard bigint, own bigint, copies bigint, anchor bigint, piece bigint, at int, bytes binary"), "parts")
+    kinds = parts.groupBy("shard", "own").agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
+    found = kinds.select(F.col("shard").alias("anchor"), F.col("own").alias("piece"), "copies", "bytes").repartition("anchor").sortWithinPartitions("anchor")
+    found = written(found.mapInArrow(sort, _VERDICT).filter("size(runs) > 0").withColumnsRenamed({"anchor": "shard", "piece": "own"}), "fine")
+    back = parts.select("shard", "own", "anchor", "piece", "at").join(found, ["shard", "own"])
+    return back.select("anchor", "piece", F.expr("transform(runs, r -> struct(r.a + at as a, r.b + at as b))").alias("runs"))
+
+
+_VERDICT = "anchor bigint, piece bigint, runs array<struct<a: int, b: int>>"
+
+
+def repeated_spans(docs: DataFrame, text_col: str, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD, memory: int = MEMORY, hot: int = HOT) -> DataFrame:
     """(_rid, runs): of the rows of docs (_rid and text_col) with repeated windows, runs of their starts [a, b)."""
     spark = docs.sparkSession
     text = docs.select("_rid", F.col(f"`{text_col}`").cast("binary").alias("text"))
@@ -174,14 +206,22 @@ def repeated_spans(docs: DataFrame, text_col: str, length: int = LENGTH, gram: i
     # copies of a piece are counted before they are dealt out, so no count of them loads a task
     first = F.min(F.struct("_rid", "start", "n")).alias("first")
     kinds = written(places.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("copies"), first), "pieces")
-    shared = kinds.groupBy("anchor").agg(F.sum("copies").alias("c")).filter("c > 1").select("anchor")
-    one = kinds.join(shared, "anchor")
+    shared = kinds.groupBy("anchor").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("k")).filter("c > 1")
+    crowded = written(shared.filter(F.col("k") > hot).select("anchor"), "hot")
+    one = kinds.join(shared.select("anchor"), "anchor")
     one = one.select("anchor", "piece", "copies", F.col("first._rid").alias("_rid"), F.col("first.start").alias("start"), (F.col("first.n") + length - 1).alias("size"))
     # a text's own pieces: never more than its bytes
     wanted = written(one.groupBy("_rid").agg(F.collect_list(F.struct("anchor", "piece", "copies", "start", "size")).alias("wanted")), "wanted")
     cut = text.join(wanted, "_rid").select("text", "wanted").mapInArrow(_cut, "anchor bigint, piece bigint, copies bigint, bytes binary")
-    shards = cut.repartition("anchor").sortWithinPartitions("anchor")
-    found = written(shards.mapInArrow(_sort(length, shard, memory), "anchor bigint, piece bigint, runs array<struct<a: int, b: int>>").filter("size(runs) > 0"), "verdicts")
+    sort = _sort(length, shard, memory)
+    any_hot = not crowded.isEmpty()
+    if any_hot:
+        cut = written(cut, "cut")
+    plain = cut.join(maybe_broadcast(crowded), "anchor", "left_anti") if any_hot else cut
+    found = plain.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort, _VERDICT).filter("size(runs) > 0")
+    if any_hot:
+        found = found.unionByName(_hot_verdicts(cut.join(maybe_broadcast(crowded), "anchor", "left_semi"), length, sort))
+    found = written(found, "verdicts")
     free(kinds, wanted)
     spans = places.join(found, ["anchor", "piece"]).select("_rid", F.expr("transform(runs, r -> struct(start + r.a as a, start + r.b as b))").alias("runs"))
     spans = written(spans.groupBy("_rid").agg(F.flatten(F.collect_list("runs")).alias("runs")), "spans")

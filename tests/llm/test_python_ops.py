@@ -91,7 +91,7 @@ def test_queues_spill():
     assert scratch.spilled > 1 << 16
 
 
-@pytest.mark.parametrize("params", [{}, {"shard": 1, "memory": 1 << 10}])
+@pytest.mark.parametrize("params", [{}, {"shard": 1, "memory": 1 << 10}, {"hot": 1}, {"hot": 3, "shard": 1}])
 def test_suffix_dedup(spark, tmp_path, params):
     rng = random.Random(4)
     shared = ["".join(rng.choice("aé bc") for _ in range(n)) for n in (30, 63, 64, 65, 200)]
