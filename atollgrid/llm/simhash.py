@@ -19,24 +19,45 @@ BUCKET = 4096
 #: Rows of one comparison, at least, where keys are small.
 BLOCK = 512
 QUERIES_AT_ONCE = 256
+#: Similar texts: words a shingle, the least Jaccard similarity, and the bits in which their fingerprints are let differ.
+#: At a similarity of 0.8 fingerprints differ in 10 bits on average.
+WORDS, SIMILAR, WIDE = 5, 0.8, 16
+#: Keys of a fingerprint and bits of a key; keys, and further bits, that each hot key is replaced by.
+KEYS, KEY_BITS, SUB_KEYS, SUB_BITS = 96, 12, 4, 6
+#: Pairs a value of a group that are given as they are; beyond, a shortest spanning forest.
+PAIRS = 4
+#: Minima of a sketch, and how many are to agree before shingles are compared: of similar pairs under 1 in 10,000 agree in fewer.
+MINIMA, AGREE = 24, 11
 SHINGLES_AT_ONCE = 1 << 16
 
 
 def fingerprint(text: bytes | None, size: int = SHINGLE, seed: int = SEED) -> int:
     """The 64-bit SimHash of UTF-8 bytes: A-Z lower-cased, words between white space, space-joined shingles with repeats;
     fewer words are one shingle, none give 0. A bit is 1 if it is set in over half the shingles' XXH64."""
+    return fingerprint_of(shingles(text, size, seed))
+
+
+def shingles(text: bytes | None, size: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of a text's shingles, in order and with repeats, as fingerprint() has them."""
     import xxhash
 
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined, h = b" ".join(words), xxhash.xxh64_intdigest
     n = len(words) - size + 1
     if n <= 1:
-        return h(joined, seed)
+        return np.array([h(joined, seed)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts, ends = np.concatenate([[0], ends[: n - 1]]).tolist(), (ends[size - 1 :] - 1).tolist()
-    hashes = np.array([h(joined[s:e], seed) for s, e in zip(starts, ends, strict=True)], np.uint64).view(np.uint8).reshape(-1, 8)
+    return np.array([h(joined[s:e], seed) for s, e in zip(starts, ends, strict=True)], np.uint64)
+
+
+def fingerprint_of(found: np.ndarray) -> int:
+    n = len(found)
+    if n <= 1:
+        return int(found[0]) if n else 0
+    hashes = found.view(np.uint8).reshape(-1, 8)
     total = np.zeros(64, np.int64)
     for at in range(0, n, SHINGLES_AT_ONCE):
         total += np.unpackbits(hashes[at : at + SHINGLES_AT_ONCE], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -157,7 +178,7 @@ def _sub_keys(column: str, bands: list[tuple[int, int]], radius: int):
         yield out
 
 
-def _compare(radius: int):
+def _compare(radius: int, link=links):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key; each key's values are compared at one place, small keys many together."""
         keys, values = np.empty((0, 2), np.int64), np.empty(0, np.uint64)
@@ -167,16 +188,16 @@ def _compare(radius: int):
             first = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             whole = int(first[-1]) if len(first) else 0  # the last key may go on
             if whole:
-                yield from _linked(values[:whole], np.concatenate([[0], first]), radius)
+                yield from _linked(values[:whole], np.concatenate([[0], first]), radius, link)
                 keys, values = keys[whole:], values[whole:]
         if len(values):
             first = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            yield from _linked(values, np.concatenate([[0], first, [len(values)]]), radius)
+            yield from _linked(values, np.concatenate([[0], first, [len(values)]]), radius, link)
 
     return compare
 
 
-def _linked(values: np.ndarray, edges: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
+def _linked(values: np.ndarray, edges: np.ndarray, radius: int, link) -> Iterator[pa.RecordBatch]:
     sizes = np.diff(edges)
     shared = np.repeat(sizes > 1, sizes)
     values, sizes = values[shared], sizes[sizes > 1]
@@ -184,7 +205,7 @@ def _linked(values: np.ndarray, edges: np.ndarray, radius: int) -> Iterator[pa.R
     for i, end in enumerate(ends.tolist()):
         if end - start >= BLOCK or i == len(ends) - 1:
             block = np.unique(values[start:end])
-            for x, y in links(block, radius):
+            for x, y in link(block, radius):
                 a.append(block[x])
                 b.append(block[y])
             start = end
@@ -248,3 +269,164 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = written(whole.join(best, "root").select(F.col("fp").alias("_fp"), F.col("best._id").alias("component_id"), F.col("best._rid").alias("_best")), "named")
     out = d.join(maybe_broadcast(named), F.col("fp") == F.col("_fp"))
     return out.select(F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("_rid") == F.col("_best")).alias("keeper"), "_rid")
+
+
+def close(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Index pairs of different values within radius: all, or where they are more than PAIRS a value, those of a spanning
+    forest of the least distances, so that pairs found too unlike later part few of the others."""
+    n, found, count = len(values), [], 0
+    for start in range(0, n, QUERIES_AT_ONCE):
+        d = np.bitwise_count(values[start : start + QUERIES_AT_ONCE, None] ^ values[None, start:])
+        a, b = np.nonzero(np.triu(d <= radius, 1))
+        count += len(a)
+        if count > PAIRS * n:
+            return _forest(values, radius)
+        found += zip((a + start).tolist(), (b + start).tolist(), strict=True)
+    return found
+
+
+def _forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    n, out, i = len(values), [], 0
+    best, of, left = np.full(n, 255, np.uint8), np.zeros(n, np.int64), np.ones(n, bool)
+    for _ in range(n - 1):
+        left[i], best[i] = False, 255
+        d = np.bitwise_count(values ^ values[i])
+        closer = (d < best) & left
+        best[closer], of[closer] = d[closer], i
+        j = int(np.argmin(best))
+        if best[j] <= radius:
+            out.append((int(of[j]), j))
+        i = j
+    return out
+
+
+def _bits(values: np.ndarray, places) -> np.ndarray:
+    out = np.zeros(len(values), np.int64)
+    for at, p in enumerate(places):
+        out |= ((values >> np.uint64(p)) & np.uint64(1)).astype(np.int64) << at
+    return out
+
+
+def _key_places() -> tuple[list[np.ndarray], list[list[np.ndarray]]]:
+    """The places of each key's bits, and of each of its sub-keys' further bits: fixed random choices."""
+    rng = np.random.default_rng(SEED)
+    orders = [rng.permutation(64) for _ in range(KEYS)]
+    subs = [[o[KEY_BITS + i * SUB_BITS : KEY_BITS + (i + 1) * SUB_BITS] for i in range(SUB_KEYS)] for o in orders]
+    return [o[:KEY_BITS] for o in orders], subs
+
+
+def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    places, _ = _key_places()
+    for batch in batches:
+        fp = batch.column(0).to_numpy().view(np.uint64)
+        for c, p in enumerate(places):
+            yield pa.RecordBatch.from_arrays([pa.array(_bits(fp, p) | c << KEY_BITS), batch.column(0)], ["k", "fp"])
+
+
+def _wide_sub_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _, subs = _key_places()
+    for batch in batches:
+        k, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for c in np.unique(k >> KEY_BITS).tolist():
+            own = k >> KEY_BITS == c
+            for i, p in enumerate(subs[c]):
+                fine = ((k[own] * SUB_KEYS + i) << SUB_BITS) | _bits(fp[own].view(np.uint64), p)
+                yield pa.RecordBatch.from_arrays([pa.array(fine), pa.array(fp[own])], ["k", "fp"])
+
+
+def wide_links(values: DataFrame, radius: int = WIDE, bucket: int = BUCKET) -> DataFrame:
+    """(a, b) pairs of values (column fp, distinct longs) within radius that share a key: KEYS choices of KEY_BITS bits.
+
+    A pair 10 bits apart shares none with a chance of under 1 in 10,000, one 14 apart of 1 in 40. A key of more than
+    `bucket` values is replaced by SUB_KEYS keys of SUB_BITS further bits.
+    """
+    each = values.select("fp").mapInArrow(_wide_keys, "k bigint, fp bigint")
+    hot = written(each.groupBy("k").count().filter(F.col("count") > bucket).select("k"), "hot")
+    run = lambda d: d.select("k", F.lit(0).cast("long").alias("c"), "fp").repartition("k").sortWithinPartitions("k").mapInArrow(_compare(radius, close), "a bigint, b bigint")
+    if hot.isEmpty():
+        return run(each)
+    fine = each.join(maybe_broadcast(hot), "k").select("k", "fp").mapInArrow(_wide_sub_keys, "k bigint, fp bigint")
+    return run(each.join(maybe_broadcast(hot), "k", "left_anti")).unionByName(run(fine))
+
+
+def _measures(size: int):
+    odd = np.random.default_rng(SEED).integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            fp, node, sketch = [], [], []
+            for text in batch.column(1).to_pylist():
+                found = shingles(text, size)
+                own = np.unique(found)
+                least = [(own * m).min() >> np.uint64(48) for m in odd] if len(own) else [0] * MINIMA
+                fp.append(fingerprint_of(found))
+                node.append(xxhash.xxh3_64_intdigest(own.tobytes()))
+                sketch.append(np.array(least, "<u2").tobytes())
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, node)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *longs, pa.array(sketch, pa.binary())], ["k", "fp", "node", "sketch"])
+
+    return measures
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, MINIMA) for i in (2, 3))
+        yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
+
+
+def _sets(size: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingles(t, size)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "s"])
+
+    return sets
+
+
+def _alike(least: float):
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= least * (len(x) + len(y) - both))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return alike
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, least: float = SIMILAR, bucket: int = BUCKET) -> DataFrame:
+    """One row per row of docs: id, component_id, keeper, _rid, as near_duplicates() has them, where a link is a Jaccard
+    similarity of at least `least` between two texts' sets of `size`-word shingles.
+
+    Fingerprints propose the pairs (wide_links), sketches drop nearly all that chance brought together, and the shingles
+    of the rest are compared in full. Texts of equal sets are one node. docs must be a scan (see common.keyed).
+    """
+    rows = keyed(docs, id_col, text_col).withColumnRenamed(id_col, "_id")
+    d = rows.select(F.struct("_id", "_rid").alias("k"), F.col(f"`{text_col}`").cast("binary").alias("t"))
+    d = d.mapInArrow(_measures(size), f"k {d.schema['k'].dataType.simpleString()}, fp bigint, node bigint, sketch binary")
+    d = written(d.select("k._id", "k._rid", "fp", "node", "sketch"), "measures")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("_id"), "_rid"))
+    nodes = written(d.groupBy("node").agg(first.alias("first"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "nodes")
+    values = written(nodes.groupBy("fp").agg(F.min(F.struct("node", "sketch")).alias("x")).select("fp", "x.*"), "values")
+    found = wide_links(values, bucket=bucket).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    side = lambda n: values.select(F.col("fp").alias(n), F.col("node").alias(f"n{n}"), F.col("sketch").alias(f"s{n}"))
+    columns = ("na", "nb", "sa", "sb")
+    pairs = found.join(maybe_broadcast(side("a")), "a").join(maybe_broadcast(side("b")), "b").select(*columns)
+    # nodes of one fingerprint: each with the first
+    same = nodes.select(F.col("fp").alias("a"), F.col("node").alias("nb"), F.col("sketch").alias("sb")).join(maybe_broadcast(side("a")), "a").filter("na <> nb")
+    pairs = written(pairs.unionByName(same.select(*columns)).mapInArrow(_agreeing, "na bigint, nb bigint"), "pairs")
+    wanted = pairs.select(F.explode(F.array("na", "nb")).alias("node")).distinct().join(nodes, "node").select("node", F.col("first._rid").alias("_r"))
+    wanted = written(wanted, "wanted")
+    texts = rows.join(maybe_broadcast(wanted), F.col("_rid") == F.col("_r")).select("node", F.col(f"`{text_col}`").cast("binary").alias("t"))
+    sets = written(texts.mapInArrow(_sets(size), "node bigint, s binary"), "shingles")
+    full = pairs.join(sets.withColumnsRenamed({"node": "na", "s": "sa"}), "na").join(sets.withColumnsRenamed({"node": "nb", "s": "sb"}), "nb").select(*columns)
+    root = components(written(full.mapInArrow(_alike(least), "na bigint, nb bigint"), "alike"), "na", "nb").withColumnRenamed("node", "n")
+    whole = written(nodes.join(root, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
+    best = whole.groupBy("root").agg(F.min("first").alias("best"))
+    named = written(whole.join(best, "root").select(F.col("node").alias("_n"), F.col("best._id").alias("component_id"), F.col("best._rid").alias("_best")), "named")
+    out = d.join(maybe_broadcast(named), F.col("node") == F.col("_n"))
+    return out.select(F.col("_id").alias(id_col), "component_id", (F.col("_rid") == F.col("_best")).alias("keeper"), "_rid")

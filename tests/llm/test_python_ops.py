@@ -171,6 +171,34 @@ def test_fingerprints_and_groups(spark, tmp_path):
     assert {i: r["component_id"] for i, r in got.items()} == group
 
 
+def test_stage_drops_similar_texts(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    rows = []
+    for _ in range(60):  # copies with a few words replaced: five-word similarities from 0.6 to 0.95, some under 0.8
+        words = [f"w{rng.randint(0, 400)}" for _ in range(200)]
+        rows.append(" ".join(words))
+        for n in (1, 3, 4, 7):
+            for at in rng.sample(range(200), n):
+                words[at] = f"x{rng.randint(0, 10**9)}"
+            rows.append(" ".join(words))
+    rows += ["", " ", "one two", "one  two", "one three"]
+    docs = stored(spark, tmp_path, list(enumerate(rows)), "doc_id int, text string")
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, rows)]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):  # chains go forward, so one pass settles them
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    want = sorted(set(group))
+    assert 65 < len(want) < 250
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate(spark, docs, "").collect()) == want
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs, bucket=8).collect()}  # hot keys are split
+    assert sum(found[i] == g for i, g in enumerate(group)) > 0.95 * len(group)
+
+
 # --- token counts
 
 
