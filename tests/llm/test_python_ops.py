@@ -14,7 +14,7 @@ from atollgrid.llm import induced_sort, simhash, suffix_dedup, toxicity
 from atollgrid.llm.graph import components
 from atollgrid.llm.html_text import extract, main_text, parse, subtrees
 from atollgrid.llm.language import address_language, declared_language, documents_language, identify, text_model, training_sample
-from atollgrid.llm.pieces import Known, Model, mixed, sample_rows, sampled_ids
+from atollgrid.llm.pieces import Known, Model, encode_and_sample, mixed, sample_rows, sampled_ids
 from atollgrid.llm.token_counts import WordEncoder, spliced_count
 from pyspark.sql import functions as F
 
@@ -304,6 +304,24 @@ def test_sampling_without_replacement(pieces):
         assert abs(weight[x] / n - 1) < 0.15
 
 
+def test_samples_come_out_and_decode(spark, tmp_path, pieces):
+    rows = [(1, "Hello  world\n\nxyz é ☃ 日本 the cat sat"), (2, ""), (3, " lead and trail "), (4, "a ▁ mark"), (5, "many words of one text " * 60), (None, "x")]
+    docs = stored(spark, tmp_path, rows, "doc_id int, text string")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    plain = {r["doc_id"]: r["samples"] for r in encode_and_sample(docs, "doc_id", "text", path, k=4).collect()}
+    for r in encode_and_sample(docs, "doc_id", "text", path, k=4, ids=True).collect():
+        text, samples = dict(rows)[r["doc_id"]], r["samples"]
+        assert [s["ids_sha256"] for s in plain[r["doc_id"]]] == [hashlib.sha256(np.array(s["ids"], "<i4").tobytes()).hexdigest() for s in samples]
+        assert len({tuple(s["ids"]) for s in samples}) == len(samples) and all(len(s["ids"]) == s["n_pieces"] for s in samples)
+        assert all(s["round_trip"] == (pieces.decode(s["ids"]) == text) == ("▁" not in text) for s in samples)
+        units = pieces.units(text)
+        seed = np.array([int.from_bytes(hashlib.blake2b(repr(r["doc_id"]).encode(), digest_size=8).digest(), "little")], np.uint64)
+        lattice = pieces.lattice(units, 1.0, 1.0)
+        own = sample_rows(lattice, np.arange(len(units)), np.zeros(len(units), np.int64), seed, 4)[0]
+        if text:
+            assert [s["ids"] for s in samples] == [sampled_ids(pieces, lattice, np.arange(len(units)), int(seed[0]), s) for s in own]
+
+
 def test_rows_with_few_segmentations(pieces):
     known = Known(pieces, 1.0, 1.0)
     unit = known.numbers(pieces.units("q"))
