@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import SPACE, ascii_lower, written
 
 #: Labelled rows that are learnt from at most: those of the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
@@ -180,15 +180,16 @@ def held_out(id_: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of at most `rows` labelled rows that aren't held out, near copies mostly taken once: of rows whose
-    smallest word hash is the same, one per label stays."""
+    """(text, toxic) of at most `rows` labelled rows that aren't held out, copies taken once: of rows of one label whose
+    words are the same in lower case, the smallest id's stays."""
     pick = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).filter("_id is not null and toxic is not null")
     pick = pick.filter(~held_out(F.col("_id"))).orderBy(F.xxhash64(F.col("_id").cast("string")), "toxic").limit(rows)
     pick = written(pick, "picked")
     d = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     d = d.join(F.broadcast(pick), "_id")  # at most `rows` ids
-    d = d.withColumn("sketch", F.array_min(F.transform(F.split(ascii_lower(F.col("text")), r"\s+"), lambda w: F.xxhash64(w))))
-    return d.dropDuplicates(["sketch", "toxic"]).select("text", "toxic")
+    words = F.sha2(F.trim(F.regexp_replace(ascii_lower(F.col("text")), SPACE, " ")), 256)
+    d = d.groupBy(words.alias("words"), "toxic").agg(F.min(F.struct("_id", "text")).alias("first"))
+    return d.select("first.text", "toxic")
 
 
 def learn_lexicon(train: DataFrame) -> list[str]:

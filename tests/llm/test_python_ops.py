@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -345,6 +346,16 @@ def test_lexicon_learns_words_and_stems(spark):
     assert set(found) - set(toxicity.SEED_WORDS) == {"zor*", "grumpf"}
 
 
+def test_training_keeps_all_but_copies(spark, tmp_path):
+    rows = [(i, f"the common words of row {i} and the rest") for i in range(50)]
+    rows += [(100 + i, f" The common\nwords  of ROW {i} and the rest") for i in range(50)]  # copies
+    docs = stored(spark, tmp_path, rows, "doc_id int, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 < 10)) for i, _ in rows], "doc_id int, toxic int")
+    learnt = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    want = sorted((t, int(i % 100 < 10)) for i, t in rows if i in learnt and (i < 100 or i - 100 not in learnt))
+    assert sorted(map(tuple, toxicity.training_rows(docs, labels, "doc_id", "text", "toxic").collect())) == want
+
+
 def test_weights_settle_where_classes_hardly_overlap():
     x = np.array([[1, 0, 0, 0, 0, 0]] * 3000 + [[1, 2.5, 1, 1.5, 0, 1.2]] * 500, float)
     y = np.array([0] * 3000 + [1] * 500, float)
