@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the word contracts: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Spark's setting by which an execution's shuffle files are deleted when it has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What a written table may have at most to be broadcast: rows, and bytes of its files.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 4 << 20
 #: Where the session names no shared folder (tests on one machine).
 OWN_SHARED = "file:///tmp/checkpoints"
 
@@ -19,17 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; our own where it is unset."""
+    """The folder of spark.checkpoint.dir; our own where it is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (found or OWN_SHARED).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
+    """df as a Parquet table in the shared folder: cuts lineage, survives lost executors. Shuffle files of the run that
+    writes it go when it ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -42,13 +58,38 @@ def free(*tables: DataFrame) -> None:
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def keyed(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns and `_rid`, a key that tells repeated rows apart.
+def keyed(df: DataFrame, *columns: str, key: str = "_rid") -> DataFrame:
+    """The named columns and `key`, a number that tells repeated rows apart, as a written table.
 
-    Both passes of an operator call this on the same scan, whose splits depend on files and settings alone, so a row
-    has the same key in either; a frame that isn't a scan must be written() first.
+    The number is made once and stored with the row, so every pass over the table has the same one, however the scan of
+    df was split and whichever executors were there.
     """
-    return df.select(*[F.col(f"`{c}`") for c in columns]).withColumn("_rid", F.monotonically_increasing_id())
+    return written(df.select(*[F.col(f"`{c}`") for c in columns]).withColumn(key, F.monotonically_increasing_id()), "keyed")
+
+
+def some_rows(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose strings in `column` have about `most` bytes, so that few texts are Python objects at a
+    time whatever the batches' size; a longer text is a slice of its own."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size) // most
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(size)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+def release() -> None:
+    """Gives a worker's free memory back to its machine: the next stage's worker is the same process."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
 
 
 def ascii_lower(col):
@@ -56,11 +97,12 @@ def ascii_lower(col):
     return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
-def small(df: DataFrame, limit: int) -> bool:
-    """Whether the optimizer's estimate of df's bytes is within limit (of a written table: its files' size)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table's files have at most `size` bytes, and it at most `rows` rows (files say little of the
+    memory that rows take)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= size and df.count() <= rows
 
 
-def maybe_broadcast(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
-    """Broadcast only where the measured size allows; beyond it, the join shuffles."""
-    return F.broadcast(df) if small(df, limit) else df
+def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df broadcast only where its measured rows and bytes allow; beyond them, the join shuffles."""
+    return F.broadcast(df) if small(df, rows, size) else df

@@ -1,4 +1,5 @@
-"""Main text of web pages: site templates, found as subtrees that recur on a host's pages, go with all that is no article."""
+"""Main text of web pages: site templates, found as element subtrees that recur on a host's pages, go with all that is no
+article by its element or name."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, written
+from .common import maybe_broadcast, some_rows, written
 from .url_filters import host_of
 
 #: A subtree is a template on a host where so many different pages, and such a share of them, have it.
@@ -45,6 +46,7 @@ class Element:
     apart: bool  # it, or one that it is in, is no article
     article: bool  # in an article or main element
     first: int  # of the parts of text, those that are its own
+    attributes: str = ""
     last: int = -1
 
 
@@ -103,7 +105,7 @@ def parse(text: str) -> Page:
             if not closes:
                 if attributes.endswith("/"):
                     continue
-                here = Element(tag, here, here.apart or _apart(tag, attributes, here), here.article or tag in ("article", "main"), len(page.parts))
+                here = Element(tag, here, here.apart or _apart(tag, attributes, here), here.article or tag in ("article", "main"), len(page.parts), attributes)
                 page.elements.append(here)
             else:
                 up = here
@@ -123,36 +125,56 @@ def _clean(parts: list[str]) -> str:
     return " ".join(html.unescape("".join(parts)).split())
 
 
-def subtrees(page: Page) -> list[int]:
-    """Hashes of containers' tags and texts, each once; articles, what holds one, and what has no text are none."""
+def subtree_hashes(page: Page) -> list[int | None]:
+    """A hash of each container's subtree: its tag, class, id and role, and in order its own text (references decoded, white
+    space runs one space) and its containers' hashes; None where there is no text in it. Each part is looked at once,
+    however deep it stands."""
     import xxhash
 
+    found: list[int | None] = [None] * len(page.elements)
+    number = {id(e): i for i, e in enumerate(page.elements)}
+    inner: list[list[tuple[int, str]]] = [[] for _ in page.elements]  # (part, hash) of containers with text
+    own: list[list[tuple[int, str]]] = [[] for _ in page.elements]
+    for i, (part, e) in enumerate(zip(page.parts, page.owner, strict=True)):
+        own[number[id(e)]].append((i, part))
+    for i in range(len(page.elements) - 1, -1, -1):  # a container's own containers come after it
+        e, pieces, run = page.elements[i], [], []
+        at = sorted([*own[i], *((p, None, h) for p, h in inner[i])], key=lambda x: x[0])
+        for x in at:
+            if len(x) == 2:
+                run.append(x[1])
+                continue
+            pieces += [_clean(run), x[2]]
+            run = []
+        pieces.append(_clean(run))
+        if any(pieces):
+            names = " ".join(sorted((m[1] or m[2] or m[3] or "").lower() for m in NAMES.finditer(e.attributes)))
+            found[i] = xxhash.xxh3_64_intdigest("\x1f".join([e.tag, names, *pieces])) - (1 << 63)
+            if e.parent is not None:
+                inner[number[id(e.parent)]].append((e.first, f"\x1e{found[i]}"))
+    return found
+
+
+def subtrees(page: Page) -> list[int]:
+    """Hashes of the containers that can be templates, each once: those with text, in an article or out of it, but for the
+    page itself, articles and what holds one."""
     holds = set()
     for e in page.elements:
         if e.tag in ("article", "main"):
-            while e is not None:
+            while e is not None and id(e) not in holds:
                 holds.add(id(e))
                 e = e.parent
-    out = set()
-    for e in page.elements:
-        if id(e) not in holds and e.parent is not None and e.tag not in ("html", "body"):
-            text = _clean(page.parts[e.first : e.last])
-            if text:
-                out.add(xxhash.xxh3_64_intdigest(f"{e.tag} {text}") - (1 << 63))
-    return sorted(out)
+    return sorted({h for e, h in zip(page.elements, subtree_hashes(page), strict=True) if h is not None and id(e) not in holds and e.parent is not None and e.tag not in ("html", "body")})
 
 
 def main_text(page: Page, templates: frozenset[int] = frozenset()) -> str:
     """The page's text but for templates and what is apart; of the article or main elements alone, where there are any
     with text. White space, no-break space included, is one space."""
-    import xxhash
-
-    cut = set()
-    for e in page.elements if templates else ():
-        if e.parent is not None and e.tag not in ("html", "body", "article", "main"):
-            text = _clean(page.parts[e.first : e.last])
-            if text and xxhash.xxh3_64_intdigest(f"{e.tag} {text}") - (1 << 63) in templates:
-                cut.update(range(e.first, e.last))
+    cut, end = set(), 0
+    for e, h in zip(page.elements, subtree_hashes(page), strict=True) if templates else ():
+        if e.first >= end and h in templates and e.tag not in ("html", "body", "article", "main"):
+            cut.update(range(e.first, e.last))
+            end = e.last
     keep = [i for i, e in enumerate(page.owner) if not e.apart and i not in cut]
     inside = _clean([page.parts[i] if page.owner[i].article else " " for i in keep])
     return inside or _clean([page.parts[i] for i in keep])
@@ -165,7 +187,7 @@ def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in some_rows(batches, 1):
             texts = batch.column(1).to_pylist()
             own = pa.array([xxhash.xxh3_64_intdigest(t or "") - (1 << 63) for t in texts], pa.int64())
             trees = pa.array([subtrees(parse(t or "")) for t in texts], pa.list_(pa.int64()))
@@ -190,7 +212,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     j = d.join(maybe_broadcast(templates), F.col("host") == F.col("_host"), "left").select(F.struct("_id", "_u").alias("k"), "h", "templates")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in some_rows(batches, 1):
             text = [main_text(parse(h), frozenset(t or ())) for h, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())], ["k", "text", "n_chars"])
 

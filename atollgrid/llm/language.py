@@ -10,12 +10,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import maybe_broadcast, written
+from .common import maybe_broadcast, some_rows, written
+from .url_filters import host_of
 
 #: Labelled rows of each language that the text model is fitted on at most: those of the smallest hashes of their ids.
 TRAIN_ROWS = 2000
-MAX_LANGUAGES = 64
+#: Parts that a label's rows are ranked in before their best are ranked together.
+RANK_PARTS = 64
 #: Hash buckets of byte trigrams, and pseudo-counts of each.
 BUCKETS, SMOOTH = 1 << 16, 0.05
 #: Trigrams that a text's evidence counts for at most: they aren't independent.
@@ -42,11 +45,12 @@ _NO_LETTER = re.compile(rb"[\x00-\x60\x7b-\x7f]+")
 
 
 def text_model(train: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log chances [bucket, language]) from rows (text, lang). The counts are summed in Spark."""
+    """(languages, log chances [bucket, language]) from rows (text, lang): every label that has rows gets a model. The
+    counts are summed in Spark; what reaches the driver is at most BUCKETS counts a language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in some_rows(batches, 0):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 codes = trigram_codes(text or b"")
@@ -56,18 +60,19 @@ def text_model(train: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(own[at])], ["lang", "b", "n"])
 
     rows = train.select(F.col("text").cast("binary"), "lang").mapInArrow(count, "lang string, b int, n bigint").groupBy("lang", "b").agg(F.sum("n").alias("n"))
-    got = rows.toPandas()  # at most MAX_LANGUAGES * BUCKETS counts
+    got = rows.toPandas()
     languages = sorted(got["lang"].unique().tolist())
     table = np.full((BUCKETS, max(1, len(languages))), SMOOTH)
     table[got["b"].to_numpy(), [languages.index(x) for x in got["lang"]]] += got["n"].to_numpy(float)
     return languages, np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
-def text_evidence(text: bytes, model: np.ndarray) -> np.ndarray:
-    """Log likelihoods of each language, then of none; of at most EVIDENCE trigrams' weight, over the whole text."""
+def text_evidence(text: bytes, model: np.ndarray) -> np.ndarray | None:
+    """Log likelihoods of each language, then of none; of at most EVIDENCE trigrams' weight, over the whole text. None for
+    a text without a letter."""
     codes = trigram_codes(text)
     if not len(codes) or len(codes) == 1 and not _NO_LETTER.sub(b"", text.lower()):
-        return np.zeros(model.shape[1] + 1)
+        return None
     total = np.zeros(model.shape[1])
     for at in range(0, len(codes), 1 << 18):
         total += model[codes[at : at + (1 << 18)]].sum(axis=0, dtype=np.float64)
@@ -91,76 +96,118 @@ def address_language(url: Column, languages: list[str]) -> Column:
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, lang) of at most `rows` rows of each of at most MAX_LANGUAGES labels."""
-    ids = docs.select(F.col(f"`{id_col}`").alias("id"), F.lower(F.col(f"`{lang_col}`")).alias("lang")).filter("id is not null and lang is not null and lang <> ''")
-    names = [r["lang"] for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    pick = ids.limit(0)
-    for name in names:
-        pick = pick.unionByName(ids.filter(F.col("lang") == name).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(rows))
-    pick = written(pick.distinct().withColumnRenamed("lang", "l"), "picked")
+    """(text, lang) of at most `rows` rows of each label: those of the smallest hashes of their ids. Rows are ranked in
+    RANK_PARTS parts of a label first, so that no task gathers a label whatever its share of the rows."""
+    ids = docs.select(F.col(f"`{id_col}`").alias("id"), F.lower(F.col(f"`{lang_col}`")).alias("l")).filter("id is not null and l is not null and l <> ''").distinct()
+    ids = ids.withColumn("h", F.xxhash64(F.col("id").cast("string")))
+    order = [F.col("h"), F.col("id")]
+    few = ids.withColumn("r", F.row_number().over(Window.partitionBy("l", F.pmod("h", F.lit(RANK_PARTS))).orderBy(*order))).filter(F.col("r") <= rows)
+    pick = written(few.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(*order))).filter(F.col("r") <= rows).select("id", "l"), "picked")
     d = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.lower(F.col(f"`{lang_col}`")).alias("lang"))
-    return d.join(F.broadcast(pick), (d["id"] == pick["id"]) & (d["lang"] == pick["l"]), "left_semi").select("text", "lang")  # MAX_LANGUAGES * rows ids at most
+    return d.join(maybe_broadcast(pick), (d["id"] == pick["id"]) & (d["lang"] == pick["l"]), "left_semi").select("text", "lang")
+
 
+def _shares(votes: Column, prior: Column, n: int) -> Column:
+    """Shares of languages 0..n-1 by votes (a map of counts), smoothed towards prior (an array)."""
+    of = lambda i: F.coalesce(F.try_element_at(votes, i), F.lit(0).cast("bigint"))
+    total = F.aggregate(F.map_values(votes), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (of(i) + HOST_SMOOTH * F.get(prior, i)) / (total + HOST_SMOOTH))
 
-def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str], np.ndarray], declared: Column | None = None, url: Column | None = None, host: Column | None = None, wanted: list[str] | None = None, min_posterior: float = MIN_POSTERIOR, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of docs: id, carried columns, language (null for none), posterior, kept.
+
+def host_priors(rows: DataFrame, n: int) -> tuple[DataFrame, list[float]]:
+    """((host, prior), shares of all rows) from rows (host, guess: a language's number or null). A host's prior is its
+    rows' shares of languages, smoothed towards its domain's, which are smoothed towards all rows'. One grouped
+    aggregation counts rows; the rest is over counts of hosts."""
+    counts = written(rows.filter("guess is not null").groupBy("host", "guess").agg(F.count(F.lit(1)).alias("n")), "votes")
+    all_ = {r["guess"]: r["n"] for r in counts.groupBy("guess").agg(F.sum("n").alias("n")).collect()}  # at most n rows
+    whole = sum(all_.values())
+    share = [(all_.get(i, 0) + 1.0) / (whole + n) for i in range(n)]
+    domain = F.coalesce(F.nullif(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("host"))
+    known = counts.filter("host is not null").withColumn("domain", domain)
+    as_map = lambda c: F.map_from_entries(F.collect_list(F.struct("guess", c)))
+    domains = known.groupBy("domain", "guess").agg(F.sum("n").alias("n")).groupBy("domain").agg(as_map("n").alias("d"))
+    hosts = known.groupBy("host", "domain").agg(as_map("n").alias("v")).join(domains, "domain")
+    hosts = hosts.withColumn("of_domain", _shares(F.col("d"), F.array(*map(F.lit, share)), n))
+    return written(hosts.select("host", _shares(F.col("v"), F.col("of_domain"), n).alias("prior")), "priors"), share
+
+
+def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str], np.ndarray], declared: Column | None = None, url: Column | None = None, host: Column | None = None, wanted: list[str] | None = None, min_posterior: float = MIN_POSTERIOR, whole: bool = False) -> DataFrame:
+    """One row per row of docs: id, language (null for none), posterior, kept; with `whole` also _row, all of docs' columns.
 
     Evidence is multiplied: the text's likelihood in each language (whole text, tempered) and in none; what is declared
     and what the address says, each right with a fixed chance; and the host's prior. That is its rows' shares of languages
     by text alone, counted by one grouped aggregation and smoothed towards its domain's, which are smoothed towards all
-    rows'. Missing evidence of any kind (null or empty text, null host, unknown codes) says nothing. kept is false where
-    no language comes out, the best one's posterior is under min_posterior, or it isn't wanted (null: all are).
-    Repeated rows are each judged.
+    rows'. Missing evidence of any other kind (null host, unknown codes) says nothing; a text without a letter, a null
+    and an empty one among them, is in no language with a posterior of 0, whatever is declared. kept is false where no
+    language comes out, the best one's posterior is under min_posterior, or it isn't wanted (null: all are). Repeated
+    rows are each judged. Rows pass through Python once, and are never shuffled.
     """
     languages, table = model
     n = len(languages)
+    none = F.lit(None).cast("string")
+    own = (F.col(f"`{id_col}`").alias("_id"), F.lower(none if declared is None else declared).alias("declared"), (address_language(url, languages) if url is not None else none).alias("address"), (none if host is None else host).alias("host"))
+    text = F.col(f"`{text_col}`").cast("binary")
+    if whole:  # the text is read from the row itself, and isn't sent beside it
+        d = docs.select(F.struct(*own).alias("k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+        field = docs.columns.index(text_col)
+    else:
+        d = docs.select(F.struct(*own).alias("k"), F.struct(text.alias("t")).alias("_row"))
+        field = 0
 
     def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [text_evidence(t or b"", table).tolist() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["k", "ll"])
-
-    none = F.lit(None).cast("string")
-    k = F.struct(F.col(f"`{id_col}`").alias("_id"), F.lower(none if declared is None else declared).alias("declared"), (address_language(url, languages) if url is not None else none).alias("address"), (none if host is None else host).alias("host"), *[F.col(f"`{c}`") for c in carry])
-    d = docs.select(k.alias("k"), F.col(f"`{text_col}`").cast("binary").alias("t"))
-    d = written(d.mapInArrow(likelihoods, f"k {d.schema['k'].dataType.simpleString()}, ll array<double>").select("k.*", "ll"), "likelihoods")
+            texts = pa.RecordBatch.from_arrays([batch.column(1).field(field).cast(pa.binary())], ["t"])
+            found: list[list[float] | None] = []
+            for part in some_rows([texts], 0):
+                for t in part.column(0).to_pylist():
+                    ll = text_evidence(t or b"", table)
+                    found.append(None if ll is None else ll.tolist())
+            got = pa.array(found, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[batch.column(1)] * whole, got], ["k", *["_row"] * whole, "ll"])
+
+    kind = lambda c: d.schema[c].dataType.simpleString()
+    d = d.mapInArrow(likelihoods, f"k {kind('k')}, {f'_row {kind("_row")}, ' * whole}ll array<double>")
+    d = written(d.select("k.*", *["_row"] * whole, "ll"), "likelihoods")
+    rest = ["_row"] * whole
     if not n:
-        return d.select(F.col("_id").alias(id_col), *carry, none.alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("kept"))
-
-    # the host's prior from texts alone
-    top = F.array_max(F.slice("ll", 1, n))
-    guess = F.when((top > F.element_at("ll", n + 1)), F.array_position(F.slice("ll", 1, n), top).cast("int"))
-    votes = [F.coalesce(F.sum((guess == i + 1).cast("double")), F.lit(0.0)).alias(f"v{i}") for i in range(n)]
-    domain = F.coalesce(F.nullif(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("host"))
-    hosts = written(d.filter("host is not null").groupBy("host").agg(*votes), "hosts").withColumn("domain", domain)
-    domains = hosts.groupBy("domain").agg(*[F.sum(f"v{i}").alias(f"d{i}") for i in range(n)])
-    all_ = hosts.agg(*[F.coalesce(F.sum(f"v{i}"), F.lit(0.0)).alias(f"a{i}") for i in range(n)]).first()
-    whole = sum(all_)
-    share = [(all_[i] + 1.0) / (whole + n) for i in range(n)]
-    sum_ = lambda c: sum((F.col(f"{c}{i}") for i in range(n)), F.lit(0.0))
-    of_domain = [(F.col(f"d{i}") + HOST_SMOOTH * share[i]) / (sum_("d") + HOST_SMOOTH) for i in range(n)]
-    prior = hosts.join(domains, "domain")
-    prior = prior.select(F.col("host").alias("_host"), F.array(*[(F.col(f"v{i}") + HOST_SMOOTH * of_domain[i]) / (sum_("v") + HOST_SMOOTH) for i in range(n)]).alias("prior"))
-    prior = written(prior, "priors")
-
-    def says(column: str, trust: float, i: int) -> Column:
-        known = F.col(column).isin(languages)
-        return F.when(known & (F.col(column) == languages[i]), math.log(trust)).when(known, math.log((1 - trust) / max(1, n - 1))).otherwise(0.0)
-
-    j = d.join(maybe_broadcast(prior), F.col("host") == F.col("_host"), "left")
-    j = j.withColumn("prior", F.coalesce("prior", F.array(*[F.lit(x) for x in share])))
-    logs = [F.col("ll")[i] + F.log(F.col("prior")[i] * (1 - NOISE_PRIOR)) + says("declared", DECLARED_TRUST, i) + says("address", ADDRESS_TRUST, i) for i in range(n)]
-    j = j.withColumn("lp", F.array(*logs, F.col("ll")[n] + math.log(NOISE_PRIOR) - math.log(n)))
-    j = j.withColumn("best", F.array_max("lp")).withColumn("posterior", 1 / F.aggregate("lp", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best"))))
-    j = j.withColumn("language", F.element_at(F.array(*[F.lit(x) for x in languages], none), F.array_position("lp", F.col("best")).cast("int")))
+        return d.select(F.col("_id").alias(id_col), *rest, none.alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("kept"))
+    own, top = F.slice("ll", 1, n), F.array_max(F.slice("ll", 1, n))
+    alone = F.size(F.filter(own, lambda x: x == top)) == 1  # a tie is no vote
+    guess = F.when(alone & (top > F.element_at("ll", n + 1)), F.array_position(own, top).cast("int") - 1)
+    prior, share = host_priors(d.select("host", guess.alias("guess")), n)
+
+    names = F.array(*map(F.lit, languages))
+
+    def says(column: str, trust: float) -> Column:
+        at = F.array_position(names, F.col(column))  # 0: no known language; null: nothing said
+        right, wrong = F.lit(math.log(trust)), F.lit(math.log((1 - trust) / max(1, n - 1)))
+        return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.when(F.coalesce(at, F.lit(0)) == 0, 0.0).when(at == i, right).otherwise(wrong))
+
+    j = d.join(maybe_broadcast(prior.withColumnRenamed("host", "_host")), F.col("host") == F.col("_host"), "left")
+    j = j.withColumn("prior", F.coalesce("prior", F.array(*map(F.lit, share)))).withColumn("said", says("declared", DECLARED_TRUST)).withColumn("suggested", says("address", ADDRESS_TRUST))
+    logs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("ll", i) + F.log(F.get("prior", i) * (1 - NOISE_PRIOR)) + F.get("said", i) + F.get("suggested", i))
+    j = j.withColumn("lp", F.when(F.col("ll").isNotNull(), F.concat(logs, F.array(F.element_at("ll", n + 1) + math.log(NOISE_PRIOR) - math.log(n)))))
+    j = j.withColumn("best", F.array_max("lp")).withColumn("posterior", F.coalesce(1 / F.aggregate("lp", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best"))), F.lit(0.0)))
+    j = j.withColumn("language", F.get(F.concat(names, F.array(none)), F.array_position("lp", F.col("best")).cast("int") - 1))
     kept = F.col("language").isNotNull() & (F.col("posterior") >= min_posterior)
     if wanted is not None:
         kept = kept & F.col("language").isin(list(wanted))
-    return j.select(F.col("_id").alias(id_col), *carry, "language", "posterior", F.coalesce(kept, F.lit(False)).alias("kept"))
+    return j.select(F.col("_id").alias(id_col), *rest, "language", "posterior", F.coalesce(kept, F.lit(False)).alias("kept"))
+
+
+def documents_language(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """identify() over a table of documents, by text and host (source). They have no markup and no address, and lang, the
+    label of the fitted sample, is no evidence."""
+    model = text_model(training_sample(docs, "doc_id", "text", "lang"))
+    return identify(docs, "doc_id", "text", model, host=F.col("source"), whole=whole)
 
 
-def documents_language(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """identify() over a table of documents: lang is what is declared, and the label of the fitted sample; source is the
-    host. They have no addresses."""
+def pages_language(pages: DataFrame, docs: DataFrame) -> DataFrame:
+    """identify() over a table of pages: page_id, language, posterior, kept. The text model is fitted on a sample of
+    documents; the text is the html's without markup, lang of its html element is what it declares."""
     model = text_model(training_sample(docs, "doc_id", "text", "lang"))
-    return identify(docs, "doc_id", "text", model, declared=F.col("lang"), host=F.col("source"), carry=carry)
+    html = F.coalesce("html", F.lit(""))
+    text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"(?s)<!--.*?-->|<[^>]*>|&[#a-zA-Z0-9]+;", " ")
+    host = F.nullif(host_of(F.col("url")), F.lit(""))
+    d = pages.select("page_id", "url", "html", text.alias("_text"))
+    return identify(d, "page_id", "_text", model, declared=declared_language(F.col("html")), url=F.col("url"), host=host)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from .common import LOWER, UPPER
-from .decontamination import WINDOW_WORDS
-from .quality import MAX_HOST_RATE, MIN_HOST_DOCS
+from .decontamination import SLOP, WINDOW_WORDS
+from .quality import MAX_HOST_RATE, ROUNDING, TAIL
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _WORDS = rf"list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '')"
@@ -24,9 +24,9 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, sum(CASE WHEN base_failed THEN 1 ELSE 0 END) AS f FROM b GROUP BY source),
 p AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM h),
 k AS (SELECT m, CASE WHEN v > 0 THEN least(1e3, greatest(1e0, m * (1 - m) / v - 1)) ELSE 1e3 END AS k FROM p),
-x AS (SELECT source, n, (f + m * k) / (n + k) AS rate FROM h, k)
+x AS (SELECT source, (f + m * k) / (n + k) AS rate, least({MAX_HOST_RATE!r}, m + {TAIL!r} * sqrt(m * (1 - m) / (k + 1))) + {ROUNDING!r} AS most FROM h, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND (n < {MIN_HOST_DOCS} OR rate <= {MAX_HOST_RATE!r}) AS kept, round(rate, 9) AS host_rate
+  NOT base_failed AND rate <= most AS kept, round(rate, 9) AS host_rate
 FROM b JOIN x ON b.source IS NOT DISTINCT FROM x.source
 """
 
@@ -40,10 +40,23 @@ s AS (SELECT DISTINCT n FROM p),
 g AS (SELECT rid, q, n, array_to_string(list_slice(w, q, q + n - 1), ' ') AS p FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS q FROM d, s WHERE len(w) >= n)),
 o AS (SELECT rid, q, g.n, item_id FROM g JOIN p ON g.p = p.p AND g.n = p.n),
 h AS (SELECT rid, count(DISTINCT x) AS n_hit FROM (SELECT rid, unnest(range(q, q + n)) AS x FROM (SELECT DISTINCT rid, q, n FROM o)) GROUP BY rid),
-k AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM o WHERE item_id IS NOT NULL) GROUP BY rid)
+k AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM o WHERE item_id IS NOT NULL) GROUP BY rid),
+u AS (SELECT rid, unnest(w) AS term, unnest(range(0, len(w))) AS pos FROM d),
+f AS (SELECT term, count(*) AS freq FROM u GROUP BY term),
+t AS (SELECT p, unnest(string_split(p, ' ')) AS term, unnest(range(0, n)) AS off FROM (SELECT DISTINCT p, n FROM p)),
+r AS (SELECT t.*, freq, row_number() OVER (PARTITION BY p ORDER BY freq ASC NULLS FIRST, t.term, off) AS r FROM t LEFT JOIN f ON t.term = f.term),
+y AS (
+  SELECT a.p, a.term AS term1, a.off AS off1, b.term AS term2, b.off - a.off AS gap FROM r a LEFT JOIN r b ON a.p = b.p AND b.r = 2
+  WHERE a.r = 1 AND a.freq IS NOT NULL AND (b.p IS NULL OR b.freq IS NOT NULL)),
+c AS (
+  SELECT a.rid, y.p, a.pos - off1 AS start FROM y JOIN u a ON a.term = term1
+  JOIN u b ON b.rid = a.rid AND b.term = term2 AND b.pos <> a.pos AND b.pos BETWEEN a.pos + gap - {SLOP} AND a.pos + gap + {SLOP}),
+z AS (SELECT rid, p, min(start) AS start FROM c WHERE NOT EXISTS (SELECT 1 FROM g JOIN p ON g.p = p.p WHERE g.rid = c.rid AND g.p = c.p) GROUP BY rid, p),
+e AS (SELECT rid, count(*) AS n_near, string_agg(CAST(start AS VARCHAR), ',' ORDER BY start) AS near FROM z GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h ON d.rid = h.rid LEFT JOIN k ON d.rid = k.rid
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, coalesce(near, '') AS near
+FROM d LEFT JOIN h ON d.rid = h.rid LEFT JOIN k ON d.rid = k.rid LEFT JOIN e ON d.rid = e.rid
 """
 
 ORACLE = {"op3_quality_rules": OP3, "op10_decontamination": OP10}

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, maybe_broadcast, written
 
-#: A host whose shrunk failure rate is over this loses its documents.
+#: A host whose shrunk failure rate is over this loses its documents, whatever the others' rates.
 MAX_HOST_RATE = 0.5
-#: Documents a host must have for its own verdict, whatever its rate.
-MIN_HOST_DOCS = 20
+#: Standard deviations of the fitted prior, over its mean, beyond which a host's shrunk rate is none of the hosts'.
+TAIL = 3.0
+#: A rate so little over the bound is at it.
+ROUNDING = 1e-9
 #: Bits of a packed 64-bit value that hold a word's position.
 POSITION_BITS = 30
 
@@ -68,12 +72,13 @@ def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def host_verdicts(measured: DataFrame, host_col: str, max_rate: float = MAX_HOST_RATE, min_docs: int = MIN_HOST_DOCS) -> DataFrame:
+def host_verdicts(measured: DataFrame, host_col: str, max_rate: float = MAX_HOST_RATE, tail: float = TAIL) -> DataFrame:
     """One row per host (null is a host): host, n_docs, n_failed, host_rate, host_kept.
 
-    The beta prior comes from the hosts by moments: with mean m and variance v of the rates, its strength is
-    m(1-m)/v - 1, held between 1 and 1000; with one host, or no variance, it is 1000. host_rate is the posterior mean.
-    A host of fewer than min_docs documents is kept: its documents stand for themselves.
+    The beta prior comes from the hosts by moments: with mean m and variance v of the rates, its strength k is
+    m(1-m)/v - 1, held between 1 and 1000; with one host, or no variance, it is 1000. host_rate is the posterior mean, so
+    a host of few documents stands near m whatever these are. A host is kept up to a rate of m + tail standard
+    deviations of the prior, or max_rate, whichever is less.
     """
     host = written(measured.groupBy(F.col(f"`{host_col}`").alias("host")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")
@@ -82,8 +87,9 @@ def host_verdicts(measured: DataFrame, host_col: str, max_rate: float = MAX_HOST
     prior = host.agg(F.avg(r).alias("m"), F.var_pop(r).alias("v")).first()
     m, v = prior["m"] or 0.0, prior["v"] or 0.0
     k = min(1000.0, max(1.0, m * (1 - m) / v - 1)) if v > 0 else 1000.0
+    most = min(max_rate, m + tail * math.sqrt(m * (1 - m) / (k + 1)))
     host = host.withColumn("host_rate", (F.col("n_failed") + m * k) / (F.col("n_docs") + k))
-    return host.withColumn("host_kept", (F.col("n_docs") < min_docs) | (F.col("host_rate") <= max_rate))
+    return host.withColumn("host_kept", F.col("host_rate") <= most + ROUNDING)
 
 
 def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **params) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontamination import decontaminate
 from .html_text import extract
-from .language import documents_language
+from .language import documents_language, pages_language
 from .oracles import ORACLE
 from .pieces import encode_and_sample
 from .quality import host_rules
@@ -51,12 +51,17 @@ def op8_language(spark, sf_dir):
     return documents_language(table(spark, sf_dir, "documents"))
 
 
+def language_of_pages(spark, sf_dir):
+    return pages_language(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op9_pieces(spark, sf_dir):
     return encode_and_sample(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op10_decontamination(spark, sf_dir):
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near")
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_rid")
+    return found.withColumn("near", F.array_join("near", ","))
 
 
 QUERIES = {
@@ -70,6 +75,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_pieces": op9_pieces,
     "op10_decontamination": op10_decontamination,
+    "language_of_pages": language_of_pages,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

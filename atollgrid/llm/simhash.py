@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, maybe_broadcast, written
+from .common import keyed, maybe_broadcast, some_rows, written
 from .graph import components
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
@@ -242,7 +242,7 @@ def fingerprints(docs: DataFrame, text_col: str, size: int = SHINGLE) -> DataFra
     rest = [c for c in docs.columns if c != text_col]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in some_rows(batches, 1):
             fp = np.array([fingerprint(t, size) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["k", "fp"])
 
@@ -251,15 +251,24 @@ def fingerprints(docs: DataFrame, text_col: str, size: int = SHINGLE) -> DataFra
     return d.mapInArrow(work, f"k {kind}, fp bigint").select(*[F.col(f"k.`{c}`").alias(c) for c in rest], "fp")
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str, key: str | None) -> DataFrame:
+    """_id, _rid and the text of docs: by the stored column `key`, else by a key that is written here."""
+    if key is None:
+        return keyed(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t")), "_id", "_t")
+    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t"), F.col(f"`{key}`").alias("_rid"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hex digits), component_id, keeper.
 
     component_id is the smallest id reachable over links of at most `radius` differing bits, itself included; null ids
     count for nothing, and a component of none but null ids has null. keeper marks one row of each component: the
     smallest id's, among repeated rows the first. Null texts are empty; texts without words have fingerprint zero and
-    link like any other. docs must be a scan (see common.keyed); its other columns are left out.
+    link like any other. Other columns of docs are left out.
     """
-    d = written(fingerprints(keyed(docs, id_col, text_col).withColumnRenamed(id_col, "_id"), text_col), "fingerprints")
+    # texts are read once, so the key is made as the fingerprints are written
+    d = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t"), F.monotonically_increasing_id().alias("_rid"))
+    d = written(fingerprints(d, "_t"), "fingerprints")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("_id"), "_rid"))
     values = written(d.groupBy("fp").agg(first.alias("first")), "values")
     root = components(near_links(values.select("fp"), radius))
@@ -355,7 +364,7 @@ def _measures(size: int):
     def measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in some_rows(batches, 1):
             fp, node, sketch = [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, size)
@@ -378,7 +387,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in some_rows(batches, 1):
             found = [np.unique(shingles(t, size)).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "s"])
 
@@ -398,15 +407,16 @@ def _alike(least: float):
     return alike
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, least: float = SIMILAR, bucket: int = BUCKET) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, least: float = SIMILAR, bucket: int = BUCKET, key: str | None = None) -> DataFrame:
     """One row per row of docs: id, component_id, keeper, _rid, as near_duplicates() has them, where a link is a Jaccard
     similarity of at least `least` between two texts' sets of `size`-word shingles.
 
     Fingerprints propose the pairs (wide_links), sketches drop nearly all that chance brought together, and the shingles
-    of the rest are compared in full. Texts of equal sets are one node. docs must be a scan (see common.keyed).
+    of the rest are compared in full. Texts of equal sets are one node. key: a stored column of docs that tells rows
+    apart, else one is written.
     """
-    rows = keyed(docs, id_col, text_col).withColumnRenamed(id_col, "_id")
-    d = rows.select(F.struct("_id", "_rid").alias("k"), F.col(f"`{text_col}`").cast("binary").alias("t"))
+    rows = _rows(docs, id_col, text_col, key)
+    d = rows.select(F.struct("_id", "_rid").alias("k"), F.col("_t").cast("binary").alias("t"))
     d = d.mapInArrow(_measures(size), f"k {d.schema['k'].dataType.simpleString()}, fp bigint, node bigint, sketch binary")
     d = written(d.select("k._id", "k._rid", "fp", "node", "sketch"), "measures")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("_id"), "_rid"))
@@ -421,7 +431,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     pairs = written(pairs.unionByName(same.select(*columns)).mapInArrow(_agreeing, "na bigint, nb bigint"), "pairs")
     wanted = pairs.select(F.explode(F.array("na", "nb")).alias("node")).distinct().join(nodes, "node").select("node", F.col("first._rid").alias("_r"))
     wanted = written(wanted, "wanted")
-    texts = rows.join(maybe_broadcast(wanted), F.col("_rid") == F.col("_r")).select("node", F.col(f"`{text_col}`").cast("binary").alias("t"))
+    texts = rows.join(maybe_broadcast(wanted), F.col("_rid") == F.col("_r")).select("node", F.col("_t").cast("binary").alias("t"))
     sets = written(texts.mapInArrow(_sets(size), "node bigint, s binary"), "shingles")
     full = pairs.join(sets.withColumnsRenamed({"node": "na", "s": "sa"}), "na").join(sets.withColumnsRenamed({"node": "nb", "s": "sb"}), "nb").select(*columns)
     root = components(written(full.mapInArrow(_alike(least), "na bigint, nb bigint"), "alike"), "na", "nb").withColumnRenamed("node", "n")

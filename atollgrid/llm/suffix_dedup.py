@@ -1,45 +1,90 @@
-"""Exact substring deduplication by suffix order: bytes of long strings that start in more than one place.
+"""Exact substring deduplication by suffix order: long strings of bytes, or of words, that start in more than one place.
 
-Shards are made so that equal strings meet. Each window of LENGTH bytes is owned by the smallest hash of a GRAM-byte string
+Shards are made so that equal strings meet. Each window of so many symbols is owned by the smallest hash of a shorter string
 inside it (an anchor), so equal windows are owned by equal anchors at the same place. The windows that follow each other
-under one anchor are a piece: LENGTH - 1 bytes longer than its windows. Anchors that occur once own no repeated window.
-Of the others, each different piece goes once, with its count, to the shard of its anchor's hash, where external induced
-sorting finds the windows that other pieces have too; the verdict returns to all places of the piece.
+under one anchor are a piece. Anchors that occur once own no repeated window. Of the others, each different piece goes
+once, with its count, to the shard of its anchor's hash, where external induced sorting finds the windows that other
+pieces have too; the verdict returns to all places of the piece. The pieces of a crowded anchor are parted again, by
+anchors of longer strings, until no anchor is crowded: at last an anchor is a whole window, of which there is one kind.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, keyed, maybe_broadcast, written
+from .common import free, keyed, maybe_broadcast, some_rows, written
 from .induced_sort import END, FIRST_BYTE, SEPARATOR, Scratch, sorted_suffixes
 
 LENGTH, GRAM = 400, 128
-#: Bytes that anchors are sought in at a time; longer texts in overlapping parts.
+#: A passage of over 50 words, and the words of its anchors.
+PASSAGE_WORDS, GRAM_WORDS = 51, 16
+#: Symbols that anchors are sought in at a time; longer texts in overlapping parts.
 PART = 1 << 19
 #: Bytes of pieces that are sorted at a time; one anchor's pieces are never parted.
 SHARD = 4 << 20
 #: Different pieces that one anchor may gather; those of others are parted again, by anchors of longer strings.
-HOT = 2048
+HOT = 256
 #: Bytes of memory for a sort's arrays and queues; beyond, they go to scratch files.
 MEMORY = 192 << 20
 
 
+@dataclass(frozen=True)
+class Unit:
+    """What windows are counted in (bytes, or words between white space), a window's symbols and an anchor's, and whether
+    a window is only repeated where another row has it (else: anywhere else, the same row included)."""
+
+    words: bool = False
+    length: int = LENGTH
+    gram: int = GRAM
+    across: bool = False
+
+    @property
+    def size(self) -> int:
+        """Bytes a symbol."""
+        return 8 if self.words else 1
+
+    def symbols(self, text: bytes) -> np.ndarray:
+        """A text's bytes, or its words' hashes."""
+        import xxhash
+
+        if not self.words:
+            return np.frombuffer(text, np.uint8)
+        found = text.split()
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+
+    def finer(self, gram: int) -> int:
+        """The next longer anchor; the last is a whole window."""
+        return self.length - (self.length - gram) // 2
+
+
+BYTES, PASSAGES = Unit(), Unit(True, PASSAGE_WORDS, GRAM_WORDS, True)
+
+
+def word_places(text: bytes) -> np.ndarray:
+    """[start, end) of a text's words."""
+    x = np.frombuffer(text, np.uint8)
+    space = (x == 32) | ((x >= 9) & (x <= 13))
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
+    return edge.reshape(-1, 2)
+
+
 def gram_hashes(x: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of each `size`-byte string (a power of two), by doubling."""
+    """A 64-bit hash of each string of `size` symbols, by doubling; the last step may overlap."""
     h = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     width, odd = 1, 0xC2B2AE3D27D4EB4F
     while width < size:
-        h = (h[:-width] * np.uint64(odd)) + h[width:]
+        step = min(width, size - width)
+        h = (h[:-step] * np.uint64(odd)) + h[step:]
         h ^= h >> np.uint64(29)
         odd = odd * 0x9E3779B97F4A7C15 % (1 << 64) | 1
-        width *= 2
+        width += step
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
@@ -54,19 +99,20 @@ def leftmost_minima(h: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(tail[:n], head[width - 1 : width - 1 + n]) & np.uint64((1 << 20) - 1)).astype(np.int64)
 
 
-def pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, part: int = PART) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text number, first window, windows, anchor hash, piece hash) arrays of texts' pieces; short texts have none."""
+def pieces(texts: Iterator[np.ndarray] | list[np.ndarray], length: int = LENGTH, gram: int = GRAM, part: int = PART) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text number, first window, windows, anchor hash, piece hash) arrays of the pieces of texts, given as arrays of
+    symbols; texts of under `length` symbols have none."""
     import xxhash
 
     h64 = xxhash.xxh3_64_intdigest
-    todo: list[tuple[int, int, bytes]] = []
+    todo: list[tuple[int, int, np.ndarray]] = []
     size = 0
 
     def flush() -> tuple[np.ndarray, ...]:
-        data = b"".join(x for *_, x in todo)
+        data = np.concatenate([x for *_, x in todo])
         ends = np.cumsum([len(x) for *_, x in todo])
         starts = ends - [len(x) for *_, x in todo]
-        h = gram_hashes(np.frombuffer(data, np.uint8), gram)
+        h = gram_hashes(data, gram)
         own = leftmost_minima(h, length - gram + 1)
         at = np.arange(len(own))
         item = np.searchsorted(ends, at, "right")
@@ -75,7 +121,8 @@ def pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, part: int
         first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (item[1:] != item[:-1])))
         count = np.diff(np.append(first, len(own)))
         s, k = at[first], item[first]
-        hashes = [h64(data[a:b]) for a, b in zip(s.tolist(), (s + count + length - 1).tolist(), strict=True)]
+        raw, w = memoryview(data.tobytes()), data.itemsize
+        hashes = [h64(raw[a:b]) for a, b in zip((w * s).tolist(), (w * (s + count + length - 1)).tolist(), strict=True)]
         number, offset = np.array([x for x, *_ in todo])[k], np.array([x for _, x, _ in todo])[k]
         return number, s - starts[k] + offset, count, h[own[first]].view(np.int64), np.array(hashes, np.uint64).view(np.int64)
 
@@ -91,40 +138,87 @@ def pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, part: int
         yield flush()
 
 
-def _find(length: int, gram: int):
+def _find(units: tuple[Unit, ...]):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rid = batch.column(0).to_numpy()
-            for number, start, count, anchor, piece in pieces([x or b"" for x in batch.column(1).to_pylist()], length, gram):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rid[number], start, count.astype(np.int32), anchor, piece)], ["_rid", "start", "n", "anchor", "piece"])
+        for batch in some_rows(batches, 1):
+            rid, texts = batch.column(0).to_numpy(), [x or b"" for x in batch.column(1).to_pylist()]
+            for u, unit in enumerate(units):
+                # texts of fewer bytes than a window's symbols and what is between them have no window
+                symbols = (unit.symbols(t if len(t) >= unit.length * (1 + unit.words) - unit.words else b"") for t in texts)
+                for number, start, count, anchor, piece in pieces(symbols, unit.length, unit.gram):
+                    cols = (np.full(len(number), u, np.int32), rid[number], start, count.astype(np.int32), anchor, piece)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["unit", "_rid", "start", "n", "anchor", "piece"])
 
     return find
 
 
-def repeated_windows(texts: list[bytes], length: int = LENGTH, memory: int = MEMORY) -> list[np.ndarray]:
-    """For each text, True at window starts whose `length` bytes start elsewhere in these texts too."""
-    sizes = np.array([len(x) + 1 for x in texts], np.int64)
+def _codes(texts: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Symbols as numbers of few values, and how many of these make a symbol. Bytes are themselves; a hash is its rank among
+    all, as two digits of different ranges, so that no string that starts at a second digit equals one at a first."""
+    if not texts or texts[0].itemsize == 1:
+        return texts, 1
+    rank = np.unique(np.concatenate(texts), return_inverse=True)[1]
+    base = int(np.sqrt(rank.max(initial=0))) + 1
+    digits = np.stack([rank // base, base + rank % base], axis=1).astype(np.int32)
+    return [x.ravel() for x in np.split(digits, np.cumsum([len(x) for x in texts])[:-1])], 2
+
+
+def repeated_windows(texts: list[np.ndarray], length: int = LENGTH, memory: int = MEMORY, rows: tuple[np.ndarray, np.ndarray] | None = None) -> list[np.ndarray]:
+    """For each text, an array of symbols, True at window starts whose `length` symbols start elsewhere in these texts too.
+    With rows, the least and the largest row that has each text: only where the rows that have a window are more than one."""
+    coded, per = _codes(texts)
+    width = length * per
+    sizes = np.array([len(x) + 1 for x in coded], np.int64)
     n = int(sizes.sum()) + 1
     scratch = Scratch(memory)
-    top = max((max(x, default=0) for x in texts), default=0)
-    t = scratch.array(n, np.uint8 if top + FIRST_BYTE < 256 else np.uint16)
+    top = max((int(x.max(initial=0)) for x in coded), default=0) + FIRST_BYTE
+    t = scratch.array(n, np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32)
     ends = np.cumsum(sizes)
-    for x, end in zip(texts, ends.tolist(), strict=True):
-        t[end - 1 - len(x) : end - 1] = np.frombuffer(x, np.uint8)
+    for x, end in zip(coded, ends.tolist(), strict=True):
+        t[end - 1 - len(x) : end - 1] = x
         t[end - 1 - len(x) : end - 1] += FIRST_BYTE
         t[end - 1] = SEPARATOR
     t[n - 1] = END
     hit = scratch.array(n, np.bool_)
-    last, before = -1, None
-    for common, at in sorted_suffixes(t, length, memory // 2, scratch):
-        far = np.flatnonzero(common >= length)
-        hit[at[far]] = True
-        hit[at[far[far > 0] - 1]] = True
-        if len(far) and far[0] == 0 and last >= 0 and before == t[at[0]]:
-            hit[last] = True
-        last, before = int(at[-1]), t[at[-1]]
+    if rows is None:
+        last, before = -1, None
+        for common, at in sorted_suffixes(t, width, memory // 2, scratch):
+            far = np.flatnonzero(common >= width)
+            hit[at[far]] = True
+            hit[at[far[far > 0] - 1]] = True
+            if len(far) and far[0] == 0 and last >= 0 and before == t[at[0]]:
+                hit[last] = True
+            last, before = int(at[-1]), t[at[-1]]
+    else:
+        _across(t, width, memory, scratch, ends, rows, hit)
     # a common prefix that reaches a separator is none: windows end within their text
-    return [np.array(hit[end - 1 - len(x) : max(end - 1 - len(x), end - length)]) for x, end in zip(texts, ends.tolist(), strict=True)]
+    return [np.array(hit[end - 1 - len(x) : max(end - 1 - len(x), end - width) : per]) for x, end in zip(coded, ends.tolist(), strict=True)]
+
+
+def _across(t: np.ndarray, width: int, memory: int, scratch: Scratch, ends: np.ndarray, rows: tuple[np.ndarray, np.ndarray], hit: np.ndarray) -> None:
+    """Sets hit where suffixes of one group, alike in `width` symbols, stand in texts of more than one row."""
+    group, low, high = scratch.array(len(t), np.int32), [], []
+    lo, hi = (np.append(x, x[-1:]) for x in rows)  # the end symbol belongs to no text
+    groups, before = 0, None
+    for common, at in sorted_suffixes(t, width, memory // 2, scratch):
+        new = common < width
+        if before is None or before != t[at[0]]:
+            new[0] = True
+        before = t[at[-1]]
+        first = np.flatnonzero(new)
+        item = np.searchsorted(ends, at, "right")
+        group[at] = groups - 1 + np.cumsum(new)
+        if not new[0]:  # the group before goes on
+            a, b = item[: first[0] if len(first) else len(item)], groups - 1
+            low[-1][-1], high[-1][-1] = min(low[-1][-1], lo[a].min()), max(high[-1][-1], hi[a].max())
+        if len(first):
+            low.append(np.minimum.reduceat(lo[item], first))
+            high.append(np.maximum.reduceat(hi[item], first))
+        groups += len(first)
+    if groups:
+        several = np.concatenate(low) < np.concatenate(high)
+        for a in range(0, len(t), 1 << 20):
+            hit[a : a + (1 << 20)] = several[group[a : a + (1 << 20)]]
 
 
 def _runs(mask: np.ndarray) -> list[dict]:
@@ -132,106 +226,135 @@ def _runs(mask: np.ndarray) -> list[dict]:
     return [{"a": a, "b": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
 
 
-def _sort(length: int, shard: int, memory: int):
+_PIECE = "unit int, anchor bigint, piece bigint, copies bigint, low bigint, high bigint, crowded boolean, bytes binary"
+_VERDICT = "unit int, anchor bigint, piece bigint, runs array<struct<a: int, b: int>>"
+
+
+def _sort(units: tuple[Unit, ...], shard: int, memory: int):
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def verdicts(rows: list) -> pa.RecordBatch:
-        masks = repeated_windows([r[3] for r in rows], length, memory)
-        runs = [_runs(np.ones(len(m), bool) if r[2] > 1 else m) for r, m in zip(rows, masks, strict=True)]
-        cols = [pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(runs, kind)], ["anchor", "piece", "runs"])
+        unit = units[rows[0][0]]
+        texts = [np.frombuffer(r[7], np.uint64 if unit.words else np.uint8) for r in rows]
+        seen = tuple(np.array([r[i] for r in rows], np.int64) for i in (4, 5))
+        masks = repeated_windows(texts, unit.length, memory, seen if unit.across else None)
+        runs = [_runs(np.ones(len(m), bool) if (r[4] < r[5] if unit.across else r[3] > 1) else m) for r, m in zip(rows, masks, strict=True)]
+        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(runs, kind)], ["unit", "anchor", "piece", "runs"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if size >= shard and row[0] != rows[-1][0]:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and (row[0] != rows[-1][0] or size >= shard and row[1] != rows[-1][1]):
                     yield verdicts(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[3])
+                size += len(row[7])
         if rows:
             yield verdicts(rows)
 
     return sort
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces' bytes, from texts and their lists of pieces."""
-    for batch in batches:
-        out: list = []
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            out.extend((w["anchor"], w["piece"], w["copies"], text[w["start"] : w["start"] + w["size"]]) for w in wanted)
-        if out:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["anchor", "piece", "copies", "bytes"])
-
-
-def _part(length: int, gram: int):
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pieces of hot anchors as smaller ones, each with the piece that it is in and where."""
+def _cut(units: tuple[Unit, ...]):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces' symbols, from texts and their lists of pieces."""
+        kinds, names = (pa.int32(), *[pa.int64()] * 5, pa.bool_(), pa.binary()), ["unit", "anchor", "piece", "copies", "low", "high", "crowded"]
+        for batch in some_rows(batches, 0, 1 << 20):
+            out: list = []
+            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = {u: units[u].symbols(text).tobytes() for u in {w["unit"] for w in wanted}}
+                for w in wanted:
+                    size = units[w["unit"]].size
+                    out.append((*(w[c] for c in names), raw[w["unit"]][size * w["start"] : size * (w["start"] + w["size"])]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [*names, "bytes"])
+
+    return cut
+
+
+def _finer(units: tuple[Unit, ...], grams: list[int]):
+    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces of crowded anchors as smaller ones under longer anchors, each with the piece that it is in and where."""
+        names = ["unit", "shard", "own", "copies", "low", "high", "anchor", "piece", "at", "n"]
         for batch in batches:
-            anchor, piece, copies = (batch.column(i).to_numpy() for i in range(3))
-            data = batch.column(3).to_pylist()
-            for number, start, count, fine, own in pieces(data, length, gram):
-                cut = [data[i][a : a + n + length - 1] for i, a, n in zip(number.tolist(), start.tolist(), count.tolist(), strict=True)]
-                shard = (anchor[number].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ fine.view(np.uint64)).view(np.int64)
-                cols = [pa.array(x) for x in (shard, own, copies[number], anchor[number], piece[number], start.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(cut, pa.binary())], ["shard", "own", "copies", "anchor", "piece", "at", "bytes"])
-
-    return part
-
-
-def _hot_verdicts(hot: DataFrame, length: int, sort) -> DataFrame:
-    """Verdicts on pieces of hot anchors (anchor, piece, copies, bytes). Equal windows have equal finer anchors too, so
-    smaller pieces meet by both; equal ones are counted before they are sorted, and a verdict returns to all of them."""
-    gram = 1 << (length - 1).bit_length() - 1  # the largest power of two under length
-    parts = written(hot.mapInArrow(_part(length, gram), "shard bigint, own bigint, copies bigint, anchor bigint, piece bigint, at int, bytes binary"), "parts")
-    kinds = parts.groupBy("shard", "own").agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
-    found = kinds.select(F.col("shard").alias("anchor"), F.col("own").alias("piece"), "copies", "bytes").repartition("anchor").sortWithinPartitions("anchor")
-    found = written(found.mapInArrow(sort, _VERDICT).filter("size(runs) > 0").withColumnsRenamed({"anchor": "shard", "piece": "own"}), "fine")
-    back = parts.select("shard", "own", "anchor", "piece", "at").join(found, ["shard", "own"])
-    return back.select("anchor", "piece", F.expr("transform(runs, r -> struct(r.a + at as a, r.b + at as b))").alias("runs"))
-
-
-_VERDICT = "anchor bigint, piece bigint, runs array<struct<a: int, b: int>>"
-
-
-def repeated_spans(docs: DataFrame, text_col: str, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD, memory: int = MEMORY, hot: int = HOT) -> DataFrame:
-    """(_rid, runs): of the rows of docs (_rid and text_col) with repeated windows, runs of their starts [a, b)."""
-    spark = docs.sparkSession
-    text = docs.select("_rid", F.col(f"`{text_col}`").cast("binary").alias("text"))
-    places = text.filter(F.octet_length("text") >= length).mapInArrow(_find(length, gram), "_rid bigint, start bigint, n int, anchor bigint, piece bigint")
+            own_unit, anchor, piece, copies, low, high = (batch.column(i).to_numpy() for i in range(6))
+            for u in np.unique(own_unit).tolist():
+                unit, rows = units[u], np.flatnonzero(own_unit == u)
+                texts = (np.frombuffer(batch.column(7)[i].as_py(), np.uint64 if unit.words else np.uint8) for i in rows.tolist())
+                for number, start, count, fine, own in pieces(texts, unit.length, grams[u]):
+                    k = rows[number]
+                    shard = (anchor[k].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ fine.view(np.uint64)).view(np.int64)
+                    cols = (own_unit[k], shard, own, copies[k], low[k], high[k], anchor[k], piece[k], start.astype(np.int32), count.astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names)
+
+    return finer
+
+
+def _shared(kinds: DataFrame, units: tuple[Unit, ...], hot: int) -> DataFrame:
+    """(unit, anchor, crowded) of the anchors of kinds (unit, anchor, copies, low, high) that may own a repeated window."""
+    of = kinds.groupBy("unit", "anchor").agg(F.sum("copies").alias("c"), F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("k"))
+    across = F.array(*[F.lit(u.across) for u in units])[F.col("unit")]
+    return of.filter((F.col("c") > 1) & (~across | (F.col("l") < F.col("h")))).select("unit", "anchor", (F.col("k") > hot).alias("crowded"))
+
+
+def _verdicts(cut: DataFrame, any_hot: bool, units: tuple[Unit, ...], sort, hot: int, grams: list[int]) -> DataFrame:
+    """Verdicts on pieces (_PIECE). Equal windows have equal longer anchors too, so parts of the pieces of a crowded
+    anchor meet by both; equal parts are counted before they are sorted, and a verdict returns to all of them."""
+    sorted_ = lambda d: d.repartition("unit", "anchor").sortWithinPartitions("unit", "anchor").mapInArrow(sort, _VERDICT).filter("size(runs) > 0")
+    if not any_hot:
+        return sorted_(cut)
+    found, crowded = sorted_(cut.filter("not crowded")), cut.filter("crowded")
+    grams = [u.finer(g) for u, g in zip(units, grams, strict=True)]
+    parts = written(crowded.mapInArrow(_finer(units, grams), "unit int, shard bigint, own bigint, copies bigint, low bigint, high bigint, anchor bigint, piece bigint, at int, n int"), "parts")
+    first = F.min(F.struct("anchor", "piece", "at", "n")).alias("first")
+    kinds = parts.groupBy("unit", "shard", "own").agg(F.sum("copies").alias("copies"), F.min("low").alias("low"), F.max("high").alias("high"), first)
+    kinds = written(kinds.withColumnsRenamed({"shard": "anchor", "own": "piece"}), "kinds")
+    of = crowded.select(F.col("unit").alias("u"), F.col("anchor").alias("a"), F.col("piece").alias("p"), "bytes")
+    one = kinds.join(_shared(kinds, units, hot), ["unit", "anchor"])
+    one = one.join(of, (F.col("unit") == F.col("u")) & (F.col("first.anchor") == F.col("a")) & (F.col("first.piece") == F.col("p")))
+    size, length = (F.array(*[F.lit(x) for x in xs])[F.col("unit")] for xs in ([u.size for u in units], [u.length for u in units]))
+    part = F.substring("bytes", size * F.col("first.at") + 1, size * (F.col("first.n") + length - 1))
+    finer = written(one.select("unit", "anchor", "piece", "copies", "low", "high", "crowded", part.alias("bytes")), "finer")
+    fine = written(_verdicts(finer, not finer.filter("crowded").isEmpty(), units, sort, hot, grams), "fine").withColumnsRenamed({"anchor": "shard", "piece": "own"})
+    back = parts.select("unit", "shard", "own", "anchor", "piece", "at").join(fine, ["unit", "shard", "own"])
+    return found.unionByName(back.select("unit", "anchor", "piece", F.expr("transform(runs, r -> struct(r.a + at as a, r.b + at as b))").alias("runs")))
+
+
+def repeated_spans(docs: DataFrame, text_col: str, units: tuple[Unit, ...] = (BYTES,), key: str = "_rid", shard: int = SHARD, memory: int = MEMORY, hot: int = HOT) -> DataFrame:
+    """(key, runs): of the rows of docs (key and text_col) with repeated windows, runs [a, b) of their starts, one list a
+    unit. docs is read twice, so its keys must be stored with it (see common.keyed)."""
+    text = docs.select(F.col(f"`{key}`").alias("_rid"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+    least = min(u.length * (1 + u.words) - u.words for u in units)
+    places = text.filter(F.octet_length("text") >= least).mapInArrow(_find(units), "unit int, _rid bigint, start bigint, n int, anchor bigint, piece bigint")
     places = written(places, "places")
     # copies of a piece are counted before they are dealt out, so no count of them loads a task
     first = F.min(F.struct("_rid", "start", "n")).alias("first")
-    kinds = written(places.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("copies"), first), "pieces")
-    shared = kinds.groupBy("anchor").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("k")).filter("c > 1")
-    crowded = written(shared.filter(F.col("k") > hot).select("anchor"), "hot")
-    one = kinds.join(shared.select("anchor"), "anchor")
-    one = one.select("anchor", "piece", "copies", F.col("first._rid").alias("_rid"), F.col("first.start").alias("start"), (F.col("first.n") + length - 1).alias("size"))
-    # a text's own pieces: never more than its bytes
-    wanted = written(one.groupBy("_rid").agg(F.collect_list(F.struct("anchor", "piece", "copies", "start", "size")).alias("wanted")), "wanted")
-    cut = text.join(wanted, "_rid").select("text", "wanted").mapInArrow(_cut, "anchor bigint, piece bigint, copies bigint, bytes binary")
-    sort = _sort(length, shard, memory)
-    any_hot = not crowded.isEmpty()
+    kinds = places.groupBy("unit", "anchor", "piece").agg(F.count(F.lit(1)).alias("copies"), F.min("_rid").alias("low"), F.max("_rid").alias("high"), first)
+    kinds = written(kinds, "pieces")
+    length = F.array(*[F.lit(u.length) for u in units])[F.col("unit")]
+    one = kinds.join(_shared(kinds, units, hot), ["unit", "anchor"])
+    one = one.select("unit", "anchor", "piece", "copies", "low", "high", "crowded", F.col("first._rid").alias("_rid"), F.col("first.start").alias("start"), (F.col("first.n") + length - 1).alias("size"))
+    one = written(one, "one")
+    # a text's own pieces: never more than its symbols
+    wanted = one.groupBy("_rid").agg(F.collect_list(F.struct("unit", "anchor", "piece", "copies", "low", "high", "crowded", "start", "size")).alias("wanted"))
+    cut = text.join(wanted, "_rid").select("text", "wanted").mapInArrow(_cut(units), _PIECE)
+    any_hot = not one.filter("crowded").isEmpty()
     if any_hot:
-        cut = written(cut, "cut")
-    plain = cut.join(maybe_broadcast(crowded), "anchor", "left_anti") if any_hot else cut
-    found = plain.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort, _VERDICT).filter("size(runs) > 0")
-    if any_hot:
-        found = found.unionByName(_hot_verdicts(cut.join(maybe_broadcast(crowded), "anchor", "left_semi"), length, sort))
+        cut = written(cut, "cut")  # read twice
+    found = _verdicts(cut, any_hot, units, _sort(units, shard, memory), hot, [u.gram for u in units])
     found = written(found, "verdicts")
-    free(kinds, wanted)
-    spans = places.join(found, ["anchor", "piece"]).select("_rid", F.expr("transform(runs, r -> struct(start + r.a as a, start + r.b as b))").alias("runs"))
-    spans = written(spans.groupBy("_rid").agg(F.flatten(F.collect_list("runs")).alias("runs")), "spans")
+    free(kinds, one)
+    spans = places.join(found, ["unit", "anchor", "piece"]).select("unit", "_rid", F.expr("transform(runs, r -> struct(start + r.a as a, start + r.b as b))").alias("runs"))
+    of_unit = [F.flatten(F.collect_list(F.when(F.col("unit") == i, F.col("runs")))) for i in range(len(units))]
+    spans = written(spans.groupBy("_rid").agg(F.array(*of_unit).alias("runs")), "spans")
     free(places, found)
-    spark.sparkContext._jvm.System.gc()  # shuffle files of what is written go now, not when memory runs short
-    return spans
+    return spans.withColumnRenamed("_rid", key)
 
 
 def cover(runs: list[dict], length: int) -> np.ndarray:
-    """The maximal byte spans [start, end) under windows that start in runs."""
+    """The maximal spans [start, end) under windows that start in runs."""
     x = np.array(sorted((r["a"], r["b"] + length - 1) for r in runs), np.int64).reshape(-1, 2)
     if not len(x):
         return x
@@ -240,33 +363,55 @@ def cover(runs: list[dict], length: int) -> np.ndarray:
     return np.stack([x[first, 0], reach[np.append(first[1:], len(x)) - 1]], axis=1)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep_text: bool = False, **params) -> DataFrame:
-    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, _rid; with keep_text also kept (binary).
+def byte_spans(text: bytes, runs: list[list[dict]], units: tuple[Unit, ...]) -> np.ndarray:
+    """The maximal byte spans of a text under repeated windows of any unit: of words, from the first one to the last."""
+    found = []
+    for unit, own in zip(units, runs, strict=True):
+        spans = cover(own or [], unit.length)
+        if unit.words and len(spans):
+            places = word_places(text)
+            spans = np.stack([places[spans[:, 0], 0], places[spans[:, 1] - 1, 1]], axis=1)
+        found += [{"a": a, "b": b} for a, b in spans.tolist()]
+    return cover(found, 1)
+
+
+def without(text: bytes, spans: np.ndarray) -> list[bytes]:
+    """What is left of a text, in order."""
+    kept, at = [], 0
+    for a, b in spans.tolist():
+        kept.append(text[at:a])
+        at = b
+    return [*kept, text[at:]]
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, passage: int = PASSAGE_WORDS, keep_text: bool = False, **params) -> DataFrame:
+    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words, _rid; with keep_text also
+    kept (binary).
 
     Every byte under a string of `length` bytes that starts anywhere else in docs, the same row included, is removed;
-    strings are judged on the input. A null text is empty. Repeated rows are copies of each other. A text shorter than
-    `length` keeps all. docs must be a scan (see common.keyed); its other columns are left out.
+    strings are judged on the input. n_passage_words counts the words under runs of `passage` words that another row has
+    too: such a passage can have fewer bytes than `length`, and then nothing of it is removed. A null text is empty.
+    Repeated rows are copies of each other. A text shorter than `length` keeps all. Other columns are left out.
     """
-    d = keyed(docs, id_col, text_col).withColumnsRenamed({id_col: "_id", text_col: "_t"})
-    d = d.withColumn("_t", F.coalesce(F.col("_t").cast("binary"), F.lit(b"")))
-    spans = repeated_spans(d, "_t", length, **params).withColumnRenamed("_rid", "_r")
-    j = d.join(spans, F.col("_rid") == F.col("_r"), "left")
+    units = (Unit(False, length, min(GRAM, (length + 1) // 2)), Unit(True, passage, min(GRAM_WORDS, (passage + 1) // 2), True))
+    d = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")).alias("_t"))
+    d = keyed(d, "_id", "_t")
+    spans = repeated_spans(d, "_t", units, **params).withColumnRenamed("_rid", "_r")
+    j = d.join(maybe_broadcast(spans), F.col("_rid") == F.col("_r"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+        for batch in some_rows(batches, 1):
             rows = []
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                spans = cover(runs or [], length).tolist()
-                kept, at = [], 0
-                for a, b in spans:
-                    kept.append(text[at:a])
-                    at = b
-                kept = b"".join([*kept, text[at:]])
-                rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["k", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                own, words = runs or ([], [])
+                spans = byte_spans(text, [own], units[:1])
+                kept = b"".join(without(text, spans))
+                under = cover(words or [], passage)
+                rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), int((under[:, 1] - under[:, 0]).sum()), kept if keep_text else None))
+            cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["k", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", "kept"])
 
     j = j.select(F.struct("_id", "_rid").alias("k"), "_t", "runs")
-    out = j.mapInArrow(cut, f"k {j.schema['k'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
-    return out.select(F.col("k._id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("k._rid").alias("_rid"), *["kept"] * keep_text)
+    out = j.mapInArrow(cut, f"k {j.schema['k'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_passage_words bigint, kept binary")
+    return out.select(F.col("k._id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", F.col("k._rid").alias("_rid"), *["kept"] * keep_text)

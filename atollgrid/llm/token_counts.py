@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import some_rows
+
 #: Texts of more characters are encoded in chunks.
 CHUNK_CHARS = 16_384
 #: Characters that neighbouring chunks share at first; doubled until a common boundary is found.
@@ -18,14 +20,50 @@ OVERLAP_CHARS = 256
 MEMO_WORDS = 400_000
 
 
+#: The parts of a tokenizer file that WordEncoder repeats for plain texts.
+KNOWN_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class LibraryEncoder:
+    """Counts of any tokenizer file, by the library alone. Texts aren't cut: nothing is known of where its tokens end."""
+
+    chunks = False
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.lib = Tokenizer.from_file(path)
+        self.lib.no_truncation()
+        self.lib.no_padding()
+
+    def count(self, text: str) -> int:
+        return len(self.lib.encode(text, add_special_tokens=False))
+
+
+def encoder(path: str) -> WordEncoder | LibraryEncoder:
+    """The quick encoder where the file's normalizer and split are those that it repeats, else the library's."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    split = file.get("pre_tokenizer") or {}
+    first = (split.get("pretokenizers") or [{}])[0]
+    known = file.get("normalizer") == KNOWN_NORMALIZER and first.get("type") == "Split" and first.get("pattern") == {"Regex": KNOWN_SPLIT}
+    known = known and (first.get("behavior"), first.get("invert")) == ("Removed", True) and [x.get("type") for x in split["pretokenizers"][1:]] == ["ByteLevel"]
+    known = known and not split["pretokenizers"][1].get("add_prefix_space", True) and (file.get("model") or {}).get("type") == "BPE" and not file["model"].get("dropout")
+    return WordEncoder(path) if known else LibraryEncoder(path)
+
+
 class WordEncoder:
-    """Counts of tokens by pretoken, equal to the library's, with offsets.
+    """Counts of tokens by pretoken, equal to the library's, with offsets; for files that encoder() has looked at.
 
     The library's BPE never merges across pretokens, so a pretoken's count can be remembered; the library itself counts
     each new one. Its normalizer (NFC, white space, lower case) and its split are repeated here only for texts of the
     characters in SAFE, where they are plain: all others go to the library whole, special strings included.
     """
 
+    chunks = True
     #: ASCII without the control characters that regex engines treat differently, Latin-1 letters and a few
     #: punctuation marks; NFC leaves them alone and lower() maps each to one character.
     SAFE = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1\xa9\xab\xae\xbb\xbf\xc0-\xd6\xd8-\xf6\xf8-\xff–—‘’“”…]*")
@@ -77,14 +115,14 @@ def _stable(text: str, at: int, special: list[str]) -> bool:
     return not any(x in text[max(0, at - len(x) + 1) : at + len(x) - 1] for x in special)
 
 
-def spliced_count(enc: WordEncoder, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
+def spliced_count(enc: WordEncoder | LibraryEncoder, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
     """Tokens of text from chunks that overlap.
 
     Each chunk is encoded with offsets. In the overlap of two neighbours, the splice is the first position that is
     stable (see _stable), starts a token in both, and from which both give the same tokens up to the earlier chunk's
     last stable position; without one, the overlap is doubled and the earlier chunk encoded further, up to all of text.
     """
-    if len(text) <= chunk:
+    if len(text) <= chunk or not enc.chunks:
         return enc.count(text)
     total, start, width = 0, 0, overlap
     while True:
@@ -117,7 +155,8 @@ def _common_boundary(text, left, right, after, end, special) -> int | None:
 def token_counts(docs: DataFrame, id_col: str, text_col: str, path: str, limit: int = 2048, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
     """One row per row of docs: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
-    As the library at `path` counts, without added special tokens, truncation or padding; special strings inside texts
+    As the library counts with the file at `path`, whichever it is (huge texts in chunks where the file's split is one that
+    WordEncoder knows, else whole), without added special tokens, truncation or padding; special strings inside texts
     are what the library's default makes of them. A null text is an empty one: 0 bytes, 0 tokens. Narrow: no shuffle;
     a lost executor's tasks run again. Other columns of docs are left out.
     """
@@ -127,8 +166,8 @@ def token_counts(docs: DataFrame, id_col: str, text_col: str, path: str, limit:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        enc = WordEncoder(_on_this_machine(path, name))
-        for batch in batches:
+        enc = encoder(_on_this_machine(path, name))
+        for batch in some_rows(batches, 1):
             n = [spliced_count(enc, t, chunk, overlap) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["_id", "_n"])
 

@@ -12,12 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, written
+from .common import SPACE, ascii_lower, some_rows, written
 
 #: Labelled rows that are learnt from at most: those of the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
-#: Lexicon entries at most, those in the most toxic rows first.
-MAX_ENTRIES = 512
 #: An entry's least share of toxic training rows, and of toxic rows among those that have it.
 MIN_SHARE, MIN_PRECISION = 0.01, 0.8
 #: And its least evidence in nats: rows that have it, times the divergence of their toxic share from all rows'.
@@ -25,8 +23,6 @@ MIN_GAIN = 14.0
 STEM_LETTERS = (3, 4, 5, 6, 7, 8)
 #: Words either side of a hit that make its context.
 CONTEXT_WORDS = 8
-#: Common insults that stand in the lexicon whatever the labels say.
-SEED_WORDS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
 WORD = re.compile(r"[^\W\d_]+")
 QUOTES = "\"“”„«»‹›"
 MEMO_WORDS = 400_000
@@ -193,7 +189,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def learn_lexicon(train: DataFrame) -> list[str]:
-    """Words, and stems `stem*`, that toxic rows have and others hardly do, with SEED_WORDS."""
+    """Words, and stems `stem*`, that toxic rows have and others hardly do; none where all rows have one label. Each is in
+    MIN_SHARE of the toxic rows, so they are at most 1 / MIN_SHARE times as many as such a row has terms on average,
+    whatever the size of the corpus: train is bounded."""
     words = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda w: F.length(w) >= 4)
 
     def stems_of(n: int) -> Column:  # a function each: a second parameter of a lambda would be the index
@@ -203,32 +201,30 @@ def learn_lexicon(train: DataFrame) -> list[str]:
     each = train.select("toxic", words.alias("w")).select("toxic", F.explode(F.array_distinct(F.concat("w", *stems))).alias("term"))
     of = train.agg(F.sum((F.col("toxic") == 1).cast("long")).alias("a"), F.count(F.lit(1)).alias("n")).first()
     if not of["a"] or of["a"] == of["n"]:
-        return sorted(SEED_WORDS)
+        return []
     base = of["a"] / of["n"]
     count = each.groupBy("term").agg(F.sum((F.col("toxic") == 1).cast("long")).alias("a"), F.count(F.lit(1)).alias("n"))
     p = F.least(F.col("a") / F.col("n"), F.lit(1 - 1e-9))
     gain = F.col("n") * (p * F.log(p / base) + (1 - p) * F.log((1 - p) / (1 - base)))
     count = count.filter((F.col("a") >= MIN_SHARE * of["a"]) & (F.col("a") >= MIN_PRECISION * F.col("n")) & (gain >= MIN_GAIN))
-    count = count.orderBy(F.desc("a"), "term").limit(8 * MAX_ENTRIES)
-    found = {r["term"]: r["a"] for r in count.collect()}  # at most 8 * MAX_ENTRIES rows
+    found = {r["term"]: r["a"] for r in count.select("term", "a").collect()}
     stem_of = lambda w: [w[:n] + "*" for n in STEM_LETTERS if len(w.rstrip("*")) > n]
     # a stem that is nearly always one word is that word
     single = {s for w, a in found.items() if w[-1] != "*" for s in stem_of(w) if a >= 0.8 * found.get(s, math.inf)}
-    kept = [t for t in found if t not in single and not any(s in found and s not in single for s in stem_of(t))]
-    return sorted({*kept[:MAX_ENTRIES], *SEED_WORDS})
+    return sorted(t for t in found if t not in single and not any(s in found and s not in single for s in stem_of(t)))
 
 
 def clean_words(train: DataFrame, entries: list[str]) -> frozenset[str]:
-    """Words near an entry, but not it, that rows labelled clean use: at most 8 * MAX_ENTRIES, the commonest."""
+    """Words near an entry, but not it, that rows of train labelled clean use: all of them, from bounded rows."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(entries)
-        for batch in batches:
+        for batch in some_rows(batches, 0):
             found = [w for t in batch.column(0).to_pylist() for w in set(WORD.findall(t.lower())) if 0 < lexicon.distance(w) < 9]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["w"])
 
-    found = train.filter("toxic = 0").select("text").mapInArrow(near, "w string").groupBy("w").count().orderBy(F.desc("count"), "w").limit(8 * MAX_ENTRIES)
-    return frozenset(r["w"] for r in found.collect())  # at most 8 * MAX_ENTRIES words
+    found = train.filter("toxic = 0").select("text").mapInArrow(near, "w string").distinct()
+    return frozenset(r["w"] for r in found.collect())
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> DataFrame:
@@ -236,16 +232,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     The lexicon and six weights are learnt from at most `rows` labelled rows that aren't held out; each whole text is
     then scored by them alone. Null texts are empty and score as texts without a hit; rows without labels are scored
-    like others; without any labels the seed lexicon and the prior weights score. Other columns are left out.
+    like others; without labels of both kinds the lexicon is empty, and all texts get the prior weights' score of one
+    without a hit. Other columns are left out.
     """
     train = written(training_rows(docs, labels, id_col, text_col, label_col, rows), "train")
     entries = learn_lexicon(train)
     clean = clean_words(train, entries)
-    entries = [e + "=" if e not in SEED_WORDS and e[-1] != "*" and any(map(lambda w, x=Lexicon([e]): x.distance(w) < 9, clean)) else e for e in entries]
+    entries = [e + "=" if e[-1] != "*" and any(map(lambda w, x=Lexicon([e]): x.distance(w) < 9, clean)) else e for e in entries]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(entries, clean)
-        for batch in batches:
+        for batch in some_rows(batches, 1):
             found = [features(t or "", lexicon) for t in batch.column(1).to_pylist()]
             f = pa.array([x[0] for x in found], pa.list_(pa.float64()))
             n = [pa.array([x[i] for x in found], pa.int32()) for i in (1, 2, 3)]

@@ -16,10 +16,9 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 ROUNDS, DAMPING = 10, 0.85
-#: A host is blocked where distrust is more than this share of trust and distrust.
-MAX_DISTRUST = 0.5
-#: Trust that a page without a rule lends its host, where an allowed page lends 1.
-BENEFIT = 0.5
+#: A host is blocked where distrust is more than this share of trust and distrust, and at least so much: the rank of a host
+#: without links of whose pages a third are blocked.
+MAX_DISTRUST, MIN_DISTRUST = 0.5, 0.05
 
 
 def host_of(url: Column) -> Column:
@@ -65,7 +64,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     edges into a host: one join and one pre-aggregated sum each. Mass of hosts without out-edges is not dealt again.
     Every fifth round's ranks are cut from their lineage by a written table."""
     start = seeds.select("kind", "host", (F.lit(1 - damping) * F.col("seed")).alias("rank"))
-    rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
+    rank = seeds.select("kind", "host", "seed").withColumnRenamed("seed", "rank")
     for i in range(rounds):
         flow = edges.join(rank.withColumnRenamed("host", "src"), ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.lit(damping) * F.col("share") * F.col("rank")).alias("rank"))
         rank = start.unionByName(flow).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
@@ -74,14 +73,14 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     return rank
 
 
-def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES, rounds: int = ROUNDS, damping: float = DAMPING, max_distrust: float = MAX_DISTRUST, benefit: float = BENEFIT) -> DataFrame:
+def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES, rounds: int = ROUNDS, damping: float = DAMPING, max_distrust: float = MAX_DISTRUST, min_distrust: float = MIN_DISTRUST) -> DataFrame:
     """One row per row of pages: id, host, path, rule, verdict, host_trust, host_distrust.
 
-    verdict is the rule's, else the host's. Trusted seeds are hosts in proportion to their pages that rules allow
-    (and, at `benefit`, to those without a rule), blocked seeds to those that rules block; trust runs along links, distrust against them (who links to a blocked host
-    is suspect). A host is blocked where distrust / (trust + distrust) is over max_distrust, and allowed where neither
-    reaches it. Null or odd urls: empty host and path, no rule, allowed by default unless the empty host is blocked,
-    which takes no part in the graph and so never is. Null html: no links. Other columns of pages are left out.
+    verdict is the rule's, else the host's. Seeds are hosts with ruled pages alone: trusted ones in proportion to the
+    share of their pages that rules allow, blocked ones to the share that rules block; trust runs along links, distrust
+    against them (who links to a blocked host is suspect). A host is blocked where distrust / (trust + distrust) is over
+    max_distrust and distrust is at least min_distrust, and allowed otherwise. Null or odd urls: empty host and path, no
+    rule, and allowed, as the empty host takes no part in the graph. Null html: no links. Other columns are left out.
     """
     d = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").alias("_u"), F.col(f"`{html_col}`").alias("_h"))
     d = d.withColumn("host", host_of(F.col("_u"))).withColumn("path", path_of(F.col("_u")))
@@ -89,7 +88,7 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     d = d.withColumn("rule", rule).withColumn("_said", said)
 
     share = lambda v: F.avg((F.col("_said").eqNullSafe(v)).cast("double"))
-    judged = d.groupBy("host").agg((share("allow") + benefit * share(None)).alias("trust"), share("block").alias("distrust")).filter("host <> ''")
+    judged = d.groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")).filter("host <> ''")
     judged = written(judged, "seeds")
     edges = written(host_edges(d, "host", "_h").unionByName(parent_edges(judged)).groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "edges")
     turned = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
@@ -101,8 +100,9 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     bad = ranks.groupBy(F.col("host").alias("_host")).agg(*[F.sum(F.when(F.col("kind") == k, F.col("rank")).otherwise(0.0)).alias(f"host_{k}") for k in ("trust", "distrust")])
     bad = written(bad, "verdicts")
     out = d.drop("_h", "_u").join(maybe_broadcast(bad), F.col("host") == F.col("_host"), "left")
-    blocked = F.col("host_distrust") > max_distrust * (F.col("host_trust") + F.col("host_distrust"))
+    blocked = (F.col("host_distrust") > max_distrust * (F.col("host_trust") + F.col("host_distrust"))) & (F.col("host_distrust") >= min_distrust)
     return out.select(
         F.col("_id").alias(id_col), "host", "path", "rule",
-        F.coalesce(F.col("_said"), F.when(blocked, "block").otherwise("allow")).alias("verdict"), "host_trust", "host_distrust",
+        F.coalesce(F.col("_said"), F.when(blocked, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("host_trust", F.lit(0.0)).alias("host_trust"), F.coalesce("host_distrust", F.lit(0.0)).alias("host_distrust"),
     )
