@@ -79,6 +79,11 @@ def rescale_byte(v, low: float, high: float) -> Column:
     return F.floor(stretch(v, low, high) * 255).cast("int")
 
 
+def class_color(cls, colors: dict[int, str]) -> Column:
+    """A class's colour, null for a class without one."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in colors.items() for x in kv]), _c(cls).cast("int"))
+
+
 def qa_names(qa) -> Column:
     """Names of the bits that are set, comma-joined from bit 0."""
     return F.array_join(F.filter(F.array(*[F.when(_c(qa).bitwiseAND(F.lit(1 << i)) != 0, F.lit(n)) for i, n in enumerate(QA_BITS)]), lambda x: x.isNotNull()), ",")

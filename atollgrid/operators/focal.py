@@ -1,6 +1,6 @@
-"""Neighbourhood operators (N1 to N5) as pairs of one-dimensional window passes.
+"""Neighbourhood operators (N1 to N5): morphology on blocks with borders, the others as pairs of one-dimensional window passes.
 
-A tile's rows, then its columns, are the windows' partitions: each is one pixel wide, so a tile is worked by thousands of
+A tile's rows, then its columns, are these windows' partitions: each is one pixel wide, so a tile is worked by thousands of
 tasks' worth of partitions and a pixel is shuffled twice, whatever the neighbourhood's size. `key` names the tile's columns.
 """
 
@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Pixels a side of a block that one task works on at a time.
+BLOCK = 256
+
 
 def row(key: list[str], radius: int | None = None):
     w = Window.partitionBy(*key, "y").orderBy("x")
@@ -71,33 +76,58 @@ def disk_widths(radius: int) -> dict[int, int]:
     return {dy: int(math.sqrt(radius * radius - dy * dy)) for dy in range(-radius, radius + 1)}
 
 
-def _disk(df: DataFrame, mask: str, out: str, key: list[str], radius: int, agg, outside: int) -> DataFrame:
-    widths = disk_widths(radius)
-    d = df.withColumns({f"_w{w}": agg(F.col(mask)).over(row(key, w)) for w in sorted(set(widths.values()))})
-    w0 = Window.partitionBy(*key, "x").orderBy("y")
-    parts = [F.coalesce(F.max(f"_w{w}").over(w0.rangeBetween(dy, dy)), F.lit(outside)) for dy, w in widths.items()]
-    pick = F.greatest if outside == 0 else F.least
-    return d.withColumn(out, pick(*parts) if len(parts) > 1 else parts[0]).drop(*[f"_w{w}" for w in set(widths.values())])
+def _spread(grid: np.ndarray, radius: int, outside: int) -> np.ndarray:
+    """The largest (outside: 0) or least (outside: 1) value of the disk around each cell; beyond the grid is outside."""
+    pick, (h, w) = np.maximum if outside == 0 else np.minimum, grid.shape
+    wide = np.pad(grid, radius, constant_values=outside)
+    out = grid.copy()
+    for dy, half in disk_widths(radius).items():
+        for dx in range(-half, half + 1):
+            pick(out, wide[radius + dy : radius + dy + h, radius + dx : radius + dx + w], out=out)
+    return out
+
+
+def morphology(df: DataFrame, mask: str, out: str, key: list[str], steps: list[tuple[int, int]], block: int = BLOCK) -> DataFrame:
+    """df with `out`: the steps (radius, 0 to dilate or 1 to erode) on a 0/1 mask, with disks. Pixels that aren't there
+    count as 0 when dilating and as 1 when eroding.
+
+    One shuffle of key, place and mask, of blocks with a border of the steps' radii in all, within which a block's own
+    pixels need no other's; the result is joined back by place, so other columns never pass through Python.
+    """
+    border = sum(r for r, _ in steps)
+    kinds = dict(df.dtypes)
+    near = lambda c: F.explode(F.sequence(F.floor((F.col(c) - border) / block), F.floor((F.col(c) + border) / block)))
+    slim = df.select(*key, "y", "x", F.col(mask).cast("int").alias("_m")).withColumn("_by", near("y")).withColumn("_bx", near("x"))
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        by, bx = int(pdf["_by"].iloc[0]), int(pdf["_bx"].iloc[0])
+        y, x = (pdf[c].to_numpy(np.int64) - b * block + border for c, b in (("y", by), ("x", bx)))
+        size = block + 2 * border
+        there, grid = np.zeros((size, size), bool), np.zeros((size, size), np.uint8)
+        there[y, x], grid[y, x] = True, pdf["_m"].to_numpy()
+        for radius, outside in steps:
+            grid = _spread(np.where(there, grid, np.uint8(outside)), radius, outside)
+        own = (y >= border) & (y < border + block) & (x >= border) & (x < border + block)
+        return pdf.loc[own, [*key, "y", "x"]].assign(**{"_out": grid[y[own], x[own]].astype("int32")})
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*key, "y", "x"]) + ", _out int"
+    done = slim.groupBy(*key, "_by", "_bx").applyInPandas(work, schema)
+    rest = df.drop(out) if out != mask else df.drop(mask)
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*key, "y", "x"]]
+    return rest.alias("l").join(done.alias("r"), same, "left").select("l.*", F.col("r._out").alias(out))
 
 
 def dilation(df: DataFrame, mask: str, out: str, key: list[str], radius: int) -> DataFrame:
     """1 where a pixel of the disk around is 1; outside counts as 0."""
-    return _disk(df, mask, out, key, radius, F.max, 0)
+    return morphology(df, mask, out, key, [(radius, 0)])
 
 
 def erosion(df: DataFrame, mask: str, out: str, key: list[str], radius: int) -> DataFrame:
     """1 where all pixels of the disk around are 1; outside counts as 1."""
-    return _disk(df, mask, out, key, radius, F.min, 1)
+    return morphology(df, mask, out, key, [(radius, 1)])
 
 
 def clean_mask(df: DataFrame, mask: str, out: str, key: list[str], steps=(("opening", 3), ("dilation", 5), ("erosion", 2))) -> DataFrame:
     """Morphological steps on a 0/1 mask, with disks of the given radius (the element's shape is our choice)."""
-    d = df.withColumn(out, F.col(mask).cast("int"))
-    for step, radius in steps:
-        if step in ("opening", "erosion"):
-            d = erosion(d, out, out, key, radius)
-        if step in ("opening", "dilation", "closing"):
-            d = dilation(d, out, out, key, radius)
-        if step == "closing":
-            d = erosion(d, out, out, key, radius)
-    return d
+    parts = {"opening": (1, 0), "closing": (0, 1), "dilation": (0,), "erosion": (1,)}
+    return morphology(df, mask, out, key, [(radius, outside) for step, radius in steps for outside in parts[step]])

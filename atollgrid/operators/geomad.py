@@ -67,9 +67,10 @@ def deviations(x: np.ndarray, valid: np.ndarray, m: np.ndarray) -> tuple[np.ndar
             return tuple(np.nanmedian(np.where(valid, d, np.nan), axis=1) for d in found)
 
 
-def geomad(df: DataFrame, bands: list[str], key: list[str], block: int = BLOCK, iterations: int = 100) -> DataFrame:
+def geomad(df: DataFrame, bands: list[str], key: list[str], block: int = BLOCK, iterations: int = 100, scale: float = 1.0, offset: float = 0.0) -> DataFrame:
     """A1: per pixel the geometric median of each band (rounded to whole numbers, 0 without observation), smad, emad and
-    bcmad (NaN without one) and count. One shuffle on blocks of pixels; a block's rows are its pixels' observations, so
+    bcmad (NaN without one) and count. Bands are stored numbers; the deviations are those of scale * number + offset (the
+    median is the same by either). Without iterations the estimate is the mean. One shuffle on blocks of pixels; a block's rows are its pixels' observations, so
     its size is set by `block`, not by the data's spread. Only the bands and keys are shuffled."""
     need = df.select(*key, "y", "x", *bands).withColumns({"_by": F.floor(F.col("y") / block), "_bx": F.floor(F.col("x") / block)})
     out = [*[f"`{f.name}` {f.dataType.simpleString()}" for f in need.select(*key, "y", "x").schema], *[f"`{b}` int" for b in bands], "smad float", "emad float", "bcmad float", "count int"]
@@ -84,7 +85,7 @@ def geomad(df: DataFrame, bands: list[str], key: list[str], block: int = BLOCK,
         x, valid = np.zeros((len(first), int(size.max()), len(bands))), np.zeros((len(first), int(size.max())), bool)
         x[pixel, time], valid[pixel, time] = values, (values != 0).all(axis=1)
         m = geometric_medians(x, valid, iterations)
-        s, e, b = deviations(x, valid, m)
+        s, e, b = deviations(x * scale + offset, valid, m * scale + offset)
         n = valid.sum(axis=1)
         res = {k: pdf[k].to_numpy()[first] for k in [*key, "y", "x"]}
         res |= {band: np.where(n > 0, np.floor(m[:, i] + 0.5), 0).astype("int32") for i, band in enumerate(bands)}

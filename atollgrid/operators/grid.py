@@ -63,17 +63,36 @@ def _from_edges(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.nda
 def in_polygon(rings: list, buffer: float = 0.0):
     """A pandas UDF (x, y) -> whether a point is in the polygon of these rings (holes by even-odd) or
     within `buffer` of it. The rings are one country's: fixed, and small beside the pixels."""
-    polygon = [np.asarray(r, float) for r in rings]
+    return in_union([rings], buffer)
+
+
+def in_union(polygons: list, buffer: float = 0.0):
+    """in_polygon() of the union of polygons, each a list of rings; where they overlap a point is in it all the same."""
+    parts = [[np.asarray(r, float) for r in rings] for rings in polygons]
 
     @F.pandas_udf("boolean")
     def inside(x: pd.Series, y: pd.Series) -> pd.Series:
         a, b = x.to_numpy(float), y.to_numpy(float)
-        found = _inside(a, b, polygon)
-        return pd.Series(found | (_from_edges(a, b, polygon) <= buffer) if buffer > 0 else found)
+        found = np.zeros(len(a), bool)
+        for rings in parts:
+            found |= _inside(a, b, rings)
+            if buffer > 0:
+                found |= _from_edges(a, b, rings) <= buffer
+        return pd.Series(found)
 
     return inside
 
 
+def clip(df: DataFrame, rings: list, size: float, x: str = "x", y: str = "y", all_touched: bool = True) -> DataFrame:
+    """Pixels, squares of side `size` about (x, y), that touch a polygon; or whose middles are in it. The polygon's box
+    reaches the scan."""
+    p, h = np.concatenate([np.asarray(r, float) for r in rings]), size / 2 * all_touched
+    (x0, y0), (x1, y1) = p.min(0).tolist(), p.max(0).tolist()
+    d = crop(df, x0 - h, y0 - h, x1 + h, y1 + h, x, y)
+    middle = (F.col(x), F.col(y))
+    return d.filter(touches_polygon(rings)(*[c - F.lit(h) for c in middle], *[c + F.lit(h) for c in middle]) if all_touched else in_polygon(rings)(*middle))
+
+
 def touches_polygon(rings: list):
     """A pandas UDF (x0, y0, x1, y1) -> whether a box touches the polygon: a corner inside, an edge's end in the
     box, or edges that cross."""
@@ -106,9 +125,9 @@ def tiles_of_polygon(spark, rings: list, region: str = "non-pacific") -> DataFra
     return t.filter(touches_polygon(rings)(*sides)).select("ix", "iy", "label")
 
 
-def merged_rings(df: DataFrame, country: str, rings: str) -> DataFrame:
-    """A country's rings, of all its rows, as one list."""
-    return df.groupBy(country).agg(F.flatten(F.collect_list(rings)).alias(rings))
+def merged_polygons(df: DataFrame, country: str, rings: str) -> DataFrame:
+    """A country's polygons, of all its rows, as one list, whose union in_union() tests."""
+    return df.groupBy(country).agg(F.collect_list(rings).alias(rings))
 
 
 def join_regions(points: DataFrame, boxes: DataFrame, x: str = "x", y: str = "y", cell: float = 100_000.0) -> DataFrame:

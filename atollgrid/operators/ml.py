@@ -56,18 +56,23 @@ def lloyd(x: np.ndarray, k: int, seed: int, starts: int = 10, steps: int = 100)
     return best[1], best[2]
 
 
-def silhouette(x: np.ndarray, label: np.ndarray) -> float:
-    d = np.sqrt(((x[:, None] - x) ** 2).sum(2))
-    ks = np.unique(label)
+def silhouette(x: np.ndarray, label: np.ndarray, block: int = 512) -> float:
+    """Mean silhouette by Euclidean distance, of a block's rows against all others at a time."""
+    ks, own = np.unique(label, return_inverse=True)
     if len(ks) < 2:
         return -1.0
-    mean = np.stack([d[:, label == k].sum(1) / np.maximum(1, (label == k).sum() - (label == k)) for k in ks], 1)
-    own = np.searchsorted(ks, label)
-    a = mean[np.arange(len(x)), own]
-    mean[np.arange(len(x)), own] = np.inf
-    b = mean.min(1)
-    single = np.bincount(own)[own] == 1
-    return float(np.where(single, 0.0, (b - a) / np.maximum(np.maximum(a, b), 1e-12)).mean())
+    member, size = np.eye(len(ks))[own], np.bincount(own)
+    square, total = (x * x).sum(1), 0.0
+    for i in range(0, len(x), block):
+        rows = np.arange(i, min(len(x), i + block))
+        d = np.sqrt(np.maximum(square[rows, None] + square - 2 * x[rows] @ x.T, 0.0))
+        d[np.arange(len(rows)), rows] = 0.0
+        mean = d @ member / np.maximum(1, size - member[rows])
+        a = mean[np.arange(len(rows)), own[rows]]
+        mean[np.arange(len(rows)), own[rows]] = np.inf
+        b = mean.min(1)
+        total += float(np.where(size[own[rows]] == 1, 0.0, (b - a) / np.maximum(np.maximum(a, b), 1e-12)).sum())
+    return total / len(x)
 
 
 def kmeans_distance(df: DataFrame, cls: str, features: list[str], out: str = "distance", seed: int = 42, group: list[str] = ()) -> DataFrame:

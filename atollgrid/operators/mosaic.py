@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import rescale_byte
+from ..functions.columns import GRIDS, class_color, equal_area, grid_tile, rescale_byte, tooltip
 
 MIN_ZOOM, MAX_ZOOM = 5, 14
 
@@ -61,9 +61,45 @@ def mosaic_path(mosaics: DataFrame, dataset: str, year: str) -> str:
     return found[year]
 
 
+def tile_cells(pixels: DataFrame, west: float, south: float, east: float, north: float, size: int = 256) -> DataFrame:
+    """V1: the pixels (lon, lat) of a web tile, with the row and col of the tile's cell that each lies in."""
+    d = pixels.filter(F.col("lon").between(west, east) & F.col("lat").between(south, north))
+    place = {"row": (north - F.col("lat")) / (north - south), "col": (F.col("lon") - west) / (east - west)}
+    return d.withColumns({k: F.least(F.floor(v * size), F.lit(size - 1)).cast("int") for k, v in place.items()})
+
+
 def render_tile(pixels: DataFrame, west: float, south: float, east: float, north: float, value: str, low: float, high: float, size: int = 256, order: str = "asset") -> DataFrame:
     """V1: (row, col, value, byte) of a web tile: pixels binned into it, the first asset's value where several meet."""
-    d = pixels.filter(F.col("lon").between(west, east) & F.col("lat").between(south, north) & F.col(value).isNotNull())
-    cell = {"row": F.least(F.floor((north - F.col("lat")) / (north - south) * size), F.lit(size - 1)).cast("int"), "col": F.least(F.floor((F.col("lon") - west) / (east - west) * size), F.lit(size - 1)).cast("int")}
-    d = d.withColumns(cell).groupBy("row", "col").agg(F.min_by(value, F.struct(order, value)).alias(value))
-    return d.withColumn("byte", rescale_byte(value, low, high))
+    return render_bands(pixels, west, south, east, north, {value: F.col(value)}, (low, high), size, order).withColumnRenamed(f"{value}_byte", "byte")
+
+
+def render_bands(pixels: DataFrame, west: float, south: float, east: float, north: float, bands: dict[str, Column], rescale: tuple[float, float], size: int = 256, order: str = "asset") -> DataFrame:
+    """V1: (row, col, and of each band its value and NAME_byte) of a web tile. Bands are expressions over the pixels'
+    columns, each the first asset's that has it where several pixels meet in a cell."""
+    d = tile_cells(pixels, west, south, east, north, size).withColumns({f"_{n}": e for n, e in bands.items()})
+    first = [F.min_by(f"_{n}", F.when(F.col(f"_{n}").isNotNull(), F.struct(order, f"_{n}"))).alias(n) for n in bands]
+    d = d.groupBy("row", "col").agg(*first).filter(F.coalesce(*[F.col(n).cast("double") for n in bands]).isNotNull())
+    return d.withColumns({f"{n}_byte": rescale_byte(n, *rescale) for n in bands})
+
+
+def render_classes(pixels: DataFrame, west: float, south: float, east: float, north: float, value: str, colors: dict[int, str], size: int = 256, order: str = "asset") -> DataFrame:
+    """(row, col, value, color) of a web tile of classes; cells of classes without a colour are left out."""
+    d = tile_cells(pixels, west, south, east, north, size).filter(F.col(value).isNotNull())
+    d = d.groupBy("row", "col").agg(F.min_by(value, F.struct(order, value)).alias(value))
+    return d.withColumn("color", class_color(value, colors)).filter("color is not null")
+
+
+def pixel_of(lon, lat, resolution: float = 30.0) -> dict[str, Column]:
+    """V2: tile (ix, iy) and pixel (y from the tile's north, x from its west) in which a longitude and latitude lie."""
+    px, py = equal_area(lon, lat)
+    (ox, oy, width), (ix, iy) = GRIDS["non-pacific"], grid_tile(px, py)
+    x = F.floor((px - F.lit(ox) - ix * F.lit(width)) / F.lit(resolution)).cast("int")
+    y = F.floor((F.lit(oy) + (iy + 1) * F.lit(width) - py) / F.lit(resolution)).cast("int")
+    return {"ix": ix, "iy": iy, "y": y, "x": x}
+
+
+def point_values(points: DataFrame, layers: DataFrame, values: list[str], resolution: float = 30.0) -> DataFrame:
+    """V2: points (lon, lat) with the layers' values where they lie, and `tip`, the tooltip. Points become tile and pixel
+    numbers by arithmetic, so the look-up is an equi-join on these."""
+    p = points.withColumns(pixel_of("lon", "lat", resolution))
+    return p.join(layers.select("ix", "iy", "y", "x", *values), ["ix", "iy", "y", "x"], "left").withColumn("tip", tooltip(values, values))

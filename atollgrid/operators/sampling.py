@@ -10,8 +10,11 @@ BUCKETS = 256
 
 
 def hash_rank(id_: Column, seed: int = 42) -> Column:
-    """A row's place in a fixed random order that any SQL engine can compute."""
-    return F.pmod((id_ + F.lit(seed)) * F.lit(2654435761), F.lit(4294967296))
+    """A row's place in a fixed random order that any SQL engine can compute: (id's low and high 32 bits, and the seed, as
+    one number of 32 bits) * an odd number of 31 bits, modulo 2 ** 32. No product leaves 63 bits, whatever the id."""
+    word = F.lit(4294967296)
+    mixed = F.pmod(id_, word) + F.pmod(F.shiftright(id_, 32), F.lit(2147483648)) * F.lit(40503) + F.lit(seed)
+    return F.pmod(F.pmod(mixed, word) * F.lit(1540483477), word)
 
 
 def quotas(df: DataFrame, cls: str, method: str, n: int, least: int = 5, manual: dict[str, int] | None = None) -> DataFrame:
@@ -36,8 +39,7 @@ def quotas(df: DataFrame, cls: str, method: str, n: int, least: int = 5, manual:
 
 
 def sample(df: DataFrame, cls: str, id_: str, method: str = "stratified_random", n: int = 2100, least: int = 5, manual: dict[str, int] | None = None, drop: int | None = 0, seed: int = 42) -> DataFrame:
-    """Seeded sample of df's rows, the first of each class in hash order. A class is ranked in BUCKETS of its hash:
-    buckets before the one that the quota falls in are taken whole, so no window holds more than a bucket."""
+    """Seeded sample of df's rows, the first of each class in hash order."""
     d = df if drop is None else df.filter(F.col(cls) != drop)
     if method == "random":
         if n > d.count():
@@ -47,23 +49,32 @@ def sample(df: DataFrame, cls: str, id_: str, method: str = "stratified_random",
     return take(d, q, cls, id_, seed)
 
 
+def _ranked(d: DataFrame, cls: str, bucket: str, order: list) -> DataFrame:
+    """d with `_r`, a row's rank in its class, and `_n`, the class's rows: ranks are taken within buckets that follow each
+    other in the order, after the counts of those before, so that no task holds a class."""
+    per = d.groupBy(F.col(cls).alias("_c"), F.col(bucket).alias("_k")).agg(F.count(F.lit(1)).alias("k"))
+    of = Window.partitionBy("_c")  # a class's buckets
+    per = per.select("_c", "_k", (F.sum("k").over(of.orderBy("_k")) - F.col("k")).alias("_before"), F.sum("k").over(of).alias("_n"))
+    j = d.join(F.broadcast(per), F.col(cls).eqNullSafe(F.col("_c")) & F.col(bucket).eqNullSafe(F.col("_k")))  # classes * BUCKETS rows at most
+    rank = F.row_number().over(Window.partitionBy("_c", "_k").orderBy(*order))
+    return j.withColumn("_r", F.col("_before") + rank).drop("_c", "_k", "_before")
+
+
+def _hashed(d: DataFrame, cls: str, id_: str, seed: int) -> DataFrame:
+    d = d.withColumn("_h", hash_rank(F.col(id_), seed)).withColumn("_b", F.floor(F.col("_h") / (4294967296 // BUCKETS)))
+    return _ranked(d, cls, "_b", ["_h", id_]).drop("_h", "_b")
+
+
 def take(d: DataFrame, quota: DataFrame, cls: str, id_: str, seed: int = 42) -> DataFrame:
     """The first `quota` rows of each class (class, quota) in hash order."""
-    d = d.withColumn("_h", hash_rank(F.col(id_), seed)).withColumn("_b", F.floor(F.col("_h") / (4294967296 // BUCKETS)))
-    per = d.groupBy(F.col(cls).alias("class"), F.col("_b").alias("bucket")).agg(F.count(F.lit(1)).alias("k"))
-    before = per.withColumn("before", F.sum("k").over(Window.partitionBy("class").orderBy("bucket")) - F.col("k")).join(quota, "class")
-    need = before.filter("before < quota").select("class", "bucket", (F.col("quota") - F.col("before")).alias("need"))
-    j = d.join(F.broadcast(need), (F.col(cls) == F.col("class")) & (F.col("_b") == F.col("bucket")))  # classes * BUCKETS rows at most
-    rank = F.row_number().over(Window.partitionBy(cls, "_b").orderBy("_h", id_))
-    return j.withColumn("_r", rank).filter("_r <= need").select(*[c for c in d.columns if c not in ("_h", "_b")])
+    ranked = _hashed(d, cls, id_, seed).join(F.broadcast(quota), F.col(cls) == F.col("class"))  # a row a class
+    return ranked.filter(F.col("_r") <= F.col("quota")).select(*d.columns)
 
 
 def stratified_split(df: DataFrame, cls: str, id_: str, share: float = 0.7, seed: int = 42) -> DataFrame:
     """Df with `train`: true for the first floor(share * n) rows of each class in hash order."""
-    w = Window.partitionBy(cls)
-    d = df.withColumn("_h", hash_rank(F.col(id_), seed))
-    r = F.row_number().over(w.orderBy("_h", id_))
-    return d.withColumn("train", r <= F.floor(F.lit(share) * F.count(F.lit(1)).over(w))).drop("_h")
+    d = _hashed(df, cls, id_, seed)
+    return d.withColumn("train", F.col("_r") <= F.floor(F.lit(share) * F.col("_n"))).drop("_r", "_n")
 
 
 #: Agreement over which a class's pixels are training pixels.
@@ -78,10 +89,13 @@ def training_pixels(df: DataFrame, cls: str, first: str, second: str, thresholds
 
 
 def worst(df: DataFrame, cls: str, distance: str, id_: str, share: float = 0.05) -> DataFrame:
-    """Df with `outlier`: true for the max(1, floor(share * n)) rows of each class farthest off, ties by id."""
-    w = Window.partitionBy(cls)
-    r = F.row_number().over(w.orderBy(F.desc(distance), id_))
-    return df.withColumn("outlier", r <= F.greatest(F.lit(1), F.floor(F.lit(share) * F.count(F.lit(1)).over(w))))
+    """Df with `outlier`: true for the max(1, floor(share * n)) rows of each class farthest off, ties by id. Rows are
+    ranked between quantiles of their class's distances, which need not be exact for the ranks to be."""
+    cuts = df.groupBy(F.col(cls).alias("_q")).agg(F.percentile_approx(distance, F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])).alias("_cuts"))
+    d = df.join(F.broadcast(cuts), F.col(cls).eqNullSafe(F.col("_q")))  # a row a class
+    d = d.withColumn("_b", F.aggregate("_cuts", F.lit(0), lambda n, x: n + (x > F.col(distance)).cast("int"))).drop("_q", "_cuts")
+    d = _ranked(d, cls, "_b", [F.desc(distance), id_]).drop("_b")
+    return d.withColumn("outlier", F.col("_r") <= F.greatest(F.lit(1), F.floor(F.lit(share) * F.col("_n")))).drop("_r", "_n")
 
 
 def keep_first(df: DataFrame, key: list[str], order: list) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import UNSCALED, scale_reflectance, spectral_indices
+from ..functions.columns import OFFSET, SCALE, UNSCALED, scale_reflectance, spectral_indices
 from ..operators import compare, focal, geomad, masks, ml, sampling
+from ..sources import catalog, rasters
 
 BANDS = ["nir08", "red", "green", "blue", "swir16", "swir22"]
 
@@ -23,7 +24,7 @@ def annual_composite(obs: DataFrame, bands: list[str], key: list[str], least: in
         d = masks.mask_saturated(d, bands)
     else:
         d = masks.mask_observations(d, bands, include_shadow)
-    return geomad.geomad(d, bands, key, block)
+    return geomad.geomad(d, bands, key, block, scale=SCALE, offset=OFFSET)
 
 
 def features(composite: DataFrame, bands: list[str]) -> DataFrame:
@@ -38,6 +39,16 @@ def with_terrain(feat: DataFrame, dem: DataFrame, resolution: float, key: list[s
     return feat.join(t.select(*key, "y", "x", *[F.col(c).cast("float").alias(c) for c in ("elevation", "slope", "aspect")]), [*key, "y", "x"], "left")
 
 
+def dem_terrain(items: DataFrame, pixels: DataFrame, points: DataFrame, west: float, east: float, step: float, resolution: float, key: list[str]) -> DataFrame:
+    """Elevation, slope and aspect at a tile's points (key, y, x, lon, lat) from 1 to 9 items' pixels (lon, lat,
+    elevation, step degrees apart). A tile over the antimeridian (west over east) needs items of both sides."""
+    catalog.bounded(items, 1, 9)
+    if west > east:
+        rasters.join_halves(items)
+    d = rasters.over_antimeridian(pixels, points, "elevation", step)
+    return focal.terrain(d, "elevation", resolution, key)
+
+
 def classify(composite: DataFrame, dem: DataFrame, model, bands: list[str], key: list[str], resolution: float = 30.0, threshold: float = 30.0) -> DataFrame:
     """M8: scale, indices, terrain, join, score: one plan, no collect."""
     d = with_terrain(features(composite, bands), dem, resolution, key)

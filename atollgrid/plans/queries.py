@@ -107,12 +107,23 @@ _SCALED = f"scaled AS (SELECT pixel, {many(BANDS, f"CAST(coalesce({_REFL}, CAST(
 _INDICES = "idx AS (SELECT pixel, " + ", ".join(f"({a}) / ({b}){c} AS {n}" for n, (a, b, c) in _INDEX.items()) + ", (swir16 - nir08) / (swir16 + nir08) - (nir08 - red) / (nir08 + red) AS bui FROM scaled)"
 
 
+_ODD = "CASE WHEN isnan($) THEN 'nan' WHEN isinf($) AND $ > 0 THEN 'inf' WHEN isinf($) THEN '-inf' ELSE '' END"
+
+
 @query(f"WITH {cte('px_grid')}, {_SCALED}, {_INDICES} SELECT pixel, {many([*_INDEX, 'bui'], _FINITE + ' AS $')} FROM idx")
 def spectral_indices(spark, sf_dir):
     d = adapter(spark, sf_dir, "px_grid").select("pixel", *[C.scale_reflectance(b).alias(b) for b in BANDS])
     return d.withColumns(C.spectral_indices()).select("pixel", *[_finite(n).alias(n) for n in [*_INDEX, "bui"]])
 
 
+@query(f"WITH {cte('px_grid')}, d AS (SELECT pixel, CAST(pixel % 3 - 1 AS DOUBLE) AS a, CAST(pixel % 2 AS DOUBLE) AS b, CASE WHEN pixel % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS c FROM px_grid), v AS (SELECT pixel, a / b AS ab, c / b AS cb FROM d) SELECT pixel, {many(('ab', 'cb'), _FINITE + ' AS $, ' + _ODD + ' AS $_odd')} FROM v")
+def ieee_division(spark, sf_dir):
+    d = adapter(spark, sf_dir, "px_grid").select("pixel", (F.col("pixel") % 3 - 1).cast("double").alias("a"), (F.col("pixel") % 2).cast("double").alias("b"), F.when(F.col("pixel") % 5 == 0, float("nan")).otherwise(0.0).alias("c"))
+    d = d.select("pixel", C.ieee_divide("a", "b").alias("ab"), C.ieee_divide("c", "b").alias("cb"))
+    odd = lambda c: F.when(F.isnan(c), "nan").when(F.col(c) == float("inf"), "inf").when(F.col(c) == float("-inf"), "-inf").otherwise("")
+    return d.select("pixel", *[x for c in ("ab", "cb") for x in (_finite(c).alias(c), odd(c).alias(f"{c}_odd"))])
+
+
 @query(f"WITH {cte('px_grid')}, {_SCALED} SELECT pixel, {many(BANDS[1:4], 'CASE WHEN isnan($) THEN NULL ELSE round((greatest(CAST(0 AS DOUBLE), least(3e-1, $)) - 0) / 3e-1, 5) END AS $')} FROM scaled")
 def rgb_stretch(spark, sf_dir):
     d = adapter(spark, sf_dir, "px_grid").select("pixel", *[C.scale_reflectance(b).cast("double").alias(b) for b in BANDS[1:4]])
@@ -152,7 +163,26 @@ def median_composite(spark, sf_dir):
 @query()
 def geomad_composite(spark, sf_dir):
     d = masks.mask_observations(obs(spark, sf_dir), BANDS).select("tile", "y", "x", *BANDS)
-    return geomad.geomad(d, BANDS, KEY)
+    return geomad.geomad(d, BANDS, KEY, scale=C.SCALE, offset=C.OFFSET)
+
+
+_S = lambda b: f"({b} * 2.75e-5 + -2e-1)"
+_DEVIATIONS = f"""
+ok AS (SELECT tile, y, x, {many(BANDS, f'{_S("$")} AS $')} FROM m3 WHERE {_OK}),
+mid AS (SELECT tile, y, x, {many(BANDS, 'avg($) AS c_$')} FROM ok GROUP BY tile, y, x),
+far AS (
+  SELECT ok.tile, ok.y, ok.x, greatest(0, 1 - ({many(BANDS, '$ * c_$', ' + ')}) / sqrt(({many(BANDS, '$ * $', ' + ')}) * ({many(BANDS, 'c_$ * c_$', ' + ')}))) AS s,
+    sqrt({many(BANDS, '($ - c_$) * ($ - c_$)', ' + ')}) AS e, ({many(BANDS, 'abs($ - c_$)', ' + ')}) / ({many(BANDS, 'abs($ + c_$)', ' + ')}) AS b
+  FROM ok JOIN mid ON ok.tile = mid.tile AND ok.y = mid.y AND ok.x = mid.x),
+dev AS (SELECT tile, y, x, round(median(s), 4) AS smad, round(median(e), 4) AS emad, round(median(b), 4) AS bcmad, CAST(count(*) AS INT) AS "count" FROM far GROUP BY tile, y, x)"""
+
+
+@query(f"{_MASKS}, {_DEVIATIONS} SELECT * FROM dev")
+def geomad_deviations(spark, sf_dir):
+    """The three deviations on scaled values, about the mean: the estimate before its first iteration."""
+    d = masks.mask_observations(obs(spark, sf_dir), BANDS).select("tile", "y", "x", *BANDS)
+    d = geomad.geomad(d, BANDS, KEY, iterations=0, scale=C.SCALE, offset=C.OFFSET).filter("count > 0")
+    return d.select("tile", "y", "x", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("smad", "emad", "bcmad")], "count")
 
 
 @query()
@@ -295,7 +325,8 @@ def _disk_sql(radius: int) -> str:
 
 
 def _morph(name: str, of: str, radius: int, f: str) -> str:
-    return f"{name} AS (SELECT p.tile, p.pixel, p.y, p.x, {f}(q.m) AS m FROM {of} p, {_disk_sql(radius)}, {of} q WHERE q.tile = p.tile AND q.y = p.y + t.j AND q.x = p.x + t.i GROUP BY ALL)"
+    at = f"(SELECT tile, y - j AS y, x - i AS x, m FROM {of}, {_disk_sql(radius)})"
+    return f"{name}n AS MATERIALIZED (SELECT tile, y, x, {f}(m) AS m FROM {at} GROUP BY tile, y, x), {name} AS MATERIALIZED (SELECT p.tile, p.pixel, p.y, p.x, n.m AS m FROM {of} p JOIN {name}n n ON n.tile = p.tile AND n.y = p.y AND n.x = p.x)"
 
 
 @query(f"WITH {cte('px_grid')}, s0 AS (SELECT tile, pixel, y, x, CASE WHEN wc_code IN (50, 80) OR io_code = 5 THEN 1 ELSE 0 END AS m FROM px_grid), {_morph('s1', 's0', 3, 'min')}, {_morph('s2', 's1', 3, 'max')}, {_morph('s3', 's2', 5, 'max')}, {_morph('s4', 's3', 2, 'min')} SELECT pixel, m AS mask FROM s4")
@@ -366,7 +397,11 @@ def yearly_class_map(spark, sf_dir):
 
 # --- sampling
 
-_RANK = "((pixel + 42) * 2654435761) % 4294967296"
+def _rank_sql(id_: str) -> str:
+    return f"((({id_} % 4294967296 + (({id_} >> 32) % 2147483648) * 40503 + 42) % 4294967296) * 1540483477) % 4294967296"
+
+
+_RANK = _rank_sql("pixel")
 
 
 def _stable(spark, sf_dir):
@@ -396,7 +431,7 @@ def sample_random(spark, sf_dir):
     return sampling.sample(_stable(spark, sf_dir), "wc", "pixel", "random", 100, drop=None)
 
 
-_SPLIT = f"WITH {SAMPLES_CTE}, r AS (SELECT id, lulc, row_number() OVER (PARTITION BY lulc ORDER BY ((id + 42) * 2654435761) % 4294967296, id) AS r, count(*) OVER (PARTITION BY lulc) AS n FROM samples)"
+_SPLIT = f"WITH {SAMPLES_CTE}, r AS (SELECT id, lulc, row_number() OVER (PARTITION BY lulc ORDER BY {_rank_sql('id')}, id) AS r, count(*) OVER (PARTITION BY lulc) AS n FROM samples)"
 
 
 @query(f"{_SPLIT} SELECT id, lulc, r <= floor(7e-1 * n) AS train FROM r")
@@ -572,7 +607,19 @@ _E = 0.0818191908426215
 _CEA_K = math.cos(math.pi / 6) / math.sqrt(1 - (_E * 0.5) ** 2)
 
 
-@query(f"WITH {cte('items')}, s AS (SELECT id, west, sin(radians(south)) AS s FROM items), q AS (SELECT id, radians(west) * {6378137.0 * _CEA_K!r}e0 AS px, {6378137.0 / (2 * _CEA_K)!r}e0 * {1 - _E * _E!r}e0 * (s / (1 - {_E * _E!r}e0 * s * s) - {1 / (2 * _E)!r}e0 * ln((1 - {_E!r}e0 * s) / (1 + {_E!r}e0 * s))) AS py FROM s) SELECT id, CAST(floor((px + 2e7) / 96000) AS INT) AS ix, CAST(floor((py + 1e7) / 96000) AS INT) AS iy FROM q")
+_METRES = f"s AS (SELECT id, west, sin(radians(south)) AS s FROM items), q AS (SELECT id, radians(west) * {6378137.0 * _CEA_K!r}e0 AS px, {6378137.0 / (2 * _CEA_K)!r}e0 * {1 - _E * _E!r}e0 * (s / (1 - {_E * _E!r}e0 * s * s) - {1 / (2 * _E)!r}e0 * ln((1 - {_E!r}e0 * s) / (1 + {_E!r}e0 * s))) AS py FROM s)"
+_PIXELS = "z AS (SELECT id, CAST(floor((px + 2e7) / 96000) AS INT) AS ix, CAST(floor((py + 1e7) / 96000) AS INT) AS iy, px, py FROM q), k AS (SELECT id, ix, iy, CAST(floor((iy * 96000e0 + 96000 - 1e7 - py) / 30) AS INT) AS y, CAST(floor((px + 2e7 - ix * 96000e0) / 30) AS INT) AS x FROM z)"
+
+
+@query(f"WITH {cte('items')}, {_METRES}, {_PIXELS}, l AS (SELECT ix, iy, y, x, CAST(min(id) % 9 AS INT) AS lulc FROM k WHERE id % 3 = 0 GROUP BY ALL) SELECT k.id, l.lulc, CASE WHEN lulc > 0 THEN concat('lulc=', lulc) END AS tip FROM k LEFT JOIN l ON k.ix = l.ix AND k.iy = l.iy AND k.y = l.y AND k.x = l.x")
+def point_lookup(spark, sf_dir):
+    d = adapter(spark, sf_dir, "items").select("id", F.col("west").alias("lon"), F.col("south").alias("lat"))
+    known = d.filter("id % 3 = 0").withColumns(mosaic.pixel_of("lon", "lat"))
+    known = known.groupBy("ix", "iy", "y", "x").agg((F.min("id") % 9).cast("int").alias("lulc"))
+    return mosaic.point_values(d, known, ["lulc"]).select("id", "lulc", "tip")
+
+
+@query(f"WITH {cte('items')}, {_METRES} SELECT id, CAST(floor((px + 2e7) / 96000) AS INT) AS ix, CAST(floor((py + 1e7) / 96000) AS INT) AS iy FROM q")
 def tile_assign(spark, sf_dir):
     px, py = C.equal_area("west", "south")
     ix, iy = C.grid_tile(px, py)
@@ -629,9 +676,152 @@ def tile_render(spark, sf_dir):
     return mosaic.render_tile(d, 0.0, 0.0, 1.0, 1.0, "red", 7000.0, 40000.0, 16, "pixel")
 
 
-@query()
+def _beside(ring: list[tuple[float, float]], x0: str, y0: str, x1: str, y1: str) -> str:
+    """SQL: a box touches a convex, counterclockwise ring: no side of either has all of the other beyond it."""
+    xs, ys = zip(*ring, strict=True)
+    told = [f"{x1} >= {min(xs)!r}e0", f"{x0} <= {max(xs)!r}e0", f"{y1} >= {min(ys)!r}e0", f"{y0} <= {max(ys)!r}e0"]
+    for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        dx, dy = bx - ax, by - ay
+        x, y = x0 if dy > 0 else x1, y1 if dx > 0 else y0  # the box's corner that is farthest to the left of the edge
+        told.append(f"{dx!r}e0 * ({y} - {ay!r}e0) - {dy!r}e0 * ({x} - {ax!r}e0) >= 0")
+    return "(" + " AND ".join(told) + ")"
+
+
+_COUNTRY = [(0.5, 0.25), (500_000.5, 100_000.25), (200_000.5, 600_000.25)]
+_PATCH = [(10.3, 5.2), (31.1, 7.7), (18.4, 30.6)]
+
+
+@query(f"WITH t AS (SELECT ix, iy, ix * 96000e0 - 2e7 AS x0, iy * 96000e0 - 1e7 AS y0 FROM range(200, 220) a(ix), range(100, 120) b(iy)) SELECT CAST(ix AS INT) AS ix, CAST(iy AS INT) AS iy, concat(ix, '_', iy) AS label FROM t WHERE {_beside(_COUNTRY, 'x0', 'y0', '(x0 + 96000)', '(y0 + 96000)')}")
 def tiles_of_polygon(spark, sf_dir):
-    return grid.tiles_of_polygon(spark, [[(0.0, 0.0), (500_000.0, 100_000.0), (200_000.0, 600_000.0)]])
+    return grid.tiles_of_polygon(spark, [_COUNTRY])
+
+
+@query(f"WITH {cte('px_grid')} SELECT pixel FROM px_grid WHERE {_beside(_PATCH, '(x - 5e-1)', '(y - 5e-1)', '(x + 5e-1)', '(y + 5e-1)')}")
+def polygon_touched(spark, sf_dir):
+    return grid.clip(adapter(spark, sf_dir, "px_grid"), [_PATCH], 1.0).select("pixel")
+
+
+def _off(ring: list[tuple[float, float]]) -> str:
+    """SQL: the distance of (x, y) from a ring's nearest side."""
+    parts = []
+    for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        dx, dy = bx - ax, by - ay
+        t = f"greatest(0e0, least(1e0, ((x - {ax!r}e0) * {dx!r}e0 + (y - {ay!r}e0) * {dy!r}e0) / {dx * dx + dy * dy!r}e0))"
+        parts.append(f"sqrt(power(x - {ax!r}e0 - {t} * {dx!r}e0, 2) + power(y - {ay!r}e0 - {t} * {dy!r}e0, 2))")
+    return f"least({', '.join(parts)})"
+
+
+@query(f"WITH {cte('px_grid')} SELECT pixel FROM px_grid WHERE {_beside(_PATCH, 'x', 'y', 'x', 'y')} OR {_off(_PATCH)} <= 35e-1")
+def polygon_buffer(spark, sf_dir):
+    d = adapter(spark, sf_dir, "px_grid")
+    return d.filter(grid.in_polygon([_PATCH], 3.5)("x", "y")).select("pixel")
+
+
+@query(f"WITH {cte('px_grid')} SELECT pixel FROM px_grid WHERE {_beside(_PATCH, 'x', 'y', 'x', 'y')} OR (x BETWEEN 15 AND 25 AND y BETWEEN 6 AND 12)")
+def polygon_union(spark, sf_dir):
+    parts = spark.createDataFrame([("a", [_PATCH]), ("a", [[(14.5, 5.5), (25.5, 5.5), (25.5, 12.5), (14.5, 12.5)]])], "country string, rings array<array<struct<x: double, y: double>>>")
+    union = grid.merged_polygons(parts, "country", "rings").first()["rings"]  # one country's rings
+    return adapter(spark, sf_dir, "px_grid").filter(grid.in_union(union)("x", "y")).select("pixel")
+
+
+@query(f"WITH {cte('px_grid')} SELECT pixel FROM px_grid WHERE x BETWEEN 12 AND 30 AND y BETWEEN 3 AND 21")
+def crop_box(spark, sf_dir):
+    return grid.crop(adapter(spark, sf_dir, "px_grid"), 12, 3, 30, 21).select("pixel")
+
+
+@query(f"WITH {cte('px_grid')} SELECT pixel, x - 15e1 AS west, y - 15e1 AS south, x + 15e1 AS east, y + 15e1 AS north FROM px_grid")
+def pixel_squares(spark, sf_dir):
+    return adapter(spark, sf_dir, "px_grid").select("pixel", grid.pixel_square("x", "y").alias("s")).select("pixel", "s.*")
+
+
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN concat('https://h', c_custkey) WHEN c_custkey % 3 = 1 THEN concat('https://data.h', c_custkey, '.org') ELSE concat('https://bucket', c_custkey, '.s3.us-west-2.amazonaws.com') END AS url, concat('s3://b/k', c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE ':2' END) AS s3 FROM customer")
+def bucket_urls(spark, sf_dir):
+    k = F.col("c_custkey")
+    name = F.when(k % 3 == 0, F.concat(F.lit("https://h"), k)).when(k % 3 == 1, F.concat(F.lit("data.h"), k, F.lit(".org"))).otherwise(F.concat(F.lit("bucket"), k))
+    link = F.concat(F.lit("https://x.example.com/k"), k, F.when(k % 2 == 0, ":1").otherwise(":2"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("id"), C.bucket_url(name).alias("url"), C.s3_url(link, "https://x.example.com", "b").alias("s3"))
+
+
+@query(f"{_GRID}, a AS (SELECT tile, y, x, wc FROM layers WHERE x < 35), b AS (SELECT tile, y, x, elevation FROM layers WHERE x > 9) SELECT coalesce(a.y, b.y) AS y, coalesce(a.x, b.x) AS x, wc, elevation FROM a FULL JOIN b ON a.tile = b.tile AND a.y = b.y AND a.x = b.x")
+def merged_layers(spark, sf_dir):
+    d = layers(spark, sf_dir)
+    return rasters.align(d.filter("x < 35").select("tile", "y", "x", "wc"), d.filter("x > 9").select("tile", "y", "x", "elevation"), key=["tile", "y", "x"]).select("y", "x", "wc", "elevation")
+
+
+@query(f"{_GRID} SELECT pixel, wc, cci, io FROM layers WHERE wc <> 255 AND cci <> 255 AND io <> 255")
+def three_products(spark, sf_dir):
+    d, key = layers(spark, sf_dir), ["tile", "y", "x"]
+    wc, cci, io = (d.filter(F.col(p) != 255).select(*key, *["pixel"] * (p == "wc"), p) for p in ("wc", "cci", "io"))
+    return rasters.align(wc, cci, io, key=key, how="inner").select("pixel", "wc", "cci", "io")
+
+
+@query(f"WITH {cte('items')} SELECT * FROM items WHERE id = (SELECT min(id) FROM items)")
+def item_by_id(spark, sf_dir):
+    d = adapter(spark, sf_dir, "items")
+    return catalog.by_id(d, d.agg(F.min("id")).first()[0])
+
+
+@query(f"WITH {cte('items')} SELECT id, round(west + 1, 6) AS mean, west + 1 >= 0 AS east FROM items")
+def sides_by_ring(spark, sf_dir):
+    corner = lambda x, y: F.array(F.col(x), F.col(y))
+    ring = F.array(corner("west", "south"), corner("east", "south"), corner("east", "north"), corner("west", "north"), corner("west", "south"))
+    d = adapter(spark, sf_dir, "items").withColumn("ring", ring)
+    return d.select("id", F.round(rasters.ring_longitude("ring"), 6).alias("mean"), (rasters.ring_longitude("ring") >= 0).alias("east"))
+
+
+@query(f"WITH {cte('px_grid')} SELECT pixel, CASE WHEN x < 49 THEN round(elevation + 25e-2 * (lead(elevation) OVER (PARTITION BY y ORDER BY x) - elevation), 5) END AS elevation FROM px_grid WHERE y < 20 QUALIFY x < 49")
+def antimeridian_dem(spark, sf_dir):
+    d = adapter(spark, sf_dir, "px_grid").filter("y < 20")
+    lon = lambda c: F.when(c > 180, c - 360).otherwise(c)
+    east = F.lit(155.0) + F.col("x")  # degrees; 25 columns on either side
+    pixels = d.select(lon(east).alias("lon"), F.col("y").cast("double").alias("lat"), "elevation")
+    points = d.filter("x < 49").select("pixel", lon(east + 0.25).alias("lon"), F.col("y").cast("double").alias("lat"))
+    return rasters.over_antimeridian(pixels, points, "elevation", 1.0).select("pixel", F.round("elevation", 5).alias("elevation"))
+
+
+@query("SELECT concat('item_', o_orderkey, '_', year(o_orderdate)) AS id FROM orders WHERE year(o_orderdate) = 1996 AND o_orderkey % 4 = 1")
+def product_items(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_orderkey % 4 = 1")
+    d = d.select(F.concat(F.lit("item_"), "o_orderkey", F.lit("_"), F.year("o_orderdate")).alias("id"), F.lit("2017-01-01").alias("datetime"))
+    return catalog.of_product(d, "io", 1996, 1_000_000).select("id")
+
+
+@query(f"WITH {SAMPLES_CTE}, v AS (SELECT " + ", ".join(f"CASE WHEN id % {i + 3} = 0 THEN NULL ELSE {f} END AS {f}" for i, f in enumerate(FEATURES)) + " FROM samples) " + " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST(count(*) - count({f}) AS BIGINT) AS missing, round((count(*) - count({f})) / count(*) * 100, 6) AS percent FROM v" for f in FEATURES))
+def missing_report(spark, sf_dir):
+    d = samples(spark, sf_dir).select(*[F.when(F.col("id") % (i + 3) != 0, F.col(f)).alias(f) for i, f in enumerate(FEATURES)])
+    return ml.missing_report(d, FEATURES).withColumn("percent", F.round("percent", 6))
+
+
+_CONFUSION = f"WITH {SAMPLES_CTE}, p AS (SELECT lulc AS t, {_RULE} AS g FROM samples), c AS (SELECT DISTINCT t AS class FROM p UNION SELECT DISTINCT g FROM p), s AS (SELECT class, (SELECT count(*) FROM p WHERE t = class) AS support, (SELECT count(*) FROM p WHERE g = class) AS called, (SELECT count(*) FROM p WHERE t = class AND g = class) AS hit FROM c), r AS (SELECT coalesce(hit / nullif(called, 0), 0) AS a, coalesce(hit / nullif(support, 0), 0) AS b, support FROM s), f AS (SELECT a AS \"precision\", b AS recall, coalesce(2 * a * b / nullif(a + b, 0), 0) AS f1, support FROM r)"
+_SCORES = ("precision", "recall", "f1")
+
+
+@query(_CONFUSION + " SELECT " + ", ".join(f'round(avg("{c}"), 6) AS macro_{c}, round(sum("{c}" * support) / sum(support), 6) AS weighted_{c}' for c in _SCORES) + ", CAST(sum(support) AS BIGINT) AS support FROM f")
+def report_averages(spark, sf_dir):
+    d = samples(spark, sf_dir).withColumn("guess", F.expr(_RULE.replace("0.1e0", "0.1D")))
+    r = ml.report_averages(ml.classification_report(d, "lulc", "guess"))
+    return r.select(*[F.round(f"{k}_{c}", 6).alias(f"{k}_{c}") for c in _SCORES for k in ("macro", "weighted")], F.col("support").cast("long").alias("support"))
+
+
+_CELLS = "c AS (SELECT least(CAST(floor((1 - (y + 5e-1) / 50) * 16) AS INT), 15) AS yy, least(CAST(floor((x + 5e-1) / 50 * 16) AS INT), 15) AS col, * FROM px_grid WHERE y < 50)"
+
+
+def _at(d):
+    return d.filter("y < 50").withColumns({"lon": (F.col("x") + 0.5) / 50, "lat": (F.col("y") + 0.5) / 50})
+
+
+@query(f"WITH {cte('px_grid')}, {_CELLS}, r AS (SELECT yy AS \"row\", col, arg_min(red, pixel) AS red, arg_min(nir08 - red, pixel) AS gap FROM c GROUP BY ALL) SELECT *, CAST(floor((greatest(0e0, least(40000e0, red)) - 0) / 40000 * 255) AS INT) AS red_byte, CAST(floor((greatest(0e0, least(40000e0, gap)) - 0) / 40000 * 255) AS INT) AS gap_byte FROM r")
+def band_render(spark, sf_dir):
+    d = _at(adapter(spark, sf_dir, "px_grid"))
+    return mosaic.render_bands(d, 0.0, 0.0, 1.0, 1.0, {"red": F.col("red"), "gap": F.col("nir08") - F.col("red")}, (0.0, 40000.0), 16, "pixel")
+
+
+_COLORS = {v: color for v, (_, color) in reclass.CLASSES.items()}
+
+
+@query(f"WITH {cte('px_grid')}, {_CELLS}, r AS (SELECT yy AS \"row\", col, arg_min({_map_sql('wc_code', reclass.WORLDCOVER)}, pixel) AS wc FROM c GROUP BY ALL) SELECT \"row\", col, wc, CASE wc " + " ".join(f"WHEN {v} THEN '{c}'" for v, c in _COLORS.items()) + " END AS color FROM r WHERE wc IN (" + ", ".join(map(str, _COLORS)) + ")")
+def class_render(spark, sf_dir):
+    return mosaic.render_classes(_at(layers(spark, sf_dir)), 0.0, 0.0, 1.0, 1.0, "wc", _COLORS, 16, "pixel")
 
 
 @query(f"WITH {cte('px_grid')}, q AS (SELECT quantile_cont(elevation, 0.01) AS a, quantile_cont(elevation, 0.95) AS b FROM px_grid) SELECT pixel, round((greatest(a, least(b, elevation)) - a) / (b - a), 6) AS v FROM px_grid, q")

@@ -97,9 +97,37 @@ def boundaries(cache: DataFrame, fetched: DataFrame, codes: list[str], code: str
     return cache.unionByName(more).filter(F.col(code).isin(codes))
 
 
-def write_tile(df: DataFrame, path: str) -> None:
-    """Rasters by tile and year, as Parquet folders."""
+def of_product(items: DataFrame, product: str, year: int = 2020, most: int = 29) -> DataFrame:
+    """A product's items of a year, by their date; of `io`, whose dates are vague, those with the year in their id.
+    Raises unless there are 1 to `most`."""
+    d = items.filter(F.col("id").contains(str(year))) if product == "io" else items.filter(F.substring("datetime", 1, 4) == str(year))
+    return bounded(d, 1, most)
+
+
+def write_tile(df: DataFrame, path: str, metadata: DataFrame | None = None) -> None:
+    """Rasters by tile and year, as Parquet folders; then, once these are there, the metadata rows beside them."""
     df.write.mode("overwrite").partitionBy("tile_id", "year").parquet(path)
+    if metadata is not None:
+        metadata.write.mode("append").json(f"{path.rstrip('/')}-items")
+
+
+def write_tasks(tasks: DataFrame, path: str) -> None:
+    """Tasks as one JSON array in a text file; a task is a tile and a year, so they are few."""
+    one = tasks.agg(F.to_json(F.array_sort(F.collect_list(F.struct("id", "year", "region")))).alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Rows as CSV files with a header."""
+    df.write.mode("overwrite").option("header", "true").csv(path)
+
+
+def dump(df: DataFrame, folder: str | None, name: str) -> DataFrame:
+    """Df, also written to a folder for debugging where one is named; what follows then reads that."""
+    if not folder:
+        return df
+    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
 def write_features(df: DataFrame, path: str, x: str = "x", y: str = "y") -> None:
@@ -109,10 +137,34 @@ def write_features(df: DataFrame, path: str, x: str = "x", y: str = "y") -> None
     df.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
 
 
-def load_model(path: str):
-    """A saved pipeline; raises for a path that names none."""
+def fetched_once(url: str, cache: str) -> str:
+    """The folder of a saved pipeline whose zip archive is at an address: got and unpacked where the cache, a folder
+    of this machine, has none of that address yet."""
+    import hashlib
+    import os
+    import shutil
+    import tempfile
+    import urllib.request
+    import zipfile
+
+    own = os.path.join(cache, hashlib.sha256(url.encode()).hexdigest()[:16])
+    if not os.path.isdir(own):
+        os.makedirs(cache, exist_ok=True)
+        with tempfile.TemporaryDirectory(dir=cache) as part:
+            with urllib.request.urlopen(url) as source, open(f"{part}/model.zip", "wb") as out:
+                shutil.copyfileobj(source, out)
+            with zipfile.ZipFile(f"{part}/model.zip") as z:
+                z.extractall(f"{part}/model")
+            os.replace(f"{part}/model", own)  # whole or not at all
+    return own
+
+
+def load_model(path: str, cache: str | None = None):
+    """A saved pipeline; of an address the copy in the cache, got once. Raises for a path that names none."""
     from pyspark.ml import PipelineModel
 
     if not path or path.endswith((".joblib", ".pkl")):
         raise ValueError(f"not a saved pipeline: {path}")
+    if cache is not None and "://" in path and path.endswith(".zip"):
+        path = f"file://{fetched_once(path, cache)}"
     return PipelineModel.load(path)

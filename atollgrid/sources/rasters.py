@@ -40,6 +40,24 @@ def join_halves(items: DataFrame, west: str = "west") -> tuple[DataFrame, DataFr
     return e, w
 
 
+def ring_longitude(ring: str) -> Column:
+    """The mean longitude of a ring of (x, y) points, the closing one left out; its sign says the side."""
+    open_ = F.when(F.get(ring, 0) == F.element_at(ring, -1), F.slice(ring, 1, F.size(ring) - 1)).otherwise(F.col(ring))
+    return F.aggregate(open_, F.lit(0.0), lambda a, p: a + p[0]) / F.size(open_)
+
+
+def over_antimeridian(pixels: DataFrame, points: DataFrame, value: str, step: float, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Points (lon, lat) with the value there, bilinear, of pixels `step` degrees apart on both sides of the
+    antimeridian: longitudes run from 0 to 360, so that the halves are one grid."""
+    from ..operators.grid import bilinear
+
+    at = lambda c: F.col(c) / F.lit(step)
+    d = shift_west(pixels, lon).select(F.round(at(lon)).cast("int").alias("x"), F.round(at(lat)).cast("int").alias("y"), value)
+    p = shift_west(points.withColumns({"_lon": F.col(lon), "_lat": F.col(lat)}), "_lon")
+    p = p.withColumns({"fx": at("_lon"), "fy": at("_lat")}).drop("_lon", "_lat")
+    return bilinear(d, p, value, value).drop("fx", "fy")
+
+
 def align(first: DataFrame, *rest: DataFrame, key: list[str], how: str = "full") -> DataFrame:
     """Layers side by side on their coordinates; one shuffle each, reused from join to join."""
     for df in rest:

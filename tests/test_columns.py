@@ -204,3 +204,62 @@ def test_cli_years():
     with pytest.raises(ValueError):
         cli.tile_of("251_88_1")
     assert cli.main(["version"]) == 0
+
+
+def test_ranks_of_large_ids(spark):
+    d = spark.range(3000).select((F.col("id") * 3 + (1 << 33)).alias("id"), (F.col("id") % 7 % 3).cast("int").alias("c"))
+    got = sampling.sample(d, "c", "id", n=300, least=10, drop=None)
+    assert abs(got.count() - 300) <= 2 and got.distinct().count() == got.count()  # quotas are rounded
+    far = d.select(F.lit((1 << 63) - 1).alias("a"), F.lit(1 << 62).alias("b")).limit(1)
+    assert all(0 <= v < 1 << 32 for v in far.select(sampling.hash_rank(F.col("a")), sampling.hash_rank(F.col("b"))).first())
+    split = sampling.stratified_split(d, "c", "id")
+    n = {r["c"]: r["count"] for r in d.groupBy("c").count().collect()}
+    assert {r["c"]: r["count"] for r in split.filter("train").groupBy("c").count().collect()} == {c: int(0.7 * k) for c, k in n.items()}
+
+
+def test_worst_with_ties(spark):
+    d = spark.range(1000).select("id", (F.col("id") % 2).cast("int").alias("c"), (F.col("id") % 13).cast("double").alias("d"))
+    got = sorted(r["id"] for r in sampling.worst(d, "c", "d", "id").filter("outlier").collect())
+    want = [sorted((i for i in range(1000) if i % 2 == c), key=lambda i: (-(i % 13), i))[:25] for c in (0, 1)]
+    assert got == sorted(want[0] + want[1])
+
+
+def test_silhouette_in_blocks():
+    import numpy as np
+    from atollgrid.operators.ml import silhouette
+
+    rng = np.random.default_rng(3)
+    x, label = rng.normal(size=(90, 3)), rng.integers(0, 3, 90)
+    label[0] = 7  # alone in its cluster
+    d = np.sqrt(((x[:, None] - x) ** 2).sum(2))
+    total = 0.0
+    for i in range(90):
+        own = [j for j in range(90) if label[j] == label[i] and j != i]
+        if own:
+            a = d[i, own].mean()
+            b = min(d[i, label == k].mean() for k in set(label.tolist()) - {int(label[i])})
+            total += (b - a) / max(a, b)
+    assert abs(silhouette(x, label, block=32) - total / 90) < 1e-6
+
+
+def test_deviations_of_scaled_values(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(0, 0, x, *map(int, rng.integers(7273, 43636, 6))) for x in range(3) for _ in range(5)]
+    d = spark.createDataFrame(rows, "tile int, y int, x int, " + ", ".join(f"{b} int" for b in BANDS))
+    for r in geomad.geomad(d, BANDS, ["tile"], scale=C.SCALE, offset=C.OFFSET).collect():
+        p = np.array([v[3:] for v in rows if v[2] == r["x"]], float) * 2.75e-5 - 0.2
+        m = np.array([r[b] for b in BANDS], float) * 2.75e-5 - 0.2  # rounded numbers: within 2e-5 of the estimate
+        e = np.median(np.sqrt(((p - m) ** 2).sum(1)))
+        s = np.median(1 - (p @ m) / np.sqrt((p * p).sum(1) * (m @ m)))
+        b = np.median(np.abs(p - m).sum(1) / np.abs(p + m).sum(1))
+        assert abs(r["emad"] - e) < 1e-4 and abs(r["smad"] - s) < 1e-4 and abs(r["bcmad"] - b) < 1e-4
+
+
+def test_blocks_meet(spark):
+    rows = [[int((x * 7 + y * 13) % 5 < 2 or (x // 9 + y // 8) % 3 == 0) for x in range(40)] for y in range(30)]
+    d = cube(spark, rows).withColumn("other", F.lit("kept"))
+    whole = focal.morphology(d, "v", "m", ["tile"], [(3, 1), (3, 0), (5, 0), (2, 1)])
+    parts = focal.morphology(d, "v", "m", ["tile"], [(3, 1), (3, 0), (5, 0), (2, 1)], block=8)
+    assert grid_of(whole, "m") == grid_of(parts, "m") and parts.filter("other <> 'kept'").count() == 0

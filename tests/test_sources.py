@@ -154,3 +154,33 @@ def test_countries_and_tiles(spark, tmp_path, capsys):
     assert cli.main(["get-grid-tiles", "--boxes", str(tmp_path / "boxes"), "--out", str(tmp_path / "tiles")]) == 0
     got = spark.read.parquet(str(tmp_path / "tiles")).collect()
     assert [r["name"] for r in got if r["region"] == "non-pacific"] == ["Aruba"] and sum(r["region"] == "pacific" for r in got) == 2
+
+
+def test_sinks(spark, tmp_path):
+    import json
+
+    tasks = spark.createDataFrame([("2_1", "2020", "pacific"), ("1_1", "2020", "non-pacific")], "id string, year string, region string")
+    catalog.write_tasks(tasks, str(tmp_path / "tasks"))
+    assert [t["id"] for t in json.loads(spark.read.text(str(tmp_path / "tasks")).first()["value"])] == ["1_1", "2_1"]
+    catalog.write_table(tasks, str(tmp_path / "csv"))
+    assert spark.read.option("header", "true").csv(str(tmp_path / "csv")).count() == 2
+    tile = spark.createDataFrame([("1_1", "2020", 1)], "tile_id string, year string, v int")
+    for _ in range(2):
+        catalog.write_tile(tile, str(tmp_path / "tile"), tile.select("tile_id", "year"))
+    assert spark.read.parquet(str(tmp_path / "tile")).count() == 1 and spark.read.json(str(tmp_path / "tile-items")).count() == 2
+    assert catalog.dump(tile, None, "x") is tile and catalog.dump(tile, str(tmp_path / "debug"), "x").count() == 1
+
+
+def test_model_is_got_once(spark, tmp_path):
+    import shutil
+
+    from atollgrid.operators import ml
+
+    d = spark.createDataFrame([(i % 2, float(i % 2), float(i)) for i in range(20)], "c int, a double, b double")
+    ml.train_forest(d, "c", ["a", "b"], trees=2, depth=2).write().overwrite().save(str(tmp_path / "model"))
+    zipped = shutil.make_archive(str(tmp_path / "m"), "zip", str(tmp_path / "model"))
+    for _ in range(2):
+        assert len(catalog.load_model(f"file://{zipped}", str(tmp_path / "cache")).stages) == 2
+        shutil.rmtree(tmp_path / "model", ignore_errors=True)
+    (tmp_path / "m.zip").unlink()
+    assert len(catalog.load_model(f"file://{zipped}", str(tmp_path / "cache")).stages) == 2
