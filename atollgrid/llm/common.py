@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: White space of the word contracts: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Spark's setting of a batch's bytes, and ours.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 #: Spark's setting by which an execution's shuffle files are deleted when it has ended.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: What a written table may have at most to be broadcast: rows, and bytes of its files.
@@ -22,7 +24,15 @@ BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 4 << 20
 OWN_SHARED = "file:///tmp/checkpoints"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's limit of bytes of a batch that goes to Python, unless it is set below ours: Spark's own of 64 MB
+    is held several times over by each task, in the JVM and in its worker."""
+    if int(spark.conf.get(BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

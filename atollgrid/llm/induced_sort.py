@@ -1,11 +1,12 @@
-"""External induced sorting: suffixes in order with their common-prefix values, over queues that go to disk.
+"""External induced sorting: suffixes in order with their common-prefix values, over disk-backed queues.
 
 The scheme is that of external suffix and LCP construction by inducing (Bingmann, Fischer and Osipov, 2013): suffixes that
 are smaller than their successor but follow a larger one (S*) are sorted by the names of the substrings between them,
 recursively while these are too many for memory; all others are induced from them, first the L, then the S suffixes, by a
 priority queue whose key is the first symbol. Each entry carries the suffix and its common prefix with the entry before.
-As entries of one symbol are pushed in their final order, a symbol's part of the queue is a list that is appended to and
-read once: it lies in memory up to a budget and in an unlinked scratch file beyond.
+As a symbol's entries are pushed in their final order, and how many there will be is known, its part of the queue is a
+stretch of an array that is filled from one end and read once. Every array that grows with the text is in memory within a
+budget and mapped from an unlinked scratch file beyond it; what is worked on at a time is a part of bounded size.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ import numpy as np
 
 #: Symbols: the end, a separator, then bytes.
 END, SEPARATOR, FIRST_BYTE = 0, 1, 2
+#: Bytes of work arrays for an entry: of a part that is pushed, of a name, of a suffix that is sorted in memory.
+PER_ENTRY, PER_NAME, PER_SUFFIX = 256, 128, 96
+#: Ranges that names too many for memory are parted into at a time.
+RANGES = 64
 
 
 class Scratch:
@@ -38,57 +43,48 @@ class Scratch:
         if size <= self.left or not n:
             self.left -= size
             return np.zeros(n, dtype)
-        f = self.file()
-        f.truncate(size)
-        self.spilled += size
-        return np.memmap(f, dtype, "r+", shape=(n,))
+        with self.file() as f:
+            f.truncate(size)
+            self.spilled += size
+            return np.memmap(f, dtype, "r+", shape=(n,))
 
 
-class Queue:
-    """One symbol's entries (suffix, common prefix), in order."""
+def parts(n: int, most: int) -> Iterator[tuple[int, int]]:
+    for a in range(0, n, most):
+        yield a, min(n, a + most)
 
-    def __init__(self, scratch: Scratch):
-        self.scratch, self.parts, self.disk = scratch, [], None
 
-    def push(self, at: np.ndarray, lcp: np.ndarray) -> None:
-        size = at.nbytes + lcp.nbytes
-        if self.disk is None and size <= self.scratch.left:
-            self.scratch.left -= size
-            self.parts.append((at, lcp))
-            return
-        if self.disk is None:
-            self.disk = self.scratch.file()
-        self.parts.append((self.disk.seek(0, 2), len(at), at.dtype, lcp.dtype))
-        self.disk.write(at.tobytes())
-        self.disk.write(lcp.tobytes())
-        self.scratch.spilled += size
-
-    def pull(self, most: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """The next entries, about `most`; None if there are none now."""
-        took, n = [], 0
-        while self.parts and n < most:
-            part = self.parts.pop(0)
-            if len(part) == 4:
-                offset, k, kind, short = part
-                self.disk.seek(offset)
-                part = np.frombuffer(self.disk.read(k * kind.itemsize), kind), np.frombuffer(self.disk.read(k * short.itemsize), short)
-            else:
-                self.scratch.left += part[0].nbytes + part[1].nbytes
-            took.append(part)
-            n += len(part[0])
-        if not took:
-            return None
-        return np.concatenate([x[0] for x in took]), np.concatenate([x[1] for x in took])
-
-
-def smaller_types(t: np.ndarray) -> np.ndarray:
+def t_kind(n: int):
+    return np.int32 if n < 1 << 31 else np.int64
+
+
+def smaller_types(t: np.ndarray, scratch: Scratch, most: int) -> np.ndarray:
     """True where a suffix is smaller than its successor (S); t ends with the one END."""
     n = len(t)
-    up = t[:-1] < t[1:]
-    differs = np.flatnonzero(t[:-1] != t[1:])
-    out = np.ones(n, bool)
-    if n > 1:
-        out[:-1] = up[differs[np.searchsorted(differs, np.arange(n - 1))]]  # each run takes its end's type
+    out = scratch.array(n, np.bool_)
+    out[n - 1] = True
+    for a, b in reversed(list(parts(n - 1, most))):
+        x = np.asarray(t[a : b + 1])
+        differs, at = x[:-1] != x[1:], np.arange(b - a)
+        # a run takes the type of its end, which may be in the part after this
+        end = np.minimum.accumulate(np.where(differs, at, b - a)[::-1])[::-1]
+        up = np.append(x[:-1] < x[1:], out[b])
+        out[a:b] = up[end]
+    return out
+
+
+def seed_places(small: np.ndarray, scratch: Scratch, most: int) -> np.ndarray:
+    """The S* positions in order of the text; the end is one."""
+    n = len(small)
+    found = lambda a, b: np.flatnonzero(small[a + 1 : b + 1] & ~small[a:b]) + a + 1
+    out = scratch.array(max(1, sum(len(found(a, b)) for a, b in parts(n - 1, most))), t_kind(n))
+    k = 0
+    for a, b in parts(n - 1, most):
+        x = found(a, b)
+        out[k : k + len(x)] = x
+        k += len(x)
+    if not k:
+        out[0] = n - 1
     return out
 
 
@@ -120,33 +116,88 @@ def _range_min(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
-def _names(t: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Dense ranks of the substrings from each S* position to the next, both included."""
-    length = np.append(np.diff(start), 0) + 1
-    # where one ends and an equal one goes on, the first has there an S suffix and the other an L: the end is larger
-    bits = int(t.max(initial=0) + 2).bit_length()
-    ended = (1 << bits) - 1
-    per = 62 // bits
-    rank, done = np.zeros(len(start), np.int64), 0
-    live = np.arange(len(start))
-    while len(live):
-        key = np.zeros(len(live), np.int64)
-        for k in range(per):
-            inside = done + k < length[live]
-            at = np.minimum(start[live] + done + k, len(t) - 1)
-            key = (key << bits) | np.where(inside, t[at].astype(np.int64), ended)
-        # substrings that are alike so far stand together; the longer ones among them are told apart next
-        order = np.lexsort((key, rank[live]))
-        r, k_ = rank[live][order], key[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (r[1:] != r[:-1]) | (k_[1:] != k_[:-1])
-        # a rank is the place of the first of those alike, so ranks split without moving others'
-        first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-        inside = np.arange(len(r)) - np.repeat(first, np.diff(np.append(first, len(r))))
-        rank[live[order]] = r + inside[np.flatnonzero(new)][np.cumsum(new) - 1]
-        done += per
-        live = live[length[live] >= done]
-    return np.unique(rank, return_inverse=True)[1]
+class _Substrings:
+    """The substrings from each S* position to the next, both included, and their dense ranks. Only `depth` symbols of one
+    are looked at: suffixes need no order beyond."""
+
+    def __init__(self, t: np.ndarray, start: np.ndarray, depth: int, memory: int, scratch: Scratch, most: int):
+        self.t, self.start, self.depth, self.memory, self.scratch, self.most = t, start, depth, memory, scratch, most
+        top = max((int(t[a:b].max()) for a, b in parts(len(t), most)), default=0)
+        # where one ends and an equal one goes on, the first has there an S suffix and the other an L: the end is larger
+        self.bits = (top + 2).bit_length()
+        self.ended, self.per = (1 << self.bits) - 1, 62 // self.bits
+        self.names, self.count = scratch.array(len(start), t_kind(len(start))), 0
+
+    def lengths(self, ids: np.ndarray) -> np.ndarray:
+        after = np.asarray(self.start[np.minimum(ids + 1, len(self.start) - 1)], np.int64)
+        return np.minimum(after - self.start[ids] + 1, self.depth)
+
+    def keys(self, ids: np.ndarray, length: np.ndarray, done: int) -> np.ndarray:
+        """The symbols from `done` on, as many as go into a number that sorts like them."""
+        key, first = np.zeros(len(ids), np.int64), np.asarray(self.start[ids], np.int64) + done
+        for k in range(self.per):
+            at = np.minimum(first + k, len(self.t) - 1)
+            key = (key << self.bits) | np.where(done + k < length, self.t[at].astype(np.int64), self.ended)
+        return key
+
+    def small(self, ids: np.ndarray, done: int) -> None:
+        """Names substrings that are alike up to `done`, in memory."""
+        length, rank, live = self.lengths(ids), np.zeros(len(ids), np.int64), np.arange(len(ids))
+        while len(live):
+            # substrings that are alike so far stand together; the longer ones among them are told apart next
+            key = self.keys(ids[live], length[live], done)
+            order = np.lexsort((key, rank[live]))
+            r, k = rank[live][order], key[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1])
+            # a rank is the place of the first of those alike, so ranks split without moving others'
+            first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+            inside = np.arange(len(r)) - np.repeat(first, np.diff(np.append(first, len(r))))
+            rank[live[order]] = r + inside[np.flatnonzero(new)][np.cumsum(new) - 1]
+            done += self.per
+            live = live[length[live] >= done]
+        ranks, dense = np.unique(rank, return_inverse=True)
+        self.names[ids] = self.count + dense
+        self.count += len(ranks)
+
+    def name(self, ids: np.ndarray, done: int = 0) -> None:
+        """Names substrings that are alike up to `done`: in memory, or parted by ranges of their next symbols, in order."""
+        if len(ids) * PER_NAME <= self.memory or len(ids) <= 1024:
+            self.small(np.asarray(ids, np.int64), done)
+            return
+        keys = lambda x: self.keys(x, self.lengths(x), done)
+        step = max(1, len(ids) // (RANGES * 32))
+        sample = np.sort(keys(np.asarray(ids[::step], np.int64)))
+        cuts = np.unique(sample[len(sample) // (2 * RANGES) :: max(1, len(sample) // RANGES)])
+        # a key that is a cut itself has a range of its own, so one key of most substrings parts from the rest
+        place = lambda k: 2 * np.searchsorted(cuts, k, "left") + np.isin(k, cuts)
+        size = np.zeros(2 * len(cuts) + 1, np.int64)
+        for a, b in parts(len(ids), self.most):
+            size += np.bincount(place(keys(np.asarray(ids[a:b], np.int64))), minlength=len(size))
+        head, left = np.cumsum(size) - size, self.scratch.left
+        dealt = self.scratch.array(len(ids), ids.dtype)
+        at = head.copy()
+        for a, b in parts(len(ids), self.most):
+            x = np.asarray(ids[a:b], np.int64)
+            to = place(keys(x))
+            order = np.argsort(to, kind="stable")
+            to = to[order]
+            first = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else to
+            count = np.diff(np.append(first, len(to)))
+            dealt[np.repeat(at[to[first]], count) + np.arange(len(to)) - np.repeat(first, count)] = x[order]
+            at[to[first]] += count
+        for i, (h, n) in enumerate(zip(head.tolist(), size.tolist(), strict=True)):
+            own = dealt[h : h + n]
+            if n and i % 2 == 0:
+                self.name(own, done)
+            elif n and int(self.lengths(np.asarray(own[:1], np.int64))[0]) >= done + self.per:
+                self.name(own, done + self.per)
+            elif n:  # one key that has its end in it: one substring
+                for a, b in parts(n, self.most):
+                    self.names[own[a:b]] = self.count
+                self.count += 1
+        del dealt
+        self.scratch.left = left
 
 
 def sort_reduced(r: np.ndarray, depth: int) -> np.ndarray:
@@ -181,15 +232,18 @@ def sort_reduced(r: np.ndarray, depth: int) -> np.ndarray:
 
 def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
     """Common prefix of the suffixes at a and b, up to cap."""
-    size = t.dtype.itemsize
+    size, n = t.dtype.itemsize, len(t)
     step = 8 // size  # symbols that one look at memory compares
-    padded = np.concatenate([t, np.zeros(step, t.dtype)])
-    look = np.ndarray((len(t),), "<u8", padded, strides=(size,))
+    look = np.ndarray((max(0, n - step + 1),), "<u8", t, strides=(size,))
     out, live, x, y = np.zeros(len(a), np.int64), np.arange(len(a)), np.asarray(a, np.int64), np.asarray(b, np.int64)
     for k in range(0, cap, step):
-        inside = np.maximum(x, y) + k < len(t)
-        if not inside.all():
-            live, x, y = live[inside], x[inside], y[inside]
+        far = np.maximum(x, y) + k > n - step
+        for i in np.flatnonzero(far).tolist():  # within a look of the text's end
+            p, q = int(x[i]) + k, int(y[i]) + k
+            while max(p, q) < n and t[p] == t[q]:
+                out[live[i]], p, q = out[live[i]] + 1, p + 1, q + 1
+        if far.any():
+            live, x, y = live[~far], x[~far], y[~far]
         if not len(live):
             break
         other = look[x + k] ^ look[y + k]
@@ -197,122 +251,71 @@ def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray
         out[live] += np.where(other == 0, step, np.bitwise_count(low - np.uint64(1)) // (8 * size))
         same = other == 0
         live, x, y = live[same], x[same], y[same]
-    return np.minimum(out, np.minimum(cap, len(t) - np.maximum(a, b)))
-
-
-def _seeds(t: np.ndarray, small: np.ndarray, depth: int, memory: int, scratch: Scratch, most: int) -> np.ndarray:
-    """The S* positions in the order of their suffixes."""
-    start = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    if not len(start):
-        start = np.array([len(t) - 1])
-    r = _names(t, start)
-    if int(r.max(initial=0)) + 1 == len(r):
-        order = np.argsort(r)
-    elif 24 * len(r) <= memory:
-        order = sort_reduced(r, depth)
+    return np.minimum(out, cap)
+
+
+def _seeds(t: np.ndarray, start: np.ndarray, cap: int, depth: int, memory: int, scratch: Scratch, most: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """The S* positions in the order of their suffixes, and each one's common prefix with the one before."""
+    m, kind = len(start), t_kind(len(t))
+    out, left = scratch.array(m, kind), scratch.left
+    ids = scratch.array(m, t_kind(m))
+    for a, b in parts(m, most):
+        ids[a:b] = np.arange(a, b)
+    sub = _Substrings(t, start, depth, memory, scratch, most)
+    sub.name(ids)
+    names, order = sub.names, ids
+    if sub.count == m:
+        for a, b in parts(m, most):
+            order[names[a:b]] = np.arange(a, b)
+    elif PER_SUFFIX * m <= memory:
+        order = sort_reduced(np.asarray(names), depth)
     else:
-        # too many for memory: the same scheme over the names; its end must be the one smallest symbol
-        order = np.concatenate([x for _, x in sorted_suffixes(np.append(r + 1, 0), 0, memory, scratch, most, depth)])
-        order = order[order < len(r)]
-    return start[order]
-
-
-def sorted_suffixes(t: np.ndarray, cap: int, memory: int, scratch: Scratch | None = None, most: int = 1 << 20, depth: int | None = None) -> list[tuple[np.ndarray, np.ndarray]] | Iterator:
-    """Yields (common prefixes, suffixes) in the order of suffixes, as arrays; t ends with the one END.
-
-    A common prefix is the one with the suffix before, up to `cap`. Suffixes are ordered by `cap` symbols at least (by
-    `depth`, where cap is 0 and common prefixes are left out); those alike beyond that may stand in any order.
-    """
-    scratch = scratch or Scratch(memory)
-    depth = depth or cap + 1
-    small = smaller_types(t)
-    seeds = _seeds(t, small, depth, memory, scratch, most)
-    lcp = np.zeros(len(seeds), np.int16)
-    if cap:
-        for i in range(1, len(seeds), most):
-            lcp[i : i + most] = _common(t, seeds[i - 1 : i - 1 + most][: len(seeds[i : i + most])], seeds[i : i + most], cap)
-    symbols = np.unique(t)
-    larger = {s: Queue(scratch) for s in symbols.tolist()}
-    kept: dict[int, list] = {}
-    bounds = np.searchsorted(t[seeds], symbols, "left"), np.searchsorted(t[seeds], symbols, "right")
-    push = _Pusher(t, small, cap, symbols)
-    for s, lo, hi in zip(symbols.tolist(), *map(np.ndarray.tolist, bounds), strict=True):
-        push.begin()
-        out, last = Queue(scratch), None
-        while (got := larger[s].pull(most)) is not None:
-            at, common = got
-            common = common.copy()
-            if last is None:
-                common[0] = 0
-            push(at, common, larger, False)
-            out.push(at, common)
-            last = int(at[-1])
-        kept[s] = out
-        for i in range(lo, hi, most):
-            at, common = seeds[i : min(hi, i + most)], lcp[i : min(hi, i + most)].copy()
-            if i == lo:
-                common[0] = 0 if last is None or not cap else run_lengths(t, np.array([last, at[0]]), cap).min()
-            push(at, common, larger, False)
-    smaller = {s: Queue(scratch) for s in symbols.tolist()}
-    done: list = []
-    for s in reversed(symbols.tolist()):
-        push.begin()
-        last, mine = None, []
-        while (got := smaller[s].pull(most)) is not None:
-            at, common = got[0], got[1].copy()
-            if last is None:
-                common[0] = 0
-            push(at, common, smaller, True)
-            last = int(at[-1])
-            mine.append((common, at))
-        large = []
-        while (got := kept[s].pull(most)) is not None:
-            large.append(got)
-        up = 0  # common prefix with the next larger
-        if large and last is not None and cap:
-            up = int(run_lengths(t, np.array([last, int(large[-1][0][-1])]), cap).min())
-        for at, common in reversed(large):
-            down = np.append(common[1:], np.int16(up))[::-1]
-            push(at[::-1], down, smaller, True)
-            up = int(common[0])
-        if s == int(t[-1]):
-            mine.append((np.zeros(1, np.int16), np.array([len(t) - 1], t_kind(t))))
-        done.append(_ascending(mine, large, t, cap))
-        if cap:
-            yield from done.pop()
+        # too many for memory: the same scheme over the names; the end must be the one smallest symbol
+        r = scratch.array(m + 1, t_kind(m + 2))
+        for a, b in parts(m, most):
+            r[a:b] = names[a:b] + 1
+        del ids, sub, names
+        order = suffix_order(r, 0, depth, memory, scratch, most)[0][1:]
+    for a, b in parts(m, most):
+        out[a:b] = start[order[a:b]]
+    del order
+    scratch.left = left
     if not cap:
-        for part in reversed(done):
-            yield from part
-
-
-def t_kind(t: np.ndarray):
-    return np.int32 if len(t) < 1 << 31 else np.int64
+        return out, None
+    near = scratch.array(m, np.int16)
+    for a, b in parts(m, most):
+        a = max(1, a)
+        near[a:b] = _common(t, out[a - 1 : b - 1], out[a:b], cap)
+    return out, near
+
+
+def _tally(symbols: Iterator[np.ndarray], k: int, scratch: Scratch) -> np.ndarray:
+    out = scratch.array(k, np.int64)
+    for x in symbols:
+        of, n = np.unique(x, return_counts=True)
+        out[of] += n
+    return out
 
 
-def _ascending(mine: list, large: list, t: np.ndarray, cap: int) -> list:
-    """One symbol's suffixes from the smallest: its L suffixes, then its S suffixes, which came largest first."""
-    out = [(common, at) for at, common in large]
-    if mine:
-        at = np.concatenate([x[1] for x in mine])[::-1]
-        down = np.concatenate([x[0] for x in mine])  # with the next larger
-        common = np.append(np.int16(0), down[1:][::-1]).astype(np.int16)
-        if large and cap:
-            common[0] = run_lengths(t, np.array([int(large[-1][0][-1]), int(at[0])]), cap).min()
-        out.append((common, at))
+def _starts(counts: tuple[np.ndarray, ...], scratch: Scratch, most: int) -> np.ndarray:
+    """Where each symbol's stretch begins, of the sums of counts."""
+    out, before = scratch.array(len(counts[0]), np.int64), 0
+    for a, b in parts(len(out), most):
+        n = sum(c[a:b] for c in counts)
+        out[a:b] = before + np.cumsum(n) - n
+        before += int(n.sum())
     return out
 
 
 class _Pusher:
-    """Pushes what scanned suffixes induce, with common prefixes: one more than the least between the two that induce."""
-
-    def __init__(self, t, small, cap, symbols):
-        self.t, self.small, self.cap, self.kind = t, small, cap, t_kind(t)
-        self.least = np.zeros(int(symbols[-1]) + 1, np.int16)
+    """What scanned suffixes induce, with common prefixes: one more than the least between the two that induce."""
 
-    def begin(self) -> None:
-        self.least[:] = 0  # another first symbol: nothing in common
+    def __init__(self, t: np.ndarray, small: np.ndarray, cap: int, symbols: int):
+        self.t, self.small, self.cap = t, small, cap
+        self.least = np.zeros(symbols if cap else 0, np.int16)
 
-    def __call__(self, at: np.ndarray, common: np.ndarray, queues: dict, small: bool) -> None:
+    def __call__(self, at: np.ndarray, common: np.ndarray | None, small: bool) -> tuple[np.ndarray, ...]:
+        """(symbols, suffixes, common prefixes, first of each symbol, how many): of one symbol in a row, in order."""
         some = np.flatnonzero(at > 0)
         before = at[some].astype(np.int64) - 1
         fits = self.small[before] == small
@@ -320,22 +323,124 @@ class _Pusher:
         to = self.t[before].astype(np.int64)
         order = np.argsort(to, kind="stable")
         some, before, to = some[order], before[order], to[order]
-        if not len(to):
-            if self.cap:
-                np.minimum(self.least, common.min(), out=self.least)
-            return
-        first = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
-        ends = np.append(first[1:], len(to))
-        carried = np.zeros(len(to), np.int16)
+        first = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else to
+        ends = np.append(first[1:], len(to)) if len(to) else to
+        carried = None
         if self.cap:
-            lo = np.append(0, some[:-1] + 1)
-            lo[first] = 0
-            carried = _range_min(common, lo, some)
-            carried[first] = np.minimum(carried[first], self.least[to[first]])
-            carried = np.minimum(carried + 1, self.cap).astype(np.int16)
+            carried = np.zeros(len(to), np.int16)
+            if len(to):
+                lo = np.append(0, some[:-1] + 1)
+                lo[first] = 0
+                carried = _range_min(common, lo, some)
+                carried[first] = np.minimum(carried[first], self.least[to[first]])
+                carried = np.minimum(carried + 1, self.cap).astype(np.int16)
             np.minimum(self.least, common.min(), out=self.least)
-            tail = np.append(np.minimum.accumulate(common[::-1])[::-1], np.int16(self.cap))
-            self.least[to[first]] = tail[some[ends - 1] + 1]
-        before = before.astype(self.kind)
-        for a, b in zip(first.tolist(), ends.tolist(), strict=True):
-            queues[int(to[a])].push(before[a:b], carried[a:b])
+            if len(to):
+                tail = np.append(np.minimum.accumulate(common[::-1])[::-1], np.int16(self.cap))
+                self.least[to[first]] = tail[some[ends - 1] + 1]
+        return to, before, carried, first, ends - first
+
+
+def suffix_order(t: np.ndarray, cap: int, depth: int, memory: int, scratch: Scratch, most: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """All suffixes in order, and each one's common prefix with the next, up to cap (None where cap is 0)."""
+    n, kind = len(t), t_kind(len(t))
+    small = smaller_types(t, scratch, most)
+    start = seed_places(small, scratch, most)
+    seeds, near = _seeds(t, start, cap, depth, memory, scratch, most)
+    m, k = len(seeds), max(int(t[a:b].max()) for a, b in parts(n, most)) + 1
+    large_n = _tally((t[a:b][~small[a:b]] for a, b in parts(n, most)), k, scratch)
+    small_n = _tally((t[a:b][small[a:b]] for a, b in parts(n, most)), k, scratch)
+    seed_n = _tally((t[seeds[a:b]] for a, b in parts(m, most)), k, scratch)
+
+    # L suffixes: each symbol's stretch has its L suffixes, then its seeds, which are there from the first
+    begin, first_seed = _starts((large_n, seed_n), scratch, most), _starts((seed_n,), scratch, most)
+    size = int(begin[-1] + large_n[-1] + seed_n[-1])
+    up, near_up = scratch.array(size, kind), scratch.array(size if cap else 0, np.int16)
+    up[:] = -1
+    for a, b in parts(m, most):
+        c = t[seeds[a:b]]
+        nth = np.arange(a, b) - first_seed[c]
+        slot = begin[c] + large_n[c] + nth
+        up[slot] = seeds[a:b]
+        if cap:
+            near_up[slot] = np.where(nth > 0, near[a:b], 0)
+    del seeds, near, start
+    head = scratch.array(k, np.int64)
+    for a, b in parts(k, most):
+        head[a:b] = begin[a:b]
+    push, i, wide = _Pusher(t, small, cap, k), 0, 256
+    while i < size:
+        at = np.asarray(up[i : i + wide])
+        gap = np.flatnonzero(at < 0)  # entries that are there are final
+        at = at[: int(gap[0])] if len(gap) else at
+        wide = min(most, 2 * wide) if not len(gap) else max(256, 2 * len(at))
+        common = None
+        if cap:
+            common, c = near_up[i : i + len(at)].copy(), t[at]
+            meet = np.flatnonzero((np.arange(i, i + len(at)) == begin[c] + large_n[c]) & (large_n[c] > 0))  # the first seed after L suffixes
+            if len(meet):
+                common[meet] = np.minimum(run_lengths(t, up[i + meet - 1].astype(np.int64), cap), run_lengths(t, at[meet].astype(np.int64), cap))
+        to, before, carried, first, count = push(at, common, False)
+        if len(to):
+            slot = np.repeat(head[to[first]] - first, count) + np.arange(len(to))
+            up[slot] = before
+            if cap:
+                near_up[slot] = np.where(slot == begin[to], 0, carried)
+            head[to[first]] += count
+        i += len(at)
+
+    # S suffixes, from the largest: each symbol's stretch ends with them, and L suffixes come before
+    whole = _starts((large_n, small_n), scratch, most)
+    down, near_down = scratch.array(n, kind), scratch.array(n if cap else 0, np.int16)
+    down[:] = -1
+    for a, b in parts(size, most):
+        at = up[a:b]
+        c = t[at]
+        nth = np.arange(a, b) - begin[c]
+        own = nth < large_n[c]
+        slot = (whole[c] + nth)[own]
+        down[slot] = at[own]
+        if cap:
+            later = nth[own] > 0
+            near_down[slot[later] - 1] = near_up[a:b][own][later]
+    del up, near_up
+    down[0] = n - 1
+    for a, b in parts(k, most):
+        head[a:b] = whole[a:b] + large_n[a:b] + small_n[a:b] - 1
+    push, i, wide = _Pusher(t, small, cap, k), n, 256
+    while i > 0:
+        a = max(0, i - wide)
+        at = np.asarray(down[a:i])
+        gap = np.flatnonzero(at < 0)
+        at = at[int(gap[-1]) + 1 :] if len(gap) else at
+        wide = min(most, 2 * wide) if not len(gap) else max(256, 2 * len(at))
+        a, common = i - len(at), None
+        if cap:
+            common, c = near_down[a:i].copy(), t[at]
+            meet = np.flatnonzero((np.arange(a, i) == whole[c] + large_n[c] - 1) & (small_n[c] > 0))  # the last L before S suffixes
+            if len(meet):
+                common[meet] = np.minimum(run_lengths(t, at[meet].astype(np.int64), cap), run_lengths(t, down[a + meet + 1].astype(np.int64), cap))
+                near_down[a + meet] = common[meet]
+            common = common[::-1]
+        to, before, carried, first, count = push(at[::-1], common, True)
+        if len(to):
+            slot = np.repeat(head[to[first]] + first, count) - np.arange(len(to))
+            down[slot] = before
+            if cap:
+                near_down[slot] = np.where(slot == whole[to] + large_n[to] + small_n[to] - 1, 0, carried)
+            head[to[first]] -= count
+        i = a
+    return down, near_down if cap else None
+
+
+def sorted_suffixes(t: np.ndarray, cap: int, memory: int, scratch: Scratch | None = None, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Yields (common prefixes, suffixes) in the order of suffixes, as arrays; t ends with the one END.
+
+    A common prefix is the one with the suffix before, up to `cap`. Suffixes are ordered by `cap` symbols at least; those
+    alike beyond that may stand in any order. memory: bytes of arrays and work; beyond, arrays are in scratch files.
+    """
+    scratch = scratch or Scratch(memory)
+    most = most or max(1024, min(1 << 20, memory // PER_ENTRY))
+    order, near = suffix_order(t, cap, cap + 1, memory, scratch, most)
+    for a, b in parts(len(t), most):
+        yield np.append(near[a - 1] if a else np.int16(0), near[a : b - 1]), np.asarray(order[a:b])

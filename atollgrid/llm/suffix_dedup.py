@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, keyed, maybe_broadcast, some_rows, written
+from .common import free, keyed, maybe_broadcast, release, some_rows, written
 from .induced_sort import END, FIRST_BYTE, SEPARATOR, Scratch, sorted_suffixes
 
 LENGTH, GRAM = 400, 128
@@ -32,7 +32,7 @@ SHARD = 4 << 20
 #: Different pieces that one anchor may gather; those of others are parted again, by anchors of longer strings.
 HOT = 256
 #: Bytes of memory for a sort's arrays and queues; beyond, they go to scratch files.
-MEMORY = 192 << 20
+MEMORY = 96 << 20
 
 
 @dataclass(frozen=True)
@@ -181,14 +181,14 @@ def repeated_windows(texts: list[np.ndarray], length: int = LENGTH, memory: int
     t[n - 1] = END
     hit = scratch.array(n, np.bool_)
     if rows is None:
-        last, before = -1, None
+        last = -1
         for common, at in sorted_suffixes(t, width, memory // 2, scratch):
             far = np.flatnonzero(common >= width)
             hit[at[far]] = True
             hit[at[far[far > 0] - 1]] = True
-            if len(far) and far[0] == 0 and last >= 0 and before == t[at[0]]:
+            if len(far) and far[0] == 0:
                 hit[last] = True
-            last, before = int(at[-1]), t[at[-1]]
+            last = int(at[-1])
     else:
         _across(t, width, memory, scratch, ends, rows, hit)
     # a common prefix that reaches a separator is none: windows end within their text
@@ -199,12 +199,9 @@ def _across(t: np.ndarray, width: int, memory: int, scratch: Scratch, ends: np.n
     """Sets hit where suffixes of one group, alike in `width` symbols, stand in texts of more than one row."""
     group, low, high = scratch.array(len(t), np.int32), [], []
     lo, hi = (np.append(x, x[-1:]) for x in rows)  # the end symbol belongs to no text
-    groups, before = 0, None
+    groups = 0
     for common, at in sorted_suffixes(t, width, memory // 2, scratch):
         new = common < width
-        if before is None or before != t[at[0]]:
-            new[0] = True
-        before = t[at[-1]]
         first = np.flatnonzero(new)
         item = np.searchsorted(ends, at, "right")
         group[at] = groups - 1 + np.cumsum(new)
@@ -253,6 +250,7 @@ def _sort(units: tuple[Unit, ...], shard: int, memory: int):
                 size += len(row[7])
         if rows:
             yield verdicts(rows)
+        release()
 
     return sort
 

@@ -72,12 +72,9 @@ def test_induced_sort():
     for _ in range(300):
         n, k, cap = rng.randint(1, 60), rng.choice([1, 2, 3, 20]), rng.choice([3, 8, 50])
         t = np.array([rng.randint(1, k) for _ in range(n)] + [0], np.uint16)
-        groups = {}
         scratch = induced_sort.Scratch(rng.choice([10**9, 64, 0]))
-        for common, at in induced_sort.sorted_suffixes(t, cap, scratch.left, scratch, rng.choice([1, 3, 1000])):
-            groups.setdefault(int(t[at[0]]), []).append((common, at))
-        order = [p for s in sorted(groups) for _, at in groups[s] for p in at.tolist()]
-        common = [p for s in sorted(groups) for c, _ in groups[s] for p in c.tolist()]
+        found = list(induced_sort.sorted_suffixes(t, cap, scratch.left, scratch, rng.choice([1, 3, 1000])))
+        common, order = (np.concatenate(c).tolist() for c in zip(*found, strict=True))
         x = t.tolist()
         assert sorted(order) == list(range(n + 1)) and [x[i : i + cap] for i in order] == sorted(x[i : i + cap] for i in range(n + 1))
         for a, b, c in zip(order, order[1:], common[1:], strict=False):
@@ -85,11 +82,32 @@ def test_induced_sort():
             assert c == min(same, cap)
 
 
-def test_queues_spill():
-    scratch = induced_sort.Scratch(1 << 12)
-    t = np.append(np.random.default_rng(1).integers(1, 5, 20_000), 0).astype(np.uint16)
-    assert sum(len(a) for _, a in induced_sort.sorted_suffixes(t, 20, 1 << 12, scratch, 500)) == len(t)
-    assert scratch.spilled > 1 << 16
+def test_sort_is_external():
+    rng = np.random.default_rng(1)
+    word = [rng.integers(2, 40, 9) for _ in range(500)]
+    t = np.append(np.concatenate([word[i] for i in rng.integers(0, 500, 20_000)]), 0).astype(np.uint8)
+    memory, cap = 1 << 16, 60  # a third of the text; its arrays take some 60 times as much
+    scratch = induced_sort.Scratch(memory)
+    found = list(induced_sort.sorted_suffixes(t, cap, memory, scratch))
+    common, order = (np.concatenate(c) for c in zip(*found, strict=True))
+    want = list(induced_sort.sorted_suffixes(t, cap, 1 << 30))
+    assert scratch.spilled > 10 * len(t) and scratch.left >= 0 and len(found) > 100
+    assert (common == np.concatenate([c for c, _ in want])).all() and (np.sort(order) == np.arange(len(t))).all()
+    raw = t.tobytes()
+    assert all(raw[a : a + cap] <= raw[b : b + cap] for a, b in zip(order[:-1].tolist(), order[1:].tolist(), strict=True))
+
+
+def test_names_are_parted_in_order():
+    rng = np.random.default_rng(2)
+    t = np.append(rng.choice([2, 2, 2, 2, 3, 3, 5], 60_000), 0).astype(np.uint8)
+    scratch = induced_sort.Scratch(1 << 14)
+    start = induced_sort.seed_places(induced_sort.smaller_types(t, scratch, 777), scratch, 777)
+    named = []
+    for memory in (1 << 30, 1 << 14):
+        sub = induced_sort._Substrings(t, start, 30, memory, scratch, 777)
+        sub.name(np.arange(len(start)))
+        named.append((np.array(sub.names), sub.count))
+    assert named[0][1] == named[1][1] and (named[0][0] == named[1][0]).all()
 
 
 @pytest.mark.parametrize("params", [{}, {"shard": 1, "memory": 1 << 10}, {"hot": 1}, {"hot": 3, "shard": 1}])
