@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,12 +70,28 @@ def free(*tables: DataFrame) -> None:
 
 
 def keyed(df: DataFrame, *columns: str, key: str = "_rid") -> DataFrame:
-    """The named columns and `key`, a number that tells repeated rows apart, as a written table.
+    """The named columns and `key`, a number that tells repeated rows apart, the same one in every pass.
 
-    The number is made once and stored with the row, so every pass over the table has the same one, however the scan of
-    df was split and whichever executors were there.
+    Of a Parquet scan it is a hash of the row's file plus the row's place in it: whatever the scan's splits and whichever
+    executors are there, and without a copy. That no two files' numbers meet is looked up in the files' row counts, and
+    the hash seeded anew until it is so. Any other frame is written once with a key.
     """
-    return written(df.select(*[F.col(f"`{c}`") for c in columns]).withColumn(key, F.monotonically_increasing_id()), "keyed")
+    picked = [F.col(f"`{c}`") for c in columns]
+    try:
+        file = df.metadataColumn("_metadata")
+        place, path = file["row_index"], file["file_path"]
+        rows = df.groupBy(path.alias("path")).agg(F.max(place).alias("last"))
+        rows = written(rows, "files")
+    except AnalysisException:  # no scan of files with row numbers
+        return written(df.select(*picked).withColumn(key, F.monotonically_increasing_id()), "keyed")
+    for seed in range(64):
+        first = F.xxhash64(path, F.lit(seed)).bitwiseAND(F.lit((1 << 62) - 1))
+        of = rows.select(F.xxhash64("path", F.lit(seed)).bitwiseAND(F.lit((1 << 62) - 1)).alias("first"), "last").toPandas()  # a row a file
+        of = of.sort_values("first").to_numpy()
+        if (of[1:, 0] > of[:-1, 0] + of[:-1, 1]).all():
+            free(rows)
+            return df.select(*picked, (first + place).alias(key))
+    raise ValueError("no numbers for the rows of so many files")
 
 
 def some_rows(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, maybe_broadcast, written
+from .common import ascii_lower, free, maybe_broadcast, written
 
 #: What separates words: ASCII but digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -107,7 +107,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     of = of.filter("item is not null").select("_rid", F.col("item").cast("string").alias("item")).distinct().groupBy("_rid")
     of = of.agg(F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items"), F.count(F.lit(1)).alias("n_items"))
     judged = written(per_row.join(of, "_rid", "left").withColumnRenamed("_rid", "_r"), "judged")
-    out = d.drop("w").join(maybe_broadcast(judged), F.col("_rid") == F.col("_r"), "left")
+    counted = written(d.drop("w"), "counted")
+    free(d, found)  # the result reads no words
+    out = counted.join(maybe_broadcast(judged), F.col("_rid") == F.col("_r"), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     return out.select(
         F.col("_id").alias(id_col), "n_words", zero("n_hit").alias("n_hit"), zero("n_items").alias("n_items"),

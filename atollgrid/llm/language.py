@@ -131,8 +131,8 @@ def host_priors(rows: DataFrame, n: int) -> tuple[DataFrame, list[float]]:
     return written(hosts.select("host", _shares(F.col("v"), F.col("of_domain"), n).alias("prior")), "priors"), share
 
 
-def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str], np.ndarray], declared: Column | None = None, url: Column | None = None, host: Column | None = None, wanted: list[str] | None = None, min_posterior: float = MIN_POSTERIOR, whole: bool = False) -> DataFrame:
-    """One row per row of docs: id, language (null for none), posterior, kept; with `whole` also _row, all of docs' columns.
+def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str], np.ndarray], declared: Column | None = None, url: Column | None = None, host: Column | None = None, wanted: list[str] | None = None, min_posterior: float = MIN_POSTERIOR, key: str | None = None) -> DataFrame:
+    """One row per row of docs: id, language (null for none), posterior, kept; with `key`, a column of docs, also that.
 
     Evidence is multiplied: the text's likelihood in each language (whole text, tempered) and in none; what is declared
     and what the address says, each right with a fixed chance; and the host's prior. That is its rows' shares of languages
@@ -140,35 +140,21 @@ def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str]
     rows'. Missing evidence of any other kind (null host, unknown codes) says nothing; a text without a letter, a null
     and an empty one among them, is in no language with a posterior of 0, whatever is declared. kept is false where no
     language comes out, the best one's posterior is under min_posterior, or it isn't wanted (null: all are). Repeated
-    rows are each judged. Rows pass through Python once, and are never shuffled.
+    rows are each judged. Texts pass through Python once and are never shuffled; what is written has no texts.
     """
     languages, table = model
     n = len(languages)
     none = F.lit(None).cast("string")
-    own = (F.col(f"`{id_col}`").alias("_id"), F.lower(none if declared is None else declared).alias("declared"), (address_language(url, languages) if url is not None else none).alias("address"), (none if host is None else host).alias("host"))
-    text = F.col(f"`{text_col}`").cast("binary")
-    if whole:  # the text is read from the row itself, and isn't sent beside it
-        d = docs.select(F.struct(*own).alias("k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-        field = docs.columns.index(text_col)
-    else:
-        d = docs.select(F.struct(*own).alias("k"), F.struct(text.alias("t")).alias("_row"))
-        field = 0
+    rest = [] if key is None else [key]
+    k = F.struct(F.col(f"`{id_col}`").alias("_id"), F.lower(none if declared is None else declared).alias("declared"), (address_language(url, languages) if url is not None else none).alias("address"), (none if host is None else host).alias("host"), *[F.col(f"`{c}`").alias(c) for c in rest])
 
     def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pa.RecordBatch.from_arrays([batch.column(1).field(field).cast(pa.binary())], ["t"])
-            found: list[list[float] | None] = []
-            for part in some_rows([texts], 0):
-                for t in part.column(0).to_pylist():
-                    ll = text_evidence(t or b"", table)
-                    found.append(None if ll is None else ll.tolist())
-            got = pa.array(found, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[batch.column(1)] * whole, got], ["k", *["_row"] * whole, "ll"])
-
-    kind = lambda c: d.schema[c].dataType.simpleString()
-    d = d.mapInArrow(likelihoods, f"k {kind('k')}, {f'_row {kind("_row")}, ' * whole}ll array<double>")
-    d = written(d.select("k.*", *["_row"] * whole, "ll"), "likelihoods")
-    rest = ["_row"] * whole
+        for batch in some_rows(batches, 1):
+            found = [text_evidence(t or b"", table) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if x is None else x.tolist() for x in found], pa.list_(pa.float64()))], ["k", "ll"])
+
+    d = docs.select(k.alias("k"), F.col(f"`{text_col}`").cast("binary").alias("t"))
+    d = written(d.mapInArrow(likelihoods, f"k {d.schema['k'].dataType.simpleString()}, ll array<double>").select("k.*", "ll"), "likelihoods")
     if not n:
         return d.select(F.col("_id").alias(id_col), *rest, none.alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("kept"))
     own, top = F.slice("ll", 1, n), F.array_max(F.slice("ll", 1, n))
@@ -195,11 +181,11 @@ def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str]
     return j.select(F.col("_id").alias(id_col), *rest, "language", "posterior", F.coalesce(kept, F.lit(False)).alias("kept"))
 
 
-def documents_language(docs: DataFrame, whole: bool = False) -> DataFrame:
+def documents_language(docs: DataFrame, key: str | None = None) -> DataFrame:
     """identify() over a table of documents, by text and host (source). They have no markup and no address, and lang, the
     label of the fitted sample, is no evidence."""
     model = text_model(training_sample(docs, "doc_id", "text", "lang"))
-    return identify(docs, "doc_id", "text", model, host=F.col("source"), whole=whole)
+    return identify(docs, "doc_id", "text", model, host=F.col("source"), key=key)
 
 
 def pages_language(pages: DataFrame, docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, maybe_broadcast, some_rows, written
+from .common import free, keyed, maybe_broadcast, some_rows, written
 from .graph import components
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
@@ -434,9 +434,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = rows.join(maybe_broadcast(wanted), F.col("_rid") == F.col("_r")).select("node", F.col("_t").cast("binary").alias("t"))
     sets = written(texts.mapInArrow(_sets(size), "node bigint, s binary"), "shingles")
     full = pairs.join(sets.withColumnsRenamed({"node": "na", "s": "sa"}), "na").join(sets.withColumnsRenamed({"node": "nb", "s": "sb"}), "nb").select(*columns)
-    root = components(written(full.mapInArrow(_alike(least), "na bigint, nb bigint"), "alike"), "na", "nb").withColumnRenamed("node", "n")
+    alike = written(full.mapInArrow(_alike(least), "na bigint, nb bigint"), "alike")
+    free(values, pairs, wanted, sets)
+    root = components(alike, "na", "nb").withColumnRenamed("node", "n")
     whole = written(nodes.join(root, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
     best = whole.groupBy("root").agg(F.min("first").alias("best"))
     named = written(whole.join(best, "root").select(F.col("node").alias("_n"), F.col("best._id").alias("component_id"), F.col("best._rid").alias("_best")), "named")
+    free(nodes, alike, whole)
     out = d.join(maybe_broadcast(named), F.col("node") == F.col("_n"))
     return out.select(F.col("_id").alias(id_col), "component_id", (F.col("_rid") == F.col("_best")).alias("keeper"), "_rid")

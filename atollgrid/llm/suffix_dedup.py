@@ -317,6 +317,7 @@ def _verdicts(cut: DataFrame, any_hot: bool, units: tuple[Unit, ...], sort, hot:
     finer = written(one.select("unit", "anchor", "piece", "copies", "low", "high", "crowded", part.alias("bytes")), "finer")
     fine = written(_verdicts(finer, not finer.filter("crowded").isEmpty(), units, sort, hot, grams), "fine").withColumnsRenamed({"anchor": "shard", "piece": "own"})
     back = parts.select("unit", "shard", "own", "anchor", "piece", "at").join(fine, ["unit", "shard", "own"])
+    free(kinds, finer)
     return found.unionByName(back.select("unit", "anchor", "piece", F.expr("transform(runs, r -> struct(r.a + at as a, r.b + at as b))").alias("runs")))
 
 
@@ -338,12 +339,13 @@ def repeated_spans(docs: DataFrame, text_col: str, units: tuple[Unit, ...] = (BY
     # a text's own pieces: never more than its symbols
     wanted = one.groupBy("_rid").agg(F.collect_list(F.struct("unit", "anchor", "piece", "copies", "low", "high", "crowded", "start", "size")).alias("wanted"))
     cut = text.join(wanted, "_rid").select("text", "wanted").mapInArrow(_cut(units), _PIECE)
-    any_hot = not one.filter("crowded").isEmpty()
+    any_hot, read = not one.filter("crowded").isEmpty(), [kinds, one]
     if any_hot:
         cut = written(cut, "cut")  # read twice
+        read.append(cut)
     found = _verdicts(cut, any_hot, units, _sort(units, shard, memory), hot, [u.gram for u in units])
     found = written(found, "verdicts")
-    free(kinds, one)
+    free(*read)
     spans = places.join(found, ["unit", "anchor", "piece"]).select("unit", "_rid", F.expr("transform(runs, r -> struct(start + r.a as a, start + r.b as b))").alias("runs"))
     of_unit = [F.flatten(F.collect_list(F.when(F.col("unit") == i, F.col("runs")))) for i in range(len(units))]
     spans = written(spans.groupBy("_rid").agg(F.array(*of_unit).alias("runs")), "spans")

@@ -145,3 +145,34 @@ def test_proximity(spark, tmp_path):
     assert got[1]["contaminated"] and got[1]["n_near"] == 0
     assert not got[2]["contaminated"] and got[2]["n_near"] == 1
     assert not got[3]["contaminated"] and got[3]["n_near"] == 0
+
+
+def test_propagation_decides(spark, tmp_path):
+    # bad.com's pages are blocked by a rule; farm.org links to it, good.org is linked by an allowed host
+    rules = [("bad.com", "/", "block"), ("fine.com", "/", "allow")]
+    pages = [(i, "http://bad.com/x", "") for i in range(4)] + [(10 + i, "http://farm.org/x", "<a href='https://bad.com/1'>x</a>" * 3) for i in range(4)]
+    pages += [(20 + i, "http://fine.com/x", "<a href='https://good.org/1'>x</a><a href='https://bad.com/2'>x</a>") for i in range(4)] + [(30, "http://good.org/x", "")]
+    docs = stored(spark, tmp_path, pages, "page_id int, url string, html string")
+    said = {r["page_id"]: r["verdict"] for r in url_verdicts(docs, rules=rules).collect()}
+    off = {r["page_id"]: r["verdict"] for r in url_verdicts(docs, rules=rules, rounds=0).collect()}
+    assert [said[i] for i in (0, 10, 20, 30)] == ["block", "block", "allow", "allow"] and off[10] == "allow"
+    assert sum(said[i] != off[i] for i in said) == 4
+
+
+def test_host_verdict_decides(spark, tmp_path):
+    clean = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    docs = [(h * 1000 + i, clean(i) if i % 10 else "too short", f"h{h}") for h in range(30) for i in range(40)]
+    docs += [(50_000 + i, clean(i) if i % 2 else "too short", "spam") for i in range(40)]  # half of it fails: far off the others
+    got = host_rules(stored(spark, tmp_path, docs, "doc_id int, text string, source string")).collect()
+    gone = {r["doc_id"] for r in got if not r["kept"] and not r["base_failed"]}
+    assert gone == {50_000 + i for i in range(40) if i % 2}
+    off = host_rules(stored(spark, tmp_path, docs, "doc_id int, text string, source string", "u"), max_rate=1.0, tail=1e9).collect()
+    assert not any(not r["kept"] and not r["base_failed"] for r in off)
+
+
+def test_tied_rates_and_ranks(spark, tmp_path):
+    docs = [(h * 100 + i, "short" if i < 5 else " ".join(f"w{k}" for k in range(60)), f"h{h}") for h in range(4) for i in range(10)]
+    assert {r["host_rate"] for r in host_rules(stored(spark, tmp_path, docs, "doc_id int, text string, source string")).collect()} == {0.5}
+    pages = [(1, "http://a.com/x", "<a href='//b.org/'>"), (2, "http://c.net/x", "<a href='//b.org/'>"), (3, "http://b.org/x", "")]
+    got = {r["page_id"]: r for r in url_verdicts(stored(spark, tmp_path, pages, "page_id int, url string, html string", "p"), rules=[("a.com", "/", "allow"), ("c.net", "/", "block")], min_distrust=0.0).collect()}
+    assert got[3]["verdict"] == "allow" and got[3]["host_distrust"] == 0

@@ -132,6 +132,60 @@ def test_suffix_dedup(spark, tmp_path, params):
     assert got == sorted(want)
 
 
+def test_long_texts_in_parts():
+    rng = np.random.default_rng(4)
+    x = rng.integers(97, 100, 3000).astype(np.uint8)
+    for unit in (x, rng.integers(0, 1 << 60, 3000).astype(np.uint64)):
+        found = []
+        for part in (1 << 19, 700):  # the second cuts the text
+            own = {}
+            for number, start, count, anchor, _ in suffix_dedup.pieces([unit], 64, 16, part):
+                for s, n, a in zip(start.tolist(), count.tolist(), anchor.tolist(), strict=True):
+                    own |= {p: a for p in range(s, s + n)}
+                assert (number == 0).all()
+            found.append(own)
+        assert sorted(found[0]) == list(range(3000 - 64 + 1)) and found[0] == found[1]
+
+
+@pytest.mark.parametrize("hot", [256, 2])
+def test_passages_of_words(spark, tmp_path, hot):
+    rng = random.Random(6)
+    shared = [" ".join(rng.choice(["a", "be", "thé", "of"]) for _ in range(n)) for n in (9, 10, 11, 30)]
+    rows = []
+    for i in range(60):
+        rows.append((i, rng.choice([" ", "\n ", "\t"]).join(rng.choice([f"x{rng.randint(0, 999)}", *shared]) for _ in range(rng.randint(0, 9)))))
+    rows += [(100, " ".join([shared[3]] * 3)), (101, " ".join(["own"] * 40)), (102, None), (103, "own words"), (104, rows[7][1]), (104, rows[7][1])]
+    docs = stored(spark, tmp_path, rows, "doc_id int, text string")
+    got = sorted((r["doc_id"], r["n_passage_words"]) for r in suffix_dedup.without_repeats(docs, passage=11, hot=hot).collect())
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    seen = collections.defaultdict(set)
+    for i, w in enumerate(words):
+        for k in range(len(w) - 10):
+            seen[tuple(w[k : k + 11])].add(i)
+    want = []
+    for (i, _), w in zip(rows, words, strict=True):
+        under = {p for k in range(len(w) - 10) if len(seen[tuple(w[k : k + 11])]) > 1 for p in range(k, k + 11)}
+        want.append((i, len(under)))
+    assert got == sorted(want) and dict(want)[101] == 0 and dict(want)[100] > 0
+
+
+def test_keys_are_stored(spark, tmp_path):
+    from atollgrid.llm.common import keyed
+
+    docs = stored(spark, tmp_path, [(i // 2, f"text {i // 2}") for i in range(5000)], "doc_id int, text string", parts=7)
+    d = keyed(docs, "doc_id", "text")
+    seen = []
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    for size in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            seen.append((d.rdd.getNumPartitions(), sorted((r["_rid"], r["doc_id"]) for r in d.collect())))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0][0] != seen[1][0] and seen[0][1] == seen[1][1] and len({k for k, _ in seen[0][1]}) == 5000
+
+
 # --- SimHash
 
 
@@ -230,6 +284,20 @@ def test_token_counts_equal_the_library():
         assert spliced_count(enc, x, rng.randint(5, 40), rng.randint(1, 6)) == len(enc.lib.encode(x, add_special_tokens=False))
 
 
+def test_other_tokenizers_count_as_the_library(spark, tmp_path):
+    from atollgrid.llm.token_counts import LibraryEncoder, encoder, token_counts
+
+    assert isinstance(encoder(public_tokenizers.path("word_bpe_49k.json")), WordEncoder)
+    assert isinstance(encoder(public_tokenizers.path("byte_bpe_50k.json")), LibraryEncoder)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        lib = LibraryEncoder(public_tokenizers.path(name))
+        for r in token_counts(docs, "doc_id", "text", public_tokenizers.path(name), chunk=2000).collect():
+            n = lib.count(rows[r["doc_id"]])
+            assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (n, len(rows[r["doc_id"]].encode()), n > 2048)
+
+
 # --- pages
 
 
@@ -249,6 +317,39 @@ def test_site_templates(spark, tmp_path):
     assert got[3] == "story 3" and got[105] == "Read our news same page"
 
 
+def test_templates_decide(spark, tmp_path):
+    # no element or name says what is the article: only recurring subtrees do
+    rng = random.Random(8)
+    menu = "<div><div>Home</div><div>Shop <b>now</b></div></div>"
+    foot = "<section><ul><li>Imprint</li><li>Help</li></ul></section>"
+    rows, want = [], {}
+    for i in range(40):
+        story = " ".join(f"w{rng.randint(0, 99)}" for _ in range(20))
+        rows.append((i, f"http://a.com/{i}", f"<html><body>{menu}<div><p>{story}</p><div>Share  this</div></div>{foot}</body></html>"))
+        want[i] = story
+    rows += [(50, "http://b.com/1", rows[0][2])]  # another host: no template there
+    docs = stored(spark, tmp_path, rows, "page_id int, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract(docs).collect()}
+    assert {i: got[i] for i in want} == want and got[50] == f"Home Shop now {want[0]} Share this Imprint Help"
+    off = {r["page_id"]: r["text"] for r in extract(docs, min_pages=10**9).collect()}
+    assert all(off[i] == f"Home Shop now {want[i]} Share this Imprint Help" for i in want)
+
+
+def test_templates_inside_articles(spark, tmp_path):
+    rows = [(i, "http://a.com/x", f"<body><article><p>story {i}</p><blockquote>Read our news</blockquote></article></body>") for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in extract(stored(spark, tmp_path, rows, "page_id int, url string, html string")).collect()}
+    assert got[3] == "story 3"
+
+
+def test_subtrees_are_hashed_by_structure():
+    tree = lambda h: set(subtrees(parse(h)))
+    assert tree("<div><ul><li>a</li></ul></div>") == tree("<div >\n<ul><li> a\n</li></ul></div>")
+    assert len(tree("<div><ul><li>a</li></ul></div>")) == 3
+    assert not tree("<div><p>a b</p></div>") & tree("<section><p>a b</p></section>")
+    assert not tree("<div class=x>a</div>") & tree("<div class=y>a</div>")
+    assert len(subtrees(parse("<div>x" * 20_000))) > 0  # deep pages are read in a time that grows with their length
+
+
 # --- language
 
 
@@ -271,6 +372,24 @@ def test_language_evidence_of_pages(spark, tmp_path):
     assert got[1] == "de" and got[2] == "de" and got[3] == "es"
 
 
+def test_many_languages(spark, tmp_path):
+    rng = random.Random(11)
+    alphabet = {f"l{i:02d}": [chr(0x4E00 + 30 * i + k) for k in range(30)] for i in range(70)}
+    rows = [(100 * i + j, " ".join("".join(rng.choices(a, k=3)) for _ in range(20)), lang, "s") for i, (lang, a) in enumerate(alphabet.items()) for j in range(4)]
+    docs = stored(spark, tmp_path, rows, "doc_id int, text string, lang string, source string")
+    got = {r["doc_id"]: r["language"] for r in documents_language(docs).collect()}
+    assert got == {i: lang for i, _, lang, _ in rows}
+
+
+def test_language_of_pages(spark):
+    from atollgrid.llm.language import pages_language
+
+    docs, pages = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "pages"))
+    got = pages_language(pages, docs).join(pages, "page_id").select((F.col("language") == declared_language(F.col("html"))).cast("double").alias("same"), "kept")
+    r = got.agg(F.avg("same").alias("same"), F.avg(F.col("kept").cast("double")).alias("kept")).first()
+    assert r["same"] > 0.98 and r["kept"] > 0.98
+
+
 # --- pieces
 
 
@@ -341,6 +460,20 @@ def test_samples_come_out_and_decode(spark, tmp_path, pieces):
             assert [s["ids"] for s in samples] == [sampled_ids(pieces, lattice, np.arange(len(units)), int(seed[0]), s) for s in own]
 
 
+def test_unlikely_segmentations_come_out(pieces):
+    known = Known(pieces, 1.0, 0.02)  # so cold that the likeliest one has all but 1e-15 of the chance, or less
+    unit = known.numbers(pieces.units("cat"))
+    whole = sample_rows(known.lattice, unit, np.zeros(1, np.int64), mixed(np.arange(1)), 50)[0]
+
+    def count(at, end):
+        return 1 if at == end else sum(count(int(known.lattice.to[e]), end) for e in range(known.lattice.lead[at], known.lattice.lead[at + 1]))
+
+    u = int(unit[0])
+    n = count(int(known.lattice.first[u]), int(known.lattice.end[u]))
+    assert 4 < len(whole) == len({tuple(s["ids"].tolist()) for s in whole}) == min(n, 50)
+    assert min(s["log_prob"] for s in whole) < math.log(1e-15) and all(pieces.decode(s["ids"].tolist()) == "cat" for s in whole)
+
+
 def test_rows_with_few_segmentations(pieces):
     known = Known(pieces, 1.0, 1.0)
     unit = known.numbers(pieces.units("q"))
