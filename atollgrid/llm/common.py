@@ -40,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; our own where it is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found and not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if not found and master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (found or OWN_SHARED).rstrip("/")
 
