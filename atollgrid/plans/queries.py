@@ -201,6 +201,16 @@ def fuse_solar_day(spark, sf_dir):
     return rasters.fuse(d, BANDS, ["tile", "y", "x", "q"], "scene")
 
 
+_LON = "CASE WHEN x < 25 THEN 156e0 + x ELSE x - 204e0 END"  # 25 columns on either side of the antimeridian
+
+
+@query(f"WITH {cte('px_obs')}, p AS (SELECT *, {_LON} AS lon FROM px_obs), d AS (SELECT *, CAST(time + to_seconds(lon * 240) AS DATE) AS day FROM p WHERE (lon >= 17e1 OR lon <= -175e0) AND y BETWEEN 0 AND 2) SELECT y, x, day, coalesce(arg_min(qa_pixel, (time, scene)) FILTER (qa_pixel NOT IN (0, 1)), arg_max(qa_pixel, (time, scene))) AS qa_pixel, {many(BANDS[:2], 'coalesce(arg_min($, (time, scene)) FILTER ($ <> 0), 0) AS $')} FROM d GROUP BY y, x, day")
+def load_scenes(spark, sf_dir):
+    lon = F.when(F.col("x") < 25, F.col("x") + 156.0).otherwise(F.col("x") - 204.0)
+    d = obs(spark, sf_dir).withColumns({"lon": lon, "lat": F.col("y").cast("double"), "time": F.col("time").cast("timestamp")})
+    return rasters.load(d, BANDS[:2], (170.0, 0.0, -175.0, 2.0), ["y", "x"], order=["scene"])
+
+
 @query(f"WITH {cte('scenes')} SELECT concat(platform, '-', CASE WHEN sensor % 3 = 0 THEN 'T1' ELSE 'T2' END) AS scene_group, CAST(count(*) AS BIGINT) AS n FROM scenes GROUP BY 1")
 def scene_counts(spark, sf_dir):
     tier = F.when(F.col("sensor") % 3 == 0, "T1").otherwise("T2")

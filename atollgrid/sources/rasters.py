@@ -21,6 +21,20 @@ def fuse(df: DataFrame, bands: list[str], key: list[str], time: str, qa: str = "
     return df.groupBy(*key).agg(quality, *[F.coalesce(first(b, F.col(b) != 0), F.lit(0)).alias(b) for b in bands])
 
 
+def in_box(west: float, south: float, east: float, north: float, lon: str = "lon", lat: str = "lat") -> Column:
+    """Whether a place is in a box, which crosses the antimeridian where its west is over its east."""
+    x = F.col(lon)
+    inside = (x >= west) | (x <= east) if west > east else x.between(west, east)
+    return inside & F.col(lat).between(south, north)
+
+
+def load(pixels: DataFrame, bands: list[str], box: tuple[float, float, float, float], key: list[str], time: str = "time", lon: str = "lon", lat: str = "lat", qa: str = "qa_pixel", order: list[str] = ()) -> DataFrame:
+    """scenes' pixels on the tile's own grid, in a box, of the bands alone, one row a pixel (key) and solar day.
+    The box and the bands reach the scan; scenes of a day are fused before the shuffle."""
+    d = pixels.filter(in_box(*box, lon, lat)).select(*key, time, *order, qa, *bands, solar_day(time, lon).alias("day"))
+    return fuse(d, bands, [*key, "day"], time, qa, order)
+
+
 def shift_west(df: DataFrame, lon: str = "lon") -> DataFrame:
     """Longitudes from 0 to 360, so that both halves of an antimeridian tile join up."""
     return df.withColumn(lon, F.when(F.col(lon) < 0, F.col(lon) + 360).otherwise(F.col(lon)))
