@@ -50,14 +50,14 @@ class Unit:
         """Bytes a symbol."""
         return 8 if self.words else 1
 
-    def symbols(self, text: bytes) -> np.ndarray:
-        """A text's bytes, or its words' hashes."""
-        import xxhash
-
+    def symbols(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Each text's bytes, or its words' hashes."""
         if not self.words:
-            return np.frombuffer(text, np.uint8)
-        found = text.split()
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+            return [np.frombuffer(t, np.uint8) for t in texts]
+        whole = b" ".join(texts)
+        places = word_places(whole)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        return np.split(word_hashes(whole, places), np.searchsorted(places[:, 0], ends[:-1]))
 
     def finer(self, gram: int) -> int:
         """The next longer anchor; the last is a whole window."""
@@ -69,10 +69,43 @@ BYTES, PASSAGES = Unit(), Unit(True, PASSAGE_WORDS, GRAM_WORDS, True)
 
 def word_places(text: bytes) -> np.ndarray:
     """[start, end) of a text's words."""
-    x = np.frombuffer(text, np.uint8)
-    space = (x == 32) | ((x >= 9) & (x <= 13))
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
-    return edge.reshape(-1, 2)
+    inside = np.zeros(len(text) + 2, np.bool_)
+    inside[1:-1] = _LETTER[np.frombuffer(text, np.uint8)]
+    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+
+
+def word_hashes(text: bytes, places: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of a text's words, which stand at places: a polynomial in an odd number over random values of its bytes, mixed. Sums over parts of
+    a text give all its words' at once; a word longer than a part is summed part by part."""
+    start, end = places[:, 0], places[:, 1]
+    h, x, i = np.zeros(len(start), np.uint64), np.frombuffer(text, np.uint8), 0
+    while i < len(start):
+        first = int(start[i])
+        k = int(np.searchsorted(end, first + WORDS_PART, "right"))
+        if k > i:
+            total = np.zeros(int(end[k - 1]) - first + 1, np.uint64)
+            np.cumsum(_VALUE[x[first : int(end[k - 1])]] * _POWER[: len(total) - 1], out=total[1:])
+            h[i:k] = (total[end[i:k] - first] - total[start[i:k] - first]) * _INVERSE[start[i:k] - first]
+            i = k
+            continue
+        for a in range(first, int(end[i]), WORDS_PART):
+            part = _VALUE[x[a : min(int(end[i]), a + WORDS_PART)]]
+            h[i : i + 1] += (part * _POWER[: len(part)]).sum(dtype=np.uint64, keepdims=True) * np.uint64(pow(_BASE, a - first, 1 << 64))
+        i += 1
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    out[1:] = base
+    return np.multiply.accumulate(out)
+
+
+WORDS_PART, _BASE = 1 << 16, 0x9E3779B97F4A7C15
+_LETTER = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
+_VALUE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_POWER, _INVERSE = _powers(_BASE, WORDS_PART), _powers(pow(_BASE, -1, 1 << 64), WORDS_PART)
 
 
 def gram_hashes(x: np.ndarray, size: int) -> np.ndarray:
@@ -114,17 +147,21 @@ def pieces(texts: Iterator[np.ndarray] | list[np.ndarray], length: int = LENGTH,
         starts = ends - [len(x) for *_, x in todo]
         h = gram_hashes(data, gram)
         own = leftmost_minima(h, length - gram + 1)
-        at = np.arange(len(own))
-        item = np.searchsorted(ends, at, "right")
-        fits = at + length <= ends[item]
-        at, item, own = at[fits], item[fits], own[fits]
-        first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (item[1:] != item[:-1])))
-        count = np.diff(np.append(first, len(own)))
-        s, k = at[first], item[first]
+        # windows that begin in one text and end in another are none
+        fits, edge = np.ones(len(own), np.bool_), np.ones(len(own) + 1, np.bool_)
+        np.not_equal(own[1:], own[:-1], out=edge[1:-1])
+        for end in ends[:-1].tolist():
+            fits[max(0, end - length + 1) : end] = False
+            edge[min(end, len(own))] = edge[max(0, min(end - length + 1, len(own)))] = True
+        s = np.flatnonzero(edge)
+        count, s = np.diff(s), s[:-1]
+        whole = fits[s]
+        count, s = count[whole], s[whole]
+        k = np.searchsorted(ends, s, "right")
         raw, w = memoryview(data.tobytes()), data.itemsize
         hashes = [h64(raw[a:b]) for a, b in zip((w * s).tolist(), (w * (s + count + length - 1)).tolist(), strict=True)]
         number, offset = np.array([x for x, *_ in todo])[k], np.array([x for _, x, _ in todo])[k]
-        return number, s - starts[k] + offset, count, h[own[first]].view(np.int64), np.array(hashes, np.uint64).view(np.int64)
+        return number, s - starts[k] + offset, count, h[own[s]].view(np.int64), np.array(hashes, np.uint64).view(np.int64)
 
     for i, text in enumerate(texts):
         for start in range(0, max(0, len(text) - length + 1), part):
@@ -144,7 +181,7 @@ def _find(units: tuple[Unit, ...]):
             rid, texts = batch.column(0).to_numpy(), [x or b"" for x in batch.column(1).to_pylist()]
             for u, unit in enumerate(units):
                 # texts of fewer bytes than a window's symbols and what is between them have no window
-                symbols = (unit.symbols(t if len(t) >= unit.length * (1 + unit.words) - unit.words else b"") for t in texts)
+                symbols = unit.symbols([t if len(t) >= unit.length * (1 + unit.words) - unit.words else b"" for t in texts])
                 for number, start, count, anchor, piece in pieces(symbols, unit.length, unit.gram):
                     cols = (np.full(len(number), u, np.int32), rid[number], start, count.astype(np.int32), anchor, piece)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["unit", "_rid", "start", "n", "anchor", "piece"])
@@ -262,7 +299,7 @@ def _cut(units: tuple[Unit, ...]):
         for batch in some_rows(batches, 0, 1 << 20):
             out: list = []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = {u: units[u].symbols(text).tobytes() for u in {w["unit"] for w in wanted}}
+                raw = {u: units[u].symbols([text])[0].tobytes() for u in {w["unit"] for w in wanted}}
                 for w in wanted:
                     size = units[w["unit"]].size
                     out.append((*(w[c] for c in names), raw[w["unit"]][size * w["start"] : size * (w["start"] + w["size"])]))
@@ -291,10 +328,16 @@ def _finer(units: tuple[Unit, ...], grams: list[int]):
 
 
 def _shared(kinds: DataFrame, units: tuple[Unit, ...], hot: int) -> DataFrame:
-    """(unit, anchor, crowded) of the anchors of kinds (unit, anchor, copies, low, high) that may own a repeated window."""
+    """(unit, anchor, crowded, alone) of the anchors of kinds (unit, anchor, copies, low, high) that may own a repeated
+    window; alone: there is one kind, and so each of its windows is repeated."""
     of = kinds.groupBy("unit", "anchor").agg(F.sum("copies").alias("c"), F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("k"))
     across = F.array(*[F.lit(u.across) for u in units])[F.col("unit")]
-    return of.filter((F.col("c") > 1) & (~across | (F.col("l") < F.col("h")))).select("unit", "anchor", (F.col("k") > hot).alias("crowded"))
+    return of.filter((F.col("c") > 1) & (~across | (F.col("l") < F.col("h")))).select("unit", "anchor", (F.col("k") > hot).alias("crowded"), (F.col("k") == 1).alias("alone"))
+
+
+def _sure(one: DataFrame) -> DataFrame:
+    """Verdicts on kinds that are alone under their anchors (n: windows)."""
+    return one.filter("alone").select("unit", "anchor", "piece", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("runs"))
 
 
 def _verdicts(cut: DataFrame, any_hot: bool, units: tuple[Unit, ...], sort, hot: int, grams: list[int]) -> DataFrame:
@@ -306,18 +349,19 @@ def _verdicts(cut: DataFrame, any_hot: bool, units: tuple[Unit, ...], sort, hot:
     found, crowded = sorted_(cut.filter("not crowded")), cut.filter("crowded")
     grams = [u.finer(g) for u, g in zip(units, grams, strict=True)]
     parts = written(crowded.mapInArrow(_finer(units, grams), "unit int, shard bigint, own bigint, copies bigint, low bigint, high bigint, anchor bigint, piece bigint, at int, n int"), "parts")
-    first = F.min(F.struct("anchor", "piece", "at", "n")).alias("first")
-    kinds = parts.groupBy("unit", "shard", "own").agg(F.sum("copies").alias("copies"), F.min("low").alias("low"), F.max("high").alias("high"), first)
+    first = F.min(F.struct("anchor", "piece", "at")).alias("first")
+    kinds = parts.groupBy("unit", "shard", "own").agg(F.sum("copies").alias("copies"), F.min("low").alias("low"), F.max("high").alias("high"), first, F.min("n").alias("n"))
     kinds = written(kinds.withColumnsRenamed({"shard": "anchor", "own": "piece"}), "kinds")
     of = crowded.select(F.col("unit").alias("u"), F.col("anchor").alias("a"), F.col("piece").alias("p"), "bytes")
-    one = kinds.join(_shared(kinds, units, hot), ["unit", "anchor"])
-    one = one.join(of, (F.col("unit") == F.col("u")) & (F.col("first.anchor") == F.col("a")) & (F.col("first.piece") == F.col("p")))
+    shared = written(kinds.join(_shared(kinds, units, hot), ["unit", "anchor"]), "shared")
+    one = shared.filter("not alone").join(of, (F.col("unit") == F.col("u")) & (F.col("first.anchor") == F.col("a")) & (F.col("first.piece") == F.col("p")))
     size, length = (F.array(*[F.lit(x) for x in xs])[F.col("unit")] for xs in ([u.size for u in units], [u.length for u in units]))
-    part = F.substring("bytes", size * F.col("first.at") + 1, size * (F.col("first.n") + length - 1))
+    part = F.substring("bytes", size * F.col("first.at") + 1, size * (F.col("n") + length - 1))
     finer = written(one.select("unit", "anchor", "piece", "copies", "low", "high", "crowded", part.alias("bytes")), "finer")
-    fine = written(_verdicts(finer, not finer.filter("crowded").isEmpty(), units, sort, hot, grams), "fine").withColumnsRenamed({"anchor": "shard", "piece": "own"})
+    fine = _verdicts(finer, not finer.filter("crowded").isEmpty(), units, sort, hot, grams).unionByName(_sure(shared))
+    fine = written(fine, "fine").withColumnsRenamed({"anchor": "shard", "piece": "own"})
     back = parts.select("unit", "shard", "own", "anchor", "piece", "at").join(fine, ["unit", "shard", "own"])
-    free(kinds, finer)
+    free(kinds, finer, shared)
     return found.unionByName(back.select("unit", "anchor", "piece", F.expr("transform(runs, r -> struct(r.a + at as a, r.b + at as b))").alias("runs")))
 
 
@@ -328,22 +372,23 @@ def repeated_spans(docs: DataFrame, text_col: str, units: tuple[Unit, ...] = (BY
     least = min(u.length * (1 + u.words) - u.words for u in units)
     places = text.filter(F.octet_length("text") >= least).mapInArrow(_find(units), "unit int, _rid bigint, start bigint, n int, anchor bigint, piece bigint")
     places = written(places, "places")
-    # copies of a piece are counted before they are dealt out, so no count of them loads a task
-    first = F.min(F.struct("_rid", "start", "n")).alias("first")
-    kinds = places.groupBy("unit", "anchor", "piece").agg(F.count(F.lit(1)).alias("copies"), F.min("_rid").alias("low"), F.max("_rid").alias("high"), first)
+    # copies of a piece are counted before they are dealt out, so no count of them loads a task; any place of the least row does
+    kinds = places.groupBy("unit", "anchor", "piece").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("_rid").alias("low"), F.max("_rid").alias("high"), F.min_by("start", "_rid").alias("start"), F.min("n").alias("n")
+    )
     kinds = written(kinds, "pieces")
     length = F.array(*[F.lit(u.length) for u in units])[F.col("unit")]
     one = kinds.join(_shared(kinds, units, hot), ["unit", "anchor"])
-    one = one.select("unit", "anchor", "piece", "copies", "low", "high", "crowded", F.col("first._rid").alias("_rid"), F.col("first.start").alias("start"), (F.col("first.n") + length - 1).alias("size"))
+    one = one.select("unit", "anchor", "piece", "copies", "low", "high", "crowded", "alone", F.col("low").alias("_rid"), "start", "n", (F.col("n") + length - 1).alias("size"))
     one = written(one, "one")
     # a text's own pieces: never more than its symbols
-    wanted = one.groupBy("_rid").agg(F.collect_list(F.struct("unit", "anchor", "piece", "copies", "low", "high", "crowded", "start", "size")).alias("wanted"))
+    wanted = one.filter("not alone").groupBy("_rid").agg(F.collect_list(F.struct("unit", "anchor", "piece", "copies", "low", "high", "crowded", "start", "size")).alias("wanted"))
     cut = text.join(wanted, "_rid").select("text", "wanted").mapInArrow(_cut(units), _PIECE)
     any_hot, read = not one.filter("crowded").isEmpty(), [kinds, one]
     if any_hot:
         cut = written(cut, "cut")  # read twice
         read.append(cut)
-    found = _verdicts(cut, any_hot, units, _sort(units, shard, memory), hot, [u.gram for u in units])
+    found = _verdicts(cut, any_hot, units, _sort(units, shard, memory), hot, [u.gram for u in units]).unionByName(_sure(one))
     found = written(found, "verdicts")
     free(*read)
     spans = places.join(found, ["unit", "anchor", "piece"]).select("unit", "_rid", F.expr("transform(runs, r -> struct(start + r.a as a, start + r.b as b))").alias("runs"))
