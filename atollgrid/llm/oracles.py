@@ -49,9 +49,10 @@ y AS (
   SELECT a.p, a.term AS term1, a.off AS off1, b.term AS term2, b.off - a.off AS gap FROM r a LEFT JOIN r b ON a.p = b.p AND b.r = 2
   WHERE a.r = 1 AND a.freq IS NOT NULL AND (b.p IS NULL OR b.freq IS NOT NULL)),
 c AS (
-  SELECT a.rid, y.p, a.pos - off1 AS start FROM y JOIN u a ON a.term = term1
-  JOIN u b ON b.rid = a.rid AND b.term = term2 AND b.pos <> a.pos AND b.pos BETWEEN a.pos + gap - {SLOP} AND a.pos + gap + {SLOP}),
-z AS (SELECT rid, p, min(start) AS start FROM c WHERE NOT EXISTS (SELECT 1 FROM g JOIN p ON g.p = p.p WHERE g.rid = c.rid AND g.p = c.p) GROUP BY rid, p),
+  SELECT a.rid, y.p, a.pos - off1 AS start FROM y JOIN u a ON a.term = term1, unnest(range(-{SLOP}, {SLOP} + 1)) t(slip)
+  JOIN u b ON b.rid = a.rid AND b.term = term2 AND b.pos = a.pos + gap + slip WHERE b.pos <> a.pos),
+x AS (SELECT DISTINCT g.rid, g.p FROM g JOIN p ON g.p = p.p AND g.n = p.n),
+z AS (SELECT c.rid, c.p, min(start) AS start FROM c LEFT JOIN x ON c.rid = x.rid AND c.p = x.p WHERE x.rid IS NULL GROUP BY c.rid, c.p),
 e AS (SELECT rid, count(*) AS n_near, string_agg(CAST(start AS VARCHAR), ',' ORDER BY start) AS near FROM z GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
