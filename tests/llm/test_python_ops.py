@@ -179,7 +179,8 @@ def test_keys_are_stored(spark, tmp_path):
     for size in ("128m", "2k"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         try:
-            seen.append((d.rdd.getNumPartitions(), sorted((r["_rid"], r["doc_id"]) for r in d.collect())))
+            x = d.select("*")  # planned anew
+            seen.append((x.rdd.getNumPartitions(), sorted((r["_rid"], r["doc_id"]) for r in x.collect())))
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -344,7 +345,7 @@ def test_templates_inside_articles(spark, tmp_path):
 def test_subtrees_are_hashed_by_structure():
     tree = lambda h: set(subtrees(parse(h)))
     assert tree("<div><ul><li>a</li></ul></div>") == tree("<div >\n<ul><li> a\n</li></ul></div>")
-    assert len(tree("<div><ul><li>a</li></ul></div>")) == 3
+    assert len(tree("<div><ul><li>a</li></ul></div>")) == 2
     assert not tree("<div><p>a b</p></div>") & tree("<section><p>a b</p></section>")
     assert not tree("<div class=x>a</div>") & tree("<div class=y>a</div>")
     assert len(subtrees(parse("<div>x" * 20_000))) > 0  # deep pages are read in a time that grows with their length
