@@ -98,9 +98,10 @@ def boundaries(cache: DataFrame, fetched: DataFrame, codes: list[str], code: str
 
 
 def of_product(items: DataFrame, product: str, year: int = 2020, most: int = 29) -> DataFrame:
-    """A product's items of a year, by their date; of `io`, whose dates are vague, those with the year in their id.
-    Raises unless there are 1 to `most`."""
-    d = items.filter(F.col("id").contains(str(year))) if product == "io" else items.filter(F.substring("datetime", 1, 4) == str(year))
+    """A product's items of a year, by their date; of `io`, whose dates are vague, by their id's last number of four
+    digits: longer numbers that hold the year's digits don't count. Raises unless there are 1 to `most`."""
+    named = F.regexp_extract("id", r"(?s).*(?<![0-9])([0-9]{4})(?![0-9])", 1)
+    d = items.filter(named == str(year)) if product == "io" else items.filter(F.substring("datetime", 1, 4) == str(year))
     return bounded(d, 1, most)
 
 

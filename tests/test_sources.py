@@ -184,3 +184,10 @@ def test_model_is_got_once(spark, tmp_path):
         shutil.rmtree(tmp_path / "model", ignore_errors=True)
     (tmp_path / "m.zip").unlink()
     assert len(catalog.load_model(f"file://{zipped}", str(tmp_path / "cache")).stages) == 2
+
+
+def test_product_year_is_a_whole_number(spark):
+    ids = ["47P-2020", "12020_2019", "20205_2019", "2020_2019", "a2020b", "x_2020_v02", "1_2020\n", "none", None]
+    d = spark.createDataFrame([(i, "2020-05-01" if k == 1 else "2017-01-01") for k, i in enumerate(ids)], "id string, datetime string")
+    assert sorted(r["id"] for r in catalog.of_product(d, "io").collect()) == sorted(["47P-2020", "a2020b", "x_2020_v02", "1_2020\n"])
+    assert [r["id"] for r in catalog.of_product(d, "cci").collect()] == ["12020_2019"]
