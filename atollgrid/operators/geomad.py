@@ -67,13 +67,14 @@ def deviations(x: np.ndarray, valid: np.ndarray, m: np.ndarray) -> tuple[np.ndar
             return tuple(np.nanmedian(np.where(valid, d, np.nan), axis=1) for d in found)
 
 
-def geomad(df: DataFrame, bands: list[str], key: list[str], block: int = BLOCK, iterations: int = 100, scale: float = 1.0, offset: float = 0.0) -> DataFrame:
+def geomad(df: DataFrame, bands: list[str], key: list[str], block: int = BLOCK, iterations: int = 100, scale: float = 1.0, offset: float = 0.0, kind: str = "float") -> DataFrame:
     """A1: per pixel the geometric median of each band (rounded to whole numbers, 0 without observation), smad, emad and
     bcmad (NaN without one) and count. Bands are stored numbers; the deviations are those of scale * number + offset (the
-    median is the same by either). Without iterations the estimate is the mean. One shuffle on blocks of pixels; a block's rows are its pixels' observations, so
+    median is the same by either), as `kind`: float, or double for those that are rounded on. Without iterations the estimate is the mean. One shuffle on blocks of pixels; a block's rows are its pixels' observations, so
     its size is set by `block`, not by the data's spread. Only the bands and keys are shuffled."""
     need = df.select(*key, "y", "x", *bands).withColumns({"_by": F.floor(F.col("y") / block), "_bx": F.floor(F.col("x") / block)})
-    out = [*[f"`{f.name}` {f.dataType.simpleString()}" for f in need.select(*key, "y", "x").schema], *[f"`{b}` int" for b in bands], "smad float", "emad float", "bcmad float", "count int"]
+    out = [*[f"`{f.name}` {f.dataType.simpleString()}" for f in need.select(*key, "y", "x").schema], *[f"`{b}` int" for b in bands], *[f"{c} {kind}" for c in ("smad", "emad", "bcmad")], "count int"]
+    real = {"float": "float32", "double": "float64"}[kind]
 
     def composite(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["y", "x"], kind="stable")
@@ -89,7 +90,7 @@ def geomad(df: DataFrame, bands: list[str], key: list[str], block: int = BLOCK,
         n = valid.sum(axis=1)
         res = {k: pdf[k].to_numpy()[first] for k in [*key, "y", "x"]}
         res |= {band: np.where(n > 0, np.floor(m[:, i] + 0.5), 0).astype("int32") for i, band in enumerate(bands)}
-        return pd.DataFrame(res | {"smad": s.astype("float32"), "emad": e.astype("float32"), "bcmad": b.astype("float32"), "count": n.astype("int32")})
+        return pd.DataFrame(res | {"smad": s.astype(real), "emad": e.astype(real), "bcmad": b.astype(real), "count": n.astype("int32")})
 
     done = need.groupBy(*key, "_by", "_bx").applyInPandas(composite, ", ".join(out))
-    return done.withColumns({c: F.coalesce(c, F.lit(float("nan")).cast("float")) for c in ("smad", "emad", "bcmad")})  # pandas gives null
+    return done.withColumns({c: F.coalesce(c, F.lit(float("nan")).cast(kind)) for c in ("smad", "emad", "bcmad")})  # pandas gives null

@@ -181,8 +181,8 @@ dev AS (SELECT tile, y, x, round(median(s), 4) AS smad, round(median(e), 4) AS e
 def geomad_deviations(spark, sf_dir):
     """The three deviations on scaled values, about the mean: the estimate before its first iteration."""
     d = masks.mask_observations(obs(spark, sf_dir), BANDS).select("tile", "y", "x", *BANDS)
-    d = geomad.geomad(d, BANDS, KEY, iterations=0, scale=C.SCALE, offset=C.OFFSET).filter("count > 0")
-    return d.select("tile", "y", "x", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("smad", "emad", "bcmad")], "count")
+    d = geomad.geomad(d, BANDS, KEY, iterations=0, scale=C.SCALE, offset=C.OFFSET, kind="double").filter("count > 0")
+    return d.select("tile", "y", "x", *[F.round(c, 4).alias(c) for c in ("smad", "emad", "bcmad")], "count")
 
 
 @query()

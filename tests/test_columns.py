@@ -263,3 +263,14 @@ def test_blocks_meet(spark):
     whole = focal.morphology(d, "v", "m", ["tile"], [(3, 1), (3, 0), (5, 0), (2, 1)])
     parts = focal.morphology(d, "v", "m", ["tile"], [(3, 1), (3, 0), (5, 0), (2, 1)], block=8)
     assert grid_of(whole, "m") == grid_of(parts, "m") and parts.filter("other <> 'kept'").count() == 0
+
+
+def test_deviations_to_round_on(spark):
+    """A distance just under a half of the last digit: as a float it would be rounded up."""
+    rows = [(0, 0, 0, a, a, a, a, a, a) for a in (10_000, 20_000)]
+    d = spark.createDataFrame(rows, ["tile", "y", "x", *BANDS])
+    scale = 0.65244999 / (5_000 * math.sqrt(6))
+    r = geomad.geomad(d, BANDS, ["tile"], iterations=0, scale=scale, kind="double").select(F.col("emad"), F.round("emad", 4).alias("e")).first()
+    assert abs(r["emad"] - 0.65244999) < 1e-14 and r["e"] == 0.6524
+    least = geomad.geomad(d, BANDS, ["tile"], iterations=0, scale=scale)
+    assert dict(least.dtypes)["emad"] == "float"
