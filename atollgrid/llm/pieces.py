@@ -16,7 +16,6 @@ import hashlib
 import heapq
 import math
 import re
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,7 +29,7 @@ from .token_counts import _on_this_machine
 
 MARK = "▁"
 SAMPLES, COST, TEMPERATURE = 2, 1.0, 1.0
-MEMO_UNITS, OFTEN = 240_000, 4
+MEMO_UNITS, OFTEN = 240_000, 2
 #: Bytes of texts that are sampled from together.
 BATCH_BYTES = 1 << 20
 #: Units whose lattices are built at a time.
@@ -102,6 +101,7 @@ class Model:
                 self.text.append(piece.encode())
                 words.append((piece, i))
         self.mark = self.lib.piece_to_id(MARK)
+        self.bytes_of = pa.array(self.text, pa.large_binary())
         # a BPE model's scores are its merges' ranks, negated: a rank's log chance is taken from Zipf's law
         score = np.array([self.lib.get_score(i) for i in range(size)])
         self.score = -np.log1p(-score) if (score <= 0).all() and (score == np.floor(score)).all() else score
@@ -172,23 +172,27 @@ class Model:
                 spaces += " "
         return [*out, spaces[:-1]] if spaces else out
 
-    def encode_units(self, units: list[str]) -> tuple[list[bytes], list[int]]:
-        """The library's ids of each unit, as little-endian 32-bit integers; and which units they don't decode to."""
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of units on end, and how many each has."""
         ids = [x or [self.mark] for x in self.lib.encode(units, num_threads=1)]
-        of, odd = self.text.__getitem__, []
-        # all at once: every unit begins with its mark, so texts that are the same on end are the same one by one
-        if units and b"".join(map(of, chain.from_iterable(ids))) != (MARK + MARK.join(units)).replace(" ", MARK).encode():
-            odd = [i for i, (u, x) in enumerate(zip(units, ids, strict=True)) if b"".join(map(of, x)) != (MARK + u).replace(" ", MARK).encode()]
-        return [array("i", x).tobytes() for x in ids], odd
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(self.encode_units(self.units(text))[0]), "<i4").tolist()
+        return self.encode_units(self.units(text))[0].tolist()
 
     def decode(self, ids) -> str:
         """The text of ids: the space mark is a space, the first one is the encoder's own and goes; broken bytes are
         replaced."""
-        text = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if text.startswith(" ") else text
+        return self.decode_all(np.asarray(ids, np.int32), np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, bound: np.ndarray) -> list[str]:
+        """decode() of each stretch of ids between two bounds."""
+        taken = self.bytes_of.take(pa.array(ids, pa.int32()))
+        at = np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        data, cut = memoryview(taken.buffers()[2] or b""), at[bound].tolist()
+        out = [str(data[a:b], "utf-8", "replace").replace(MARK, " ") for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return [x[1:] if x.startswith(" ") else x for x in out]
 
     def lattice(self, units: list[str], cost: float, temperature: float) -> Lattice:
         out = Lattice(self, cost, temperature)
@@ -204,20 +208,40 @@ class Lattice:
 
     def __init__(self, model: Model, cost: float, temperature: float):
         self.model, self.cost, self.temperature = model, cost, temperature
+        self.room: dict[str, np.ndarray] = {}  # arrays with room at their ends, so that few additions copy what is there
         for name, kind in self.PARTS.items():
-            setattr(self, name, np.zeros(int(name == "lead"), kind))
+            self._append(name, np.zeros(int(name == "lead"), kind), 0)
+
+    def _append(self, name: str, x: np.ndarray, used: int) -> None:
+        room, size = self.room.get(name), used + len(x)
+        if room is None or len(room) < size:
+            self.room[name] = np.empty(size + size // 4, x.dtype)
+            if used:
+                self.room[name][:used] = room[:used]
+        self.room[name][used:size] = x
+        setattr(self, name, self.room[name][:size])
 
     def add(self, units: list[str]) -> None:
         """Appends units, as Model.units() gives them; the work arrays are those of ADD_UNITS."""
         places, edges = len(self.lead) - 1, int(self.lead[-1])
-        whole: dict[str, list[np.ndarray]] = {name: [getattr(self, name)] for name in self.PARTS}
         for i in range(0, len(units), ADD_UNITS):
             part = self._built(units[i : i + ADD_UNITS])
             for name, x in part.items():
-                whole[name].append(x + x.dtype.type(places if name in ("first", "end", "to") else edges if name == "lead" else 0))
+                self._append(name, x + x.dtype.type(places if name in ("first", "end", "to") else edges if name == "lead" else 0), len(getattr(self, name)))
             places, edges = places + len(part["lead"]), edges + len(part["to"])
-        for name in self.PARTS:
-            setattr(self, name, np.concatenate(whole.pop(name)))
+
+    def keep(self, units: np.ndarray) -> None:
+        """Leaves these units alone, numbered anew in their order."""
+        begin, size = self.first[units].astype(np.int64), (self.end[units] - self.first[units]).astype(np.int64)
+        first = np.cumsum(size) - size
+        places = np.repeat(begin - first, size) + np.arange(int(size.sum()))
+        degree = np.diff(self.lead)[places]
+        lead = np.append(0, np.cumsum(degree))
+        edges = np.repeat(self.lead[places] - lead[:-1], degree) + np.arange(int(lead[-1]))
+        to = self.to[edges] - np.repeat(np.repeat(begin - first, size), degree)
+        new = {"first": first, "end": first + size, "lead": lead, "to": to, **{name: getattr(self, name)[edges] for name in ("piece", "count", "logp", "upto")}}
+        for name, kind in self.PARTS.items():
+            self._append(name, new[name].astype(kind), 0)
 
     def _built(self, units: list[str]) -> dict[str, np.ndarray]:
         model, cost, temperature = self.model, self.cost, self.temperature
@@ -530,41 +554,52 @@ def sampled_ids(model: Model, lattice: Lattice, units: np.ndarray, key: int, sam
     return out
 
 
+class Numbers(dict):
+    """Numbers of units, in the order in which they are first asked for; `new`: those since it was emptied last."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = n = len(self)
+        self.new.append(unit)
+        return n
+
+
 class Known:
     """A worker's units: their encodings and their lattices, kept from batch to batch up to `most` of them."""
 
     def __init__(self, model: Model, cost: float, temperature: float, most: int = MEMO_UNITS):
-        self.model, self.cost, self.temperature, self.most, self.number = model, cost, temperature, most, {}
-        self.clear()
+        self.model, self.most, self.number = model, most, Numbers()
+        self.ids, self.upto, self.uses = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.lattice = Lattice(model, cost, temperature)
 
     def clear(self) -> None:
-        """Forgets all units but those used often."""
-        often = [u for u, n in zip(self.number, self.uses.tolist(), strict=True) if n >= OFTEN][: self.most // 2] if self.number else []
-        self.number: dict[str, int] = {}
-        self.ids: list[bytes] = []
-        self.odd: set[int] = set()  # those that don't decode to themselves
-        self.uses = np.zeros(0, np.int64)
-        self.lattice = Lattice(self.model, self.cost, self.temperature)
-        self._add(often)
-        self.uses[:] = 1
-
-    def _add(self, new: list[str]) -> None:
-        first = len(self.ids)
-        ids, odd = self.model.encode_units(new)
-        self.number.update(zip(new, range(first, first + len(new)), strict=True))
-        self.ids += ids
-        self.odd.update(first + i for i in odd)
-        self.lattice.add(new)
-        self.uses = np.pad(self.uses, (0, len(new)))
+        """Forgets all units but those used most; earlier uses count half."""
+        often = np.argsort(-self.uses, kind="stable")[: self.most // 2]
+        often = np.sort(often[self.uses[often] >= OFTEN])
+        units, self.number = list(self.number), Numbers()
+        self.number.update((units[u], n) for n, u in enumerate(often.tolist()))
+        self.ids, self.upto = self.encoded(often)
+        self.uses = self.uses[often] // 2
+        self.lattice.keep(often)
+
+    def encoded(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units on end, and where each unit's begin."""
+        size = self.upto[units + 1] - self.upto[units]
+        upto = np.append(0, np.cumsum(size))
+        return self.ids[np.repeat(self.upto[units] - upto[:-1], size) + np.arange(int(upto[-1]))], upto
 
     def numbers(self, units: list[str]) -> np.ndarray:
         if len(self.number) > self.most:
             self.clear()
-        found = list(map(self.number.get, units))
-        if None in found:
-            self._add(list(dict.fromkeys([u for u, n in zip(units, found, strict=True) if n is None])))
-            found = list(map(self.number.__getitem__, units))
-        out = np.array(found, np.int64)
+        out = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        if new := self.number.new:
+            self.number.new = []
+            ids, size = self.model.encode_units(new)
+            self.ids, self.upto = np.append(self.ids, ids), np.append(self.upto, self.upto[-1] + np.cumsum(size))
+            self.lattice.add(new)
+            self.uses = np.pad(self.uses, (0, len(new)))
         self.uses += np.bincount(out, minlength=len(self.uses))
         return out
 
@@ -574,9 +609,9 @@ SAMPLE_TYPE = "rank: int, log_prob: double, perturbed: double, inclusion: double
 
 def encode_and_sample(docs: DataFrame, id_col: str, text_col: str, path: str, k: int = SAMPLES, cost: float = COST, temperature: float = TEMPERATURE, ids: bool = False, memo: int = MEMO_UNITS, batch: int = BATCH_BYTES) -> DataFrame:
     """One row per row of docs: id, n_bytes, n_pieces, ids_sha256 (of little-endian 32-bit ids), round_trip, samples; with
-    ids also ids, the encoding, and each sample's own.
+    ids also ids, the encoding, the text that it decodes to, and each sample's own ids.
 
-    The encoding is the library's, whole text, without begin or end pieces. round_trip: decoding gives the text again (a
+    The encoding is the library's, whole text, without begin or end pieces. round_trip: the decoded text is the text (a
     space mark in a text is a space to the encoder, so such texts don't). samples: up to k different segmentations, as
     sample_rows has them, each with the sha256 of its ids and whether these decode to the text again, seeded by the row's id: rows of the same id and text get the same ones, and a null id has a
     seed of its own. A null text is empty: no pieces, and one segmentation. Narrow: no shuffle. Other columns are left out.
@@ -586,28 +621,26 @@ def encode_and_sample(docs: DataFrame, id_col: str, text_col: str, path: str, k:
 
     def rows_of(known: Known, key: list, text: list[str]) -> Iterator[tuple]:
         lists = [known.model.units(t) for t in text]
-        unit = known.numbers([u for x in lists for u in x])
-        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        unit = known.numbers(list(chain.from_iterable(lists)))
         seeds = np.array([int.from_bytes(hashlib.blake2b(repr(x).encode(), digest_size=8).digest(), "little") for x in key], np.uint64)
-        samples = sample_rows(known.lattice, unit, row, seeds, k)
-        own, at = unit.tolist(), 0
-        for i, x in enumerate(lists):
-            mine = own[at : at + len(x)]
-            at += len(x)
-            e = b"".join(map(known.ids.__getitem__, mine))
-            trip = MARK not in text[i] and known.odd.isdisjoint(mine)
-            want = (MARK + text[i]).replace(" ", MARK).encode() if text[i] else b""
-            found = []
+        samples = sample_rows(known.lattice, unit, np.repeat(np.arange(len(lists)), size), seeds, k)
+        own, upto = known.encoded(unit)
+        bound = upto[np.append(0, np.cumsum(size))]
+        decoded, cut = known.model.decode_all(own, bound), bound.tolist()
+        drawn = [s["ids"] for x in samples for s in x]  # every row has a sample
+        again = iter(known.model.decode_all(np.concatenate(drawn), np.append(0, np.cumsum(list(map(len, drawn))))))
+        for i, t in enumerate(text):
+            e, found = own[cut[i] : cut[i + 1]], []
             for n, s in enumerate(samples[i]):
-                same = MARK not in text[i] and b"".join(map(known.model.text.__getitem__, s["ids"].tolist())) == want
-                found.append((n + 1, s["log_prob"], s["perturbed"], s["inclusion"], s["pieces"], s["signature"] - (1 << 63), hashlib.sha256(s["ids"].astype("<i4").tobytes()).hexdigest(), same, s["ids"]))
-            yield len(text[i].encode()), len(e) // 4, hashlib.sha256(e).hexdigest(), trip, found, np.frombuffer(e, "<i4") if ids else None
+                found.append((n + 1, s["log_prob"], s["perturbed"], s["inclusion"], s["pieces"], s["signature"] - (1 << 63), hashlib.sha256(s["ids"].astype("<i4").tobytes()).hexdigest(), next(again) == t, s["ids"]))
+            yield len(t.encode()), len(e), hashlib.sha256(e.astype("<i4").tobytes()).hexdigest(), decoded[i] == t, found, *((e, decoded[i]) if ids else (None, None))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.collect()
         gc.disable()  # many objects, no cycles
         known = Known(Model(_on_this_machine(path, name)), cost, temperature, memo)
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), None, pa.list_(pa.int32()))
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), None, pa.list_(pa.int32()), pa.string())
         parts = [("rank", pa.int32()), *[(c, pa.float64()) for c in ("log_prob", "perturbed", "inclusion")], ("n_pieces", pa.int64()), ("signature", pa.int64()), ("ids_sha256", pa.string()), ("round_trip", pa.bool_())]
 
         def lists(sizes: list[int], values: pa.Array) -> pa.ListArray:
@@ -624,10 +657,10 @@ def encode_and_sample(docs: DataFrame, id_col: str, text_col: str, path: str, k:
             key, text = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
             found = list(rows_of(known, key, text))
             cols = [nested(c) if t is None else pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["k", "n_bytes", "n_pieces", "ids_sha256", "round_trip", "samples", "ids"])
+            yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["k", "n_bytes", "n_pieces", "ids_sha256", "round_trip", "samples", "ids", "decoded"])
         del known
         release()
 
     d = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").alias("t"))
-    out = d.mapInArrow(work, f"k {d.schema['k'].dataType.simpleString()}, n_bytes bigint, n_pieces bigint, ids_sha256 string, round_trip boolean, samples array<struct<{SAMPLE_TYPE}{', ids: array<int>' * ids}>>, ids array<int>")
-    return out.select(F.col("k").alias(id_col), "n_bytes", "n_pieces", "ids_sha256", "round_trip", "samples", *["ids"] * ids)
+    out = d.mapInArrow(work, f"k {d.schema['k'].dataType.simpleString()}, n_bytes bigint, n_pieces bigint, ids_sha256 string, round_trip boolean, samples array<struct<{SAMPLE_TYPE}{', ids: array<int>' * ids}>>, ids array<int>, decoded string")
+    return out.select(F.col("k").alias(id_col), "n_bytes", "n_pieces", "ids_sha256", "round_trip", "samples", *["ids", "decoded"] * ids)

@@ -56,7 +56,7 @@ def language_of_pages(spark, sf_dir):
 
 
 def op9_pieces(spark, sf_dir):
-    return encode_and_sample(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"))
+    return encode_and_sample(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"), ids=True)
 
 
 def op10_decontamination(spark, sf_dir):

@@ -16,6 +16,7 @@ from atollgrid.llm.graph import components
 from atollgrid.llm.html_text import extract, main_text, parse, subtrees
 from atollgrid.llm.language import address_language, declared_language, documents_language, identify, text_model, training_sample
 from atollgrid.llm.pieces import Known, Model, encode_and_sample, mixed, sample_rows, sampled_ids
+from atollgrid.llm.queries import QUERIES
 from atollgrid.llm.token_counts import WordEncoder, spliced_count
 from pyspark.sql import functions as F
 
@@ -461,6 +462,32 @@ def test_samples_come_out_and_decode(spark, tmp_path, pieces):
             assert [s["ids"] for s in samples] == [sampled_ids(pieces, lattice, np.arange(len(units)), int(seed[0]), s) for s in own]
 
 
+def test_query_gives_pieces_and_decoded_texts(spark, tmp_path, pieces):
+    rows = [(1, "Hello  world\n\nxyz é ☃ 日本 the cat sat"), (2, ""), (3, " lead and trail "), (4, "a ▁ mark"), (5, None)]
+    stored(spark, tmp_path, rows, "doc_id int, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in QUERIES["op9_pieces"](spark, str(tmp_path)).collect():
+        text = dict(rows)[r["doc_id"]] or ""
+        assert r["ids"] == pieces.lib.encode(text) and r["decoded"] == pieces.lib.decode(r["ids"]) == text.replace("▁", " ")
+        assert r["round_trip"] == (r["decoded"] == text) and len(r["ids"]) == r["n_pieces"]
+        assert all(pieces.lib.decode(s["ids"]) == r["decoded"] and len(s["ids"]) == s["n_pieces"] for s in r["samples"])
+
+
+def test_units_are_forgotten_and_numbered_anew(pieces):
+    words = [f"w{i}é☃" for i in range(40)] + ["often", "", "日本 x", " two"]
+    small, whole = Known(pieces, 1.0, 1.0, most=12), Known(pieces, 1.0, 1.0)
+    keys = mixed(np.arange(1))
+    for at in range(0, 40, 5):
+        units = [*words[at : at + 5], *words[40:], *words[40:]]
+        found = []
+        for known in (small, whole):
+            n = known.numbers(units)
+            ids, upto = known.encoded(n)
+            s = sample_rows(known.lattice, n, np.zeros(len(n), np.int64), keys, 3)[0]
+            found.append((ids.tolist(), upto.tolist(), [x["ids"].tolist() for x in s], [round(x["log_prob"], 4) for x in s]))
+        assert found[0] == found[1] and pieces.decode_all(ids, np.array([0, len(ids)])) == [" ".join(units)]
+    assert len(small.number) < 24 and len(whole.number) == 44
+
+
 def test_unlikely_segmentations_come_out(pieces):
     known = Known(pieces, 1.0, 0.02)  # so cold that the likeliest one has all but 1e-15 of the chance, or less
     unit = known.numbers(pieces.units("cat"))
