@@ -18,16 +18,17 @@ SEED, SHINGLE, RADIUS = 42, 3, 2
 BUCKET = 4096
 #: Rows of one comparison, at least, where keys are small.
 BLOCK = 512
-QUERIES_AT_ONCE = 256
+QUERIES_AT_ONCE, CELLS = 256, 1 << 20
 #: Similar texts: words a shingle, the least Jaccard similarity, and the bits in which their fingerprints are let differ.
 #: At a similarity of 0.8 fingerprints differ in 10 bits on average.
 WORDS, SIMILAR, WIDE = 5, 0.8, 16
 #: Keys of a fingerprint and bits of a key; keys, and further bits, that each hot key is replaced by.
 KEYS, KEY_BITS, SUB_KEYS, SUB_BITS = 96, 12, 4, 6
-#: Pairs a value of a group that are given as they are; beyond, a shortest spanning forest.
-PAIRS = 4
-#: Minima of a sketch, and how many are to agree before shingles are compared: of similar pairs under 1 in 10,000 agree in fewer.
-MINIMA, AGREE = 24, 11
+#: Partners of a text that the first round compares in full; each round takes so many times more of those left.
+PARTNERS, MORE = 2, 8
+#: Minima of a sketch, four bits each, and how many are to agree before shingles are compared: of pairs of the least
+#: similarity about 1 in 50,000 agree in fewer, of pairs that share nothing 1 in 2,000 in as many.
+MINIMA, AGREE = 16, 6
 SHINGLES_AT_ONCE = 1 << 16
 
 
@@ -178,7 +179,7 @@ def _sub_keys(column: str, bands: list[tuple[int, int]], radius: int):
         yield out
 
 
-def _compare(radius: int, link=links):
+def _compare(radius: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key; each key's values are compared at one place, small keys many together."""
         keys, values = np.empty((0, 2), np.int64), np.empty(0, np.uint64)
@@ -188,16 +189,16 @@ def _compare(radius: int, link=links):
             first = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             whole = int(first[-1]) if len(first) else 0  # the last key may go on
             if whole:
-                yield from _linked(values[:whole], np.concatenate([[0], first]), radius, link)
+                yield from _linked(values[:whole], np.concatenate([[0], first]), radius)
                 keys, values = keys[whole:], values[whole:]
         if len(values):
             first = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            yield from _linked(values, np.concatenate([[0], first, [len(values)]]), radius, link)
+            yield from _linked(values, np.concatenate([[0], first, [len(values)]]), radius)
 
     return compare
 
 
-def _linked(values: np.ndarray, edges: np.ndarray, radius: int, link) -> Iterator[pa.RecordBatch]:
+def _linked(values: np.ndarray, edges: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
     sizes = np.diff(edges)
     shared = np.repeat(sizes > 1, sizes)
     values, sizes = values[shared], sizes[sizes > 1]
@@ -205,7 +206,7 @@ def _linked(values: np.ndarray, edges: np.ndarray, radius: int, link) -> Iterato
     for i, end in enumerate(ends.tolist()):
         if end - start >= BLOCK or i == len(ends) - 1:
             block = np.unique(values[start:end])
-            for x, y in link(block, radius):
+            for x, y in links(block, radius):
                 a.append(block[x])
                 b.append(block[y])
             start = end
@@ -280,33 +281,73 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("_rid") == F.col("_best")).alias("keeper"), "_rid")
 
 
-def close(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Index pairs of different values within radius: all, or where they are more than PAIRS a value, those of a spanning
-    forest of the least distances, so that pairs found too unlike later part few of the others."""
-    n, found, count = len(values), [], 0
-    for start in range(0, n, QUERIES_AT_ONCE):
-        d = np.bitwise_count(values[start : start + QUERIES_AT_ONCE, None] ^ values[None, start:])
-        a, b = np.nonzero(np.triu(d <= radius, 1))
-        count += len(a)
-        if count > PAIRS * n:
-            return _forest(values, radius)
-        found += zip((a + start).tolist(), (b + start).tolist(), strict=True)
-    return found
-
-
-def _forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    n, out, i = len(values), [], 0
-    best, of, left = np.full(n, 255, np.uint8), np.zeros(n, np.int64), np.ones(n, bool)
-    for _ in range(n - 1):
-        left[i], best[i] = False, 255
-        d = np.bitwise_count(values ^ values[i])
-        closer = (d < best) & left
-        best[closer], of[closer] = d[closer], i
-        j = int(np.argmin(best))
-        if best[j] <= radius:
-            out.append((int(of[j]), j))
-        i = j
-    return out
+def agreements(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Minima in which packed sketches agree."""
+    d = x ^ y
+    d |= d >> np.uint64(1)
+    d |= d >> np.uint64(2)
+    return MINIMA - np.bitwise_count(d & np.uint64(0x1111111111111111)).astype(np.int64)
+
+
+def partners(fp: np.ndarray, node: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks: np.ndarray, radius: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(smaller, larger) nodes, of rows sorted by node: each asking row's partners within radius, of agreeing sketches and of
+    another root, which are before it: the first `most` of them."""
+    a, b, at = [], [], np.flatnonzero(asks)
+    step = max(1, min(QUERIES_AT_ONCE, CELLS // len(node)))
+    for start in range(0, len(at), step):
+        own = at[start : start + step]
+        upto = int(own[-1])
+        near = np.bitwise_count(fp[own, None] ^ fp[None, :upto]) <= radius
+        near &= root[own, None] != root[None, :upto]
+        i, j = np.nonzero(near)
+        i = own[i]
+        good = (j < i) & (agreements(sketch[i], sketch[j]) >= AGREE)
+        i, j = i[good], j[good]
+        first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else i
+        rank = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
+        a.append(node[j[rank < most]])
+        b.append(node[i[rank < most]])
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
+
+
+def _propose(radius: int, most: int):
+    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by key: key, fp, node, sketch, and beyond the first round root and asks. Small keys are compared
+        together, so a pair may share none."""
+        kept: list[pa.RecordBatch] = []
+        rows, last = 0, None
+        for batch in batches:
+            k = batch.column(0).to_numpy()
+            while len(k):
+                # up to the end of a key beyond BLOCK rows
+                cut = len(k)
+                if rows + len(k) >= BLOCK:
+                    ends = np.append(0 if last is not None and last != k[0] else -1, np.flatnonzero(k[1:] != k[:-1]) + 1)
+                    ends = ends[(ends >= 0) & (rows + ends >= BLOCK)]
+                    if len(ends):
+                        cut = int(ends[0])
+                        kept.append(batch.slice(0, cut))
+                        yield from _partners_of(kept, radius, most)
+                        kept, rows, last, batch, k = [], 0, None, batch.slice(cut), k[cut:]
+                        continue
+                kept.append(batch)
+                rows, last, k = rows + len(k), k[-1], k[:0]
+        yield from _partners_of(kept, radius, most)
+
+    return propose
+
+
+def _partners_of(kept: list[pa.RecordBatch], radius: int, most: int) -> Iterator[pa.RecordBatch]:
+    kept = [x for x in kept if len(x)]
+    if not kept:
+        return
+    fp, node, sketch, *more = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in kept]) for i in range(1, kept[0].num_columns))
+    node, at = np.unique(node, return_index=True)
+    root, asks = (x[at] for x in more) if more else (node, np.ones(len(node), bool))
+    a, b = partners(fp[at].view(np.uint64), node, sketch[at].view(np.uint64), root, asks, radius, most)
+    if len(a):
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["na", "nb"])
 
 
 def _bits(values: np.ndarray, places) -> np.ndarray:
@@ -329,33 +370,46 @@ def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fp = batch.column(0).to_numpy().view(np.uint64)
         for c, p in enumerate(places):
-            yield pa.RecordBatch.from_arrays([pa.array(_bits(fp, p) | c << KEY_BITS), batch.column(0)], ["k", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(_bits(fp, p) | c << KEY_BITS), *batch.columns], ["k", *batch.schema.names])
 
 
 def _wide_sub_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _, subs = _key_places()
     for batch in batches:
-        k, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        k = batch.column(0).to_numpy()
         for c in np.unique(k >> KEY_BITS).tolist():
-            own = k >> KEY_BITS == c
+            own = batch.filter(pa.array(k >> KEY_BITS == c))
+            key, fp = own.column(0).to_numpy(), own.column(1).to_numpy().view(np.uint64)
             for i, p in enumerate(subs[c]):
-                fine = ((k[own] * SUB_KEYS + i) << SUB_BITS) | _bits(fp[own].view(np.uint64), p)
-                yield pa.RecordBatch.from_arrays([pa.array(fine), pa.array(fp[own])], ["k", "fp"])
+                fine = ((key * SUB_KEYS + i) << SUB_BITS) | _bits(fp, p)
+                yield pa.RecordBatch.from_arrays([pa.array(fine), *own.columns[1:]], batch.schema.names)
 
 
-def wide_links(values: DataFrame, radius: int = WIDE, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) pairs of values (column fp, distinct longs) within radius that share a key: KEYS choices of KEY_BITS bits.
+def hot_keys(values: DataFrame, bucket: int) -> DataFrame:
+    """The keys (k) of wide_partners() that more than `bucket` values share."""
+    each = values.select("fp").mapInArrow(_wide_keys, "k bigint, fp bigint")
+    return written(each.groupBy("k").count().filter(F.col("count") > bucket).select("k"), "hot")
 
-    A pair 10 bits apart shares none with a chance of under 1 in 10,000, one 14 apart of 1 in 40. A key of more than
-    `bucket` values is replaced by SUB_KEYS keys of SUB_BITS further bits.
+
+def wide_partners(values: DataFrame, hot: DataFrame, most: int, radius: int = WIDE) -> DataFrame:
+    """(nb, p, more): of each node of values that has any, the `most` smallest of its smaller partners, and whether there
+    are more. Partners' fingerprints are within radius and share a key (KEYS choices of KEY_BITS bits), their sketches
+    agree.
+
+    values: fp, node, sketch, and beyond the first round root and asks: roots of partners differ, and only nodes that
+    ask get any. A pair 10 bits apart shares no key with a chance of under 1 in 10,000, one 14 apart of 1 in 40. A hot
+    key is replaced by SUB_KEYS keys of SUB_BITS further bits.
     """
-    each = values.select("fp").mapInArrow(_wide_keys, "k bigint, fp bigint")
-    hot = written(each.groupBy("k").count().filter(F.col("count") > bucket).select("k"), "hot")
-    run = lambda d: d.select("k", F.lit(0).cast("long").alias("c"), "fp").repartition("k").sortWithinPartitions("k").mapInArrow(_compare(radius, close), "a bigint, b bigint")
+    kind = "k bigint, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in values.schema)
+    run = lambda d: d.repartition("k").sortWithinPartitions("k").mapInArrow(_propose(radius, most + 1), "na bigint, nb bigint")
+    each = values.mapInArrow(_wide_keys, kind)
     if hot.isEmpty():
-        return run(each)
-    fine = each.join(maybe_broadcast(hot), "k").select("k", "fp").mapInArrow(_wide_sub_keys, "k bigint, fp bigint")
-    return run(each.join(maybe_broadcast(hot), "k", "left_anti")).unionByName(run(fine))
+        pairs = run(each)
+    else:
+        fine = each.join(maybe_broadcast(hot), "k").select("k", *values.columns).mapInArrow(_wide_sub_keys, kind)
+        pairs = run(each.join(maybe_broadcast(hot), "k", "left_anti").select("k", *values.columns)).unionByName(run(fine))
+    found = pairs.distinct().groupBy("nb").agg(F.sort_array(F.collect_list("na")).alias("p"))
+    return found.select("nb", F.slice("p", 1, most).alias("p"), (F.size("p") > most).alias("more"))
 
 
 def _measures(size: int):
@@ -369,22 +423,16 @@ def _measures(size: int):
             for text in batch.column(1).to_pylist():
                 found = shingles(text, size)
                 own = np.unique(found)
-                least = [(own * m).min() >> np.uint64(48) for m in odd] if len(own) else [0] * MINIMA
+                least = [int((own * m).min()) & 15 for m in odd] if len(own) else []
                 fp.append(fingerprint_of(found))
                 node.append(xxhash.xxh3_64_intdigest(own.tobytes()))
-                sketch.append(np.array(least, "<u2").tobytes())
-            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, node)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *longs, pa.array(sketch, pa.binary())], ["k", "fp", "node", "sketch"])
+                sketch.append(sum(x << 4 * i for i, x in enumerate(least)))
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, node, sketch)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *longs], ["k", "fp", "node", "sketch"])
 
     return measures
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, MINIMA) for i in (2, 3))
-        yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
-
-
 def _sets(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in some_rows(batches, 1):
@@ -407,36 +455,53 @@ def _alike(least: float):
     return alike
 
 
+def _similar(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
+    """Those of pairs (na, nb) whose shingles are similar, compared in full; rows: _rid and _t, nodes: node and first."""
+    wanted = pairs.select(F.explode(F.array("na", "nb")).alias("node")).distinct().join(nodes, "node").select("node", F.col("first._rid").alias("_r"))
+    wanted = written(wanted, "wanted")
+    texts = rows.join(maybe_broadcast(wanted), F.col("_rid") == F.col("_r")).select("node", F.col("_t").cast("binary").alias("t"))
+    sets = written(texts.mapInArrow(_sets(size), "node bigint, s binary"), "shingles")
+    full = pairs.join(sets.withColumnsRenamed({"node": "na", "s": "sa"}), "na").join(sets.withColumnsRenamed({"node": "nb", "s": "sb"}), "nb")
+    alike = written(full.select("na", "nb", "sa", "sb").mapInArrow(_alike(least), "na bigint, nb bigint"), "alike")
+    free(wanted, sets)
+    return alike
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, least: float = SIMILAR, bucket: int = BUCKET, key: str | None = None) -> DataFrame:
     """One row per row of docs: id, component_id, keeper, _rid, as near_duplicates() has them, where a link is a Jaccard
     similarity of at least `least` between two texts' sets of `size`-word shingles.
 
-    Fingerprints propose the pairs (wide_links), sketches drop nearly all that chance brought together, and the shingles
-    of the rest are compared in full. Texts of equal sets are one node. key: a stored column of docs that tells rows
-    apart, else one is written.
+    Fingerprints propose the pairs (wide_partners), sketches drop nearly all that chance brought together, and the shingles
+    of the rest are compared in full. A text in a crowd gets a few partners at first; while some text has more, roots are
+    found and more of those with other roots are compared, until each proposed pair is of one root or compared. So a crowd
+    of near copies takes few comparisons, and none that could link is left out. Texts of equal sets are one node. key: a
+    stored column of docs that tells rows apart, else one is written.
     """
     rows = _rows(docs, id_col, text_col, key)
     d = rows.select(F.struct("_id", "_rid").alias("k"), F.col("_t").cast("binary").alias("t"))
-    d = d.mapInArrow(_measures(size), f"k {d.schema['k'].dataType.simpleString()}, fp bigint, node bigint, sketch binary")
+    d = d.mapInArrow(_measures(size), f"k {d.schema['k'].dataType.simpleString()}, fp bigint, node bigint, sketch bigint")
     d = written(d.select("k._id", "k._rid", "fp", "node", "sketch"), "measures")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("_id"), "_rid"))
     nodes = written(d.groupBy("node").agg(first.alias("first"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "nodes")
-    values = written(nodes.groupBy("fp").agg(F.min(F.struct("node", "sketch")).alias("x")).select("fp", "x.*"), "values")
-    found = wide_links(values, bucket=bucket).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda n: values.select(F.col("fp").alias(n), F.col("node").alias(f"n{n}"), F.col("sketch").alias(f"s{n}"))
-    columns = ("na", "nb", "sa", "sb")
-    pairs = found.join(maybe_broadcast(side("a")), "a").join(maybe_broadcast(side("b")), "b").select(*columns)
-    # nodes of one fingerprint: each with the first
-    same = nodes.select(F.col("fp").alias("a"), F.col("node").alias("nb"), F.col("sketch").alias("sb")).join(maybe_broadcast(side("a")), "a").filter("na <> nb")
-    pairs = written(pairs.unionByName(same.select(*columns)).mapInArrow(_agreeing, "na bigint, nb bigint"), "pairs")
-    wanted = pairs.select(F.explode(F.array("na", "nb")).alias("node")).distinct().join(nodes, "node").select("node", F.col("first._rid").alias("_r"))
-    wanted = written(wanted, "wanted")
-    texts = rows.join(maybe_broadcast(wanted), F.col("_rid") == F.col("_r")).select("node", F.col("_t").cast("binary").alias("t"))
-    sets = written(texts.mapInArrow(_sets(size), "node bigint, s binary"), "shingles")
-    full = pairs.join(sets.withColumnsRenamed({"node": "na", "s": "sa"}), "na").join(sets.withColumnsRenamed({"node": "nb", "s": "sb"}), "nb").select(*columns)
-    alike = written(full.mapInArrow(_alike(least), "na bigint, nb bigint"), "alike")
-    free(values, pairs, wanted, sets)
-    root = components(alike, "na", "nb").withColumnRenamed("node", "n")
+    values, most, alike, compared = nodes.select("fp", "node", "sketch"), PARTNERS, None, None
+    hot = hot_keys(values, bucket)
+    while True:
+        found = written(wide_partners(values, hot, most), "partners")
+        pairs = found.select(F.explode("p").alias("na"), "nb")
+        if compared is not None:
+            pairs = pairs.join(compared, ["na", "nb"], "left_anti")
+        pairs = written(pairs, "pairs")
+        new = _similar(rows, nodes, pairs, size, least)
+        alike, compared = (new, pairs) if alike is None else (alike.unionByName(new), compared.unionByName(pairs))
+        root = components(alike, "na", "nb").withColumnRenamed("node", "n")
+        asks = found.filter("more").select(F.col("nb").alias("n2"), F.lit(True).alias("asks"))
+        if asks.isEmpty():
+            break
+        values = nodes.select("fp", "node", "sketch").join(maybe_broadcast(root), F.col("node") == F.col("n"), "left")
+        values = values.join(asks, F.col("node") == F.col("n2"), "left")
+        values = written(values.select("fp", "node", "sketch", F.coalesce("root", "node").alias("root"), F.coalesce("asks", F.lit(False)).alias("asks")), "values")
+        most *= MORE
+    free(compared)
     whole = written(nodes.join(root, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
     best = whole.groupBy("root").agg(F.min("first").alias("best"))
     named = written(whole.join(best, "root").select(F.col("node").alias("_n"), F.col("best._id").alias("component_id"), F.col("best._rid").alias("_best")), "named")

@@ -274,6 +274,58 @@ def test_stage_drops_similar_texts(spark, tmp_path):
     assert sum(found[i] == g for i, g in enumerate(group)) > 0.95 * len(group)
 
 
+def test_crowds_lose_no_link(spark, tmp_path):
+    """Many texts of one template, alike within twelve groups and not between them: all are near by fingerprint."""
+    rng = random.Random(21)
+    base = [f"w{rng.randint(0, 400)}" for _ in range(200)]
+    rows = []
+    for g in range(12):
+        own = list(base)
+        for at in rng.sample(range(0, 200, 6), 2):
+            own[at] = f"g{g}x{at}"
+        for _ in range(12):
+            words = list(own)
+            for at in rng.sample(range(3, 200, 6), 2):
+                words[at] = f"y{rng.randint(0, 10**9)}"
+            rows.append(" ".join(words))
+    rng.shuffle(rows)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, rows)]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert len(set(group)) == 12
+    docs = stored(spark, tmp_path, list(enumerate(rows)), "doc_id int, text string")
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()} == dict(enumerate(group))
+
+
+def test_partners_of_a_crowd_are_few():
+    rng = np.random.default_rng(4)
+    n = 600
+    node, fp, sketch = np.sort(rng.integers(-(2**63), 2**63, n)), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    sketch[300:] = ~np.uint64(0)  # two crowds
+    a, b = simhash.partners(fp, node, sketch, node, np.ones(n, bool), 16, 3)
+    at = {int(x): i for i, x in enumerate(node)}
+    pairs = {(at[x], at[y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+    assert pairs == {(s + j, s + i) for s in (0, 300) for i in range(300) for j in range(min(i, 3))}
+    root = np.where(np.arange(n) < 300, node[0], node[300])
+    assert not len(simhash.partners(fp, node, sketch, root, np.ones(n, bool), 16, 3)[0])
+
+
+def test_keys_go_on_over_batches():
+    rng = np.random.default_rng(5)
+    k = np.sort(rng.integers(0, 9, 5000))
+    fp, node = rng.integers(0, 4, 5000), rng.permutation(5000)
+    rows = simhash.pa.RecordBatch.from_arrays([simhash.pa.array(x) for x in (k, fp, node, np.zeros(5000, np.int64))], ["k", "fp", "node", "sketch"])
+    found = [set(), set()]
+    for f, step in zip(found, (7, 5000), strict=True):
+        for batch in simhash._propose(0, 5000)(rows.slice(i, step) for i in range(0, 5000, step)):
+            f.update(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    assert found[0] == found[1] and {(a, b) for x in range(9) for y in range(4) for own in [np.sort(node[(k == x) & (fp == y)]).tolist()] for i, b in enumerate(own) for a in own[:i]} == found[0]
+
+
 # --- token counts
 
 
