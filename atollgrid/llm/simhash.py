@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +31,9 @@ PARTNERS, MORE = 2, 8
 #: similarity about 1 in 50,000 agree in fewer, of pairs that share nothing 1 in 2,000 in as many.
 MINIMA, AGREE = 16, 6
 SHINGLES_AT_ONCE = 1 << 16
+#: Places a shingle in a crowd's bitmaps, at least; bits of a bitmap, at least and at most; bytes of bitmaps held against each
+#: other at a time.
+SPREAD, FEWEST_BITS, MOST_BITS, BITMAP_BYTES = 16, 64, 1 << 15, 4 << 20
 
 
 def fingerprint(text: bytes | None, size: int = SHINGLE, seed: int = SEED) -> int:
@@ -289,11 +293,57 @@ def agreements(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return MINIMA - np.bitwise_count(d & np.uint64(0x1111111111111111)).astype(np.int64)
 
 
-def partners(fp: np.ndarray, node: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks: np.ndarray, radius: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(smaller, larger) nodes, of rows sorted by node: each asking row's partners within radius, of agreeing sketches and of
-    another root, which are before it: the first `most` of them."""
-    a, b, at = [], [], np.flatnonzero(asks)
-    step = max(1, min(QUERIES_AT_ONCE, CELLS // len(node)))
+def bitmap(found: np.ndarray) -> bytes:
+    """A set's bitmap: a bit for each place that a shingle has, which is its lowest bits."""
+    size = FEWEST_BITS
+    while size < min(MOST_BITS, SPREAD * len(found)):
+        size *= 2
+    out = np.zeros(size, np.uint8)
+    out[(found & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+class Bitmaps:
+    """Of rows: how many shingles each has, and its bitmap. Two rows' bitmaps bound from above how many shingles they share:
+    by the places set in both, and the shingles of one of them that share a place with another of its own. Bitmaps of
+    unlike sizes are held against each other folded to the smaller one."""
+
+    def __init__(self, n: np.ndarray, maps: list[bytes]):
+        self.n, self.words = n, np.array([len(x) // 8 for x in maps])
+        self.maps, self.folded = maps, {}
+
+    def of_size(self, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows' places among the bitmaps of so many words or twice as many, these bitmaps, and shingles beyond places."""
+        if words not in self.folded:
+            own = np.flatnonzero((self.words == words) | (self.words == 2 * words))
+            place = np.full(len(self.n), -1)
+            place[own] = np.arange(len(own))
+            maps = np.zeros((len(own), words), np.uint64)
+            for i, r in enumerate(own.tolist()):
+                maps[i] = np.bitwise_or.reduce(np.frombuffer(self.maps[r], np.uint64).reshape(-1, words), axis=0)
+            self.folded[words] = place, maps, self.n[own] - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        return self.folded[words]
+
+    def may_be_similar(self, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+        """Whether rows i and j can have a Jaccard similarity of `least`: True wherever they have."""
+        out = np.minimum(self.n[i], self.n[j]) >= least * np.maximum(self.n[i], self.n[j])
+        words = np.minimum(self.words[i], self.words[j])
+        unlike = np.maximum(self.words[i], self.words[j]) > 2 * words  # none, where at least half of the larger set is shared
+        for size in np.unique(words[out & ~unlike]).tolist():
+            place, maps, beyond = self.of_size(size)
+            pairs, step = np.flatnonzero(out & ~unlike & (words == size)), max(1, BITMAP_BYTES // (8 * size))
+            for at in range(0, len(pairs), step):
+                own = pairs[at : at + step]
+                x, y = place[i[own]], place[j[own]]
+                both = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[x], beyond[y])
+                out[own] = both >= least * (self.n[i[own]] + self.n[j[own]] - both)
+        return out
+
+
+def near_pairs(fp: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (j, i), j < i, of each asking row i and the rows within radius, of agreeing sketches and of another root."""
+    at = np.flatnonzero(asks)
+    step = max(1, min(QUERIES_AT_ONCE, CELLS // len(fp)))
     for start in range(0, len(at), step):
         own = at[start : start + step]
         upto = int(own[-1])
@@ -302,19 +352,32 @@ def partners(fp: np.ndarray, node: np.ndarray, sketch: np.ndarray, root: np.ndar
         i, j = np.nonzero(near)
         i = own[i]
         good = (j < i) & (agreements(sketch[i], sketch[j]) >= AGREE)
-        i, j = i[good], j[good]
+        yield j[good], i[good]
+
+
+def partners(fp: np.ndarray, node: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks: np.ndarray, radius: int, most: int, least: float = 0.0, maps: Bitmaps | None = None, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(smaller, larger) nodes, of rows sorted by node: the first `most` of each asking row's near_pairs(), of those that
+    bitmaps, where there are any, let be similar. keys: all rows of these keys are here, and the rest is elsewhere; pairs
+    whose first shared key is none of them are left out."""
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for j, i in near_pairs(fp, sketch, root, asks, radius):
+        if maps is not None:
+            good = maps.may_be_similar(i, j, least)
+            j, i = j[good], i[good]
+        if keys is not None:
+            own = first_keys(fp[i], fp[j])
+            good = (own < 0) | np.isin(own, keys)
+            j, i = j[good], i[good]
         first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else i
         rank = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
         a.append(node[j[rank < most]])
         b.append(node[i[rank < most]])
-    none = np.empty(0, np.int64)
-    return np.concatenate([none, *a]), np.concatenate([none, *b])
+    return np.concatenate(a), np.concatenate(b)
 
 
-def _propose(radius: int, most: int):
-    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key: key, fp, node, sketch, and beyond the first round root and asks. Small keys are compared
-        together, so a pair may share none."""
+def _by_key(work):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by key, their first column; work gets the batches of whole keys, small ones together."""
         kept: list[pa.RecordBatch] = []
         rows, last = 0, None
         for batch in batches:
@@ -328,26 +391,50 @@ def _propose(radius: int, most: int):
                     if len(ends):
                         cut = int(ends[0])
                         kept.append(batch.slice(0, cut))
-                        yield from _partners_of(kept, radius, most)
+                        yield from work([x for x in kept if len(x)])
                         kept, rows, last, batch, k = [], 0, None, batch.slice(cut), k[cut:]
                         continue
                 kept.append(batch)
                 rows, last, k = rows + len(k), k[-1], k[:0]
-        yield from _partners_of(kept, radius, most)
-
-    return propose
-
-
-def _partners_of(kept: list[pa.RecordBatch], radius: int, most: int) -> Iterator[pa.RecordBatch]:
-    kept = [x for x in kept if len(x)]
-    if not kept:
-        return
-    fp, node, sketch, *more = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in kept]) for i in range(1, kept[0].num_columns))
-    node, at = np.unique(node, return_index=True)
-    root, asks = (x[at] for x in more) if more else (node, np.ones(len(node), bool))
-    a, b = partners(fp[at].view(np.uint64), node, sketch[at].view(np.uint64), root, asks, radius, most)
-    if len(a):
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["na", "nb"])
+        yield from work([x for x in kept if len(x)])
+
+    return run
+
+
+def _propose(radius: int, most: int, least: float = 0.0, once: bool = False):
+    def propose(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows: key, fp, node, sketch, and beyond the first round root, asks, n and bitmap. Keys are compared together, so a
+        pair may share none. once: no key is hot, and a pair comes from the first that it shares."""
+        if not kept:
+            return
+        fp, node, sketch, *more = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in kept]) for i in range(1, kept[0].num_columns))
+        node, at = np.unique(node, return_index=True)
+        root, asks, *more = (x[at] for x in more) if more else (node, np.ones(len(node), bool))
+        maps = Bitmaps(more[0], more[1].tolist()) if more and asks.any() else None
+        keys = np.unique(np.concatenate([x.column(0).to_numpy() for x in kept])) if once else None
+        a, b = partners(fp[at].view(np.uint64), node, sketch[at].view(np.uint64), root, asks, radius, most, least, maps, keys)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["na", "nb"])
+
+    return _by_key(propose)
+
+
+def _others(radius: int):
+    def others(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows: key, fp, node, sketch, root, asks. The nodes that don't ask but are before an asking one, as partners are."""
+        if not kept:
+            return
+        fp, node, sketch, root, asks = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in kept]) for i in range(1, 6))
+        node, at = np.unique(node, return_index=True)
+        root, asks = root[at], asks[at]
+        if not asks.any():
+            return
+        found = [j[~asks[j]] for j, _ in near_pairs(fp[at].view(np.uint64), sketch[at].view(np.uint64), root, asks, radius)]
+        found = np.unique(np.concatenate(found))
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(node[found])], ["node"])
+
+    return _by_key(others)
 
 
 def _bits(values: np.ndarray, places) -> np.ndarray:
@@ -357,6 +444,7 @@ def _bits(values: np.ndarray, places) -> np.ndarray:
     return out
 
 
+@cache
 def _key_places() -> tuple[list[np.ndarray], list[list[np.ndarray]]]:
     """The places of each key's bits, and of each of its sub-keys' further bits: fixed random choices."""
     rng = np.random.default_rng(SEED)
@@ -365,6 +453,18 @@ def _key_places() -> tuple[list[np.ndarray], list[list[np.ndarray]]]:
     return [o[:KEY_BITS] for o in orders], subs
 
 
+def first_keys(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The first key that fingerprints share, -1 where they share none."""
+    out, differ, left = np.full(len(x), -1), x ^ y, np.arange(len(x))
+    for c, p in enumerate(_key_places()[0]):
+        if not len(left):
+            break
+        same = differ[left] & np.bitwise_or.reduce(np.uint64(1) << p.astype(np.uint64)) == 0
+        own = left[same]
+        out[own], left = _bits(x[own], p) | c << KEY_BITS, left[~same]
+    return out
+
+
 def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places, _ = _key_places()
     for batch in batches:
@@ -391,27 +491,45 @@ def hot_keys(values: DataFrame, bucket: int) -> DataFrame:
     return written(each.groupBy("k").count().filter(F.col("count") > bucket).select("k"), "hot")
 
 
-def wide_partners(values: DataFrame, hot: DataFrame, most: int, radius: int = WIDE) -> DataFrame:
+def _where_keys_meet(values: DataFrame, hot: DataFrame, work, kind: str) -> DataFrame:
+    """work of the values by their keys, of columns `kind`. A hot key is replaced by SUB_KEYS keys of SUB_BITS further bits."""
+    keyed_kind = "k bigint, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in values.schema)
+    run = lambda d: d.repartition("k").sortWithinPartitions("k").mapInArrow(work, kind)
+    each = values.mapInArrow(_wide_keys, keyed_kind)
+    if hot.isEmpty():
+        return run(each)
+    fine = each.join(maybe_broadcast(hot), "k").select("k", *values.columns).mapInArrow(_wide_sub_keys, keyed_kind)
+    return run(each.join(maybe_broadcast(hot), "k", "left_anti").select("k", *values.columns)).unionByName(run(fine))
+
+
+def wide_partners(values: DataFrame, hot: DataFrame, most: int, radius: int = WIDE, least: float = SIMILAR) -> DataFrame:
     """(nb, p, more): of each node of values that has any, the `most` smallest of its smaller partners, and whether there
     are more. Partners' fingerprints are within radius and share a key (KEYS choices of KEY_BITS bits), their sketches
     agree.
 
-    values: fp, node, sketch, and beyond the first round root and asks: roots of partners differ, and only nodes that
-    ask get any. A pair 10 bits apart shares no key with a chance of under 1 in 10,000, one 14 apart of 1 in 40. A hot
-    key is replaced by SUB_KEYS keys of SUB_BITS further bits.
+    values: fp, node, sketch, and beyond the first round root, asks, n and bitmap: roots of partners differ, their bitmaps
+    don't rule out a similarity of `least`, and only nodes that ask get any. A pair 10 bits apart shares no key with a
+    chance of under 1 in 10,000, one 14 apart of 1 in 40.
     """
-    kind = "k bigint, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in values.schema)
-    run = lambda d: d.repartition("k").sortWithinPartitions("k").mapInArrow(_propose(radius, most + 1), "na bigint, nb bigint")
-    each = values.mapInArrow(_wide_keys, kind)
-    if hot.isEmpty():
-        pairs = run(each)
-    else:
-        fine = each.join(maybe_broadcast(hot), "k").select("k", *values.columns).mapInArrow(_wide_sub_keys, kind)
-        pairs = run(each.join(maybe_broadcast(hot), "k", "left_anti").select("k", *values.columns)).unionByName(run(fine))
+    pairs = _where_keys_meet(values, hot, _propose(radius, most + 1, least, "asks" in values.columns and hot.isEmpty()), "na bigint, nb bigint")
     found = pairs.distinct().groupBy("nb").agg(F.sort_array(F.collect_list("na")).alias("p"))
     return found.select("nb", F.slice("p", 1, most).alias("p"), (F.size("p") > most).alias("more"))
 
 
+def crowd_of(rows: DataFrame, nodes: DataFrame, values: DataFrame, hot: DataFrame, size: int, radius: int = WIDE) -> DataFrame:
+    """fp, node, sketch, n, bitmap of the nodes of values (fp, node, sketch, root, asks) that ask and of those that are partners
+    of such; rows: _rid and _t, nodes: node and first."""
+    other = _where_keys_meet(values, hot, _others(radius), "node bigint")
+    names = written(values.filter("asks").select("node").unionByName(other).distinct().withColumnRenamed("node", "n2"), "crowd")
+    own = nodes.join(maybe_broadcast(names), F.col("node") == F.col("n2")).select("node", "fp", "sketch", F.col("first._rid").alias("_r"))
+    own = written(own, "own")
+    texts = rows.join(maybe_broadcast(own), F.col("_rid") == F.col("_r")).select(F.struct("fp", "node", "sketch").alias("k"), F.col("_t").cast("binary").alias("t"))
+    out = texts.mapInArrow(_bitmaps(size), f"k {texts.schema['k'].dataType.simpleString()}, n bigint, bitmap binary")
+    out = written(out.select("k.*", "n", "bitmap"), "bitmaps")
+    free(names, own)
+    return out
+
+
 def _measures(size: int):
     odd = np.random.default_rng(SEED).integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -442,6 +560,16 @@ def _sets(size: int):
     return sets
 
 
+def _bitmaps(size: int):
+    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in some_rows(batches, 1):
+            sets = [np.unique(shingles(t, size)) for t in batch.column(1).to_pylist()]
+            columns = [pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["k", "n", "bitmap"])
+
+    return bitmaps
+
+
 def _alike(least: float):
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -473,8 +601,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Fingerprints propose the pairs (wide_partners), sketches drop nearly all that chance brought together, and the shingles
     of the rest are compared in full. A text in a crowd gets a few partners at first; while some text has more, roots are
-    found and more of those with other roots are compared, until each proposed pair is of one root or compared. So a crowd
-    of near copies takes few comparisons, and none that could link is left out. Texts of equal sets are one node. key: a
+    found and more of those with other roots are compared, until each proposed pair is of one root, ruled out or compared.
+    From the second round on, bitmaps of the crowds' shingles rule out pairs that share too few, where the keys meet; they
+    never rule out a similar pair. So a crowd takes about as many comparisons as it has links to be found, and none that
+    could link is left out. Texts of equal sets are one node. key: a
     stored column of docs that tells rows apart, else one is written.
     """
     rows = _rows(docs, id_col, text_col, key)
@@ -483,26 +613,33 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     d = written(d.select("k._id", "k._rid", "fp", "node", "sketch"), "measures")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("_id"), "_rid"))
     nodes = written(d.groupBy("node").agg(first.alias("first"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "nodes")
-    values, most, alike, compared = nodes.select("fp", "node", "sketch"), PARTNERS, None, None
+    values, most, alike, compared, crowd = nodes.select("fp", "node", "sketch"), PARTNERS, None, None, None
     hot = hot_keys(values, bucket)
     while True:
-        found = written(wide_partners(values, hot, most), "partners")
+        found = written(wide_partners(values, hot, most, least=least), "partners")
         pairs = found.select(F.explode("p").alias("na"), "nb")
         if compared is not None:
             pairs = pairs.join(compared, ["na", "nb"], "left_anti")
         pairs = written(pairs, "pairs")
         new = _similar(rows, nodes, pairs, size, least)
         alike, compared = (new, pairs) if alike is None else (alike.unionByName(new), compared.unionByName(pairs))
-        root = components(alike, "na", "nb").withColumnRenamed("node", "n")
+        root = components(alike, "na", "nb").withColumnRenamed("node", "n1")
         asks = found.filter("more").select(F.col("nb").alias("n2"), F.lit(True).alias("asks"))
         if asks.isEmpty():
             break
-        values = nodes.select("fp", "node", "sketch").join(maybe_broadcast(root), F.col("node") == F.col("n"), "left")
-        values = values.join(asks, F.col("node") == F.col("n2"), "left")
-        values = written(values.select("fp", "node", "sketch", F.coalesce("root", "node").alias("root"), F.coalesce("asks", F.lit(False)).alias("asks")), "values")
-        most *= MORE
+
+        def rooted(d: DataFrame, *more: str, root: DataFrame = root, asks: DataFrame = asks) -> DataFrame:
+            d = d.join(maybe_broadcast(root), F.col("node") == F.col("n1"), "left").join(asks, F.col("node") == F.col("n2"), "left")
+            return written(d.select("fp", "node", "sketch", F.coalesce("root", "node").alias("root"), F.coalesce("asks", F.lit(False)).alias("asks"), *more), "values")
+
+        if crowd is None:
+            crowd = crowd_of(rows, nodes, rooted(values), hot, size)
+            hot = hot_keys(crowd, bucket)
+        else:
+            most *= MORE
+        values = rooted(crowd, "n", "bitmap")
     free(compared)
-    whole = written(nodes.join(root, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
+    whole = written(nodes.join(root, F.col("node") == F.col("n1"), "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "roots")
     best = whole.groupBy("root").agg(F.min("first").alias("best"))
     named = written(whole.join(best, "root").select(F.col("node").alias("_n"), F.col("best._id").alias("component_id"), F.col("best._rid").alias("_best")), "named")
     free(nodes, alike, whole)

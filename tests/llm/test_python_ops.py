@@ -326,6 +326,60 @@ def test_keys_go_on_over_batches():
     assert found[0] == found[1] and {(a, b) for x in range(9) for y in range(4) for own in [np.sort(node[(k == x) & (fp == y)]).tolist()] for i, b in enumerate(own) for a in own[:i]} == found[0]
 
 
+def test_a_crowd_of_half_alike_texts_takes_few_comparisons(spark, tmp_path, monkeypatch):
+    """Texts around one base, most of their pairs just too unlike: pairs grow with the square of the crowd, comparisons don't."""
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 400)}" for _ in range(150)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for at in rng.sample(range(150), i // 30):
+            words[at] = f"y{rng.randint(0, 10**9)}"
+        rows.append(" ".join(words) + f" z{i}")
+    rng.shuffle(rows)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, rows)]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert 10 < len(set(group)) < 120
+    compared, plain = [], simhash._similar
+    monkeypatch.setattr(simhash, "_similar", lambda rows, nodes, pairs, *more: compared.append(pairs.count()) or plain(rows, nodes, pairs, *more))
+    docs = stored(spark, tmp_path, list(enumerate(rows)), "doc_id int, text string")
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()} == dict(enumerate(group))
+    assert len(compared) > 1 and sum(compared) < 6 * len(rows)
+
+
+def test_bitmaps_rule_out_no_similar_pair():
+    rng = np.random.default_rng(6)
+    sets = [np.empty(0, np.uint64)]
+    for n in (1, 3, 4, 5, 60, 64, 250, 257, 2000, 2300, 9000):
+        own = rng.integers(0, 2**64, n, dtype=np.uint64)
+        sets += [np.unique(np.append(own[: n - n * k // 100], rng.integers(0, 2**64, n * more // 100, dtype=np.uint64))) for k in (0, 5, 10, 20, 40) for more in (0, 10, 30)]
+    sets.append(sets[-1] & np.uint64((1 << 13) - 1))  # of many shingles at few places
+    sets[-1] = np.unique(sets[-1])
+    maps = simhash.Bitmaps(np.array([len(x) for x in sets]), [simhash.bitmap(x) for x in sets])
+    i, j = np.triu_indices(len(sets), 1)
+    both = np.array([len(np.intersect1d(sets[x], sets[y])) for x, y in zip(i.tolist(), j.tolist(), strict=True)])
+    share = both / (maps.n[i] + maps.n[j] - both)
+    may = maps.may_be_similar(i, j, 0.8)
+    assert (share >= 0.8).sum() > 50 and may[share >= 0.8].all()
+    few = np.minimum(maps.n[i], maps.n[j]) < 2000
+    assert may[few & (share < 0.7)].mean() < 0.02 and not may[share < 0.3].any()
+
+
+def test_first_shared_key():
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    y = x ^ np.bitwise_and.reduce(rng.integers(0, 2**64, (3, 300), dtype=np.uint64))
+    y[:9] = ~x[:9]
+    keys = lambda v: [int(k) for b in simhash._wide_keys([simhash.pa.RecordBatch.from_arrays([simhash.pa.array([v], simhash.pa.uint64()).view(simhash.pa.int64())], ["fp"])]) for k in b.column(0).to_pylist()]
+    want = [next((k for k, m in zip(keys(a), keys(b), strict=True) if k == m), -1) for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+    assert simhash.first_keys(x, y).tolist() == want and -1 in want and len(set(want)) > 50
+
+
 # --- token counts
 
 
