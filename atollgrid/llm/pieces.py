@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +30,16 @@ from .token_counts import _on_this_machine
 
 MARK = "▁"
 SAMPLES, COST, TEMPERATURE = 2, 1.0, 1.0
-MEMO_UNITS, OFTEN = 240_000, 2
+MEMO_UNITS, OFTEN = 320_000, 2
 #: Bytes of texts that are sampled from together.
 BATCH_BYTES = 1 << 20
 #: Units whose lattices are built at a time.
-ADD_UNITS = 16_384
+ADD_UNITS = 4_096
+#: Units that the library encodes as one text.
+JOINED = 64
 NONE = -math.inf
+#: More than the logs of two exponential variables drawn from uniform() can differ by (they are from -37 to 4).
+SPREAD = 42.0
 #: From this chance on, what is left of a unit is summed up instead of taken from 1.
 SURE = 1 - 1e-6
 
@@ -101,6 +106,7 @@ class Model:
                 self.text.append(piece.encode())
                 words.append((piece, i))
         self.mark = self.lib.piece_to_id(MARK)
+        self.leads = np.array([x.startswith(MARK.encode()) for x in self.text])
         self.bytes_of = pa.array(self.text, pa.large_binary())
         # a BPE model's scores are its merges' ranks, negated: a rank's log chance is taken from Zipf's law
         score = np.array([self.lib.get_score(i) for i in range(size)])
@@ -111,23 +117,27 @@ class Model:
         chars = sorted({ord(c) for w, _ in words for c in w})
         self.number = np.zeros(0x110000, np.int64)  # of a character; 0: in no piece
         self.number[chars] = np.arange(1, len(chars) + 1)
-        children: dict[int, int] = {}
-        piece = [-1]
-        many = len(chars) + 1
-        for word, i in words:
-            node = 0
-            for c in word:
-                key = node * many + int(self.number[ord(c)])
-                if key not in children:
-                    children[key] = len(piece)
-                    piece.append(-1)
-                node = children[key]
-            piece[node] = i
-        self.many, self.piece = many, np.array(piece)
+        self.many = len(chars) + 1
+        number = self.number[np.frombuffer("".join(w for w, _ in words).encode("utf-32-le"), np.uint32)]
+        size = np.fromiter((len(w) for w, _ in words), np.int64, len(words))
+        start, node, nodes, depth = np.cumsum(size) - size, np.zeros(len(words), np.int64), 1, 0
+        live, found, own = np.arange(len(words)), [], np.zeros(len(words), np.int64)
+        while len(live):  # a depth of the trie at a time
+            key, of = np.unique(node * self.many + number[start[live] + depth], return_inverse=True)
+            found.append(key)
+            node, nodes, depth = nodes + of, nodes + len(key), depth + 1
+            more = size[live] > depth
+            own[live[~more]] = node[~more]
+            live, node = live[more], node[more]
+        self.piece = np.full(nodes, -1)
+        self.piece[own] = [i for _, i in words]
+        children = np.concatenate(found)  # their nodes count up from 1
+        self.root = np.full(self.many, -1)
+        self.root[found[0]] = 1 + np.arange(len(found[0]))
         bits = max(4, (2 * len(children)).bit_length())
         self.shift, self.size = np.uint64(64 - bits), 1 << bits
         self.keys, self.values = np.full(self.size, -1, np.int64), np.zeros(self.size, np.int64)
-        keys, values = np.array(list(children), np.int64), np.array(list(children.values()), np.int64)
+        keys, values = children, 1 + np.arange(len(children))
         slot = self._slot(keys)
         while len(keys):  # each round, one of the keys that want a free slot gets it
             free = self.keys[slot] < 0
@@ -135,8 +145,7 @@ class Model:
             out = self.keys[slot] != keys
             keys, values, slot = keys[out], values[out], (slot[out] + 1) % self.size
         # keys and values were set by the same last writer only where one key wrote; set values again by key
-        keys, values = np.array(list(children), np.int64), np.array(list(children.values()), np.int64)
-        self.values[self._find(keys)] = values
+        self.values[self._find(children)] = 1 + np.arange(len(children))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -144,8 +153,11 @@ class Model:
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slots of keys, -1 where there is none."""
-        slot, live = self._slot(keys), np.arange(len(keys))
-        out = np.full(len(keys), -1, np.int64)
+        slot = self._slot(keys)
+        there = self.keys.take(slot)
+        out = np.where(there == keys, slot, -1)
+        live = np.flatnonzero((there != keys) & (there >= 0))
+        slot[live] = (slot[live] + 1) % self.size
         while len(live):
             at = slot[live]
             there = self.keys[at]
@@ -172,8 +184,21 @@ class Model:
                 spaces += " "
         return [*out, spaces[:-1]] if spaces else out
 
+    def units_of(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The units of texts without nulls on end, and how many each has."""
+        found = pc.split_pattern(pc.replace_substring(texts, MARK, " "), " ")
+        flat, size = found.flatten(), pc.list_value_length(found).to_numpy()
+        if pc.any(pc.equal(pc.binary_length(flat), 0)).as_py():  # texts without units, and spaces on end
+            lists = [self.units(t) for t in texts.to_pylist()]
+            flat, size = pa.array(chain.from_iterable(lists), pa.string()), np.fromiter(map(len, lists), np.int64, len(lists))
+        return flat, size
+
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The library's ids of units on end, and how many each has."""
+        joined = [" ".join(units[i : i + JOINED]) for i in range(0, len(units), JOINED)]
+        if not any("  " in x or x.strip(" ") != x or not x for x in joined):  # each unit has one mark, its first
+            ids = np.fromiter(chain.from_iterable(self.lib.encode(joined, num_threads=1)), np.int32)
+            return ids, np.diff(np.append(np.flatnonzero(self.leads[ids]), len(ids)))
         ids = [x or [self.mark] for x in self.lib.encode(units, num_threads=1)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
@@ -188,11 +213,19 @@ class Model:
 
     def decode_all(self, ids: np.ndarray, bound: np.ndarray) -> list[str]:
         """decode() of each stretch of ids between two bounds."""
+        out = [str(x, "utf-8", "replace").replace(MARK, " ") for x in self._bytes(ids, bound)]
+        return [x[1:] if x.startswith(" ") else x for x in out]
+
+    def decode_to(self, ids: np.ndarray, bound: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether decode_all() gives these texts; one with a space mark, which decodes to a space, never comes out."""
+        want = [None if MARK in t else (MARK + t.replace(" ", MARK)).encode() if t else b"" for t in texts]
+        return [bytes(x) == w for x, w in zip(self._bytes(ids, bound), want, strict=True)]
+
+    def _bytes(self, ids: np.ndarray, bound: np.ndarray) -> Iterator[memoryview]:
         taken = self.bytes_of.take(pa.array(ids, pa.int32()))
         at = np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
         data, cut = memoryview(taken.buffers()[2] or b""), at[bound].tolist()
-        out = [str(data[a:b], "utf-8", "replace").replace(MARK, " ") for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        return [x[1:] if x.startswith(" ") else x for x in out]
+        return (data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True))
 
     def lattice(self, units: list[str], cost: float, temperature: float) -> Lattice:
         out = Lattice(self, cost, temperature)
@@ -205,11 +238,15 @@ class Lattice:
     pieces of a character that is no piece."""
 
     PARTS = {"first": np.int32, "end": np.int32, "lead": np.int32, "to": np.int32, "piece": np.int32, "count": np.int8, "logp": np.float32, "upto": np.float32}
+    #: Of each unit: its main path's log chance, chance, pieces and signature, where its ids begin in `main_ids`, and, where
+    #: the main path is nearly certain and that was asked for, the log chance of all others (else 1).
+    MAIN = {"main_logp": np.float64, "main_chance": np.float32, "main_pieces": np.int32, "main_sign": np.uint64, "main_at": np.int64, "sure": np.float64}
 
     def __init__(self, model: Model, cost: float, temperature: float):
         self.model, self.cost, self.temperature = model, cost, temperature
+        self.weight = (model.score - cost) / temperature
         self.room: dict[str, np.ndarray] = {}  # arrays with room at their ends, so that few additions copy what is there
-        for name, kind in self.PARTS.items():
+        for name, kind in {**self.PARTS, **self.MAIN, "main_ids": np.int32}.items():
             self._append(name, np.zeros(int(name == "lead"), kind), 0)
 
     def _append(self, name: str, x: np.ndarray, used: int) -> None:
@@ -229,9 +266,34 @@ class Lattice:
             for name, x in part.items():
                 self._append(name, x + x.dtype.type(places if name in ("first", "end", "to") else edges if name == "lead" else 0), len(getattr(self, name)))
             places, edges = places + len(part["lead"]), edges + len(part["to"])
+            self._add_main()
+
+    def _add_main(self) -> None:
+        """Finds the main paths, by each place's likeliest edge, of units that have none yet."""
+        old = len(self.sure)
+        at, end = self.first[old:], self.end[old:]
+        chance, live, taken = np.ones(len(at), np.float32), np.arange(len(at)), []
+        while len(live):
+            edge = self.lead.take(at)
+            chance[live] *= np.minimum(self.upto.take(edge), np.float32(1))
+            taken.append((live, edge))
+            at = self.to.take(edge)
+            more = np.flatnonzero(at < end)
+            live, at, end = live[more], at[more], end[more]
+        logp, pieces, sign, edges = self._summed(len(chance), taken)
+        new = {"main_logp": logp, "main_chance": chance, "main_pieces": pieces, "main_sign": sign, "main_at": len(self.main_ids) + np.cumsum(pieces) - pieces, "sure": np.ones(len(chance))}
+        for name, kind in self.MAIN.items():
+            self._append(name, new[name].astype(kind), old)
+        self._append("main_ids", self.ids_of(edges).astype(np.int32), len(self.main_ids))
 
     def keep(self, units: np.ndarray) -> None:
         """Leaves these units alone, numbered anew in their order."""
+        pieces = self.main_pieces[units].astype(np.int64)
+        at = np.cumsum(pieces) - pieces
+        main = {name: getattr(self, name)[units] for name in self.MAIN} | {"main_at": at}
+        main["main_ids"] = self.main_ids[np.repeat(self.main_at[units] - at, pieces) + np.arange(int(pieces.sum()))]
+        for name, x in main.items():
+            self._append(name, x, 0)
         begin, size = self.first[units].astype(np.int64), (self.end[units] - self.first[units]).astype(np.int64)
         first = np.cumsum(size) - size
         places = np.repeat(begin - first, size) + np.arange(int(size.sum()))
@@ -252,17 +314,19 @@ class Lattice:
         last = np.repeat(end, size)
         number, n = model.number[code], len(code)
         found: list[tuple[np.ndarray, int, np.ndarray]] = []
-        at, node, depth = np.arange(n), np.zeros(n, np.int64), 0
+        node = model.root.take(number)
+        at, depth = np.flatnonzero(node >= 0), 1
+        node = node[at]
         while len(at):
-            if depth:
-                inside = at + depth < last[at]
-                at, node = at[inside], node[inside]
-            slot = model._find(node * model.many + number[at + depth])
-            at, node = at[slot >= 0], model.values[slot[slot >= 0]]
-            depth += 1
-            piece = model.piece[node]
-            ends = piece >= 0
+            piece = model.piece.take(node)
+            ends = np.flatnonzero(piece >= 0)
             found.append((at[ends], depth, piece[ends]))
+            inside = np.flatnonzero(at + depth < last.take(at))
+            at, node = at[inside], node[inside]
+            slot = model._find(node * model.many + number.take(at + depth))
+            inside = np.flatnonzero(slot >= 0)
+            at, node = at[inside], model.values.take(slot[inside])
+            depth += 1
         single = np.zeros(n, bool)
         single[found[0][0] if found else []] = True
         odd = np.flatnonzero(~single)  # characters that are no piece: their bytes
@@ -275,11 +339,12 @@ class Lattice:
         for at, length, piece in found:
             to_[slot[at]], of_piece[slot[at]] = at + length, piece
             slot[at] += 1
-        count = np.ones(edges, np.int64)
+        count = np.ones(edges, np.int8)
         byte = np.flatnonzero(of_piece < 0)
         char = -1 - of_piece[byte]
         count[byte] = 1 + (char >= 0x80) + (char >= 0x800) + (char >= 0x10000)
-        weight = (np.where(of_piece >= 0, model.score[np.maximum(of_piece, 0)], 0.0) - cost * count) / temperature
+        weight = self.weight.take(of_piece, mode="clip")
+        weight[byte] = -cost * count[byte] / temperature
         # from units' ends: the log mass of what can follow each place, all places as far from their end at a time
         left = last - np.arange(n)
         order = np.argsort(np.minimum(left, 65535).astype(np.uint16), kind="stable")
@@ -288,13 +353,25 @@ class Lattice:
         size = degree[order]
         of = np.repeat(lead[order] - (np.cumsum(size) - size), size) + np.arange(edges)
         w, to, whole = weight[of], to_[of], (to_ >= last[begin])[of]
-        mass = np.zeros(n + 1)
+        mass, beside, less = np.zeros(n + 1), np.empty(n), np.empty(edges)
         starts = np.cumsum(size) - size
         cuts = np.flatnonzero(np.append(True, np.diff(left[order]) != 0)) if n else np.empty(0, np.int64)
         for a, b in zip(cuts.tolist(), np.append(cuts[1:], n).tolist(), strict=False):
             x, y = int(starts[a]), int(starts[b]) if b < n else edges
-            mass[order[a:b]] = np.logaddexp.reduceat(np.where(whole[x:y], 0.0, mass[to[x:y]]) + w[x:y], starts[a:b] - x)
-        logp = weight + np.where(to_ < last[begin], mass[to_], 0.0) - mass[begin]
+            logs, first = np.where(whole[x:y], 0.0, mass[to[x:y]]) + w[x:y], starts[a:b] - x
+            top = np.maximum.reduceat(logs, first)
+            less[x:y] = logs - np.repeat(top, size[a:b])
+            beside[a:b] = np.log(np.add.reduceat(np.exp(less[x:y]), first))
+            mass[order[a:b]] = top + beside[a:b]
+        logp = np.empty(edges)
+        logp[of] = less - np.repeat(beside, size)
+        # a place's likeliest edge goes first
+        likely = of[less == 0]
+        place = begin[likely]
+        away = np.append(True, place[1:] != place[:-1])[: len(likely)] & (likely != lead[place])
+        x, y = lead[place[away]], likely[away]
+        for part in (to_, of_piece, count, logp):
+            part[x], part[y] = part[y], part[x]
         chance = np.exp(logp)
         total = np.cumsum(chance)
         upto = total - np.append(0.0, total)[lead[begin]]
@@ -307,31 +384,71 @@ class Lattice:
         return self.walk(unit, key, place, draw)[:3]
 
     def walk(self, unit: np.ndarray, key: np.ndarray, place: np.ndarray, draw: int):
-        """sample(), and the edges of all units on end."""
-        at, end = self.first[unit], self.end[unit]
-        logp, pieces, sign = np.zeros(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit), np.uint64)
-        live, step, base = np.flatnonzero(at < end), 0, mixed(key, place, draw)
-        steps, taken = np.zeros(len(unit), np.int64), []
-        at, end, base = at[live], end[live], base[live]
+        """sample(), and the ids of all units on end.
+
+        A first number says how far a unit goes along its main path, which mostly is all of it: the chance to be on it after
+        some edges is the product of theirs. Where it is left, another edge is drawn, and all that follows."""
+        base = mixed(key, place, draw)
+        first = _unit(base).astype(np.float32)  # as precise as the chances that it is held against
+        off = np.flatnonzero(first >= self.main_chance.take(unit))
+        logp, pieces, sign = self.main_logp.take(unit), self.main_pieces.take(unit).astype(np.int64), self.main_sign.take(unit)
+        start = self.main_at.take(unit)
+        own, base, first = unit[off], base[off], first[off]
+        at, end, live, step, taken = self.first[own], self.end[own], np.arange(len(off)), 0, []
+        main, chance = np.ones(len(off), bool), np.ones(len(off), np.float32)
         while len(live):
-            u = stream(base, step)
-            edge = self.lead[at]
-            look = np.flatnonzero(u > self.upto[edge])
+            u = stream(base, step).astype(np.float32)
+            edge = self.lead.take(at)
+            upto = self.upto.take(edge)
+            on = np.flatnonzero(main)
+            if len(on):
+                then = chance[on] * np.minimum(upto[on], np.float32(1))
+                stay = first[on] < then
+                chance[on] = then
+                left = on[~stay]
+                main[left] = False
+                u[left] = upto[left] + u[left] * (1 - upto[left])  # any edge but the first
+                u[on[stay]] = -1
+                edge[left] += 1
+                upto[left] = self.upto.take(edge[left])
+            look = np.flatnonzero(u > upto)
+            v, e = u[look], edge[look]
             while len(look):
-                edge[look] += 1
-                look = look[u[look] > self.upto[edge[look]]]
-            logp[live] += self.logp[edge]
-            pieces[live] += self.count[edge]
-            sign[live] = sign[live] * np.uint64(STEP) + self.piece[edge].astype(np.int64).astype(np.uint64)
-            steps[live] += 1
-            taken.append((live, edge.astype(np.int32)))
-            at = self.to[edge]
-            more = at < end
-            live, at, end, base, step = live[more], at[more], end[more], base[more], step + 1
-        edges, lead = np.empty(int(steps.sum()), np.int32), np.cumsum(steps) - steps
+                e += 1
+                more = np.flatnonzero(v > self.upto.take(e))
+                if len(more) < len(look):
+                    edge[look] = e
+                    look, v, e = look[more], v[more], e[more]
+            taken.append((live, edge))
+            at, step = self.to.take(edge), step + 1
+            more = np.flatnonzero(at < end)
+            if len(more) < len(live):
+                live, at, end, base, first, main, chance = (x[more] for x in (live, at, end, base, first, main, chance))
+        logp[off], pieces[off], sign[off], edges = self._summed(len(off), taken)
+        start[off] = len(self.main_ids) + np.cumsum(pieces[off]) - pieces[off]
+        start -= np.cumsum(pieces) - pieces
+        pool = np.append(self.main_ids, self.ids_of(edges).astype(np.int32))
+        return logp, pieces, sign, pool.take(np.repeat(start, pieces) + np.arange(int(pieces.sum())))
+
+    def _summed(self, n: int, taken: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+        """(log chance, pieces, signature) of n paths, given as which of them have an edge at each step, and these; and all
+        paths' edges on end."""
+        if not n:
+            return np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        steps = np.zeros(n, np.int64)
+        for step, (live, _) in enumerate(taken):
+            steps[live] = step + 1
+        upto = np.cumsum(steps)
+        first = upto - steps  # every path has an edge
+        edges = np.empty(int(upto[-1]), np.int32)
         for step, (live, edge) in enumerate(taken):
-            edges[lead[live] + step] = edge
-        return logp, pieces, sign, edges
+            edges[first[live] + step] = edge
+        power = np.full(len(taken), STEP, np.uint64)
+        power[0] = 1
+        later = np.repeat(upto, steps) - np.arange(1, len(edges) + 1)
+        sign = self.piece.take(edges).astype(np.uint64) * np.multiply.accumulate(power).take(later)
+        logp, count = self.logp.take(edges), self.count.take(edges)
+        return np.add.reduceat(logp, first, dtype=np.float64), np.add.reduceat(count, first, dtype=np.int64), np.add.reduceat(sign, first), edges
 
     def ids_of(self, edges: np.ndarray) -> np.ndarray:
         """The ids of edges on end."""
@@ -355,9 +472,17 @@ class Lattice:
     def path(self, unit: int, base: int) -> list[int]:
         """The edges of what sample() drew from a base hash."""
         at, end, out, upto = int(self.first[unit]), int(self.end[unit]), [], self.upto
+        first, one = np.float32(_unit(np.uint64(base))), np.float32(1)
+        main, chance = True, one
         while at < end:
-            u, edge = stream1(base, len(out)), int(self.lead[at])
-            while u > upto[edge]:
+            u, edge = np.float32(stream1(base, len(out))), int(self.lead[at])
+            if main:
+                chance *= min(upto[edge], one)
+                main = first < chance
+                if not main:
+                    u = upto[edge] + u * (one - upto[edge])
+                    edge += 1
+            while not main and u > upto[edge]:
                 edge += 1
             out.append(edge)
             at = int(self.to[edge])
@@ -425,6 +550,35 @@ def _log_sum(logs: list[float]) -> float:
     return top if top == NONE else top + math.log(sum(math.exp(x - top) for x in logs))
 
 
+def _best_parts(part: np.ndarray, bound: np.ndarray, want: int, draws) -> list[tuple[int, float]]:
+    """Of each row's parts, log chances, the `want` with the least perturbed value (the log of an exponential variable over
+    the chance), as (place, value). Only parts that can be among these are drawn for: of a row's `want` largest, none is
+    beaten by a part smaller by more than draws differ."""
+    some = np.flatnonzero(np.diff(bound))
+    if not len(some):
+        return []
+    lead, size = bound[some], np.diff(bound)[some]
+    left = part
+    for n in range(want):
+        top = np.maximum.reduceat(left, lead)
+        if n < want - 1:
+            left = left.copy() if left is part else left
+            hit = np.flatnonzero(left == np.repeat(top, size))
+            owner = np.searchsorted(lead, hit, "right")
+            left[hit[np.append(True, owner[1:] != owner[:-1])]] = NONE
+    at = np.flatnonzero((part >= np.repeat(top - SPREAD, size)) & (part > NONE))
+    if not len(at):
+        return []
+    with np.errstate(divide="ignore"):
+        value = np.log(-np.log(draws(at))) - part[at]
+    owner = np.searchsorted(lead, at, "right")
+    order = np.lexsort((value, owner))
+    first = np.flatnonzero(np.append(True, np.diff(owner) != 0))
+    nth = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    order = order[nth < want]
+    return list(zip(at[order].tolist(), value[order].tolist(), strict=True))
+
+
 def sample_rows(lattice: Lattice, unit: np.ndarray, row: np.ndarray, keys: np.ndarray, k: int) -> list[list[dict]]:
     """Per row up to k different segmentations, best perturbed value first: dicts of log_prob, perturbed, inclusion,
     pieces, signature, ids, and `edges` (unit place -> path) of units that aren't plain draws, with `draw` per unit.
@@ -442,9 +596,9 @@ def sample_rows(lattice: Lattice, unit: np.ndarray, row: np.ndarray, keys: np.nd
     heaps: list[list] = [[] for _ in range(rows)]
     gumbel = -np.log(-np.log(uniform(keys, 0, 1 << 20, 0)))
     bases = {i: mixed(key, place, i) for i in range(k)}
-    *leaf, path_edges = lattice.walk(unit, key, place, 0)
+    *leaf, drawn_ids = lattice.walk(unit, key, place, 0)
     leaf = [x.copy() for x in leaf] + [np.zeros(len(unit), np.int64)]  # log chance, pieces, signature, draw
-    walks = [(lattice.ids_of(path_edges), np.append(0, np.cumsum(leaf[1])))]  # each draw's ids, and where units' begin
+    walks = [(drawn_ids, np.append(0, np.cumsum(leaf[1])))]  # each draw's ids, and where units' begin
 
     def ids(a: int, draws: np.ndarray, own: dict[int, list[int]]) -> np.ndarray:
         found, cuts = [], [0, *(np.flatnonzero(draws[1:] != draws[:-1]) + 1).tolist(), len(draws)]
@@ -457,7 +611,6 @@ def sample_rows(lattice: Lattice, unit: np.ndarray, row: np.ndarray, keys: np.nd
         return np.concatenate(found).astype(np.int32)
 
     leaves = [leaf]
-    sure: dict[int, float] = {}  # of units of which one path is nearly certain: the log chance of all others
     value = gumbel.copy()
     begin = np.zeros(rows, np.int64)  # the unit from which a row's newest leaf may be parted
     taken: list[list[list[int]]] = [[] for _ in range(rows)]  # that unit's paths that are gone already
@@ -483,31 +636,25 @@ def sample_rows(lattice: Lattice, unit: np.ndarray, row: np.ndarray, keys: np.nd
             p = np.exp(logp)
             part = before + np.where(p < SURE, np.log1p(-np.minimum(p, 1.0)), NONE)
         part[place < begin[row]] = NONE
-        for j in np.flatnonzero((p >= SURE) & (place >= begin[row])).tolist():  # a difference would lose what is left
-            own = int(unit[j])
-            if own not in sure:
-                sure[own] = lattice.rest(own, [edges[int(row[j])].get(int(place[j])) or lattice.path(own, int(bases[int(drawn[j])][j]))])
-            part[j] = before[j] + sure[own]
+        certain = np.flatnonzero((p >= SURE) & (place >= begin[row]))  # a difference would lose what is left
+        own = unit[certain]
+        for j in certain[lattice.sure[own] > 0].tolist():
+            u = int(unit[j])
+            if lattice.sure[u] > 0:
+                lattice.sure[u] = lattice.rest(u, [edges[int(row[j])].get(int(place[j])) or lattice.path(u, int(bases[int(drawn[j])][j]))])
+        part[certain] = before[certain] + lattice.sure[own]
         for r in some.tolist():
             if alive[r] and taken[r]:
                 j = int(bound[r] + begin[r])
                 now = edges[r].get(int(begin[r])) or lattice.path(int(unit[j]), int(bases[int(drawn[j])][j]))
                 part[j] = before[j] + lattice.rest(int(unit[j]), [*taken[r], now])
         part[~alive[row]] = NONE
-        with np.errstate(divide="ignore", over="ignore"):
-            best = -np.logaddexp(-value[row], np.log(-np.log(uniform(key, place, 2 << 20, draw))) - part)
         want = k - draw + 1  # of the new parts only so many can still be opened, one more for the inclusion scores
-        for _ in range(want):
-            if not len(lead):
-                break
-            top = np.maximum.reduceat(best, lead)
-            hit = np.flatnonzero(best == top[np.searchsorted(some, row)])
-            hit = hit[np.append(True, row[hit][1:] != row[hit][:-1])] if len(hit) else hit
-            for j in hit.tolist():
-                if best[j] > NONE:
-                    r = int(row[j])
-                    heapq.heappush(heaps[r], (-float(best[j]), draw - 1, int(place[j]), taken[r] if int(place[j]) == int(begin[r]) else [], edges[r]))
-            best[hit] = NONE
+        for j, best in _best_parts(part, bound, want, lambda at: uniform(key[at], place[at], 2 << 20, draw)):
+            r = int(row[j])
+            perturbed = -float(np.logaddexp(-value[r], best))
+            if perturbed > NONE:
+                heapq.heappush(heaps[r], (-perturbed, draw - 1, int(place[j]), taken[r] if int(place[j]) == int(begin[r]) else [], edges[r]))
         if draw == k:
             break
         # open each row's best part
@@ -530,10 +677,10 @@ def sample_rows(lattice: Lattice, unit: np.ndarray, row: np.ndarray, keys: np.nd
         if not opened:
             break
         at = np.concatenate(opened)
-        *fresh, path_edges = lattice.walk(unit[at], key[at], place[at], draw)
+        *fresh, drawn_ids = lattice.walk(unit[at], key[at], place[at], draw)
         size = np.zeros(len(unit), np.int64)
         size[at] = fresh[1]
-        walks.append((lattice.ids_of(path_edges), np.append(0, np.cumsum(size))))
+        walks.append((drawn_ids, np.append(0, np.cumsum(size))))
         for x, y in zip(new, fresh, strict=False):
             x[at] = y
         new[3][at] = draw
@@ -554,23 +701,12 @@ def sampled_ids(model: Model, lattice: Lattice, units: np.ndarray, key: int, sam
     return out
 
 
-class Numbers(dict):
-    """Numbers of units, in the order in which they are first asked for; `new`: those since it was emptied last."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, unit: str) -> int:
-        self[unit] = n = len(self)
-        self.new.append(unit)
-        return n
-
-
 class Known:
     """A worker's units: their encodings and their lattices, kept from batch to batch up to `most` of them."""
 
     def __init__(self, model: Model, cost: float, temperature: float, most: int = MEMO_UNITS):
-        self.model, self.most, self.number = model, most, Numbers()
+        self.model, self.most = model, most
+        self.number = pa.array([], pa.string())  # a unit's number is its place here
         self.ids, self.upto, self.uses = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)
         self.lattice = Lattice(model, cost, temperature)
 
@@ -578,8 +714,7 @@ class Known:
         """Forgets all units but those used most; earlier uses count half."""
         often = np.argsort(-self.uses, kind="stable")[: self.most // 2]
         often = np.sort(often[self.uses[often] >= OFTEN])
-        units, self.number = list(self.number), Numbers()
-        self.number.update((units[u], n) for n, u in enumerate(often.tolist()))
+        self.number = self.number.take(pa.array(often))
         self.ids, self.upto = self.encoded(often)
         self.uses = self.uses[often] // 2
         self.lattice.keep(often)
@@ -590,12 +725,17 @@ class Known:
         upto = np.append(0, np.cumsum(size))
         return self.ids[np.repeat(self.upto[units] - upto[:-1], size) + np.arange(int(upto[-1]))], upto
 
-    def numbers(self, units: list[str]) -> np.ndarray:
+    def numbers(self, units: list[str] | pa.Array) -> np.ndarray:
         if len(self.number) > self.most:
             self.clear()
-        out = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
-        if new := self.number.new:
-            self.number.new = []
+        units = units if isinstance(units, pa.Array) else pa.array(units, pa.string())
+        found = pc.index_in(units, value_set=self.number)
+        out = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        if found.null_count:
+            coded = units.filter(pc.is_null(found)).dictionary_encode()
+            out[out < 0] = len(self.number) + coded.indices.to_numpy()
+            self.number = pa.concat_arrays([self.number, coded.dictionary])
+            new = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
             ids, size = self.model.encode_units(new)
             self.ids, self.upto = np.append(self.ids, ids), np.append(self.upto, self.upto[-1] + np.cumsum(size))
             self.lattice.add(new)
@@ -620,20 +760,19 @@ def encode_and_sample(docs: DataFrame, id_col: str, text_col: str, path: str, k:
     name = path.rsplit("/", 1)[-1]
 
     def rows_of(known: Known, key: list, text: list[str]) -> Iterator[tuple]:
-        lists = [known.model.units(t) for t in text]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        unit = known.numbers(list(chain.from_iterable(lists)))
+        units, size = known.model.units_of(pa.array(text, pa.string()))
+        unit = known.numbers(units)
         seeds = np.array([int.from_bytes(hashlib.blake2b(repr(x).encode(), digest_size=8).digest(), "little") for x in key], np.uint64)
-        samples = sample_rows(known.lattice, unit, np.repeat(np.arange(len(lists)), size), seeds, k)
+        samples = sample_rows(known.lattice, unit, np.repeat(np.arange(len(text)), size), seeds, k)
         own, upto = known.encoded(unit)
         bound = upto[np.append(0, np.cumsum(size))]
         decoded, cut = known.model.decode_all(own, bound), bound.tolist()
         drawn = [s["ids"] for x in samples for s in x]  # every row has a sample
-        again = iter(known.model.decode_all(np.concatenate(drawn), np.append(0, np.cumsum(list(map(len, drawn))))))
+        again = iter(known.model.decode_to(np.concatenate(drawn), np.append(0, np.cumsum(list(map(len, drawn)))), [t for t, x in zip(text, samples, strict=True) for _ in x]))
         for i, t in enumerate(text):
             e, found = own[cut[i] : cut[i + 1]], []
             for n, s in enumerate(samples[i]):
-                found.append((n + 1, s["log_prob"], s["perturbed"], s["inclusion"], s["pieces"], s["signature"] - (1 << 63), hashlib.sha256(s["ids"].astype("<i4").tobytes()).hexdigest(), next(again) == t, s["ids"]))
+                found.append((n + 1, s["log_prob"], s["perturbed"], s["inclusion"], s["pieces"], s["signature"] - (1 << 63), hashlib.sha256(s["ids"].astype("<i4").tobytes()).hexdigest(), next(again), s["ids"]))
             yield len(t.encode()), len(e), hashlib.sha256(e.astype("<i4").tobytes()).hexdigest(), decoded[i] == t, found, *((e, decoded[i]) if ids else (None, None))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -594,6 +594,30 @@ def test_units_are_forgotten_and_numbered_anew(pieces):
     assert len(small.number) < 24 and len(whole.number) == 44
 
 
+def test_draws_follow_main_paths(pieces, monkeypatch):
+    from atollgrid.llm import pieces as module
+
+    words, n = ["the", "retion", "éelleç", "n.\nIt", "☃☃"], 4000
+    known = Known(pieces, 1.0, 1.0)
+    unit = np.tile(known.numbers(words), n)
+    drawn, stream = [], module.stream
+    monkeypatch.setattr(module, "stream", lambda base, step: drawn.append(len(base)) or stream(base, step))
+    key, place = np.arange(len(unit)).astype(np.uint64), np.arange(len(unit)) % 3
+    logp, count, sign, ids = known.lattice.walk(unit, key, place, 1)
+    assert 0 < sum(drawn) < len(unit)  # one number says for most units that they take their main path
+    bound, bases = np.append(0, np.cumsum(count)).tolist(), mixed(key, place, 1).tolist()
+    for j in range(0, len(unit), 7):  # one draw at a time gives the same
+        path = known.lattice.path(int(unit[j]), bases[j])
+        assert known.lattice.ids(pieces, path) == ids[bound[j] : bound[j + 1]].tolist() and known.lattice.signature(path) == int(sign[j])
+        assert abs(known.lattice.logp[path].sum(dtype=float) - logp[j]) < 1e-9
+    for u in range(len(words)):  # and each segmentation comes as often as its chance says
+        own = np.flatnonzero(unit == u)
+        for s in np.unique(sign[own]):
+            hit = own[sign[own] == s]
+            p = math.exp(logp[hit[0]])
+            assert abs(len(hit) - n * p) < 5 * math.sqrt(n * p * (1 - p)) + 1
+
+
 def test_unlikely_segmentations_come_out(pieces):
     known = Known(pieces, 1.0, 0.02)  # so cold that the likeliest one has all but 1e-15 of the chance, or less
     unit = known.numbers(pieces.units("cat"))
