@@ -235,22 +235,27 @@ def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray
     size, n = t.dtype.itemsize, len(t)
     step = 8 // size  # symbols that one look at memory compares
     look = np.ndarray((max(0, n - step + 1),), "<u8", t, strides=(size,))
-    out, live, x, y = np.zeros(len(a), np.int64), np.arange(len(a)), np.asarray(a, np.int64), np.asarray(b, np.int64)
+    out, live, x, y = np.full(len(a), cap, np.int64), np.arange(len(a)), np.array(a, np.int64), np.array(b, np.int64)
+    last = np.maximum(x, y)
     for k in range(0, cap, step):
-        far = np.maximum(x, y) + k > n - step
-        for i in np.flatnonzero(far).tolist():  # within a look of the text's end
-            p, q = int(x[i]) + k, int(y[i]) + k
-            while max(p, q) < n and t[p] == t[q]:
-                out[live[i]], p, q = out[live[i]] + 1, p + 1, q + 1
-        if far.any():
-            live, x, y = live[~far], x[~far], y[~far]
+        if len(live) and int(last.max()) > n - step - k:
+            far = last > n - step - k
+            for i in np.flatnonzero(far).tolist():  # within a look of the text's end
+                p, q = int(x[i]) + k, int(y[i]) + k
+                while max(p, q) < n and t[p] == t[q]:
+                    p, q = p + 1, q + 1
+                out[live[i]] = p - int(x[i])
+            live, x, y, last = live[~far], x[~far], y[~far], last[~far]
         if not len(live):
             break
         other = look[x + k] ^ look[y + k]
-        low = other & (~other + np.uint64(1))
-        out[live] += np.where(other == 0, step, np.bitwise_count(low - np.uint64(1)) // (8 * size))
-        same = other == 0
-        live, x, y = live[same], x[same], y[same]
+        end = np.flatnonzero(other)
+        if len(end):
+            low = other[end]
+            low &= ~low + np.uint64(1)
+            out[live[end]] = k + np.bitwise_count(low - np.uint64(1)).astype(np.int64) // (8 * size)
+            same = np.flatnonzero(other == 0)
+            live, x, y, last = live[same], x[same], y[same], last[same]
     return np.minimum(out, cap)
 
 

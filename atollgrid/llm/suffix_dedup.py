@@ -3,8 +3,8 @@
 Shards are made so that equal strings meet. Each window of so many symbols is owned by the smallest hash of a shorter string
 inside it (an anchor), so equal windows are owned by equal anchors at the same place. The windows that follow each other
 under one anchor are a piece. Anchors that occur once own no repeated window. Of the others, each different piece goes
-once, with its count, to the shard of its anchor's hash, where external induced sorting finds the windows that other
-pieces have too; the verdict returns to all places of the piece. The pieces of a crowded anchor are parted again, by
+once, with its count, to the shard of its anchor's hash. There what pieces share under longer anchors too is sorted, by
+external induced sorting, which finds the windows that other pieces have too; the verdict returns to all places of the piece. The pieces of a crowded anchor are parted again, by
 anchors of longer strings, until no anchor is crowded: at last an anchor is a whole window, of which there is one kind.
 """
 
@@ -26,7 +26,7 @@ LENGTH, GRAM = 400, 128
 #: A passage of over 50 words, and the words of its anchors.
 PASSAGE_WORDS, GRAM_WORDS = 51, 16
 #: Symbols that anchors are sought in at a time; longer texts in overlapping parts.
-PART = 1 << 19
+PART = 1 << 16
 #: Bytes of pieces that are sorted at a time; one anchor's pieces are never parted.
 SHARD = 4 << 20
 #: Different pieces that one anchor may gather; those of others are parted again, by anchors of longer strings.
@@ -255,6 +255,53 @@ def _across(t: np.ndarray, width: int, memory: int, scratch: Scratch, ends: np.n
             hit[a : a + (1 << 20)] = several[group[a : a + (1 << 20)]]
 
 
+def repeated_in_pieces(texts: list[np.ndarray], unit: Unit, anchor: np.ndarray, copies: np.ndarray, low: np.ndarray, high: np.ndarray, memory: int = MEMORY) -> list[np.ndarray]:
+    """For each piece, all different, True at its windows that are repeated, in other pieces or by its copies (of rows low
+    to high). Equal windows have equal longer anchors too: what pieces have under one that no other has is not sorted, and
+    of equal parts, which are repeated by their count alone, one is sorted, where other parts have their anchor too."""
+    masks = [np.zeros(max(0, len(x) - unit.length + 1), np.bool_) for x in texts]
+    found = list(pieces(texts, unit.length, unit.finer(unit.finer(unit.gram))))
+    if not found:
+        return masks
+    number, start, count, fine, own = (np.concatenate(x) for x in zip(*found, strict=True))
+    shard = _within(anchor[number], fine)
+    order = np.lexsort((own, shard))
+    number, start, count, shard, own = (x[order] for x in (number, start, count, shard, own))
+    first = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (own[1:] != own[:-1])))
+    kind = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(shard))))
+    low, high = np.minimum.reduceat(low[number], first), np.maximum.reduceat(high[number], first)
+    sure = low < high if unit.across else np.add.reduceat(copies[number], first) > 1
+    of = np.append(True, shard[first][1:] != shard[first][:-1])
+    lead, of = np.flatnonzero(of), np.cumsum(of) - 1
+    several = (np.diff(np.append(lead, len(first))) > 1) & (~np.bool_(unit.across) | (np.minimum.reduceat(low, lead) < np.maximum.reduceat(high, lead)))
+    some = np.flatnonzero(several[of])
+    # parts that follow each other in a piece, of the same rows, are one text to sort
+    some = some[np.lexsort((start[first[some]], number[first[some]]))]
+    i, a, n = (x[first[some]] for x in (number, start, count))
+    new = np.append(True, (i[1:] != i[:-1]) | (a[1:] != a[:-1] + n[:-1]))[: len(some)]
+    if unit.across:
+        new[1:] |= (low[some][1:] != low[some][:-1]) | (high[some][1:] != high[some][:-1])
+    hits: list = [None] * len(first)
+    if len(some):
+        head = np.flatnonzero(new)
+        size = np.add.reduceat(n, head)
+        parts = [texts[x][y : y + z + unit.length - 1] for x, y, z in zip(i[head].tolist(), a[head].tolist(), size.tolist(), strict=True)]
+        hit = np.concatenate(repeated_windows(parts, unit.length, memory, (low[some[head]], high[some[head]]) if unit.across else None))
+        for k, x in zip(some.tolist(), np.split(hit, np.cumsum(n)[:-1]), strict=True):
+            hits[k] = x
+    for k in np.flatnonzero(sure).tolist():
+        hits[k] = True
+    for i, a, n, k in zip(number.tolist(), start.tolist(), count.tolist(), kind.tolist(), strict=True):
+        if hits[k] is not None:
+            masks[i][a : a + n] = hits[k]
+    return masks
+
+
+def _within(anchor: np.ndarray, fine: np.ndarray) -> np.ndarray:
+    """The hash of a longer anchor within one."""
+    return (anchor.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ fine.view(np.uint64)).view(np.int64)
+
+
 def _runs(mask: np.ndarray) -> list[dict]:
     edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
     return [{"a": a, "b": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
@@ -270,9 +317,8 @@ def _sort(units: tuple[Unit, ...], shard: int, memory: int):
     def verdicts(rows: list) -> pa.RecordBatch:
         unit = units[rows[0][0]]
         texts = [np.frombuffer(r[7], np.uint64 if unit.words else np.uint8) for r in rows]
-        seen = tuple(np.array([r[i] for r in rows], np.int64) for i in (4, 5))
-        masks = repeated_windows(texts, unit.length, memory, seen if unit.across else None)
-        runs = [_runs(np.ones(len(m), bool) if (r[4] < r[5] if unit.across else r[3] > 1) else m) for r, m in zip(rows, masks, strict=True)]
+        anchor, copies, low, high = (np.array([r[i] for r in rows], np.int64) for i in (1, 3, 4, 5))
+        runs = [_runs(m) for m in repeated_in_pieces(texts, unit, anchor, copies, low, high, memory)]
         cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64()))]
         return pa.RecordBatch.from_arrays([*cols, pa.array(runs, kind)], ["unit", "anchor", "piece", "runs"])
 
@@ -320,8 +366,7 @@ def _finer(units: tuple[Unit, ...], grams: list[int]):
                 texts = (np.frombuffer(batch.column(7)[i].as_py(), np.uint64 if unit.words else np.uint8) for i in rows.tolist())
                 for number, start, count, fine, own in pieces(texts, unit.length, grams[u]):
                     k = rows[number]
-                    shard = (anchor[k].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ fine.view(np.uint64)).view(np.int64)
-                    cols = (own_unit[k], shard, own, copies[k], low[k], high[k], anchor[k], piece[k], start.astype(np.int32), count.astype(np.int32))
+                    cols = (own_unit[k], _within(anchor[k], fine), own, copies[k], low[k], high[k], anchor[k], piece[k], start.astype(np.int32), count.astype(np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names)
 
     return finer

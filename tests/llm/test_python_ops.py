@@ -111,6 +111,34 @@ def test_names_are_parted_in_order():
     assert named[0][1] == named[1][1] and (named[0][0] == named[1][0]).all()
 
 
+@pytest.mark.parametrize("unit", [suffix_dedup.Unit(False, 40, 12), suffix_dedup.Unit(True, 11, 4, True)])
+def test_pieces_are_parted_before_they_are_sorted(unit, monkeypatch):
+    rng, length = np.random.default_rng(3), unit.length
+    draw = lambda n: rng.integers(0, 60, n).astype(np.uint64 if unit.words else np.uint8)
+    cores, texts = [draw(n) for n in (2 * length, 3 * length, length, length + 3)], []
+    for i in range(60):
+        x = np.concatenate([draw(rng.integers(0, length)), cores[i % 4], draw(rng.integers(0, length)), *([cores[rng.integers(4)]] * int(rng.integers(2)))])
+        if i % 5 == 0:
+            x[rng.integers(len(x))] ^= 1
+        texts.append(x)
+    texts += [np.zeros(2 * length, texts[0].dtype), draw(3 * length), draw(3 * length), draw(length - 1)]
+    n = len(texts)
+    copies, low = rng.integers(1, 4, n) if not unit.across else np.ones(n, np.int64), rng.integers(0, 30, n)
+    high = low + rng.integers(0, 2, n) * (np.arange(n) % 7 == 0)
+    seen: dict = {}
+    for x, c, a, b in zip(texts, copies.tolist(), low.tolist(), high.tolist(), strict=True):
+        for i in range(len(x) - length + 1):
+            old = seen.get(w := x[i : i + length].tobytes(), (0, a, b))
+            seen[w] = (old[0] + c, min(old[1], a), max(old[2], b))
+    yes = {w for w, (c, a, b) in seen.items() if (a < b if unit.across else c > 1)}
+    sorted_, whole = [], suffix_dedup.repeated_windows
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda parts, *rest: sorted_.extend(map(len, parts)) or whole(parts, *rest))
+    got = suffix_dedup.repeated_in_pieces(texts, unit, np.zeros(n, np.int64), copies, low, high)
+    for x, mask in zip(texts, got, strict=True):
+        assert mask.tolist() == [x[i : i + length].tobytes() in yes for i in range(len(x) - length + 1)]
+    assert 0 < sum(sorted_) < sum(map(len, texts)) and any(m.any() for m in got) and not all(m.all() for m in got)
+
+
 @pytest.mark.parametrize("params", [{}, {"shard": 1, "memory": 1 << 10}, {"hot": 1}, {"hot": 3, "shard": 1}])
 def test_suffix_dedup(spark, tmp_path, params):
     rng = random.Random(4)
