@@ -789,11 +789,12 @@ def antimeridian_dem(spark, sf_dir):
     return rasters.over_antimeridian(pixels, points, "elevation", 1.0).select("pixel", F.round("elevation", 5).alias("elevation"))
 
 
-@query("SELECT concat('item_', o_orderkey, '_', year(o_orderdate)) AS id FROM orders WHERE year(o_orderdate) = 1996 AND o_orderkey % 4 = 1")
+@query("SELECT concat('item_', o_orderkey, '_', year(o_orderdate)) AS id FROM orders WHERE year(o_orderdate) = 1996")
 def product_items(spark, sf_dir):
-    d = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_orderkey % 4 = 1")
-    d = d.select(F.concat(F.lit("item_"), "o_orderkey", F.lit("_"), F.year("o_orderdate")).alias("id"), F.lit("2017-01-01").alias("datetime"))
-    return catalog.of_product(d, "io", 1996, 1_000_000).select("id")
+    key = F.coalesce(F.col("o_orderkey").cast("string"), F.lit(""))  # the SQL's concat leaves out nulls
+    d = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    d = d.select(F.concat(F.lit("item_"), key, F.lit("_"), F.year("o_orderdate")).alias("id"), F.lit("2017-01-01").alias("datetime"))
+    return catalog.of_product(d, "io", 1996, None).select("id")
 
 
 @query(f"WITH {SAMPLES_CTE}, v AS (SELECT " + ", ".join(f"CASE WHEN id % {i + 3} = 0 THEN NULL ELSE {f} END AS {f}" for i, f in enumerate(FEATURES)) + " FROM samples) " + " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST(count(*) - count({f}) AS BIGINT) AS missing, round((count(*) - count({f})) / count(*) * 100, 6) AS percent FROM v" for f in FEATURES))

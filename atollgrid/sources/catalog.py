@@ -67,11 +67,11 @@ def by_id(items: DataFrame, id_: str) -> DataFrame:
     return d
 
 
-def bounded(items: DataFrame, least: int, most: int) -> DataFrame:
-    """Items, if there are from least to most of them; else raises."""
-    n = items.limit(most + 1).count()
-    if not least <= n <= most:
-        raise ValueError(f"{n} items where {least} to {most} are expected")
+def bounded(items: DataFrame, least: int, most: int | None) -> DataFrame:
+    """Items, if there are from least to most of them (None: any number from least on); else raises."""
+    n = items.limit(least if most is None else most + 1).count()
+    if n < least or most is not None and n > most:
+        raise ValueError(f"{n} items where {least} {'or more' if most is None else f'to {most}'} are expected")
     return items
 
 
@@ -97,9 +97,9 @@ def boundaries(cache: DataFrame, fetched: DataFrame, codes: list[str], code: str
     return cache.unionByName(more).filter(F.col(code).isin(codes))
 
 
-def of_product(items: DataFrame, product: str, year: int = 2020, most: int = 29) -> DataFrame:
+def of_product(items: DataFrame, product: str, year: int = 2020, most: int | None = 29) -> DataFrame:
     """A product's items of a year, by their date; of `io`, whose dates are vague, by their id's last number of four
-    digits: longer numbers that hold the year's digits don't count. Raises unless there are 1 to `most`."""
+    digits: longer numbers that hold the year's digits don't count. Raises unless there are 1 to `most` (None: 1 or more)."""
     named = F.regexp_extract("id", r"(?s).*(?<![0-9])([0-9]{4})(?![0-9])", 1)
     d = items.filter(named == str(year)) if product == "io" else items.filter(F.substring("datetime", 1, 4) == str(year))
     return bounded(d, 1, most)

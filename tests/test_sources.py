@@ -3,11 +3,13 @@
 import json
 import math
 
+import duckdb
 import pytest
 from atollgrid import cli
 from atollgrid.operators import grid, ml
 from atollgrid.plans import pipelines
 from atollgrid.plans.adapters import FEATURES, samples
+from atollgrid.plans.queries import ORACLE, QUERIES
 from atollgrid.sources import catalog, rasters
 from atollgrid.streaming.index import index_new_items
 from pyspark.sql import functions as F
@@ -191,3 +193,18 @@ def test_product_year_is_a_whole_number(spark):
     d = spark.createDataFrame([(i, "2020-05-01" if k == 1 else "2017-01-01") for k, i in enumerate(ids)], "id string, datetime string")
     assert sorted(r["id"] for r in catalog.of_product(d, "io").collect()) == sorted(["47P-2020", "a2020b", "x_2020_v02", "1_2020\n"])
     assert [r["id"] for r in catalog.of_product(d, "cci").collect()] == ["12020_2019"]
+
+
+def test_product_items_of_the_whole_table(spark, tmp_path):
+    orders = spark.range(1_100_000).selectExpr("id AS o_orderkey", "TIMESTAMP_NTZ '1996-05-01 00:00:00' AS o_orderdate")
+    odd = [(2_000_000, "1996-12-31 23:59:59"), (1996, "1992-01-01 00:00:00"), (1996, None), (None, "1996-01-01 00:00:00"), (-3, "1996-02-29 00:00:00")]
+    more = spark.createDataFrame(odd, "o_orderkey long, d string").selectExpr("o_orderkey", "CAST(d AS TIMESTAMP_NTZ) AS o_orderdate")
+    orders.unionByName(more).write.parquet(str(tmp_path / "orders.parquet"))
+    got = QUERIES["product_items"](spark, str(tmp_path))
+    assert got.count() == got.distinct().count() == 1_100_003
+    assert {r["id"] for r in got.filter("id RLIKE '_(|-3|0|2|3|4|1996|2000000)_'").collect()} == {f"item_{k}_1996" for k in ("", -3, 0, 2, 3, 4, 1996, 2_000_000)}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    assert con.execute(f"SELECT count(*) FROM ({ORACLE['product_items']})").fetchall() == [(1_100_003,)]
+    with pytest.raises(ValueError):
+        catalog.bounded(more.filter("false"), 1, None)
